@@ -1,0 +1,21 @@
+"""Broadcast only what is proven small.
+
+``limit(n + 1).count()`` stops reading once it has seen ``n + 1`` rows,
+so the check costs at most a bounded scan even on a huge input.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, functions as F
+
+DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
+
+
+def fits(df: DataFrame, max_rows: int) -> bool:
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+    """``F.broadcast(df)`` when it has at most ``max_rows`` rows, else ``df``
+    unchanged (the planner then shuffles, and AQE may still broadcast at runtime)."""
+    return F.broadcast(df) if fits(df, max_rows) else df
