@@ -1,0 +1,30 @@
+"""Named source parameters: ``--host h --port 9999`` style arguments."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+
+def from_args(args: Sequence[str]) -> dict[str, str]:
+    """``["--host", "h", "--port", "1"]`` -> ``{"host": "h", "port": "1"}``."""
+    out: dict[str, str] = {}
+    it = iter(range(len(args)))
+    for i in it:
+        a = args[i]
+        if not a.startswith("-"):
+            raise ValueError(f"expected an option name, got {a!r}")
+        name = a.lstrip("-")
+        if i + 1 < len(args) and not args[i + 1].startswith("--"):
+            out[name] = args[i + 1]
+            next(it, None)
+        else:
+            out[name] = "true"
+    return out
+
+
+def get_int(params: dict[str, str], name: str, default: int | None = None) -> int:
+    if name not in params:
+        if default is None:
+            raise KeyError(name)
+        return default
+    return int(params[name])
