@@ -24,11 +24,21 @@ def java_split(col: str | Column, sep: str = ",") -> Column:
     ``"a,,b"`` -> ``["a", "", "b"]``; ``"a,"`` -> ``["a"]``.
     """
     c = _c(col)
-    pat = re.escape(sep)
-    trimmed = F.regexp_replace(c, f"(?:{pat})+\\z", "")
+    return split_trimmed(c, strip_trailing(c, sep), sep)
+
+
+def strip_trailing(col: str | Column, sep: str = ",") -> Column:
+    """``col`` without its trailing run of ``sep`` (first half of ``java_split``)."""
+    return F.regexp_replace(_c(col), f"(?:{re.escape(sep)})+\\z", "")
+
+
+def split_trimmed(col: str | Column, trimmed: str | Column, sep: str = ",") -> Column:
+    """Second half of ``java_split`` given ``strip_trailing(col)``; lets a caller
+    compute the regex once in a projection before an ``explode``."""
+    c, t = _c(col), _c(trimmed)
     return (F.when(c == F.lit(""), F.array(F.lit("")))
-            .when(trimmed == F.lit(""), F.array().cast("array<string>"))
-            .otherwise(F.split(trimmed, pat)))
+            .when(t == F.lit(""), F.array().cast("array<string>"))
+            .otherwise(F.split(t, re.escape(sep))))
 
 
 def text_lines(col: str | Column) -> Column:

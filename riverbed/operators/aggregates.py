@@ -12,7 +12,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.text import java_split, text_lines
+from ..functions.text import split_trimmed, strip_trailing, text_lines
 from .prefix import running_totals
 
 
@@ -27,8 +27,10 @@ def words(df: DataFrame, text: str = "value", sep: str = ",", by_lines: bool = T
     if by_lines:
         df = df.select(*keep, F.explode(text_lines(src)).alias("_line"))
         src = F.col("_line")
-    return df.select(*keep, F.explode(java_split(src, sep)).alias("word"),
-                     F.lit(1).alias("one"))
+    # the trailing-separator regex runs once per line, in a projection
+    trimmed = df.select(*keep, src.alias("_l"), strip_trailing(src, sep).alias("_t"))
+    return trimmed.select(*keep, F.explode(split_trimmed("_l", "_t", sep)).alias("word"),
+                          F.lit(1).alias("one"))
 
 
 def word_count(df: DataFrame, text: str = "value", sep: str = ",", by_lines: bool = True

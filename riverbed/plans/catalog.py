@@ -79,7 +79,7 @@ def order_amount(spark: SparkSession, d: str) -> DataFrame:
 
 def word_count(spark: SparkSession, d: str) -> DataFrame:
     """Words of every document line split on ',' (Java split rules), counted."""
-    docs = table(spark, d, "documents").select("text")
+    docs = table(spark, d, "documents", spread_by="doc_id").select("text")
     return aggregates.word_count(docs, "text", ",")
 
 
@@ -221,7 +221,7 @@ def next_midnight_q(spark: SparkSession, d: str) -> DataFrame:
 
 def observed_count(spark: SparkSession, d: str) -> DataFrame:
     """Write lineitem as text lines and report the row count observed during the write."""
-    li = table(spark, d, "lineitem")
+    li = table(spark, d, "lineitem", spread_by="l_orderkey")
     n = write_text_counting(li, shared_path(spark, "lineitem-text"))
     return spark.createDataFrame([(n,)], "n long")
 

@@ -15,10 +15,25 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "conversations")
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def table(spark: SparkSession, sf_dir: str, name: str, spread_by: str | None = None
+          ) -> DataFrame:
+    """Read one driver table.
+
+    ``spread_by``: for CPU-heavy per-row work (text splitting, text output).
+    A table stored as fewer files than the default parallelism may sit in a
+    single row group, which one task must scan and process alone; then the
+    rows are hash-partitioned on ``spread_by`` across all cores first. A
+    table with many files (any large table) is left as scanned: its splits
+    already parallelise the work and a shuffle of raw rows would only cost.
+    """
     if name not in TABLES:
         raise ValueError(f"unknown table {name!r}")
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    if spread_by is not None:
+        cores = spark.sparkContext.defaultParallelism
+        if len(df.inputFiles()) < cores:
+            df = df.repartition(cores, spread_by)
+    return df
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -49,16 +49,17 @@ class CountWindowAverage(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         new = _batch(rows, [self.seq])
-        held = list(self.pending.get()) if self.pending.exists() else []
+        held = list(self.pending.get())
         seqs = np.array([s for s, _ in held] + new[self.seq].astype("int64").tolist(), dtype="int64")
         vals = np.array([v for _, v in held] + new[self.value].astype("int64").tolist(), dtype="int64")
         done = len(vals) // self.size * self.size
-        n_before = self.windows.get()[0] if self.windows.exists() else 0
+        stored = self.windows.get()
+        n_before = stored[0] if stored is not None else 0
         totals = vals[:done].reshape(-1, self.size).sum(axis=1)
         rest = list(zip(seqs[done:].tolist(), vals[done:].tolist()))
         if rest:
             self.pending.put(rest)
-        else:
+        elif held:
             self.pending.clear()
         k = len(totals)
         self.windows.update((n_before + k,))
@@ -97,8 +98,9 @@ class CountTriggerEvictor(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         new = _batch(rows, [self.seq])
         m = len(new)
-        seen = self.seen.get()[0] if self.seen.exists() else 0
-        tail = [t[0] for t in self.tail.get()] if self.tail.exists() else []
+        stored = self.seen.get()
+        seen = stored[0] if stored is not None else 0
+        tail = [t[0] for t in self.tail.get()] if stored is not None else []
         fresh = (np.ones(m, dtype="int64") if self.value is None
                  else new[self.value].astype("int64").to_numpy())
         vals = np.concatenate([np.array(tail, dtype="int64"), fresh])
@@ -142,7 +144,7 @@ class ClickCap(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         df = _batch(rows, ["ts_us", self.seq])
-        cur = self.state.get() if self.state.exists() else None
+        cur = self.state.get()
         # position of each row inside its period, continuing the stored count
         pos = df.groupby("period_us", sort=False).cumcount().to_numpy() + 1
         alerted_before = np.zeros(len(df), dtype=bool)
@@ -159,8 +161,8 @@ class ClickCap(StatefulProcessor):
         alerted = bool((pos[in_last] > self.cap).any()) or bool(
             cur is not None and cur[0] == last_p and cur[2])
         if cur is None or cur[0] != last_p:
-            for t in self.handle.listTimers():
-                self.handle.deleteTimer(t)
+            if cur is not None:
+                self.handle.deleteTimer((cur[0] + self.period_us) // 1000)
             self.handle.registerTimer((last_p + self.period_us) // 1000)
         self.state.update((last_p, passed, alerted))
         keep = tag != None  # noqa: E711
@@ -170,10 +172,9 @@ class ClickCap(StatefulProcessor):
             yield out.reset_index(drop=True)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        if self.state.exists():
-            period = self.state.get()[0]
-            if (period + self.period_us) // 1000 <= expiredTimerInfo.getExpiryTimeInMs():
-                self.state.clear()
+        cur = self.state.get()
+        if cur is not None and (cur[0] + self.period_us) // 1000 <= expiredTimerInfo.getExpiryTimeInMs():
+            self.state.clear()
         return iter([])
 
     def close(self) -> None:
