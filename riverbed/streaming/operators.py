@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.timefns import duration_micros, floor_to, from_micros, to_micros
-from .stateful import ClickCap, CountTriggerEvictor, CountWindowAverage
+from .stateful import ClickCap, CountTriggerEvictor, CountWindowAverage, TopNPerWindow
 
 
 def _ddl(df: DataFrame, cols: Sequence[str]) -> str:
@@ -28,9 +28,10 @@ def event_time(df: DataFrame, ts: str, delay: str = "10 seconds") -> DataFrame:
 
 
 def count_window_avg_stream(df: DataFrame, keys: Sequence[str], seq: str, value: str,
-                            size: int = 3) -> DataFrame:
+                            size: int = 3, state: str = "list") -> DataFrame:
+    """Average of every ``size`` rows per key; ``state`` = list | value | map."""
     keys = list(keys)
-    proc = CountWindowAverage(keys, seq=seq, value=value, size=size)
+    proc = CountWindowAverage(keys, seq=seq, value=value, size=size, state=state)
     return (df.select(*keys, seq, value).groupBy(*keys)
             .transformWithStateInPandas(proc, CountWindowAverage.output_schema(_ddl(df, keys)),
                                         "append", "None"))
@@ -48,8 +49,8 @@ def count_window_sliding_stream(df: DataFrame, keys: Sequence[str], seq: str,
 
 
 def click_cap_stream(df: DataFrame, keys: Sequence[str], ts: str, seq: str,
-                     carry: Sequence[str] = (), cap: int = 100, period: str = "1 day"
-                     ) -> DataFrame:
+                     carry: Sequence[str] = (), cap: int = 100, period: str = "1 day",
+                     processing_time: bool = False) -> DataFrame:
     """Tagged rows (``pass`` / ``alert``) with ``ts`` and ``period_start``.
 
     The period comes from event time (replayable); the stored state is
@@ -66,10 +67,14 @@ def click_cap_stream(df: DataFrame, keys: Sequence[str], ts: str, seq: str,
     schema = f"{_ddl(df, [*keys, *carry])}, {ts} timestamp, ts_us long, period_us long, tag string"
     if not df.isStreaming:
         raise ValueError("click_cap_stream expects a streaming frame; use operators.clicks")
-    proc = ClickCap(keys, [*carry, ts], cap=cap, period_us=step, seq=seq)
-    out = (prepared.groupBy(*keys)
-           .transformWithStateInPandas(proc, schema, "append", "EventTime",
-                                       eventTimeColumnName=ts))
+    proc = ClickCap(keys, [*carry, ts], cap=cap, period_us=step, seq=seq,
+                    processing_time=processing_time)
+    grouped = prepared.groupBy(*keys)
+    if processing_time:
+        out = grouped.transformWithStateInPandas(proc, schema, "append", "ProcessingTime")
+    else:
+        out = grouped.transformWithStateInPandas(proc, schema, "append", "EventTime",
+                                                 eventTimeColumnName=ts)
     return out.select(*keys, *carry, ts,
                       from_micros(F.col("period_us"), ntz=False).alias("period_start"), "tag")
 
@@ -119,3 +124,19 @@ def hot_pages_stream(df: DataFrame, ts: str, url: str, size: str = "10 minutes",
     pre = best(counts.select("window", "url", "n", bucket), ["window", "bucket"])
     final = best(pre, ["window"])
     return final.select("url", F.col("window.end").alias("window_end"), "n")
+
+
+def hot_pages_stream_timer(df: DataFrame, ts: str, url: str, size: str = "10 minutes",
+                           slide: str = "5 seconds", n: int = 3) -> DataFrame:
+    """Top-n urls per sliding window, the keyed-process form: window counts,
+    then a processor keyed by window end with map state and an event-time
+    timer at window end + 1 ms (the state holds at most n entries)."""
+    sz = f"{duration_micros(size)} microseconds"
+    sl = f"{duration_micros(slide)} microseconds"
+    counts = (df.groupBy(F.window(ts, sz, sl).alias("window"), F.col(url).alias("url"))
+              .agg(F.count(F.lit(1)).alias("n")))
+    keyed = counts.select(F.unix_millis(F.col("window.end")).alias("window_end_ms"), "url", "n")
+    out = (keyed.groupBy("window_end_ms")
+           .transformWithStateInPandas(TopNPerWindow(n), TopNPerWindow.output_schema(),
+                                       "append", "EventTime"))
+    return out.select("url", F.timestamp_millis("window_end_ms").alias("window_end"), "n")

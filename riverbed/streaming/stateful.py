@@ -28,45 +28,94 @@ def _key_frame(key_names: Sequence[str], key: tuple, n: int) -> dict:
     return {name: [key[i]] * n for i, name in enumerate(key_names)}
 
 
+def _complete_windows(held_n: int, held_sum: int, vals: np.ndarray, size: int):
+    """Windows of ``size`` completed by ``vals`` after ``held_n`` pending values
+    summing to ``held_sum``: (totals of complete windows, new pending count,
+    index in ``vals`` where the new pending values start)."""
+    pos = held_n + np.arange(len(vals))
+    n_done = (held_n + len(vals)) // size
+    groups = pos // size
+    totals = np.bincount(groups, weights=vals, minlength=n_done + 1)[:n_done].astype("int64")
+    if n_done:
+        totals[0] += held_sum
+    rest_from = n_done * size - held_n if n_done else 0
+    return totals, (held_n + len(vals)) % size, rest_from
+
+
 class CountWindowAverage(StatefulProcessor):
     """Every ``size`` rows of a key -> one ``(key, window_no, n, total, avg)``.
 
-    State: the pending values of the unfinished window (list state) and
-    the number of windows emitted (value state). Output mode: append.
+    ``state`` picks how the unfinished window is held, as in the three
+    original variants: ``list`` (pending values in list state), ``value``
+    (a running ``(count, sum)`` in one value state) or ``map`` (pending
+    values in map state keyed by arrival sequence). A value state counts the
+    windows emitted. Output mode: append.
     """
 
     def __init__(self, key_names: Sequence[str], seq: str = "seq", value: str = "v",
-                 size: int = 3):
+                 size: int = 3, state: str = "list"):
+        if state not in ("list", "value", "map"):
+            raise ValueError(state)
         self.key_names, self.seq, self.value, self.size = list(key_names), seq, value, size
+        self.kind = state
 
     @staticmethod
     def output_schema(key_ddl: str) -> str:
         return f"{key_ddl}, window_no long, n long, total long, avg double"
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.pending = handle.getListState("pending", "seq long, v long")
+        if self.kind == "list":
+            self.pending = handle.getListState("pending", "seq long, v long")
+        elif self.kind == "map":
+            self.pending = handle.getMapState("pending", "seq long", "v long")
+        else:
+            self.pending = handle.getValueState("pending", "n long, s long")
         self.windows = handle.getValueState("windows", "n long")
 
+    def _held(self) -> list[tuple[int, int]]:
+        if self.kind == "list":
+            return list(self.pending.get())
+        if self.kind == "map":
+            return sorted((k[0], v[0]) for k, v in self.pending.iterator())
+        return []
+
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         new = _batch(rows, [self.seq])
-        held = list(self.pending.get())
-        seqs = np.array([s for s, _ in held] + new[self.seq].astype("int64").tolist(), dtype="int64")
-        vals = np.array([v for _, v in held] + new[self.value].astype("int64").tolist(), dtype="int64")
-        done = len(vals) // self.size * self.size
+        seqs = new[self.seq].astype("int64").to_numpy()
+        vals = new[self.value].astype("int64").to_numpy()
+        if self.kind == "value":
+            stored = self.pending.get()
+            held_n, held_sum = (stored[0], stored[1]) if stored is not None else (0, 0)
+            held = []
+        else:
+            held = self._held()
+            held_n, held_sum = len(held), sum(v for _, v in held)
+        totals, rest_n, rest_from = _complete_windows(held_n, held_sum, vals, self.size)
+        # keep the unfinished window
+        if self.kind == "value":
+            carry = held_sum if len(totals) == 0 else 0
+            self.pending.update((rest_n, carry + int(vals[rest_from:].sum())))
+        else:
+            rest = ([] if len(totals) else held) + list(
+                zip(seqs[rest_from:].tolist(), vals[rest_from:].tolist()))
+            if self.kind == "list":
+                if rest:
+                    self.pending.put(rest)
+                elif held:
+                    self.pending.clear()
+            else:
+                if len(totals) and held:
+                    self.pending.clear()
+                for s_, v_ in rest[len(held) if not len(totals) else 0:]:
+                    self.pending.updateValue((s_,), (v_,))
         stored = self.windows.get()
         n_before = stored[0] if stored is not None else 0
-        totals = vals[:done].reshape(-1, self.size).sum(axis=1)
-        rest = list(zip(seqs[done:].tolist(), vals[done:].tolist()))
-        if rest:
-            self.pending.put(rest)
-        elif held:
-            self.pending.clear()
         k = len(totals)
-        self.windows.update((n_before + k,))
         if k:
+            self.windows.update((n_before + k,))
             out = _key_frame(self.key_names, key, k)
             out.update(window_no=np.arange(n_before + 1, n_before + k + 1, dtype="int64"),
-                       n=np.full(k, self.size, dtype="int64"), total=totals.astype("int64"),
+                       n=np.full(k, self.size, dtype="int64"), total=totals,
                        avg=totals.astype("float64") / self.size)
             yield pd.DataFrame(out)
 
@@ -131,12 +180,16 @@ class ClickCap(StatefulProcessor):
     the current period, the count that passed in it, whether the alert
     went out. With time mode ``EventTime`` a timer at the period's end
     clears the state once the watermark passes it, so idle keys cost nothing.
+    With ``processing_time=True`` (time mode ``ProcessingTime``) the period is
+    the wall-clock day of the micro-batch, as in the original; not replayable.
     """
 
     def __init__(self, key_names: Sequence[str], carry: Sequence[str], cap: int = 100,
-                 period_us: int = 86_400_000_000, seq: str = "seq"):
+                 period_us: int = 86_400_000_000, seq: str = "seq",
+                 processing_time: bool = False):
         self.key_names, self.carry = list(key_names), list(carry)
         self.cap, self.period_us, self.seq = cap, period_us, seq
+        self.processing_time = processing_time
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -144,6 +197,10 @@ class ClickCap(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         df = _batch(rows, ["ts_us", self.seq])
+        if self.processing_time:
+            # the original resets at the next midnight of the wall clock
+            now_us = timerValues.getCurrentProcessingTimeInMs() * 1000
+            df["period_us"] = now_us - now_us % self.period_us
         cur = self.state.get()
         # position of each row inside its period, continuing the stored count
         pos = df.groupby("period_us", sort=False).cumcount().to_numpy() + 1
@@ -179,3 +236,56 @@ class ClickCap(StatefulProcessor):
 
     def close(self) -> None:
         pass
+
+
+class TopNPerWindow(StatefulProcessor):
+    """Top-n entries per window end, released by an event-time timer.
+
+    Keyed by the window end (epoch ms). Map state holds at most ``n``
+    ``url -> count`` entries, the best so far by ``(count desc, url asc)``;
+    each finished window count arrives once from the upstream window
+    aggregation. A timer at window end + 1 ms fires when the watermark
+    passes it; the entries go out in rank order and the state is cleared.
+    """
+
+    def __init__(self, n: int = 3):
+        self.n = n
+
+    @staticmethod
+    def output_schema() -> str:
+        return "url string, window_end_ms long, n long, rank int"
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.best = handle.getMapState("best", "url string", "n long")
+
+    def _ranked(self, entries):
+        return sorted(entries, key=lambda e: (-e[1], e[0]))[: self.n]
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        new = pd.concat(list(rows), ignore_index=True)
+        held = [(k[0], v[0]) for k, v in self.best.iterator()]
+        top = self._ranked(held + list(zip(new["url"].tolist(), new["n"].astype("int64").tolist())))
+        keep = {u for u, _ in top}
+        for u, _ in held:
+            if u not in keep:
+                self.best.removeKey((u,))
+        held_urls = {u for u, _ in held}
+        for u, c in top:
+            if u not in held_urls:
+                self.best.updateValue((u,), (int(c),))
+        if not held:
+            self.handle.registerTimer(int(key[0]) + 1)
+        return iter([])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        top = self._ranked([(k[0], v[0]) for k, v in self.best.iterator()])
+        self.best.clear()
+        if top:
+            yield pd.DataFrame({"url": [u for u, _ in top],
+                                "window_end_ms": [int(key[0])] * len(top),
+                                "n": [int(c) for _, c in top],
+                                "rank": list(range(1, len(top) + 1))})
+
+    def close(self) -> None:
+        pass

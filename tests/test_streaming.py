@@ -102,3 +102,52 @@ def test_hot_pages_stream_equals_batch(spark):
     want = hot_pages.hot_pages(spark.createDataFrame(rows, schema), "ts", "url", "1 minute",
                                "5 seconds", 3)
     assert same(got, want, ["url", "window_end", "n"])
+
+
+def test_count_window_average_state_kinds(spark):
+    from fixtures import KEYED_VALUES
+    rows = [(i, k, v) for i, (k, v) in enumerate(KEYED_VALUES)] + \
+        [(100 + i, 1 + i % 2, i) for i in range(20)]
+    schema = "seq long, k long, v long"
+    root = write_batches(spark, _chunks(rows, 4), schema, name="kinds")
+    want = count_windows.count_window_tumbling(spark.createDataFrame(rows, schema), ["k"],
+                                               ["seq"], "v", 3)
+    for kind in ("list", "value", "map"):
+        got = run_available(so.count_window_avg_stream(stream_of(spark, root, schema), ["k"],
+                                                       "seq", "v", 3, state=kind), f"cw-{kind}")
+        assert same(got, want), kind
+
+
+def test_hot_pages_timer_form_equals_batch(spark):
+    rnd = random.Random(4)
+    t0 = dt.datetime(2024, 1, 1)
+    rows = sorted((t0 + dt.timedelta(seconds=rnd.randint(0, 300)), rnd.choice("abcde"))
+                  for _ in range(150))
+    schema = "ts timestamp_ntz, url string"
+    sentinel = [(t0 + dt.timedelta(days=1), "zz-end")]
+    root = write_batches(spark, _chunks(rows, 3) + [sentinel, sentinel], schema, name="hot2")
+    src = so.event_time(stream_of(spark, root, schema), "ts", "10 seconds")
+    got = run_available(so.hot_pages_stream_timer(src, "ts", "url", "1 minute", "5 seconds", 3),
+                        "hot2")
+    got = got.where(F.col("url") != "zz-end").withColumn(
+        "window_end", F.col("window_end").cast("timestamp_ntz"))
+    want = hot_pages.hot_pages(spark.createDataFrame(rows, schema), "ts", "url", "1 minute",
+                               "5 seconds", 3)
+    assert same(got, want, ["url", "window_end", "n"])
+
+
+def test_click_cap_processing_time(spark):
+    from riverbed.session import shared_path
+    rows = [(i, 7, "ad", dt.datetime(2024, 1, 1) + dt.timedelta(seconds=i)) for i in range(12)]
+    schema = "seq long, user_id long, ad_id string, ts timestamp_ntz"
+    root = write_batches(spark, [rows], schema, name="cap-pt")
+    src = stream_of(spark, root, schema).withColumn("ts", F.col("ts").cast("timestamp"))
+    out = so.click_cap_stream(src, ["user_id", "ad_id"], "ts", "seq", cap=10,
+                              processing_time=True)
+    path, ckpt = shared_path(spark, "cap-pt-out"), shared_path(spark, "cap-pt-ckpt")
+    q = (out.writeStream.format("parquet").option("path", path)
+         .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
+    q.processAllAvailable()
+    q.stop()  # a pending processing-time timer may keep the query alive
+    tags = sorted(r.tag for r in spark.read.schema(out.schema).parquet(path).collect())
+    assert tags == ["alert"] + ["pass"] * 10
