@@ -213,6 +213,18 @@ def blacklist_alerts(spark: SparkSession, d: str) -> DataFrame:
                                cap=BLACKLIST_CAP, period="1 day")
 
 
+def ad_click_count(spark: SparkSession, d: str) -> DataFrame:
+    """The whole ad-click flow: cap clicks per (user, event_type) and UTC day,
+    then count the passing clicks per province (event_type) per 1 h window
+    sliding by 5 s."""
+    passed = clicks.click_pass(_clicks(spark, d), ["user_id", "ad_id"], "ts", ["event_id"],
+                               cap=BLACKLIST_CAP, period="1 day")
+    per_province = passed.select("ts", F.col("ad_id").alias("province"))
+    return (windows.sliding_count(per_province, "ts", "1 hour", "5 seconds", ["province"],
+                                  method="sweep")
+            .select("window_end", "province", "n"))
+
+
 def next_midnight_q(spark: SparkSession, d: str) -> DataFrame:
     """For every event, the next UTC midnight after its time."""
     ev = _events(spark, d).select("event_id", "ts")
@@ -251,6 +263,7 @@ QUERIES = {
     "sort_limit": sort_limit,
     "blacklist_pass": blacklist_pass,
     "blacklist_alerts": blacklist_alerts,
+    "ad_click_count": ad_click_count,
     "next_midnight": next_midnight_q,
     "observed_count": observed_count,
 }

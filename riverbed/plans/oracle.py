@@ -178,6 +178,14 @@ SQL: dict[str, str] = {
     SELECT user_id, ad_id, period_start, '{alert_message(BLACKLIST_CAP)}' AS message
     FROM r WHERE rk = {BLACKLIST_CAP + 1}""",
 
+    "ad_click_count": _CLICK_RANKS + f""",
+    s AS (SELECT ad_id AS province,
+                 unnest(generate_series(((epoch_us(ts) - {HOUR}) // 5000000) * 5000000 + 5000000,
+                                        (epoch_us(ts) // 5000000) * 5000000, 5000000)) AS s
+          FROM r WHERE rk <= {BLACKLIST_CAP})
+    SELECT make_timestamp(s + {HOUR}) AS window_end, province, count(*) AS n
+    FROM s GROUP BY ALL""",
+
     "next_midnight": f"""
     SELECT event_id, ts, make_timestamp((epoch_us(ts) // {DAY} + 1) * {DAY}) AS next_midnight
     FROM events""",

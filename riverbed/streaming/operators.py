@@ -140,3 +140,14 @@ def hot_pages_stream_timer(df: DataFrame, ts: str, url: str, size: str = "10 min
            .transformWithStateInPandas(TopNPerWindow(n), TopNPerWindow.output_schema(),
                                        "append", "EventTime"))
     return out.select("url", F.timestamp_millis("window_end_ms").alias("window_end"), "n")
+
+
+def with_processing_time(df: DataFrame, col: str = "proc_ts") -> DataFrame:
+    """Stamp rows with processing time for processing-time windows.
+
+    Spark evaluates ``current_timestamp()`` once per micro-batch, so every
+    row of a batch gets the same stamp (the original stamps per row). Use
+    with ``window_agg`` in update or complete mode; results are not
+    replayable, which is why the registered queries use event time.
+    """
+    return df.withColumn(col, F.current_timestamp())

@@ -156,3 +156,13 @@ def test_click_cap_processing_time(spark):
     q.stop()
     tags = sorted(r.tag for r in spark.read.schema(out.schema).parquet(path).collect())
     assert tags == ["alert"] + ["pass"] * 10
+
+
+def test_processing_time_tumbling_window(spark):
+    rows = [(str(i),) for i in range(10)]
+    root = write_batches(spark, [rows[:5], rows[5:]], "value string", name="proc")
+    src = so.with_processing_time(stream_of(spark, root, "value string"))
+    ints = src.select("proc_ts", F.col("value").cast("int").alias("v"))
+    agg = windows.window_agg(ints, "proc_ts", "10 seconds", [F.sum("v").alias("total")])
+    got = run_available(agg, "proc", "update", keys=["window_start", "window_end"])
+    assert got.agg(F.sum("total")).collect()[0][0] == sum(range(10))
