@@ -35,3 +35,13 @@ def write_tagged_batch(writers: Mapping[str, Callable[[DataFrame], None]], tag_c
         finally:
             batch.unpersist()
     return run
+
+
+def print_stream(df: DataFrame, output_mode: str = "append", checkpoint: str | None = None,
+                 truncate: bool = False):
+    """Print every micro-batch's result rows (``.print()`` of a stream); returns the
+    started query. For inspection only: the console sink keeps nothing."""
+    w = df.writeStream.format("console").outputMode(output_mode).option("truncate", truncate)
+    if checkpoint:
+        w = w.option("checkpointLocation", checkpoint)
+    return w.start()

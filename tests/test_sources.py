@@ -29,3 +29,16 @@ def test_tagged_split(spark):
     df = rows(spark, [(1, "pass"), (2, "alert")], "id int, tag string")
     pick = split_tagged(df)
     assert [r.id for r in pick("alert").collect()] == [2]
+
+
+def test_map_with_setup(spark):
+    from riverbed.operators.maps import map_with_setup
+    df = rows(spark, [(1,), (2,), (3,)], "x long")
+    calls = []
+
+    def setup():
+        calls.append(1)
+        return 10
+
+    out = map_with_setup(df.coalesce(1), setup, lambda k, b: b.assign(x=b.x * k), "x long")
+    assert sorted(r.x for r in out.collect()) == [10, 20, 30]
