@@ -11,6 +11,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -52,6 +53,7 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -72,3 +74,36 @@ def shared_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder for ``name``."""
     base = spark.conf.get("spark.checkpoint.dir", None) or ensure_checkpoint_dir(spark)
     return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``riverbed`` importable in Python workers (pandas UDFs, stateful
+    processors, ``foreachBatch`` runners) wherever the driver was started.
+
+    The package is zipped on the driver and registered with ``addPyFile``;
+    Spark then distributes it to every executor. Once per SparkContext.
+    """
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg)
+    # driver-side build artefact only; Spark ships it to the executors
+    target = os.path.join(tempfile.mkdtemp(prefix="riverbed-pkg-"), "riverbed.zip")
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as zf:
+        for folder, dirs, files in os.walk(pkg):
+            dirs[:] = [d for d in dirs if d != "__pycache__"]
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(folder, f)
+                    zf.write(full, os.path.relpath(full, root))
+    sc.addPyFile(target)
+    # Driver-side Python runners (stateful-processor schema checks,
+    # foreachBatch) do not read addPyFile files; they take PYTHONPATH from
+    # the environment PySpark sends with every Python function.
+    paths = [p for p in sc.environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    sc.environment["PYTHONPATH"] = os.pathsep.join(paths + [target])
+    _SHIPPED.add(sc.applicationId)

@@ -21,6 +21,18 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from ..session import shared_path
 
 DEFAULT_TIMEOUT_S = 1800
+ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def use_rocksdb_state(spark) -> None:
+    """Stateful processors with several state variables need the RocksDB
+    state store; set it (for queries started from now on) if the session
+    uses another provider."""
+    key = "spark.sql.streaming.stateStore.providerClass"
+    if spark.conf.get(key, None) != ROCKSDB_PROVIDER:
+        spark.conf.set(key, ROCKSDB_PROVIDER)
+        spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled",
+                       "true")
 
 
 def _await(query, timeout_s: int) -> None:
@@ -37,6 +49,7 @@ def run_available(df: DataFrame, name: str, output_mode: str = "append",
                   ) -> DataFrame:
     """Process all available input (``availableNow``) and return the result as a batch frame."""
     spark = df.sparkSession
+    use_rocksdb_state(spark)
     out = shared_path(spark, f"{name}-out")
     ckpt = shared_path(spark, f"{name}-ckpt")
     writer = df.writeStream.option("checkpointLocation", ckpt).trigger(availableNow=True)
