@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from ..functions.parsing import parse_access_log
 from ..functions.timefns import next_midnight
 from ..operators import aggregates, clicks, count_windows, hot_pages as hp, joins, topn, windows
 from ..operators.metrics import write_text_counting
@@ -49,6 +50,24 @@ def hot_pages(spark: SparkSession, d: str) -> DataFrame:
     return hp.hot_pages(ev, "ts", "url", "10 minutes", "5 seconds", n=3)
 
 
+def access_log_lines(spark: SparkSession, d: str) -> DataFrame:
+    """Stand-in input: the driver has no access logs, so each event is written
+    as one log line ``ip user - dd/MM/yyyy:HH:mm:ss zone method url`` (url =
+    ``/`` + event_type). Formatting only; the query's work starts at parsing."""
+    ev = _events(spark, d)
+    line = F.concat_ws(" ", F.lit("10.0.0.1"), F.col("user_id").cast("string"), F.lit("-"),
+                       F.date_format("ts", "dd/MM/yyyy:HH:mm:ss"), F.lit("+0000"), F.lit("GET"),
+                       F.concat(F.lit("/"), F.col("event_type")))
+    return ev.select(line.alias("value"))
+
+
+def hot_pages_log(spark: SparkSession, d: str) -> DataFrame:
+    """The hot-page program end to end: parse access-log lines (time, url),
+    count views per url per 10 min window sliding by 5 s, keep the top 3."""
+    views = parse_access_log(access_log_lines(spark, d)).select("ts", "url")
+    return hp.hot_pages(views, "ts", "url", "10 minutes", "5 seconds", n=3)
+
+
 def tumbling_sum(spark: SparkSession, d: str) -> DataFrame:
     """Incremental sum of value cents per 1 h tumbling window over all events."""
     ev = _events(spark, d).select("ts", cents("value").alias("c"))
@@ -242,6 +261,7 @@ QUERIES = {
     "sliding_count": sliding_count,
     "sliding_count_expand": sliding_count_expand,
     "hot_pages": hot_pages,
+    "hot_pages_log": hot_pages_log,
     "tumbling_sum": tumbling_sum,
     "tumbling_full": tumbling_full,
     "tumbling_avg": tumbling_avg,

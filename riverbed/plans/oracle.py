@@ -17,9 +17,10 @@ DAY = 86_400_000_000
 CENTS = "CAST(round(value * 100) AS BIGINT)"
 
 
-def _sliding_counts(key_expr: str, key: str, size: int, slide: int) -> str:
+def _sliding_counts(key_expr: str, key: str, size: int, slide: int, source: str = "events",
+                    t_expr: str = "epoch_us(ts)") -> str:
     return f"""
-    e AS (SELECT {key_expr} AS {key}, epoch_us(ts) AS t FROM events),
+    e AS (SELECT {key_expr} AS {key}, {t_expr} AS t FROM {source}),
     s AS (SELECT {key}, unnest(generate_series(((t - {size}) // {slide}) * {slide} + {slide},
                                                (t // {slide}) * {slide}, {slide})) AS s
           FROM e),
@@ -62,6 +63,18 @@ SQL: dict[str, str] = {
           FROM c)
     SELECT url, window_end, n FROM r WHERE rk <= 3""",
 
+    "hot_pages_log": """WITH
+    lines AS (SELECT concat_ws(' ', '10.0.0.1', CAST(user_id AS VARCHAR), '-',
+                               strftime(ts, '%d/%m/%Y:%H:%M:%S'), '+0000', 'GET',
+                               '/' || event_type) AS line FROM events),
+    parsed AS (SELECT string_split(line, ' ') AS f FROM lines),""" + _sliding_counts(
+        "trim(f[7])", "url", 600_000_000, 5_000_000, source="parsed",
+        t_expr="epoch_us(strptime(trim(f[4]), '%d/%m/%Y:%H:%M:%S'))") + """,
+    r AS (SELECT url, window_end, n,
+                 row_number() OVER (PARTITION BY window_end ORDER BY n DESC, url ASC) AS rk
+          FROM c)
+    SELECT url, window_end, n FROM r WHERE rk <= 3""",
+
     "tumbling_sum": _tumbling(f"count(*) AS n, CAST(sum({CENTS}) AS BIGINT) AS total", HOUR),
 
     "tumbling_full": _tumbling(
