@@ -87,3 +87,23 @@ def test_order_file(spark, tmp_path):
     assert rows[0].payment_ref is None and rows[2].payment_ref == 6239707419
     assert rows[9].channel == ""
     assert rows[10].end_time < rows[10].create_time
+
+
+def _java_split_model(s: str, sep: str) -> list[str]:
+    # Java String.split(sep), limit 0: no match -> [s]; else split and drop
+    # trailing empty strings
+    if sep not in s:
+        return [s]
+    parts = s.split(sep)
+    while parts and parts[-1] == "":
+        parts.pop()
+    return parts
+
+
+def test_java_split_random_strings(spark):
+    import random
+    rnd = random.Random(11)
+    cases = ["".join(rnd.choice("ab,,") for _ in range(rnd.randint(0, 8))) for _ in range(300)]
+    df = spark.createDataFrame([(c,) for c in cases], "s string")
+    got = [r[0] for r in df.select(java_split("s", ",")).collect()]
+    assert got == [_java_split_model(c, ",") for c in cases]
