@@ -116,9 +116,14 @@ def sliding_count_sweep(df: DataFrame, ts: str, size: str, slide: str,
                          sums={"n": F.col("d"), **{f"{k}_r": F.col(k) for k in vals}},
                          next_col="p_next")
 
-    # 4. expand each non-empty run into its window starts
+    # 4. expand each non-empty run into its window starts. The runs are few
+    # next to the windows they expand to, so AQE would coalesce them into a
+    # handful of tasks (it sizes by input); an explicit hash repartition of
+    # the runs spreads the expansion over all shuffle partitions instead.
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     starts = F.sequence(F.col("p"), F.col("p_next") - F.lit(slide_us), F.lit(slide_us))
     out = (run.where(F.col("n") > 0)
+           .repartition(parts, *keys, "p")
            .select(*keys, F.explode(starts).alias("_s"), "n",
                    *[F.col(f"{k}_r").alias(name) for k, name in zip(vals, sums)]))
     return out.select(from_micros(F.col("_s")).alias("window_start"),
