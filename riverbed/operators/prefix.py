@@ -64,7 +64,9 @@ def running_totals(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     # (2) totals inside a block
     w_local = (Window.partitionBy(*keys, _BLK).orderBy(*order)
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    local = ranged
+    # explicit partition count: AQE would coalesce this exchange by its input
+    # size and run the blocks in a few tasks; the window reuses this layout
+    local = ranged.repartition(n, *keys, _BLK)
     if count_col:
         local = local.withColumn("_rb_lc", F.count(F.lit(1)).over(w_local))
     for name in val_cols:
