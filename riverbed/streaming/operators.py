@@ -53,9 +53,11 @@ def click_cap_stream(df: DataFrame, keys: Sequence[str], ts: str, seq: str,
                      processing_time: bool = False) -> DataFrame:
     """Tagged rows (``pass`` / ``alert``) with ``ts`` and ``period_start``.
 
-    The period comes from event time (replayable); the stored state is
-    cleared by an event-time timer at the period's end. Needs a watermark
-    on ``ts`` upstream.
+    By default the period comes from event time (replayable) and the stored
+    state is cleared by an event-time timer at the period's end; this needs
+    a watermark on ``ts`` upstream. With ``processing_time=True`` the period
+    is the wall-clock period of the micro-batch and a processing-time timer
+    resets it, as in the original program (not replayable).
     """
     keys = list(keys)
     step = duration_micros(period)
