@@ -21,7 +21,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.timefns import duration_micros, floor_to, from_micros, to_micros
 from .prefix import running_totals
@@ -76,14 +76,29 @@ def sliding_count_expand(df: DataFrame, ts: str, size: str, slide: str,
     return window_agg(df, ts, size, aggs, keys, slide=slide)
 
 
+# A key has at most 2 * (time span / slide + 1) change points, whatever the
+# data volume. Up to this many, one task per key runs the running sum as a
+# plain window; beyond it the block-distributed running sum is used.
+MAX_POINTS_PER_TASK = 4_000_000
+
+
+def change_points_bound(df: DataFrame, ts: str, size_us: int, slide_us: int) -> int:
+    """Upper bound on the change points of any one key: one min/max row."""
+    lo, hi = df.agg(F.min(to_micros(ts)), F.max(to_micros(ts))).first()
+    if lo is None:
+        return 0
+    return 2 * ((hi - lo + size_us) // slide_us + 2)
+
+
 def sliding_count_sweep(df: DataFrame, ts: str, size: str, slide: str,
-                        keys: Sequence[str], sums: Mapping[str, str | Column] | None = None
-                        ) -> DataFrame:
+                        keys: Sequence[str], sums: Mapping[str, str | Column] | None = None,
+                        span_of: DataFrame | None = None) -> DataFrame:
     """Sliding window count (and sums) by change-point sweep; batch only.
 
     Output equals ``sliding_count_expand`` row for row:
     ``window_start, window_end, *keys, n, *sums`` (times in the input's
-    NTZ wall clock).
+    NTZ wall clock). ``span_of``: a frame whose ``ts`` range covers the
+    input's (default: the input), used to bound the change points per key.
     """
     size_us, slide_us = duration_micros(size), duration_micros(slide)
     keys = list(keys)
@@ -111,10 +126,20 @@ def sliding_count_sweep(df: DataFrame, ts: str, size: str, slide: str,
               .agg(F.sum("d").alias("d"), *[F.sum(k).alias(k) for k in vals]))
 
     # 3. running value at every change point, and where the run ends.
-    # Distributed per key (a hot key is cut into blocks), see prefix.py.
-    run = running_totals(points, keys, ["p"], count_col=None,
-                         sums={"n": F.col("d"), **{f"{k}_r": F.col(k) for k in vals}},
-                         next_col="p_next")
+    # A key's points are bounded by the time span, not by the row count:
+    # when that bound is small a per-key window is safe and cheaper;
+    # otherwise the block-distributed running sum cuts a key into blocks.
+    running = {"n": F.col("d"), **{f"{k}_r": F.col(k) for k in vals}}
+    bound = change_points_bound(span_of if span_of is not None else df, ts, size_us, slide_us)
+    if bound <= MAX_POINTS_PER_TASK:
+        w = Window.partitionBy(*keys).orderBy("p")
+        upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        run = points.select(*keys, "p", *[F.sum(c).over(upto).alias(name)
+                                          for name, c in running.items()],
+                            F.lead("p").over(w).alias("p_next"))
+    else:
+        run = running_totals(points, keys, ["p"], count_col=None, sums=running,
+                             next_col="p_next")
 
     # 4. expand each non-empty run into its window starts. The runs are few
     # next to the windows they expand to, so AQE would coalesce them into a
@@ -133,7 +158,7 @@ def sliding_count_sweep(df: DataFrame, ts: str, size: str, slide: str,
 
 def sliding_count(df: DataFrame, ts: str, size: str, slide: str, keys: Sequence[str],
                   sums: Mapping[str, str | Column] | None = None,
-                  method: str = "auto") -> DataFrame:
+                  method: str = "auto", span_of: DataFrame | None = None) -> DataFrame:
     """Per-key sliding window count; ``method`` = ``auto`` | ``sweep`` | ``expand``.
 
     ``auto`` picks the sweep for batch frames whose windows overlap at
@@ -143,7 +168,7 @@ def sliding_count(df: DataFrame, ts: str, size: str, slide: str, keys: Sequence[
         dense = duration_micros(size) >= 4 * duration_micros(slide)
         method = "sweep" if dense and not df.isStreaming else "expand"
     if method == "sweep":
-        return sliding_count_sweep(df, ts, size, slide, keys, sums)
+        return sliding_count_sweep(df, ts, size, slide, keys, sums, span_of)
     if method == "expand":
         return sliding_count_expand(df, ts, size, slide, keys, sums)
     raise ValueError(method)

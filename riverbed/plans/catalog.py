@@ -236,11 +236,13 @@ def ad_click_count(spark: SparkSession, d: str) -> DataFrame:
     """The whole ad-click flow: cap clicks per (user, event_type) and UTC day,
     then count the passing clicks per province (event_type) per 1 h window
     sliding by 5 s."""
-    passed = clicks.click_pass(_clicks(spark, d), ["user_id", "ad_id"], "ts", ["event_id"],
+    raw = _clicks(spark, d)
+    passed = clicks.click_pass(raw, ["user_id", "ad_id"], "ts", ["event_id"],
                                cap=BLACKLIST_CAP, period="1 day")
     per_province = passed.select("ts", F.col("ad_id").alias("province"))
+    # the raw clicks' time range covers the passed ones: bound from the scan
     return (windows.sliding_count(per_province, "ts", "1 hour", "5 seconds", ["province"],
-                                  method="sweep")
+                                  method="sweep", span_of=raw)
             .select("window_end", "province", "n"))
 
 

@@ -3,6 +3,8 @@
 import datetime as dt
 import random
 
+import pytest
+
 from pyspark.sql import Window, functions as F
 
 from riverbed.operators import joins
@@ -55,7 +57,11 @@ def test_count_windows_equal_window_frames(spark):
     assert want_t.select(got_t.columns).exceptAll(got_t).count() == 0
 
 
-def test_sweep_equals_expand(spark):
+@pytest.mark.parametrize("max_points", [None, 0])  # fast path, then forced distributed
+def test_sweep_equals_expand(spark, monkeypatch, max_points):
+    from riverbed.operators import windows as wmod
+    if max_points is not None:
+        monkeypatch.setattr(wmod, "MAX_POINTS_PER_TASK", max_points)
     rnd = random.Random(3)
     base = dt.datetime(2024, 1, 1)
     data = [(base + dt.timedelta(seconds=rnd.randint(0, 4000), microseconds=rnd.randint(0, 999)),
