@@ -15,6 +15,10 @@ so a hot key is cut into many blocks of similar size:
 
 The order must be unique within a key, or running values are undefined
 (exactly as for a ``ROWS`` frame).
+
+When one aggregate proves that no key holds more than ``plain_below`` rows
+(default 4M), a single task per key is bounded and the plain per-key window
+(one shuffle, no checkpoint) is used instead.
 """
 
 from __future__ import annotations
@@ -24,6 +28,25 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 _BLK = "_rb_blk"
+MAX_ROWS_PER_TASK = 4_000_000
+
+
+def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
+    """Row count of the largest key (one small aggregate job)."""
+    top = df.groupBy(*keys).count().agg(F.max("count")).first()[0]
+    return int(top or 0)
+
+
+def _plain(df, keys, order, count_col, sums, next_col):
+    w = Window.partitionBy(*keys).orderBy(*order)
+    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    cols = [F.col(c) for c in df.columns]
+    if count_col:
+        cols.append(F.row_number().over(w).cast("long").alias(count_col))
+    cols += [F.sum(_as_col(v)).over(upto).alias(name) for name, v in sums.items()]
+    if next_col:
+        cols.append(F.lead(order[0]).over(w).alias(next_col))
+    return df.select(*cols)
 
 
 def _as_col(c: str | Column) -> Column:
@@ -34,17 +57,24 @@ def running_totals(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                    count_col: str | None = "rn",
                    sums: Mapping[str, str | Column] | None = None,
                    next_col: str | None = None,
-                   blocks: int | None = None) -> DataFrame:
+                   blocks: int | None = None,
+                   plain_below: int | None = None) -> DataFrame:
     """Add per-key running values in ``order`` (ascending, unique per key).
 
     ``count_col``: 1-based position of the row inside its key (row_number).
     ``sums``: ``{out_name: value}``; running sum up to and including the row.
     ``next_col``: value of the single order column on the next row of the
     same key (NULL on a key's last row), i.e. ``lead(order[0])``.
+    ``plain_below``: use the plain per-key window when the largest key has
+    at most this many rows (``None``: ``MAX_ROWS_PER_TASK``; 0: always
+    distributed).
     """
     sums = dict(sums or {})
     if next_col is not None and len(order) != 1:
         raise ValueError("next_col needs exactly one order column")
+    limit = MAX_ROWS_PER_TASK if plain_below is None else plain_below
+    if limit > 0 and largest_group(df, keys) <= limit:
+        return _plain(df, list(keys), list(order), count_col, sums, next_col)
     spark = df.sparkSession
     n = blocks or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = list(keys)

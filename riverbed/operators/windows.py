@@ -139,7 +139,7 @@ def sliding_count_sweep(df: DataFrame, ts: str, size: str, slide: str,
                             F.lead("p").over(w).alias("p_next"))
     else:
         run = running_totals(points, keys, ["p"], count_col=None, sums=running,
-                             next_col="p_next")
+                             next_col="p_next", plain_below=0)
 
     # 4. expand each non-empty run into its window starts. The runs are few
     # next to the windows they expand to, so AQE would coalesce them into a

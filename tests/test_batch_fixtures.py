@@ -160,7 +160,9 @@ def test_click_cap_102_clicks(spark):
     assert alerts[0].period_start == dt.datetime(2024, 1, 1)
 
 
-def test_click_cap_large_cap_uses_running_totals(spark):
+def test_click_cap_large_cap_uses_running_totals(spark, monkeypatch):
+    from riverbed.operators import prefix
+    monkeypatch.setattr(prefix, "MAX_ROWS_PER_TASK", 0)  # force the distributed form
     df = _clicks(spark, 1103, 0)
     passed = clicks.click_pass(df, ["user_id", "ad_id"], "ts", ["seq"], cap=1100)
     alerts = clicks.click_alerts(df, ["user_id", "ad_id"], "ts", ["seq"], cap=1100)

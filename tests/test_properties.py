@@ -23,10 +23,11 @@ def _skewed(spark, n=3000, seed=7):
     return spark.createDataFrame(data, "seq long, k string, v long")
 
 
-def test_running_totals_equal_window(spark):
+@pytest.mark.parametrize("plain_below", [0, None])  # distributed, then bounded plain window
+def test_running_totals_equal_window(spark, plain_below):
     df = _skewed(spark)
     got = running_totals(df, ["k"], ["seq"], count_col="rn", sums={"cum": "v"}, next_col="nx",
-                         blocks=5)
+                         blocks=5, plain_below=plain_below)
     w = Window.partitionBy("k").orderBy("seq")
     want = df.select("*", F.row_number().over(w).alias("rn"),
                      F.sum("v").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("cum"),
@@ -36,7 +37,10 @@ def test_running_totals_equal_window(spark):
     assert want.select(cols).exceptAll(got.select(cols)).count() == 0
 
 
-def test_count_windows_equal_window_frames(spark):
+@pytest.mark.parametrize("max_rows", [0, 4_000_000])
+def test_count_windows_equal_window_frames(spark, monkeypatch, max_rows):
+    from riverbed.operators import prefix
+    monkeypatch.setattr(prefix, "MAX_ROWS_PER_TASK", max_rows)
     df = _skewed(spark)
     w = Window.partitionBy("k").orderBy("seq")
     ranked = df.withColumn("rn", F.row_number().over(w))
