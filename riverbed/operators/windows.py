@@ -46,7 +46,8 @@ def window_agg(df: DataFrame, ts: str, size: str, aggs: Sequence[Column],
     """
     w = (F.window(ts, _interval(size)) if slide is None
          else F.window(ts, _interval(size), _interval(slide)))
-    out = df.groupBy(w.alias("_w"), *keys).agg(*aggs)
+    # a row without a time belongs to no window
+    out = df.where(F.col(ts).isNotNull()).groupBy(w.alias("_w"), *keys).agg(*aggs)
     names = [c for c in out.columns if c != "_w"]
     return out.select(F.col("_w.start").alias("window_start"),
                       F.col("_w.end").alias("window_end"), *names)
@@ -110,7 +111,8 @@ def sliding_count_sweep(df: DataFrame, ts: str, size: str, slide: str,
 
     # 1. collapse rows sharing (key, first start, stop): partial agg map-side
     vals = {f"_s{i}": _c(v) for i, v in enumerate(sums.values())}
-    grouped = (df.select(*keys, first.alias("_a"), stop.alias("_b"),
+    grouped = (df.where(F.col(ts).isNotNull())
+               .select(*keys, first.alias("_a"), stop.alias("_b"),
                          *[v.alias(k) for k, v in vals.items()])
                .groupBy(*keys, "_a", "_b")
                .agg(F.count(F.lit(1)).alias("_n"), *[F.sum(k).alias(k) for k in vals]))

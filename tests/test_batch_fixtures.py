@@ -184,3 +184,23 @@ def test_hot_pages_ties_and_fewer(spark):
     two = _views(spark, [(t, "/a"), (t, "/b")])
     got = hot_pages.hot_pages(two, "ts", "url", "10 seconds", "5 seconds", n=3)
     assert got.count() == 4  # two windows hold the time, two urls each
+
+
+def test_window_join_pairs_in_same_window(spark):
+    from riverbed.operators.window_join import window_join
+    t = lambda s: dt.datetime(2024, 1, 1) + dt.timedelta(seconds=s)
+    a = spark.createDataFrame([("k1", t(1), "a1"), ("k1", t(25), "a2"), ("k2", t(3), "a3")],
+                              "k string, ts timestamp_ntz, v1 string")
+    b = spark.createDataFrame([("k1", t(5), "b1"), ("k1", t(19), "b2"), ("k2", t(21), "b3")],
+                              "k string, ts timestamp_ntz, v2 string")
+    got = rows(window_join(a, b, "k", "ts", "20 seconds"), "k", "v1", "v2")
+    assert got == [("k1", "a1", "b1"), ("k1", "a1", "b2")]
+
+
+def test_rows_without_time_fall_in_no_window(spark):
+    from riverbed.operators.windows import sliding_count_expand, sliding_count_sweep
+    df = spark.createDataFrame([(dt.datetime(2024, 1, 1), "a"), (None, "a")],
+                               "ts timestamp_ntz, k string")
+    for f in (sliding_count_expand, sliding_count_sweep):
+        got = f(df, "ts", "10 seconds", "5 seconds", ["k"]).collect()
+        assert sorted(r.n for r in got) == [1, 1]
