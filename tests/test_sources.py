@@ -42,3 +42,13 @@ def test_map_with_setup(spark):
 
     out = map_with_setup(df.coalesce(1), setup, lambda k, b: b.assign(x=b.x * k), "x long")
     assert sorted(r.x for r in out.collect()) == [10, 20, 30]
+
+
+def test_write_text(spark):
+    from riverbed.session import shared_path
+    from riverbed.sinks.outputs import write_text
+    df = rows(spark, [(1, "a"), (2, None)], "id int, s string")
+    path = shared_path(spark, "text-sink")
+    write_text(df, path)
+    write_text(df, path)  # overwrite, not append
+    assert sorted(r.value for r in spark.read.text(path).collect()) == ["1,a", "2"]

@@ -166,3 +166,23 @@ def test_processing_time_tumbling_window(spark):
     agg = windows.window_agg(ints, "proc_ts", "10 seconds", [F.sum("v").alias("total")])
     got = run_available(agg, "proc", "update", keys=["window_start", "window_end"])
     assert got.agg(F.sum("total")).collect()[0][0] == sum(range(10))
+
+
+def test_tagged_side_outputs_one_pass(spark):
+    from riverbed.session import shared_path
+    from riverbed.sinks.outputs import write_tagged_batch
+    base = dt.datetime(2024, 1, 1, 8)
+    rows = [(i, 7, "ad", base + dt.timedelta(seconds=i)) for i in range(5)]
+    schema = "seq long, user_id long, ad_id string, ts timestamp_ntz"
+    root = write_batches(spark, _chunks(rows, 2), schema, name="tags")
+    src = so.event_time(stream_of(spark, root, schema), "ts", "10 seconds")
+    tagged = so.click_cap_stream(src, ["user_id", "ad_id"], "ts", "seq", cap=3)
+    out = {t: shared_path(spark, f"tag-{t}") for t in ("pass", "alert")}
+    writers = {t: (lambda p: lambda b: b.write.mode("append").parquet(p))(p)
+               for t, p in out.items()}
+    q = (tagged.writeStream.foreachBatch(write_tagged_batch(writers))
+         .option("checkpointLocation", shared_path(spark, "tags-ckpt"))
+         .trigger(availableNow=True).start())
+    q.awaitTermination(300)
+    assert sorted(r.seq for r in spark.read.parquet(out["pass"]).collect()) == [0, 1, 2]
+    assert [r.seq for r in spark.read.parquet(out["alert"]).collect()] == [3]
