@@ -16,8 +16,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from . import prefix
 from .prefix import running_totals
 
 
@@ -49,12 +50,23 @@ def count_window_sliding(df: DataFrame, keys: Sequence[str], order: Sequence[str
     the word-count case where every row carries 1). The sum of the last
     ``size`` rows is ``cum(rn) - cum(rn - size)``; the second term comes
     from an equi-join on ``(key, position)``, unique on both sides, so no
-    key is ever gathered in one task.
+    key is ever gathered in one task. When one aggregate proves every key
+    small (``prefix.MAX_ROWS_PER_TASK``), a single window with a
+    ``size``-row frame does it in one shuffle.
     """
     keys = list(keys)
     v = F.lit(1).cast("long") if value is None else _c(value)
-    numbered = running_totals(df.select(*keys, *order, v.alias("_v")),
-                              keys, order, count_col="rn", sums={"_cum": F.col("_v")})
+    slim = df.select(*keys, *order, v.alias("_v"))
+    if prefix.largest_group(slim, keys) <= prefix.MAX_ROWS_PER_TASK:
+        # every key provably fits one task: one window with a size-row frame
+        w = Window.partitionBy(*keys).orderBy(*order)
+        frame = w.rowsBetween(-(size - 1), Window.currentRow)
+        return (slim.select(*keys, F.row_number().over(w).cast("long").alias("rn"),
+                            F.count(F.lit(1)).over(frame).alias("n"),
+                            F.sum("_v").over(frame).alias("total"))
+                .where(F.col("rn") % every == 0))
+    numbered = running_totals(slim, keys, order, count_col="rn", sums={"_cum": F.col("_v")},
+                              plain_below=0)
     fired = numbered.where(F.col("rn") % every == 0).select(*keys, "rn", "_cum")
     earlier = numbered.select(*[F.col(k).alias(f"_pk{i}") for i, k in enumerate(keys)],
                               (F.col("rn") + size).alias("_prn"),
