@@ -41,6 +41,21 @@ def word_count(df: DataFrame, text: str = "value", sep: str = ",", by_lines: boo
             .groupBy("word").agg(F.sum("one").cast("long").alias("n")))
 
 
+def running_word_count(df: DataFrame, text: str, doc: str, sep: str = ",",
+                       out: str = "n") -> DataFrame:
+    """The per-word log of a running word count: every word of every line,
+    in arrival order ``(doc, line_no, pos)``, with the count of that word so
+    far. Lines and positions are 0-based. Hot words are cut into blocks by
+    ``running_totals``, unless one aggregate proves every word small."""
+    lines = df.select(doc, F.posexplode(text_lines(F.col(text))).alias("line_no", "_l"))
+    trimmed = lines.select(doc, F.col("line_no").cast("long").alias("line_no"), "_l",
+                           strip_trailing(F.col("_l"), sep).alias("_t"))
+    words = trimmed.select(doc, "line_no",
+                           F.posexplode(split_trimmed("_l", "_t", sep)).alias("pos", "word"))
+    words = words.withColumn("pos", F.col("pos").cast("long"))
+    return running_totals(words, ["word"], [doc, "line_no", "pos"], count_col=out)
+
+
 def keyed_sum(df: DataFrame, keys: Sequence[str], value: str | Column, out: str = "total"
               ) -> DataFrame:
     """``keyBy(k).sum(field)`` final values (field addressed by name or expression)."""

@@ -102,6 +102,12 @@ def word_count(spark: SparkSession, d: str) -> DataFrame:
     return aggregates.word_count(docs, "text", ",")
 
 
+def running_word_count(spark: SparkSession, d: str) -> DataFrame:
+    """Every word of every document line with its running count, in arrival order."""
+    docs = table(spark, d, "documents", spread_by="doc_id").select("doc_id", "text")
+    return aggregates.running_word_count(docs, "text", "doc_id", ",")
+
+
 def running_count(spark: SparkSession, d: str) -> DataFrame:
     """Per-row running count of events per event_type in event_id order."""
     ev = _events(spark, d).select("event_id", "event_type")
@@ -270,6 +276,7 @@ QUERIES = {
     "order_amount": order_amount,
     "word_count": word_count,
     "running_count": running_count,
+    "running_word_count": running_word_count,
     "count_window_avg": count_window_avg,
     "count_window_sliding": count_window_sliding,
     "join_inner": join_inner,

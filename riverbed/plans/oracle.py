@@ -101,6 +101,24 @@ SQL: dict[str, str] = {
         FROM lines)
     SELECT word, count(*) AS n FROM w GROUP BY word""",
 
+    "running_word_count": r"""
+    WITH d AS (
+        SELECT doc_id, CASE WHEN text = '' THEN []::VARCHAR[]
+                            ELSE string_split(regexp_replace(text, '\n\z', ''), chr(10)) END AS ls
+        FROM documents),
+    l AS (SELECT doc_id, unnest(ls) AS line, CAST(generate_subscripts(ls, 1) - 1 AS BIGINT) AS line_no
+          FROM d),
+    a AS (SELECT doc_id, line_no,
+                 CASE WHEN line = '' THEN ['']
+                      WHEN regexp_replace(line, ',+\z', '') = '' THEN []::VARCHAR[]
+                      ELSE string_split(regexp_replace(line, ',+\z', ''), ',') END AS ws
+          FROM l),
+    w AS (SELECT doc_id, line_no, unnest(ws) AS word,
+                 CAST(generate_subscripts(ws, 1) - 1 AS BIGINT) AS pos FROM a)
+    SELECT doc_id, line_no, pos, word,
+           row_number() OVER (PARTITION BY word ORDER BY doc_id, line_no, pos) AS n
+    FROM w""",
+
     "running_count": """
     SELECT event_id, event_type,
            count(*) OVER (PARTITION BY event_type ORDER BY event_id
