@@ -196,24 +196,30 @@ class ClickCap(StatefulProcessor):
         self.state = handle.getValueState("cap", "period long, passed long, alerted boolean")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        df = _batch(rows, ["ts_us", self.seq])
+        chunks = list(rows)
+        df = chunks[0] if len(chunks) == 1 else pd.concat(chunks, ignore_index=True)
+        ts_us = df["ts_us"].to_numpy(dtype="int64")
+        order = np.lexsort((df[self.seq].to_numpy(), ts_us))  # by ts, then seq
         if self.processing_time:
             # the original resets at the next midnight of the wall clock
             now_us = timerValues.getCurrentProcessingTimeInMs() * 1000
-            df["period_us"] = now_us - now_us % self.period_us
+            periods = np.full(len(df), now_us - now_us % self.period_us, dtype="int64")
+        else:
+            periods = df["period_us"].to_numpy(dtype="int64")[order]
         cur = self.state.get()
-        # position of each row inside its period, continuing the stored count
-        pos = df.groupby("period_us", sort=False).cumcount().to_numpy() + 1
-        alerted_before = np.zeros(len(df), dtype=bool)
+        # position of each row inside its period (periods ascend with ts)
+        _, first, inverse = np.unique(periods, return_index=True, return_inverse=True)
+        pos = np.arange(len(periods)) - first[inverse] + 1
+        alerted_before = np.zeros(len(periods), dtype=bool)
         if cur is not None:
-            same = df["period_us"].to_numpy() == cur[0]
+            same = periods == cur[0]
             pos = pos + np.where(same, cur[1], 0)
             alerted_before = same & bool(cur[2])
-        tag = np.where(pos <= self.cap, "pass",
-                       np.where((pos == self.cap + 1) & ~alerted_before, "alert", None))
+        is_pass = pos <= self.cap
+        is_alert = (pos == self.cap + 1) & ~alerted_before
         # state after the batch: the latest period seen
-        last_p = int(df["period_us"].iloc[-1])
-        in_last = df["period_us"].to_numpy() == last_p
+        last_p = int(periods[-1])
+        in_last = periods == last_p
         passed = int(np.minimum(pos[in_last], self.cap).max())
         alerted = bool((pos[in_last] > self.cap).any()) or bool(
             cur is not None and cur[0] == last_p and cur[2])
@@ -222,11 +228,14 @@ class ClickCap(StatefulProcessor):
                 self.handle.deleteTimer((cur[0] + self.period_us) // 1000)
             self.handle.registerTimer((last_p + self.period_us) // 1000)
         self.state.update((last_p, passed, alerted))
-        keep = tag != None  # noqa: E711
+        keep = is_pass | is_alert
         if keep.any():
-            out = df.loc[keep, [*self.key_names, *self.carry, "ts_us", "period_us"]].copy()
-            out["tag"] = tag[keep]
-            yield out.reset_index(drop=True)
+            rows_kept = order[keep]
+            out = {c: df[c].to_numpy()[rows_kept] for c in [*self.key_names, *self.carry]}
+            out["ts_us"] = ts_us[rows_kept]
+            out["period_us"] = periods[keep]
+            out["tag"] = np.where(is_pass[keep], "pass", "alert")
+            yield pd.DataFrame(out)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         cur = self.state.get()
