@@ -20,8 +20,11 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 
 def _batch(rows: Iterator[pd.DataFrame], sort: Sequence[str]) -> pd.DataFrame:
-    df = pd.concat(list(rows), ignore_index=True)
-    return df.sort_values(list(sort), kind="stable", ignore_index=True)
+    """One key's rows of this micro-batch, sorted by ``sort`` (first = primary)."""
+    chunks = list(rows)
+    df = chunks[0] if len(chunks) == 1 else pd.concat(chunks, ignore_index=True)
+    order = np.lexsort(tuple(df[c].to_numpy() for c in reversed(list(sort))))
+    return df.iloc[order].reset_index(drop=True)
 
 
 def _key_frame(key_names: Sequence[str], key: tuple, n: int) -> dict:
