@@ -8,6 +8,8 @@ are exact and comparable with the SQL oracle.
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.parsing import parse_access_log
@@ -16,7 +18,7 @@ from ..operators import aggregates, clicks, count_windows, hot_pages as hp, join
 from ..operators.metrics import write_text_counting
 from ..operators.orders import order_amount as _order_amount
 from ..operators.window_join import window_join as _window_join
-from ..session import shared_path
+from ..session import stable_path
 from ..sources.tables import table
 
 
@@ -261,7 +263,7 @@ def next_midnight_q(spark: SparkSession, d: str) -> DataFrame:
 def observed_count(spark: SparkSession, d: str) -> DataFrame:
     """Write lineitem as text lines and report the row count observed during the write."""
     li = table(spark, d, "lineitem", spread_by="l_orderkey")
-    n = write_text_counting(li, shared_path(spark, "lineitem-text"))
+    n = write_text_counting(li, stable_path(spark, f"lineitem-text-{os.path.basename(d)}"))
     return spark.createDataFrame([(n,)], "n long")
 
 

@@ -70,6 +70,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return current
 
 
+def stable_path(spark: SparkSession, name: str) -> str:
+    """A fixed sub-folder of the shared folder, for outputs written in
+    overwrite mode (re-running replaces them instead of adding more)."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or ensure_checkpoint_dir(spark)
+    return os.path.join(base, "riverbed", name)
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder for ``name``."""
     base = spark.conf.get("spark.checkpoint.dir", None) or ensure_checkpoint_dir(spark)
