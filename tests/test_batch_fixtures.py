@@ -204,3 +204,12 @@ def test_rows_without_time_fall_in_no_window(spark):
     for f in (sliding_count_expand, sliding_count_sweep):
         got = f(df, "ts", "10 seconds", "5 seconds", ["k"]).collect()
         assert sorted(r.n for r in got) == [1, 1]
+
+
+def test_counted_write_replaces_previous_output(spark):
+    from riverbed.session import stable_path
+    path = stable_path(spark, "counted-twice")
+    df = spark.createDataFrame([(x,) for x in LETTERS], "value string")
+    assert write_text_counting(df, path) == 8
+    assert write_text_counting(df.limit(3), path) == 3
+    assert spark.read.text(path).count() == 3
