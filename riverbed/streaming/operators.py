@@ -105,10 +105,11 @@ def hot_pages_stream(df: DataFrame, ts: str, url: str, size: str = "10 minutes",
 
     Stage 1 counts per (url, window). Stage 2 keeps the n best
     ``(count desc, url asc)`` per (window, url hash bucket); stage 3 keeps
-    the n best of those per window. A list never holds more than one
-    bucket's urls or ``buckets * n`` finalists, however many urls a window
-    has. Needs a watermark on ``ts`` upstream; a window is emitted once
-    the watermark passes its end.
+    the n best of those per window. A list holds one bucket's urls (about
+    urls / ``buckets``) or ``buckets * n`` finalists, so raise ``buckets``
+    with the url count; ``hot_pages_stream_timer`` keeps at most n entries
+    per window whatever the url count. Needs a watermark on ``ts``
+    upstream; a window is emitted once the watermark passes its end.
     """
     sz = f"{duration_micros(size)} microseconds"
     sl = f"{duration_micros(slide)} microseconds"
