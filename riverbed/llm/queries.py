@@ -5,7 +5,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import exact_dedup, mixing, quality, sharding
+from ..session import shared_path
+from . import bpe, exact_dedup, mixing, quality, sharding, token_files
 from .base import prepare, read
 
 SHARDS = 40
@@ -23,11 +24,23 @@ def op2_shards(spark: SparkSession, d: str) -> DataFrame:
         F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op3_token_files(spark: SparkSession, d: str) -> DataFrame:
+    """Token files of all documents, written and read back: place and checksum of their ids."""
+    path = shared_path(spark, "token-files")
+    token_files.write(read(spark, d, "documents"), path)
+    return token_files.read(spark, path)
+
+
 def op5_exact_dedup(spark: SparkSession, d: str) -> DataFrame:
     """Exact groups by progressive refinement, with the digest of every normalised text."""
     return exact_dedup.refine(read(spark, d, "documents"), digest=True)
 
 
+def op7_bpe(spark: SparkSession, d: str) -> DataFrame:
+    """Ids of every document by the transducer, and the text decoded from them, as digests."""
+    return bpe.round_trip(read(spark, d, "documents"))
+
+
 def op8_mix(spark: SparkSession, d: str) -> DataFrame:
     """Words taken of every document when the sources are mixed to their targets."""
     return mixing.mix(read(spark, d, "documents")).select(
@@ -35,7 +48,8 @@ def op8_mix(spark: SparkSession, d: str) -> DataFrame:
         (F.col("size") * F.col("copies")).alias("taken"), "source", "copies")
 
 
-_QUERIES = {f.__name__: f for f in (op1_quality, op2_shards, op5_exact_dedup, op8_mix)}
+_QUERIES = {f.__name__: f for f in (
+    op1_quality, op2_shards, op3_token_files, op5_exact_dedup, op7_bpe, op8_mix)}
 
 
 def queries() -> dict:
