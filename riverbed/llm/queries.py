@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import shared_path
-from . import bpe, exact_dedup, mixing, quality, sharding, token_files
+from . import bpe, exact_dedup, mixing, quality, sharding, simhash, token_files
 from .base import prepare, read
 
 SHARDS = 40
@@ -31,6 +31,12 @@ def op3_token_files(spark: SparkSession, d: str) -> DataFrame:
     return token_files.read(spark, path)
 
 
+def op4_simhash(spark: SparkSession, d: str) -> DataFrame:
+    """Fingerprint and near-duplicate component of every document (3-word shingles, 3 bits)."""
+    return simhash.groups(read(spark, d, "documents"), shingle=3, max_bits=3).select(
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def op5_exact_dedup(spark: SparkSession, d: str) -> DataFrame:
     """Exact groups by progressive refinement, with the digest of every normalised text."""
     return exact_dedup.refine(read(spark, d, "documents"), digest=True)
@@ -49,7 +55,7 @@ def op8_mix(spark: SparkSession, d: str) -> DataFrame:
 
 
 _QUERIES = {f.__name__: f for f in (
-    op1_quality, op2_shards, op3_token_files, op5_exact_dedup, op7_bpe, op8_mix)}
+    op1_quality, op2_shards, op3_token_files, op4_simhash, op5_exact_dedup, op7_bpe, op8_mix)}
 
 
 def queries() -> dict:
