@@ -7,6 +7,11 @@ from pyspark.sql import DataFrame, functions as F
 from .base import written
 
 
+def _least_neighbour(pairs: DataFrame) -> DataFrame:
+    """``a, m``, written: a join with it can then split the rows of a hub."""
+    return written(pairs.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")), "cc-least")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """``node, label`` for every node of ``edges(a, b)``; label: least node of its component.
 
@@ -17,11 +22,10 @@ def components(edges: DataFrame) -> DataFrame:
     is written to the shared folder. Rounds grow with the logarithm of the
     longest chain; only a row count and a checksum reach the driver.
     """
-    def least(pairs: DataFrame, keep_self: bool) -> DataFrame:
-        mins = pairs.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
+    def least(pairs: DataFrame) -> DataFrame:
+        mins = _least_neighbour(pairs)
         out = pairs.join(mins, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        if keep_self:
-            out = out.unionByName(mins.select("a", F.col("m").alias("b")))
+        out = out.unionByName(mins.select("a", F.col("m").alias("b")))
         return out.where("a <> b").distinct()
 
     def mark(df: DataFrame) -> tuple:
@@ -33,10 +37,10 @@ def components(edges: DataFrame) -> DataFrame:
     seen = mark(now)
     while True:
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        mins = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
+        mins = _least_neighbour(both)
         large = both.join(mins, "a").where("b > a") \
             .select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
-        now = written(least(large, True), "cc-round")
+        now = written(least(written(large, "cc-large")), "cc-round")
         mark_now = mark(now)
         if mark_now == seen:
             break

@@ -6,8 +6,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import shared_path
-from . import bpe, exact_dedup, mixing, quality, sharding, simhash, token_files
-from .base import prepare, read
+from . import (bpe, exact_dedup, langid, mixing, quality, sharding, simhash, token_files,
+               toxicity)
+from .base import crc_mod, prepare, read
 
 SHARDS = 40
 
@@ -42,6 +43,14 @@ def op5_exact_dedup(spark: SparkSession, d: str) -> DataFrame:
     return exact_dedup.refine(read(spark, d, "documents"), digest=True)
 
 
+def op6_langid(spark: SparkSession, d: str) -> DataFrame:
+    """Language of every document; rows of class 0 mod 5 are held out of the training."""
+    docs = read(spark, d, "documents")
+    model = langid.train(docs, crc_mod("doc_id", 5) != 0)
+    return langid.predict(docs, model).select(
+        "doc_id", (crc_mod("doc_id", 5) == 0).alias("held_out"), "lang_pred", "score", "rejected")
+
+
 def op7_bpe(spark: SparkSession, d: str) -> DataFrame:
     """Ids of every document by the transducer, and the text decoded from them, as digests."""
     return bpe.round_trip(read(spark, d, "documents"))
@@ -54,8 +63,18 @@ def op8_mix(spark: SparkSession, d: str) -> DataFrame:
         (F.col("size") * F.col("copies")).alias("taken"), "source", "copies")
 
 
+def op10_toxicity(spark: SparkSession, d: str) -> DataFrame:
+    """Toxicity of every document; rows of class 2 mod 4 are held out of the training."""
+    docs = read(spark, d, "documents")
+    lexicon = toxicity.train(docs, read(spark, d, "labels"), crc_mod("doc_id", 4) != 2)
+    return toxicity.score(docs, lexicon).select(
+        "doc_id", (crc_mod("doc_id", 4) == 2).alias("held_out"), "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"), "n_hits")
+
+
 _QUERIES = {f.__name__: f for f in (
-    op1_quality, op2_shards, op3_token_files, op4_simhash, op5_exact_dedup, op7_bpe, op8_mix)}
+    op1_quality, op2_shards, op3_token_files, op4_simhash, op5_exact_dedup, op6_langid,
+    op7_bpe, op8_mix, op10_toxicity)}
 
 
 def queries() -> dict:

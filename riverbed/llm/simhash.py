@@ -205,8 +205,10 @@ def groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle:
     labels = components(links(nodes, max_bits))
     owned = nodes.join(labels, nodes["fp"] == labels["node"], "left") \
         .select("fp", "rep", F.coalesce("label", "fp").alias("label"))
-    ids = owned.groupBy("label").agg(F.min("rep").alias("component_id"))
-    by_print = owned.join(ids, "label").select("fp", "component_id")
+    owned = written(owned, "simhash-owned")
+    ids = written(owned.groupBy("label").agg(F.min("rep").alias("component_id")), "simhash-reps")
+    # one row per fingerprint, written so that a hot fingerprint's documents can be split
+    by_print = written(owned.join(ids, "label").select("fp", "component_id"), "simhash-ids")
     return prints.join(by_print, "fp").select("doc_id", "fp", "component_id")
 
 
