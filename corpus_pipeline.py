@@ -7,9 +7,9 @@ folder and reads it back, so a lost executor never repeats a finished stage.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from riverbed.llm import exact_dedup, quality
+from riverbed.llm import bpe, exact_dedup, mixing, quality, simhash
 from riverbed.llm.base import prepare, read, written
 
 
@@ -25,7 +25,28 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exact_dedup.drop_copies(docs)
 
 
-STAGES = [("quality rules", quality_rules), ("exact dedup", exact)]
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each SimHash component (3-word shingles, 3 bits)."""
+    prepare(spark)
+    return simhash.drop_near_copies(docs, shingle=3, max_bits=3)
+
+
+def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sources mixed to their target weights; a document taken twice is two rows."""
+    prepare(spark)
+    return mixing.take(docs)
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Ids of every document, with the digests of the ids and of the text decoded from them."""
+    prepare(spark)
+    coded = bpe.decode(bpe.encode(docs))
+    return coded.select("doc_id", "n_tokens", "ids", F.sha2("ids", 256).alias("ids_sha256"),
+                        F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"))
+
+
+STAGES = [("quality rules", quality_rules), ("exact dedup", exact), ("near dedup", near_copies),
+          ("mixing", mixture), ("tokens", tokens)]
 
 #: SQL cannot express the divergence, fingerprint and token stages
 ORACLE_SQL = None

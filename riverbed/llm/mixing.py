@@ -103,25 +103,50 @@ def _threshold(sizes: DataFrame, plan: DataFrame) -> DataFrame:
     return ends
 
 
-def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source",
-        **rule) -> DataFrame:
-    """``doc_id, source, size, source_size, target, copies``: one row per document."""
-    sizes = docs.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"),
-                        n_words(text).alias("size"), doc_hash(doc_id).alias("hash"))
-    sizes = written(sizes, "mix-sizes")
+def plan(sizes: DataFrame, **rule) -> DataFrame:
+    """``source, source_size, target, whole, limit``: a document is taken ``whole`` times,
+    once more if its hash is below ``limit``. One row per source."""
     goal = targets(sizes, **rule)
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))) \
         .otherwise(F.lit(0)).cast("long")
-    plan = goal.withColumn("whole", whole) \
+    goal = goal.withColumn("whole", whole) \
         .withColumn("budget", F.col("target") - F.col("whole") * F.col("source_size"))
-    plan = written(plan, "mix-plan")
-    ends = _threshold(sizes, plan)
-    plan = plan.alias("p").join(ends.alias("e"),
-                                F.col("p.source").eqNullSafe(F.col("e.source")), "left") \
+    goal = written(goal, "mix-plan")
+    ends = _threshold(sizes, goal)
+    out = goal.alias("p").join(ends.alias("e"),
+                               F.col("p.source").eqNullSafe(F.col("e.source")), "left") \
         .select("p.source", "source_size", "target", "whole",
                 F.coalesce("limit", F.lit("")).alias("limit"))
-    plan = written(plan, "mix-limits")
-    out = sizes.alias("s").join(plan.alias("p"), F.col("s.source").eqNullSafe(F.col("p.source")))
+    return written(out, "mix-limits")
+
+
+def _sizes(docs: DataFrame, doc_id: str, text: str, source: str) -> DataFrame:
+    return written(docs.select(
+        F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), n_words(text).alias("size"),
+        doc_hash(doc_id).alias("hash")), "mix-sizes")
+
+
+def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source",
+        **rule) -> DataFrame:
+    """``doc_id, source, size, source_size, target, copies``: one row per document."""
+    sizes = _sizes(docs, doc_id, text, source)
+    out = sizes.alias("s").join(plan(sizes, **rule).alias("p"),
+                                F.col("s.source").eqNullSafe(F.col("p.source")))
     extra = (F.col("hash") < F.col("limit")).cast("long")
     return out.select("s.doc_id", "s.source", "s.size", "source_size", "target",
                       (F.col("whole") + extra).alias("copies"))
+
+
+def take(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source",
+         **rule) -> DataFrame:
+    """The mixed documents, all columns: every row as often as the mix takes it.
+
+    Joined on the source only, so rows that share an id are never multiplied.
+    """
+    rules = plan(_sizes(docs, doc_id, text, source), **rule) \
+        .select(F.col("source").alias("_source"), F.col("whole").alias("_whole"),
+                F.col("limit").alias("_limit"))
+    copies = F.col("_whole") + (doc_hash(doc_id) < F.col("_limit")).cast("long")
+    return docs.join(rules, docs[source].eqNullSafe(rules["_source"])) \
+        .withColumn("_copy", F.explode(F.array_repeat(F.lit(1), copies.cast("int")))) \
+        .select(*docs.columns)

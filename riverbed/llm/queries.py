@@ -6,8 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import shared_path
-from . import (bpe, exact_dedup, langid, mixing, quality, sharding, simhash, token_files,
-               toxicity)
+from . import (bpe, exact_dedup, langid, mixing, quality, repeats, sharding, simhash,
+               token_files, toxicity)
 from .base import crc_mod, prepare, read
 
 SHARDS = 40
@@ -63,6 +63,14 @@ def op8_mix(spark: SparkSession, d: str) -> DataFrame:
         (F.col("size") * F.col("copies")).alias("taken"), "source", "copies")
 
 
+def op9_repeats(spark: SparkSession, d: str) -> DataFrame:
+    """Bytes of every document covered by a 400-byte string that also starts elsewhere."""
+    found = repeats.repeats(read(spark, d, "documents"))
+    length = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return found.select("doc_id", "n_bytes", length.alias("n_removed"),
+                        F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
+
+
 def op10_toxicity(spark: SparkSession, d: str) -> DataFrame:
     """Toxicity of every document; rows of class 2 mod 4 are held out of the training."""
     docs = read(spark, d, "documents")
@@ -74,7 +82,7 @@ def op10_toxicity(spark: SparkSession, d: str) -> DataFrame:
 
 _QUERIES = {f.__name__: f for f in (
     op1_quality, op2_shards, op3_token_files, op4_simhash, op5_exact_dedup, op6_langid,
-    op7_bpe, op8_mix, op10_toxicity)}
+    op7_bpe, op8_mix, op9_repeats, op10_toxicity)}
 
 
 def queries() -> dict:
