@@ -7,7 +7,7 @@ folder and reads it back, so a lost executor never repeats a finished stage.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from riverbed.llm import bpe, exact_dedup, mixing, quality, simhash
 from riverbed.llm.base import prepare, read, written
@@ -40,9 +40,7 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of every document, with the digests of the ids and of the text decoded from them."""
     prepare(spark)
-    coded = bpe.decode(bpe.encode(docs))
-    return coded.select("doc_id", "n_tokens", "ids", F.sha2("ids", 256).alias("ids_sha256"),
-                        F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"))
+    return bpe.round_trip(docs, with_ids=True)
 
 
 STAGES = [("quality rules", quality_rules), ("exact dedup", exact), ("near dedup", near_copies),

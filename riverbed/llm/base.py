@@ -26,6 +26,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 def prepare(spark: SparkSession) -> None:
     """UTC, the shared folder for lineage cuts, and the package on the workers."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    # a batch of whole documents, not of 10,000: tasks hold one batch in memory
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
     ensure_checkpoint_dir(spark)
     ship_package(spark)
 

@@ -9,10 +9,10 @@ emit it and return to the root. After every prefix exactly one path stands at
 the root, since a prefix has one encoding.
 
 ``Transducer`` determinises this on demand: a state is the set of all paths
-that are still possible, each with the tokens it holds back; what all paths
-hold in common is emitted at once, so a token leaves as soon as no continuation
-can change it, at the latest after the longest token's bytes. Transitions are
-kept per (state, byte) and forgotten together at ``limit`` states.
+that are still possible. Every path begins within the longest token's bytes, so
+what all of them share lies behind a bounded lookahead and is emitted.
+Transitions are kept per (state, byte) and forgotten together at ``limit``
+states.
 
 ``Decoder`` turns ids back into text as they come, with a UTF-8 state machine
 that holds an unfinished character over to the next token.
@@ -21,6 +21,7 @@ that holds an unfinished character over to the next token.
 from __future__ import annotations
 
 import base64
+import hashlib
 
 import numpy as np
 import pyarrow as pa
@@ -73,7 +74,7 @@ class Merges:
         key = (left, right)
         known = self._fits.get(key)
         if known is None:
-            if len(self._fits) > 1_000_000:
+            if len(self._fits) > 400_000:
                 self._fits.clear()
             known = self._fits[key] = self._keeps(left, right)
         return known
@@ -95,20 +96,23 @@ class Merges:
                 until, right = right + 1, b[0]
 
 
-class _State:
-    __slots__ = ("paths", "moves", "rest")
+class Transducer:
+    """The transducer, determinised on demand.
 
-    def __init__(self, paths, rest):
-        self.paths, self.rest, self.moves = paths, rest, {}
+    A state is the set of paths that are still possible after the bytes read:
+    ``(last token, trie node)`` pairs, of which one stands at the root; its last
+    token is the last token of the encoding of what was read (``ends``).
+    """
 
+    #: bytes between two attempts to emit; tokens leave at most this much later than they could
+    STRIDE = 256
 
-class Transducer:
     def __init__(self, ranks: dict[bytes, int], limit: int = 250_000):
         self.merges, self.limit = Merges(ranks), limit
-        # trie: children by (node * 256 + byte); token that ends in a node
+        self.size = {rank: len(token) for token, rank in ranks.items()}
+        # trie: children by (node * 256 + byte); token that ends in a node; bytes down to it
         self.child: dict[int, int] = {}
-        self.token: list[int] = [-1]
-        self.inner: list[bool] = [True]
+        self.token, self.inner, self.depth = [-1], [True], [0]
         for token, rank in ranks.items():
             if len(token) > 1 and rank not in self.merges.parts:
                 continue
@@ -119,55 +123,76 @@ class Transducer:
                     nxt = self.child[node * 256 + b] = len(self.token)
                     self.token.append(-1)
                     self.inner.append(False)
+                    self.depth.append(self.depth[node] + 1)
                     self.inner[node] = True
                 node = nxt
             self.token[node] = rank
         self._reset()
 
     def _reset(self) -> None:
-        self.states: dict[frozenset, _State] = {}
-        self.start = self._state(frozenset([((), -1, 0)]))
-
-    def _state(self, paths: frozenset) -> _State:
-        known = self.states.get(paths)
+        self.number: dict[tuple, int] = {}
+        self.paths: list[tuple] = []
+        self.ends: list[int] = []
+        self.moves: dict[int, int] = {}      # state * 256 + byte -> state
+        self._state([-1 << 32], -1)
+
+    def _state(self, paths: list[int], end: int) -> int:
+        """Number of a state; a path is ``last token << 32 | node``, sorted for comparison."""
+        key = tuple(sorted(paths))
+        known = self.number.get(key)
         if known is None:
-            rest = next((held for held, _, node in paths if node == 0), None)
-            known = self.states[paths] = _State(paths, rest)
+            known = self.number[key] = len(self.paths)
+            self.paths.append(key)
+            self.ends.append(end)
         return known
 
-    def _move(self, state: _State, byte: int) -> tuple[_State, tuple[int, ...]]:
-        paths, may_follow = [], self.merges.may_follow
-        for held, last, node in state.paths:
-            nxt = self.child.get(node * 256 + byte)
+    def _move(self, state: int, byte: int) -> int:
+        out, end, may_follow = [], -1, self.merges.may_follow
+        for path in self.paths[state]:
+            last, node = path >> 32, path & 0xFFFFFFFF
+            nxt = self.child.get(node << 8 | byte)
             if nxt is None:
                 continue
+            if self.inner[nxt]:
+                out.append(last << 32 | nxt)
             token = self.token[nxt]
             if token >= 0 and (last < 0 or may_follow(last, token)):
-                paths.append((held + (token,), token, 0))
-            if self.inner[nxt]:
-                paths.append((held, last, nxt))
-        # what every path holds can leave
-        shared = 0
-        first = paths[0][0]
-        while shared < len(first) and all(
-                len(p[0]) > shared and p[0][shared] == first[shared] for p in paths):
-            shared += 1
-        target = self._state(frozenset((h[shared:], last, node) for h, last, node in paths))
-        move = state.moves[byte] = (target, first[:shared])
-        return move
+                out.append(token << 32)
+                end = token
+        to = self.moves[state << 8 | byte] = self._state(out, end)
+        return to
+
+    def _chain(self, trail: list[int], at: int) -> list[int]:
+        """Encoding of the first ``at`` bytes that ``trail`` covers."""
+        out = []
+        while at > 0:
+            out.append(trail[at - 1])
+            at -= self.size[trail[at - 1]]
+        out.reverse()
+        return out
+
+    def _settled(self, trail: list[int], state: int) -> list[int]:
+        """Tokens that all possible paths share: no continuation can change them."""
+        chains = [self._chain(trail, len(trail) - self.depth[p & 0xFFFFFFFF]) for p in self.paths[state]]
+        n, first = 0, min(chains, key=len)
+        while n < len(first) and all(c[n] == first[n] for c in chains):
+            n += 1
+        return first[:n]
 
     def encode(self, piece: bytes) -> list[int]:
         """Ids of one pre-token."""
-        if len(self.states) > self.limit:
+        if len(self.paths) > self.limit:
             self._reset()
-        state, out = self.start, []
+        state, moves, ends, trail, out = 0, self.moves, self.ends, [], []
         for byte in piece:
-            move = state.moves.get(byte) or self._move(state, byte)
-            state = move[0]
-            if move[1]:
-                out += move[1]
-        out += state.rest
-        return out
+            nxt = moves.get(state << 8 | byte)
+            state = self._move(state, byte) if nxt is None else nxt
+            trail.append(ends[state])
+            if len(trail) >= self.STRIDE:
+                sure = self._settled(trail, state)
+                out += sure
+                del trail[:sum(self.size[t] for t in sure)]
+        return out + self._chain(trail, len(trail))
 
 
 def _utf8_machine() -> list[list[int]]:
@@ -253,21 +278,34 @@ class Decoder:
         self.reset()
         return rest
 
+    def text(self, ids: np.ndarray, step: int = 4096) -> str:
+        """The text of a whole id sequence, decoded as a stream."""
+        parts = [self.feed(ids[i:i + step].tolist()) for i in range(0, len(ids), step)]
+        return "".join(parts) + self.finish()
+
 
-_coders: dict[str, tuple[Memo, Decoder]] = {}
+_coders: dict[str, Memo] = {}
+_decoders: dict[str, Decoder] = {}
 
 
-def coder(vocabulary: str) -> tuple[Memo, Decoder]:
-    """One transducer, memo and decoder per worker process and vocabulary."""
+def coder(vocabulary: str) -> Memo:
+    """One transducer and memo per worker process and vocabulary."""
     if vocabulary not in _coders:
         machine = Transducer(load_ranks(local_path(vocabulary)))
 
         def encode(piece: str) -> bytes:
             return np.array(machine.encode(piece.encode()), _U4).tobytes()
-        _coders[vocabulary] = Memo(encode), Decoder(machine.merges.bytes_of)
+        _coders[vocabulary] = Memo(encode, limit=600_000)
     return _coders[vocabulary]
 
 
+def decoder(vocabulary: str) -> Decoder:
+    if vocabulary not in _decoders:
+        ranks = load_ranks(local_path(vocabulary))
+        _decoders[vocabulary] = Decoder(dict(zip(ranks.values(), ranks)))
+    return _decoders[vocabulary]
+
+
 def encode(docs: DataFrame, vocabulary: str = "byte_bpe_50k.tiktoken", doc_id: str = "doc_id",
            text: str = "text") -> DataFrame:
     """``doc_id, n_tokens, ids`` (ids as little-endian uint32 bytes), one row per document.
@@ -277,7 +315,7 @@ def encode(docs: DataFrame, vocabulary: str = "byte_bpe_50k.tiktoken", doc_id: s
     kind = docs.schema[doc_id].dataType.simpleString()
 
     def run(batches):
-        memo, _ = coder(vocabulary)
+        memo = coder(vocabulary)
         for batch in batches:
             bodies = batch.column(1)
             for lo in range(0, len(bodies), 256):
@@ -296,12 +334,9 @@ def decode(coded: DataFrame, vocabulary: str = "byte_bpe_50k.tiktoken") -> DataF
     kind = coded.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
-        _, decoder = coder(vocabulary)
+        machine = decoder(vocabulary)
         for batch in batches:
-            texts = []
-            for raw in batch.column(2).to_pylist():
-                body = decoder.feed(np.frombuffer(raw, _U4).tolist())
-                texts.append(body + decoder.finish())
+            texts = [machine.text(np.frombuffer(raw, _U4)) for raw in batch.column(2).to_pylist()]
             yield batch.append_column("text", pa.array(texts, pa.string()))
 
     return coded.select("doc_id", "n_tokens", "ids") \
@@ -309,8 +344,29 @@ def decode(coded: DataFrame, vocabulary: str = "byte_bpe_50k.tiktoken") -> DataF
 
 
 def round_trip(docs: DataFrame, vocabulary: str = "byte_bpe_50k.tiktoken", doc_id: str = "doc_id",
-               text: str = "text") -> DataFrame:
-    """Digests of the ids and of the text decoded from them, in one pass over the documents."""
-    coded = decode(encode(docs, vocabulary, doc_id, text), vocabulary)
-    return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
-                        F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"))
+               text: str = "text", with_ids: bool = False) -> DataFrame:
+    """``doc_id, n_tokens, ids_sha256, decoded_sha256`` (and ``ids``), one row per document.
+
+    Encodes and decodes in one pass, so a task holds one Python worker and
+    neither ids nor texts travel between two.
+    """
+    kind = docs.schema[doc_id].dataType.simpleString()
+    extra = ", ids binary" if with_ids else ""
+
+    def run(batches):
+        memo, machine = coder(vocabulary), decoder(vocabulary)
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 128):
+                part = batch.slice(lo, 128)
+                ids = [memo.text(x) for x in part.column(1).to_pylist()]
+                back = [machine.text(np.frombuffer(x, _U4)).encode() for x in ids]
+                columns = {
+                    "doc_id": part.column(0), "n_tokens": pa.array([len(x) // 4 for x in ids], pa.int64()),
+                    "ids_sha256": pa.array([hashlib.sha256(x).hexdigest() for x in ids], pa.string()),
+                    "decoded_sha256": pa.array([hashlib.sha256(x).hexdigest() for x in back], pa.string())}
+                if with_ids:
+                    columns["ids"] = pa.array(ids, pa.binary())
+                yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
+
+    return docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).mapInArrow(
+        run, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string{extra}")

@@ -9,6 +9,7 @@ the properties written out for these ranges.
 from __future__ import annotations
 
 import re
+from itertools import islice
 
 import regex
 
@@ -27,13 +28,14 @@ def split(text: str) -> list[str]:
 
 
 class Memo(dict):
-    """Piece -> its ids as little-endian uint32 bytes; forgets all at ``limit`` entries.
+    """Piece -> its ids as little-endian uint32 bytes; forgets the older half at ``limit``
+    entries.
 
     Long pieces are not kept, so the memory is bounded by about 200 bytes an
     entry; what is forgotten is encoded anew, with the same result.
     """
 
-    def __init__(self, encode, limit: int = 800_000, longest: int = 40):
+    def __init__(self, encode, limit: int = 500_000, longest: int = 40):
         super().__init__()
         self.encode, self.limit, self.longest = encode, limit, longest
 
@@ -41,7 +43,9 @@ class Memo(dict):
         ids = self.encode(piece)
         if len(piece) <= self.longest:
             if len(self) >= self.limit:
-                self.clear()
+                # half of the entries go, oldest first: recent pieces are the likelier ones
+                for old in list(islice(self, self.limit // 2)):
+                    del self[old]
             self[piece] = ids
         return ids
 
