@@ -47,11 +47,18 @@ _KEEP = np.arange(4) < np.arange(1, 5)[:, None]
 
 def pack(ids: np.ndarray) -> tuple[bytes, bytes, bytes]:
     """``ranked, control, data`` of one segment."""
-    values, inverse, counts = np.unique(ids, return_inverse=True, return_counts=True)
+    if len(ids) and int(ids.max()) < 1 << 22:       # a vocabulary: count by id
+        counts = np.bincount(ids)
+        values = np.flatnonzero(counts)
+        counts, inverse = counts[values], ids
+        place = np.zeros(values[-1] + 1, _U4)
+    else:
+        values, inverse, counts = np.unique(ids, return_inverse=True, return_counts=True)
+        inverse = inverse.reshape(-1)
+        place = np.empty(len(values), _U4)
     order = np.lexsort((values, -counts))
-    place = np.empty(len(order), _U4)
-    place[order] = np.arange(len(order), dtype=_U4)
-    codes = place[inverse.reshape(-1)]
+    place[values[order] if inverse is ids else order] = np.arange(len(order), dtype=_U4)
+    codes = place[inverse]
     size = 1 + (codes > 0xFF).astype(np.uint8) + (codes > 0xFFFF) + (codes > 0xFFFFFF)
     data = codes.view(_U1).reshape(-1, 4)[_KEEP[size - 1]]
     bits = np.zeros(-(-len(codes) // 4) * 4, np.uint8)
@@ -93,11 +100,16 @@ def _memo(vocabulary: str) -> Memo:
         # tokens' strings being ordinary text
         tok = Tokenizer.from_file(local_path(vocabulary))
         merge, alphabet = tok.model.tokenize, byte_alphabet()
+        space = chr(alphabet[0x20])
+        code = [i.to_bytes(4, "little") for i in range(tok.get_vocab_size())]
 
         def encode(piece: str) -> bytes:
-            spelt = piece.encode().decode("latin-1").translate(alphabet)
-            return np.array([t.id for t in merge(spelt)], _U4).tobytes()
-        _memos[vocabulary] = Memo(encode)
+            if piece[0] == " " and piece.isascii() and piece[1:].isalpha():
+                spelt = space + piece[1:]           # the common case of the translation below
+            else:
+                spelt = piece.encode().decode("latin-1").translate(alphabet)
+            return b"".join([code[t.id] for t in merge(spelt)])
+        _memos[vocabulary] = Memo(encode, limit=700_000)
     return _memos[vocabulary]
 
 
@@ -128,7 +140,8 @@ def write(docs: DataFrame, path: str, vocabulary: str = "byte_bpe_50k.json", end
                 ("part", pa.int32()), ("segment", pa.int32()), ("n_tokens", pa.int64()),
                 ("doc_ids", pa.list_(batch.schema.field(0).type)), ("lengths", pa.list_(pa.int32())),
                 ("ranked", pa.binary()), ("control", pa.binary()), ("data", pa.binary())])
-            for key, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for key, body in zip(batch.column(0), batch.column(1)):
+                key, body = key.as_py(), body.as_py()
                 code = memo.text(body) + end
                 ids.append(code)
                 docs_in.append(key)
