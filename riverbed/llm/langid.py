@@ -30,6 +30,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from .base import chunks
 
 DIMS = 4096
+SALTS = 32
 UND = "und"
 
 
@@ -128,10 +129,13 @@ def train(docs: DataFrame, may_learn: Column, doc_id: str = "doc_id", text: str
     """Fit on at most ``fit.per_lang`` rows per language for which ``may_learn`` holds."""
     ids = docs.where(may_learn & F.col(lang).isNotNull() & F.col(text).isNotNull()) \
         .select(F.col(doc_id).alias("_id"), F.col(lang).cast("string").alias("lang"))
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("_id"), "_id")
-    # the rank limit is applied in every task before the shuffle
-    ids = ids.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= fit.per_lang) \
-        .select("_id", "lang")
+    # cut per task, then per (language, salt), then per language: the last step sees at
+    # most SALTS * per_lang rows of a language however many tasks there were
+    ids = ids.withColumn("_h", F.xxhash64("_id")).withColumn("_s", F.pmod("_h", F.lit(SALTS)))
+    for keys in (["lang", "_s"], ["lang"]):
+        order = Window.partitionBy(*keys).orderBy("_h", "_id")
+        ids = ids.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= fit.per_lang)
+    ids = ids.select("_id", "lang")
     rows = docs.select(F.col(doc_id).alias("_d"), F.col(text).alias("text")) \
         .join(F.broadcast(ids), F.col("_d") == F.col("_id")).select("lang", "text")
 
