@@ -69,8 +69,9 @@ def refine(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         F.lit(True).alias("kept"), *extra)
     shared = keyed.where("full IS NOT NULL")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row"))
-    groups = shared.groupBy("len", "head", "full").agg(
-        first.alias("first"), F.count("*").alias("group_size"))
+    # written, so that the join has two plain exchanges and a hot group's rows can be split
+    groups = written(shared.groupBy("len", "head", "full").agg(
+        first.alias("first"), F.count("*").alias("group_size")), "exact-firsts")
     joined = shared.join(groups, ["len", "head", "full"])
     return alone.unionByName(joined.select(
         "doc_id", F.col("first.doc_id").alias("keep_id"), "group_size",
@@ -86,20 +87,20 @@ def drop_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     """
     found = written(refine(docs, doc_id, text), "exact-groups")
     ids = found.groupBy("doc_id").agg(F.count("*").alias("rows"), F.max("kept").alias("kept"))
-    gone = ids.where("rows = 1 AND NOT kept").select(F.col("doc_id").alias("_id"))
-    out = docs.join(gone, docs[doc_id].eqNullSafe(gone["_id"]), "left_anti")
-    repeats = written(ids.where("rows > 1").select(F.col("doc_id").alias("_id")), "exact-repeats")
+    gone = ids.where("rows = 1 AND NOT kept").select(F.col("doc_id").alias("__exact_id"))
+    out = docs.join(gone, docs[doc_id].eqNullSafe(gone["__exact_id"]), "left_anti")
+    repeats = written(ids.where("rows > 1").select(F.col("doc_id").alias("__exact_id")), "exact-repeats")
     if repeats.isEmpty():
         return out
-    once = docs.join(repeats, docs[doc_id].eqNullSafe(repeats["_id"]), "left_semi") \
-        .withColumn("_norm", F.sha2(normalised(text), 256)) \
-        .withColumn("_rank", F.row_number().over(
-            Window.partitionBy(doc_id, "_norm").orderBy(F.lit(0)))) \
-        .where("_rank = 1").drop("_rank")
-    lowest = docs.select(F.sha2(normalised(text), 256).alias("_h"), F.col(doc_id).alias("_d")) \
-        .groupBy("_h").agg(F.min(F.struct(F.col("_d").isNull().alias("n"), "_d")).alias("_m")) \
-        .select("_h", F.col("_m._d").alias("_low"))
-    once = once.join(lowest, once["_norm"] == lowest["_h"]) \
-        .where(F.col(doc_id).eqNullSafe(F.col("_low"))).drop("_norm", "_h", "_low")
-    plain = out.join(repeats, out[doc_id].eqNullSafe(repeats["_id"]), "left_anti")
+    once = docs.join(repeats, docs[doc_id].eqNullSafe(repeats["__exact_id"]), "left_semi") \
+        .withColumn("__exact_norm", F.sha2(normalised(text), 256)) \
+        .withColumn("__exact_rank", F.row_number().over(
+            Window.partitionBy(doc_id, "__exact_norm").orderBy(F.lit(0)))) \
+        .where("__exact_rank = 1").drop("__exact_rank")
+    lowest = docs.select(F.sha2(normalised(text), 256).alias("__exact_h"), F.col(doc_id).alias("__exact_d")) \
+        .groupBy("__exact_h").agg(F.min(F.struct(F.col("__exact_d").isNull().alias("n"), "__exact_d")).alias("__exact_m")) \
+        .select("__exact_h", F.col("__exact_m.__exact_d").alias("__exact_low"))
+    once = once.join(lowest, once["__exact_norm"] == lowest["__exact_h"]) \
+        .where(F.col(doc_id).eqNullSafe(F.col("__exact_low"))).drop("__exact_norm", "__exact_h", "__exact_low")
+    plain = out.join(repeats, out[doc_id].eqNullSafe(repeats["__exact_id"]), "left_anti")
     return plain.unionByName(once)

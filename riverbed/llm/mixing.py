@@ -144,9 +144,9 @@ def take(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: st
     Joined on the source only, so rows that share an id are never multiplied.
     """
     rules = plan(_sizes(docs, doc_id, text, source), **rule) \
-        .select(F.col("source").alias("_source"), F.col("whole").alias("_whole"),
-                F.col("limit").alias("_limit"))
-    copies = F.col("_whole") + (doc_hash(doc_id) < F.col("_limit")).cast("long")
-    return docs.join(rules, docs[source].eqNullSafe(rules["_source"])) \
-        .withColumn("_copy", F.explode(F.array_repeat(F.lit(1), copies.cast("int")))) \
+        .select(F.col("source").alias("__mix_source"), F.col("whole").alias("__mix_whole"),
+                F.col("limit").alias("__mix_limit"))
+    copies = F.col("__mix_whole") + (doc_hash(doc_id) < F.col("__mix_limit")).cast("long")
+    return docs.join(rules, docs[source].eqNullSafe(rules["__mix_source"])) \
+        .withColumn("__mix_copy", F.explode(F.array_repeat(F.lit(1), copies.cast("int")))) \
         .select(*docs.columns)
