@@ -7,6 +7,7 @@ memory follows the longest document, never the partition.
 
 from __future__ import annotations
 
+import gc
 import os
 from collections.abc import Iterator
 
@@ -45,7 +46,22 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = shared_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._riverbed_path = path
+    return out
+
+
+def finished(spark: SparkSession, *tables: DataFrame) -> None:
+    """Free what a step whose result is written no longer needs: the tables named,
+    and the shuffle files of finished jobs, which Spark drops once the driver has
+    collected the objects that stood for them. A long chain of steps would
+    otherwise hold all of its shuffles on the executors' disks to the end."""
+    fs = spark._jvm.org.apache.hadoop.fs
+    for table in tables:
+        path = fs.Path(table._riverbed_path)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    gc.collect()
+    spark._jvm.System.gc()
 
 
 def n_words(text: str = "text") -> F.Column:

@@ -36,13 +36,16 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from .base import chunks, mix, prefix_hash, range_hash, written
+from .base import CHUNK, chunks, finished, mix, prefix_hash, range_hash, written
 
 LENGTH = 400
-GRAM, WINDOW, DEPTH = 16, 96, 3
+GRAM, WINDOW, DEPTH = 16, 128, 2
+#: bytes of a symbol; a chance clash of two phrases only adds a candidate
+SYMBOL = 5
 #: symbols per shard at most (a longer document is a shard of its own)
 SHARD = 1 << 20
 _U = np.uint64
@@ -92,10 +95,20 @@ def symbols(pre: np.ndarray, place: np.ndarray, doc: np.ndarray) -> np.ndarray:
     """Phrase hash from each anchor to the next; 0 for a document's last anchor."""
     out = np.zeros(len(place), np.uint64)
     go = np.flatnonzero(doc[1:] == doc[:-1]) if len(doc) else np.zeros(0, int)
-    out[go] = range_hash(pre, place[go], place[go + 1] + GRAM) | _U(1)
+    out[go] = range_hash(pre, place[go], place[go + 1] + GRAM) >> _U(64 - 8 * SYMBOL) | _U(1)
     return out
 
 
+def _pack(sym: np.ndarray) -> bytes:
+    return np.ascontiguousarray(sym.view(np.uint8).reshape(-1, 8)[:, :SYMBOL]).tobytes()
+
+
+def _unpack(raw: bytes) -> np.ndarray:
+    out = np.zeros((len(raw) // SYMBOL, 8), np.uint8)
+    out[:, :SYMBOL] = np.frombuffer(raw, np.uint8).reshape(-1, SYMBOL)
+    return out.view(np.uint64).reshape(-1)
+
+
 def _build(sym: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Sorted suffixes (to ``DEPTH`` symbols; end marks are 0) and their transform."""
     levels = [sym]
@@ -108,8 +121,8 @@ def _build(sym: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return order.astype(np.int32), before
 
 
-_SHARDS = ("shard long, bwt binary, pos binary, place binary, doc binary, doc_ids array<{kind}>, "
-           "text_hash binary")
+_SHARDS = ("shard long, bwt binary, pos binary, place binary, doc_first binary, "
+           "doc_ids array<{kind}>, text_hash binary")
 
 
 def shard_transforms(docs: DataFrame, doc_id: str, text: str, length: int) -> DataFrame:
@@ -125,11 +138,12 @@ def shard_transforms(docs: DataFrame, doc_id: str, text: str, length: int) -> Da
             pos, bwt = _build(sym)
             return pa.RecordBatch.from_arrays(
                 [pa.array([part << 24 | number], pa.int64()),
-                 *(pa.array([x.tobytes()], pa.binary()) for x in (
-                     bwt, pos, place.astype(np.int32), doc.astype(np.int32))),
+                 *(pa.array([x], pa.binary()) for x in (
+                     _pack(bwt), pos.tobytes(), place.astype(np.int32).tobytes(),
+                     np.flatnonzero(np.r_[True, doc[1:] != doc[:-1]]).astype(np.int32).tobytes())),
                  pa.array([ids], pa.list_(id_type)),
                  pa.array([np.array(hashes, np.int64).tobytes()], pa.binary())],
-                names=["shard", "bwt", "pos", "place", "doc", "doc_ids", "text_hash"])
+                names=["shard", "bwt", "pos", "place", "doc_first", "doc_ids", "text_hash"])
 
         for batch in batches:
             id_type = batch.schema.field(0).type
@@ -232,7 +246,7 @@ def _first_round(rows):
     further round) and the symbol number its chain begins at (``origin``).
     """
     for row in rows:
-        bwt, pos = _u8(row["bwt"]), np.frombuffer(row["pos"], np.int32).astype(np.int64)
+        bwt, pos = _unpack(row["bwt"]), np.frombuffer(row["pos"], np.int32).astype(np.int64)
         alive = np.flatnonzero(_in(np.sort(bwt), _alive(row)))   # ranks; sorted symbols lead the suffixes
         first = np.sort(bwt)[alive]
         rank = np.empty(len(pos), np.int64)
@@ -245,7 +259,8 @@ def _first_round(rows):
             back.append(step)
             at = np.where(ok, at - 1, at)
         block = _extend(back[0], first)
-        yield (row["shard"], block[ok], np.stack([b[ok] for b in back[1:]]).reshape(-1), at[ok])
+        later = [b[ok] for b in back[1:]]
+        yield (row["shard"], block[ok], np.concatenate([np.zeros(0, np.uint64), *later]), at[ok])
 
 
 def candidates(docs: DataFrame, doc_id: str, text: str, length: int) -> DataFrame:
@@ -256,7 +271,7 @@ def candidates(docs: DataFrame, doc_id: str, text: str, length: int) -> DataFram
     def first_reports(batches):
         for batch in batches:
             for shard, bwt in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                keys = _u8(bwt)
+                keys = _unpack(bwt)
                 yield _report(shard, keys[keys != 0])
 
     def reports(batches):
@@ -292,9 +307,11 @@ def candidates(docs: DataFrame, doc_id: str, text: str, length: int) -> DataFram
     alive = _repeated_blocks(shards.select("shard", "bwt").mapInArrow(first_reports, report))
     state = written(shards.select("shard", "bwt", "pos").join(alive, "shard")
                     .mapInArrow(begin, _STATE), "bwt-round")
+    steps = [shards, state]
     for _ in range(DEPTH - 2):
         alive = _repeated_blocks(state.select("shard", "block").mapInArrow(reports, report))
         state = written(state.join(alive, "shard").mapInArrow(refine, _STATE), "bwt-round")
+        steps.append(state)
     alive = _repeated_blocks(state.select("shard", "block").mapInArrow(reports, report))
 
     def places(batches):
@@ -305,7 +322,7 @@ def candidates(docs: DataFrame, doc_id: str, text: str, length: int) -> DataFram
                 if not len(found):
                     continue
                 found = np.unique(found)
-                doc = np.frombuffer(row["doc"], np.int32)[found]
+                doc = np.searchsorted(np.frombuffer(row["doc_first"], np.int32), found, "right") - 1
                 place = np.frombuffer(row["place"], np.int32)[found]
                 cut = np.flatnonzero(np.r_[True, doc[1:] != doc[:-1], True])
                 own = doc[cut[:-1]].tolist()
@@ -317,36 +334,59 @@ def candidates(docs: DataFrame, doc_id: str, text: str, length: int) -> DataFram
                      pa.array([place[a:b].tobytes() for a, b in zip(cut[:-1], cut[1:])], pa.binary())],
                     names=["doc_id", "text_hash", "places"])
 
-    ends = shards.select("shard", "place", "doc", "doc_ids", "text_hash")
+    ends = shards.select("shard", "place", "doc_first", "doc_ids", "text_hash")
     out = state.select("shard", "block", "origin").join(alive, "shard").join(ends, "shard") \
         .mapInArrow(places, f"doc_id {kind}, text_hash long, places binary")
     # rows that repeat a doc_id and a text have the same anchors
-    return written(out.groupBy("doc_id", "text_hash").agg(F.max("places").alias("places")),
-                   "repeat-candidates")
+    found = written(out.groupBy("doc_id", "text_hash").agg(F.max("places").alias("places")),
+                    "repeat-candidates")
+    del alive, out, ends
+    finished(docs.sparkSession, *steps)
+    return found
+
+
+def _unzipped(batch: pa.RecordBatch):
+    """``row numbers, bytes, offsets`` of a batch's documents (column ``z``), about
+    ``CHUNK`` bytes at a time."""
+    unzip, rows, parts, size = zstandard.ZstdDecompressor(), [], [], 0
+    for i, z in enumerate(batch.column("z")):
+        raw = z.as_py()
+        if raw is None:
+            continue
+        rows.append(i)
+        parts.append(unzip.decompress(raw))
+        size += len(parts[-1])
+        if size >= CHUNK:
+            yield _joined(rows, parts)
+            rows, parts, size = [], [], 0
+    if rows:
+        yield _joined(rows, parts)
+
+
+def _joined(rows, parts):
+    off = np.concatenate([[0], np.cumsum([len(p) for p in parts])]).astype(np.int64)
+    return rows, np.frombuffer(b"".join(parts), np.uint8), off
 
 
 def _ranges(buf, off, places: list[bytes], length: int):
     """Anchors of a chunk that are candidates and have starts: position, document, first, last."""
     place, doc, low, high = anchors(buf, off, length)
-    wanted = [np.frombuffer(p, np.int32) for p in places]
-    want = np.concatenate([w + off[i] for i, w in enumerate(wanted)]) if wanted else np.zeros(0, int)
+    want = np.concatenate([np.zeros(0, np.int64), *(
+        np.frombuffer(p, np.int32) + off[i] for i, p in enumerate(places))])
     keep = np.flatnonzero(np.isin(place, want) & (high >= low))
     return place[keep], doc[keep], low[keep], high[keep]
 
 
-def _per_document(uid: pa.Array, doc: np.ndarray, columns: dict[str, tuple[np.ndarray, pa.DataType]]):
-    """One row per document that has entries: ``uid`` and lists."""
-    cut = np.flatnonzero(np.r_[True, doc[1:] != doc[:-1], True]) if len(doc) else np.zeros(1, int)
-    own = pa.array(doc[cut[:-1]])
-    return pa.RecordBatch.from_arrays(
-        [uid.take(own), *(pa.ListArray.from_arrays(pa.array(cut, pa.int32()), pa.array(x, t))
-                          for x, t in columns.values())], names=["uid", *columns])
+def _lists(doc: np.ndarray, n: int, values: np.ndarray, kind: pa.DataType) -> pa.Array:
+    """One list per document: the values of its entries (``doc`` ascends)."""
+    at = np.searchsorted(doc, np.arange(n + 1))
+    return pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(values, kind))
 
 
-def _twice(rows: DataFrame, column: str) -> DataFrame:
-    """Values of a list column that occur twice or more (counted per task first)."""
-    found = rows.select(F.explode(column).alias("h")).groupBy("h").count().where("count > 1")
-    return written(found.select("h"), "repeat-hashes")
+def _shifted(col: list, off: np.ndarray) -> np.ndarray:
+    """Byte offsets in documents (lists, may be null) as positions in a chunk."""
+    return np.concatenate([np.zeros(0, np.int64), *(
+        np.array(x, np.int64) + off[i] for i, x in enumerate(col) if x)])
 
 
 def repeats(docs: DataFrame, length: int = LENGTH, doc_id: str = "doc_id",
@@ -357,40 +397,65 @@ def repeats(docs: DataFrame, length: int = LENGTH, doc_id: str = "doc_id",
     ``length`` bytes that also starts elsewhere; ``kept_sha256`` digests the rest.
     """
     check_length(length)
+    spark = docs.sparkSession
     kind = docs.schema[doc_id].dataType.simpleString()
     cand = candidates(docs, doc_id, text, length)
+    core = length - WINDOW + 1
+
+    # texts move once, compressed; of documents without candidates only their digest goes on
+    def squeeze(batches):
+        for batch in batches:
+            zipped = zstandard.ZstdCompressor(level=3)
+            z = [zipped.compress(x.as_py().encode()) if len(x.as_py()) * 4 >= length else None
+                 for x in batch.column("text")]
+            yield batch.drop_columns(["text"]).append_column("z", pa.array(z, pa.binary()))
+
     own = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"),
-                      F.xxhash64(text).alias("text_hash"))
-    body = own.alias("d").join(
+                      F.xxhash64(text).alias("text_hash")) \
+        .select("doc_id", "text_hash", F.octet_length("text").cast("long").alias("n_bytes"),
+                F.sha2("text", 256).alias("whole"), "text") \
+        .mapInArrow(squeeze, f"doc_id {kind}, text_hash long, n_bytes long, whole string, z binary")
+    met = own.alias("d").join(
         cand.alias("c").hint("shuffle_hash"),
         F.col("d.doc_id").eqNullSafe(F.col("c.doc_id")) & (F.col("d.text_hash") == F.col("c.text_hash")),
         "left").select(
-            F.monotonically_increasing_id().alias("uid"), "d.doc_id",
-            F.octet_length("text").cast("long").alias("n_bytes"), "places",
-            F.when(F.col("places").isNull(), F.sha2("text", 256)).alias("whole"),
-            F.when(F.col("places").isNotNull(), F.col("text")).alias("text"))
-    body = written(body, "repeat-bodies")
+            F.monotonically_increasing_id().alias("uid"), "d.doc_id", "n_bytes", "whole", "places",
+            F.when(F.col("places").isNotNull(), F.col("z")).alias("z"))
+
+    def range_rows(batches):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            places = batch.column("places").to_pylist()
+            out = [pa.nulls(batch.num_rows, pa.list_(t)) for t in (pa.int32(), pa.int64(), pa.int64())]
+            done = {}
+            for rows, buf, off in _unzipped(batch):
+                place, doc, low, high = _ranges(buf, off, [places[i] for i in rows], length)
+                pre, n = prefix_hash(buf), len(rows)
+                cells = (_lists(doc, n, place - off[doc], pa.int32()),
+                         _lists(doc, n, range_hash(pre, low, high + length).view(np.int64), pa.int64()),
+                         _lists(doc, n, range_hash(pre, place, place + core).view(np.int64), pa.int64()))
+                done.update((i, (cells, k)) for k, i in enumerate(rows))
+            for c in range(3):
+                out[c] = pa.array([done[i][0][c][done[i][1]].as_py() if i in done else None
+                                   for i in range(batch.num_rows)], out[c].type)
+            full = batch
+            for name, col in zip(("at", "span", "common"), out):
+                full = full.append_column(name, col)
+            yield full
+
+    body = written(met.mapInArrow(range_rows, (
+        f"uid long, doc_id {kind}, n_bytes long, whole string, places binary, z binary, "
+        "at array<int>, span array<long>, common array<long>")), "repeat-bodies")
+    del own, met
+    finished(spark, cand)
     plain = body.where("places IS NULL").select(
         "doc_id", "n_bytes", F.array().cast("array<struct<start:int,end:int>>").alias("spans"),
         F.col("whole").alias("kept_sha256"))
-    hot = body.where("places IS NOT NULL").select("uid", "doc_id", "n_bytes", "places", "text")
-    core = length - WINDOW + 1
+    hot = body.where("places IS NOT NULL").select("uid", "doc_id", "n_bytes", "places", "z")
 
-    def range_rows(batches):
-        for batch in batches:
-            for lo, hi, buf, off in chunks(batch.column(2)):
-                place, doc, low, high = _ranges(
-                    buf, off, batch.column(1).slice(lo, hi - lo).to_pylist(), length)
-                pre = prefix_hash(buf)
-                span = range_hash(pre, low, high + length).view(np.int64)
-                common = range_hash(pre, place, place + core).view(np.int64)
-                yield _per_document(batch.column(0).slice(lo, hi - lo), doc, {
-                    "at": ((place - off[doc]).astype(np.int32), pa.int32()),
-                    "span": (span, pa.int64()), "common": (common, pa.int64())})
-
-    ranges = written(hot.select("uid", "places", "text").mapInArrow(
-        range_rows, "uid long, at array<int>, span array<long>, common array<long>"), "repeat-ranges")
-    rows = ranges.select("uid", F.explode(F.arrays_zip("at", "span", "common")).alias("r")) \
+    rows = body.where("places IS NOT NULL") \
+        .select("uid", F.explode(F.arrays_zip("at", "span", "common")).alias("r")) \
         .select("uid", F.col("r.at").alias("at"), F.col("r.span").alias("span"),
                 F.col("r.common").alias("common"))
     # one row per distinct range; a range that occurs twice settles all its starts
@@ -408,63 +473,68 @@ def repeats(docs: DataFrame, length: int = LENGTH, doc_id: str = "doc_id",
     open_spans = spans.join(shared, "common").groupBy("uid").agg(
         F.collect_list("span").alias("open"))
     # a document has at most as many marks as anchors
-    hot = written(hot.join(settled, "uid", "left").join(open_spans, "uid", "left"), "repeat-marked")
-
-    def lists(col: pa.Array, off) -> np.ndarray:
-        rows = [np.array(x or [], np.int64) + off[i] for i, x in enumerate(col.to_pylist())]
-        return np.concatenate(rows) if rows else np.zeros(0, np.int64)
+    marks = written(settled.join(open_spans, "uid", "full"), "repeat-marks")
+    del rows, settled, open_spans
+    finished(spark, spans, shared)
 
     def start_rows(batches):
         for batch in batches:
-            for lo, hi, buf, off in chunks(batch.column(2)):
-                cut = [batch.column(i).slice(lo, hi - lo) for i in range(4)]
-                place, doc, low, high = _ranges(buf, off, cut[1].to_pylist(), length)
+            places, wanted = batch.column("places").to_pylist(), batch.column("open").to_pylist()
+            for took, buf, off in _unzipped(batch):
+                place, doc, low, high = _ranges(buf, off, [places[i] for i in took], length)
                 pre = prefix_hash(buf)
-                wanted = [np.array(x or [], np.int64) for x in cut[3].to_pylist()]
                 # a range is this document's to show if its hash is on its own list
                 key = mix(range_hash(pre, low, high + length) + doc.astype(np.uint64))
-                mine = np.concatenate([mix(w.view(np.uint64) + _U(i)) for i, w in enumerate(wanted)])
+                mine = np.concatenate([mix(np.array(wanted[i], np.int64).view(np.uint64) + _U(k))
+                                       for k, i in enumerate(took)])
                 todo = np.flatnonzero(np.isin(key, mine))
                 n = high[todo] - low[todo] + 1
                 at = np.arange(n.sum()) + np.repeat(low[todo] - (np.cumsum(n) - n), n)
-                owner = np.repeat(doc[todo], n)
-                yield _per_document(cut[0], owner, {
-                    "at": ((at - off[owner]).astype(np.int32), pa.int32()),
-                    "h": (range_hash(pre, at, at + length).view(np.int64), pa.int64())})
-
-    starts = written(hot.where("open IS NOT NULL").select("uid", "places", "text", "open")
-                     .mapInArrow(start_rows, "uid long, at array<int>, h array<long>"),
-                     "repeat-starts")
-    again = _twice(starts, "h")
-    single = starts.select("uid", F.explode(F.arrays_zip("at", "h")).alias("r")) \
-        .select("uid", F.col("r.at").alias("at"), F.col("r.h").alias("h")).join(again, "h") \
-        .groupBy("uid").agg(F.collect_list("at").alias("starts"))
+                owner, count = np.repeat(doc[todo], n), len(took)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("uid").take(pa.array(took)),
+                     _lists(owner, count, at - off[owner], pa.int32()),
+                     _lists(owner, count, range_hash(pre, at, at + length).view(np.int64), pa.int64())],
+                    names=["uid", "at", "h"])
+
+    starts = written(hot.select("uid", "places", "z").join(
+        marks.where("open IS NOT NULL").select("uid", "open"), "uid")
+        .mapInArrow(start_rows, "uid long, at array<int>, h array<long>"), "repeat-starts")
+    again = written(starts.select(F.explode("h").alias("h")).groupBy("h").count()
+                    .where("count > 1").select("h"), "repeat-hashes")
+    single = written(starts.select("uid", F.explode(F.arrays_zip("at", "h")).alias("r"))
+                     .select("uid", F.col("r.at").alias("at"), F.col("r.h").alias("h"))
+                     .join(again, "h").groupBy("uid").agg(F.collect_list("at").alias("starts")),
+                     "repeat-singles")
+    finished(spark, starts, again)
 
     def cut_rows(batches):
         for batch in batches:
-            for lo, hi, buf, off in chunks(batch.column(3)):
-                part = batch.slice(lo, hi - lo)
-                place, doc, low, high = _ranges(buf, off, part.column(2).to_pylist(), length)
-                done = np.flatnonzero(np.isin(place, lists(part.column(4), off)))
-                one = lists(part.column(5), off)
+            places, settled, single = (
+                batch.column(c).to_pylist() for c in ("places", "settled", "starts"))
+            for took, buf, off in _unzipped(batch):
+                place, doc, low, high = _ranges(buf, off, [places[i] for i in took], length)
+                done = np.flatnonzero(np.isin(place, _shifted([settled[i] for i in took], off)))
+                one = _shifted([single[i] for i in took], off)
                 edge = np.zeros(len(buf) + 1, np.int64)
                 np.add.at(edge, np.r_[low[done], one], 1)
                 np.add.at(edge, np.r_[high[done], one] + length, -1)
                 gone = np.cumsum(edge[:-1]) > 0
-                spans, digests = [], []
+                spans_of, digests = [], []
                 for a, b in zip(off[:-1].tolist(), off[1:].tolist()):
                     g = gone[a:b]
                     turn = np.flatnonzero(np.diff(np.r_[False, g, False]))
-                    spans.append([{"start": int(x), "end": int(y)}
-                                  for x, y in zip(turn[::2], turn[1::2])])
+                    spans_of.append([{"start": int(x), "end": int(y)}
+                                     for x, y in zip(turn[::2], turn[1::2])])
                     digests.append(hashlib.sha256(buf[a:b][~g].tobytes()).hexdigest())
+                some = pa.array(took)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(1), pa.array(spans, pa.list_(pa.struct(
-                        [("start", pa.int32()), ("end", pa.int32())]))), pa.array(digests)],
+                    [batch.column("doc_id").take(some), batch.column("n_bytes").take(some),
+                     pa.array(spans_of, pa.list_(pa.struct(
+                         [("start", pa.int32()), ("end", pa.int32())]))), pa.array(digests)],
                     names=["doc_id", "n_bytes", "spans", "kept_sha256"])
 
-    cut = hot.join(single, "uid", "left") \
-        .select("doc_id", "n_bytes", "places", "text", "settled", "starts") \
+    cut = hot.join(marks.select("uid", "settled"), "uid", "left").join(single, "uid", "left") \
         .mapInArrow(cut_rows, f"doc_id {kind}, n_bytes long, spans array<struct<start:int,end:int>>, "
                               "kept_sha256 string")
     return plain.unionByName(cut)
