@@ -2,6 +2,7 @@
 
 ``on_error="fail"`` keeps Java's behaviour: a bad number or a missing
 field stops the job (Spark's ANSI casts and array indexing throw).
+Fields are cut as Java's ``split`` does, so trailing empty fields are missing.
 ``on_error="drop"`` uses ``try_cast`` / ``try_element_at`` and removes the
 rows that did not parse.
 """
@@ -10,6 +11,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from .text import java_split
+
 # The access-log time pattern and the field positions of the
 # two log formats, as the programs read them.
 ACCESS_LOG_TIME_PATTERN = "dd/MM/yyyy:HH:mm:ss"
@@ -40,24 +43,30 @@ def _finish(df: DataFrame, required: list[str], on_error: str) -> DataFrame:
 
 
 def parse_int(df: DataFrame, line: str = "value", out: str = "v", on_error: str = "fail") -> DataFrame:
-    """One integer per line (``Integer.valueOf``)."""
-    return _finish(df.select(_cast(F.col(line), "int", on_error).alias(out)), [out], on_error)
+    """One integer per line (``Integer.valueOf``: digits with an optional sign, no blanks)."""
+    text = F.col(line)
+    bad = (F.raise_error(F.concat(F.lit("not an integer: "), F.coalesce(text, F.lit("null"))))
+           if on_error == "fail" else F.lit(None)).cast("int")
+    value = F.when(text.rlike(r"\A[+-]?[0-9]+\z"), _cast(text, "int", on_error)).otherwise(bad)
+    return _finish(df.select(value.alias(out)), [out], on_error)
 
 
 def parse_key_value(df: DataFrame, line: str = "value", on_error: str = "fail",
                     extra: list[str] | None = None) -> DataFrame:
     """``key,value`` lines; extra fields ignored, a missing one fails (or drops)."""
-    parts = F.split(F.col(line), ",")
+    parts = java_split(line, ",")
     out = df.select(*(extra or []), _field(parts, 0, on_error).alias("k"),
                     _field(parts, 1, on_error).alias("v"))
     return _finish(out, ["k", "v"], on_error)
 
 
-def parse_ad_click(df: DataFrame, line: str = "value", on_error: str = "fail") -> DataFrame:
+def parse_ad_click(df: DataFrame, line: str = "value", on_error: str = "fail",
+                   extra: list[str] | None = None) -> DataFrame:
     """``user,ad,province,city,epoch_seconds``, each field trimmed."""
-    p = F.split(F.col(line), ",")
+    p = java_split(line, ",")
     f = lambda i: F.trim(_field(p, i, on_error))
     out = df.select(
+        *(extra or []),
         _cast(f(0), "long", on_error).alias("user_id"),
         _cast(f(1), "long", on_error).alias("ad_id"),
         f(2).alias("province"),
@@ -73,7 +82,7 @@ def parse_access_log(df: DataFrame, line: str = "value", on_error: str = "fail")
     The time is read in the session time zone (UTC here) instead of the
     JVM default zone; field 4 (the zone text) is ignored as in the original.
     """
-    p = F.split(F.col(line), " ")
+    p = java_split(line, " ")
     f = lambda name: F.trim(_field(p, ACCESS_LOG_FIELDS[name], on_error))
     when = (F.to_timestamp(f("time"), ACCESS_LOG_TIME_PATTERN) if on_error == "fail"
             else F.try_to_timestamp(f("time"), F.lit(ACCESS_LOG_TIME_PATTERN)))
@@ -92,7 +101,7 @@ ORDER_SCHEMA = ("order_id long, amount long, category int, user_id long, channel
 
 def parse_order_line(df: DataFrame, line: str = "value", on_error: str = "fail") -> DataFrame:
     """Tab-separated order rows; empty channel stays empty, ``null`` -> NULL."""
-    p = F.split(F.col(line), "\t")
+    p = java_split(line, "\t")
     f = lambda i: _field(p, i, on_error)
     ref = f(5)
     out = df.select(

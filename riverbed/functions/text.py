@@ -44,10 +44,10 @@ def split_trimmed(col: str | Column, trimmed: str | Column, sep: str = ",") -> C
 def text_lines(col: str | Column) -> Column:
     """Lines of a text the way a line reader yields them.
 
-    Split on ``\\n``; one final ``\\n`` ends the last line rather than
-    starting an empty one, and an empty text has no lines.
+    Split on ``\\n`` or ``\\r\\n``; a final line end closes the last line rather
+    than starting an empty one, and an empty text has no lines.
     """
     c = _c(col)
-    body = F.regexp_replace(c, "\n\\z", "")
+    body = F.regexp_replace(c, "\r?\n\\z", "")
     return (F.when(c == F.lit(""), F.array().cast("array<string>"))
-            .otherwise(F.split(body, "\n")))
+            .otherwise(F.split(body, "\r?\n")))

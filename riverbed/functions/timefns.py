@@ -49,13 +49,3 @@ def next_midnight(ts: str | Column, period: str | int = "1 day") -> Column:
     """
     step = duration_micros(period)
     return from_micros(floor_to(to_micros(ts), step) + F.lit(step))
-
-
-def epoch_seconds_to_ts(col: str | Column) -> Column:
-    """Epoch seconds (long) -> timestamp."""
-    return F.timestamp_seconds(_c(col))
-
-
-def epoch_millis_to_ts(col: str | Column) -> Column:
-    """Epoch milliseconds (long) -> timestamp."""
-    return F.timestamp_millis(_c(col))

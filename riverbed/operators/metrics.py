@@ -9,12 +9,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Observation, functions as F
 
+from ..sinks.outputs import text_line
+
 
 def write_text_counting(df: DataFrame, path: str, sep: str = ",") -> int:
     """Write ``df`` as text lines (fields joined by ``sep``, overwrite) and
     return the number of rows written, observed during the write."""
     obs = Observation("rows_written")
-    line = F.concat_ws(sep, *[F.col(c).cast("string") for c in df.columns]).alias("value")
-    df.observe(obs, F.count(F.lit(1)).alias("n")).select(line) \
+    df.observe(obs, F.count(F.lit(1)).alias("n")).select(text_line(df, sep)) \
         .write.mode("overwrite").text(path)
     return int(obs.get["n"])

@@ -4,13 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
+
+
+def text_line(df: DataFrame, sep: str = ",") -> Column:
+    """A row's fields joined by ``sep``; a NULL field is written as ``null``, so no
+    column shifts."""
+    return F.concat_ws(sep, *[F.coalesce(F.col(c).cast("string"), F.lit("null"))
+                              for c in df.columns]).alias("value")
 
 
 def write_text(df: DataFrame, path: str, sep: str = ",") -> None:
-    """Every row as one text line (fields joined by ``sep``), overwriting ``path``."""
-    line = F.concat_ws(sep, *[F.col(c).cast("string") for c in df.columns]).alias("value")
-    df.select(line).write.mode("overwrite").text(path)
+    """Every row as one text line, overwriting ``path``."""
+    df.select(text_line(df, sep)).write.mode("overwrite").text(path)
 
 
 def show(df: DataFrame, n: int = 20) -> None:

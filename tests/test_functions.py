@@ -33,9 +33,10 @@ def test_java_split_space(spark):
 
 
 def test_text_lines(spark):
-    df = spark.createDataFrame([("a\nb\n",), ("",), ("x",), ("a\n\n",)], "t string")
+    texts = ["a\nb\n", "", "x", "a\n\n", "a\r\nb\r\n", "a\rb"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
     got = [r[0] for r in df.select(text_lines("t")).collect()]
-    assert got == [["a", "b"], [], ["x"], ["a", ""]]
+    assert got == [["a", "b"], [], ["x"], ["a", ""], ["a", "b"], ["a\rb"]]
 
 
 def test_parse_int_fail_and_drop(spark):
@@ -45,6 +46,21 @@ def test_parse_int_fail_and_drop(spark):
         parsing.parse_int(df, on_error="fail").collect()
 
 
+@pytest.mark.parametrize("text", [" 7 ", "", "1.0", "+", "99999999999"])
+def test_parse_int_rejects_what_java_rejects(spark, text):
+    df = spark.createDataFrame([(text,), ("+5",)], "value string")
+    assert [r.v for r in parsing.parse_int(df, on_error="drop").collect()] == [5]
+    with pytest.raises(Exception):
+        parsing.parse_int(df, on_error="fail").collect()
+
+
+def test_trailing_empty_fields_are_missing(spark):
+    df = spark.createDataFrame([("k,",)], "value string")
+    assert parsing.parse_key_value(df, on_error="drop").count() == 0
+    with pytest.raises(Exception):
+        parsing.parse_key_value(df, on_error="fail").collect()
+
+
 def test_parse_key_value(spark):
     df = spark.createDataFrame([("a,1",), ("b,2,extra",), ("c",)], "value string")
     got = [(r.k, r.v) for r in parsing.parse_key_value(df, on_error="drop").collect()]

@@ -1,6 +1,6 @@
 import pytest
 
-from riverbed.sources import kafka, params, socket
+from riverbed.sources import kafka, socket
 from riverbed.sources.memory import rows
 from riverbed.sinks.outputs import split_tagged
 
@@ -17,31 +17,26 @@ def test_kafka_options():
                  "startingOffsets": "latest", "kafka.group.id": "g"}
 
 
-def test_params():
-    p = params.from_args(["--host", "localhost", "--port", "9999", "--verbose"])
-    assert p == {"host": "localhost", "port": "9999", "verbose": "true"}
-    assert params.get_int(p, "port") == 9999
-    with pytest.raises(ValueError):
-        params.get_int({"port": "x"}, "port")
-
-
 def test_tagged_split(spark):
     df = rows(spark, [(1, "pass"), (2, "alert")], "id int, tag string")
     pick = split_tagged(df)
     assert [r.id for r in pick("alert").collect()] == [2]
 
 
-def test_map_with_setup(spark):
+def test_map_with_setup_runs_once_per_task(spark):
     from riverbed.operators.maps import map_with_setup
-    df = rows(spark, [(1,), (2,), (3,)], "x long")
-    calls = []
+    df = rows(spark, [(i,) for i in range(10)], "x long").coalesce(1)
 
     def setup():
-        calls.append(1)
-        return 10
+        import uuid
+        return uuid.uuid4().hex
 
-    out = map_with_setup(df.coalesce(1), setup, lambda k, b: b.assign(x=b.x * k), "x long")
-    assert sorted(r.x for r in out.collect()) == [10, 20, 30]
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2")
+    try:
+        out = map_with_setup(df, setup, lambda tag, b: b.assign(tag=tag), "x long, tag string").collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert sorted(r.x for r in out) == list(range(10)) and len({r.tag for r in out}) == 1
 
 
 def test_write_text(spark):
@@ -51,4 +46,22 @@ def test_write_text(spark):
     path = shared_path(spark, "text-sink")
     write_text(df, path)
     write_text(df, path)  # overwrite, not append
-    assert sorted(r.value for r in spark.read.text(path).collect()) == ["1,a", "2"]
+    assert sorted(r.value for r in spark.read.text(path).collect()) == ["1,a", "2,null"]
+
+
+def test_text_source_reads_what_the_sink_wrote(spark):
+    from riverbed.session import shared_path
+    from riverbed.sinks.outputs import write_text
+    from riverbed.sources.text import read_text
+    path = shared_path(spark, "text-source")
+    write_text(rows(spark, [(1, "a"), (2, "b")], "id int, s string"), path)
+    assert sorted(r[0] for r in read_text(spark, path).collect()) == ["1,a", "2,b"]
+
+
+def test_a_cluster_must_name_its_shared_folder():
+    from types import SimpleNamespace
+    from riverbed.session import ensure_checkpoint_dir
+    sc = SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: None)
+    conf = SimpleNamespace(get=lambda key, default=None: default)
+    with pytest.raises(RuntimeError):
+        ensure_checkpoint_dir(SimpleNamespace(sparkContext=sc, conf=conf))
