@@ -2,8 +2,8 @@
 
 Everything the library writes (stream checkpoints, sink output, lineage
 cuts) goes under the folder the cluster names in ``spark.checkpoint.dir``.
-We only invent one when that setting is missing, which happens in local
-tests and the bench.
+We only invent one when that setting is missing and the master is ``local``
+(tests and the bench); on a cluster a missing setting is an error.
 """
 
 from __future__ import annotations
@@ -20,6 +20,8 @@ from pyspark.sql import SparkSession
 # RocksDB because the stateful processors need list and map state.
 BASE_CONF = {
     "spark.sql.session.timeZone": "UTC",
+    # parsers rely on ANSI casts and array access to fail on malformed input
+    "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -34,19 +36,19 @@ BASE_CONF = {
 }
 
 
-def build_session(master: str | None = None, shuffle_partitions: int = 8,
+def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "riverbed", extra: dict | None = None) -> SparkSession:
     """Create (or reuse) a session with the library's defaults.
 
-    On a cluster ``master`` stays ``None`` so spark-submit decides; the
-    shuffle partition count should then be sized so one partition is
-    roughly 128-256 MB of shuffle data.
+    On a cluster ``master`` and ``shuffle_partitions`` stay ``None`` so that
+    spark-submit and the cluster's own settings decide.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
     conf = dict(BASE_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if shuffle_partitions is not None:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
     for key, value in conf.items():
         builder = builder.config(key, value)
@@ -60,9 +62,11 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, creating a local one only if unset."""
     sc = spark.sparkContext
-    current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    current = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not current:
-        # Unset: local tests and benches only. A cluster always names one.
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the whole cluster shares")
+        # local tests and benches: driver and executors are one machine
         current = tempfile.mkdtemp(prefix="run-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", current)
     if not sc.getCheckpointDir():

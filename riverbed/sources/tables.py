@@ -6,8 +6,6 @@ so callers should ``select``/``where`` right after ``table(...)``.
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
@@ -15,25 +13,22 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "conversations")
 
 
-def table(spark: SparkSession, sf_dir: str, name: str, spread_by: str | None = None
-          ) -> DataFrame:
-    """Read one driver table.
-
-    ``spread_by``: for CPU-heavy per-row work (text splitting, text output).
-    A table stored as fewer files than the default parallelism may sit in a
-    single row group, which one task must scan and process alone; then the
-    rows are hash-partitioned on ``spread_by`` across all cores first. A
-    table with many files (any large table) is left as scanned: its splits
-    already parallelise the work and a shuffle of raw rows would only cost.
-    """
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Read one driver table: a parquet file or a folder of part files."""
     if name not in TABLES:
         raise ValueError(f"unknown table {name!r}")
-    df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
-    if spread_by is not None:
-        cores = spark.sparkContext.defaultParallelism
-        if len(df.inputFiles()) < cores:
-            df = df.repartition(cores, spread_by)
-    return df
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def stream_table(spark: SparkSession, sf_dir: str, name: str, max_bytes: int = 128 << 20) -> DataFrame:
+    """Replay one driver table as a stream, file by file, ``max_bytes`` a micro-batch.
+
+    The stream source lists folders. The one-character class makes the table's
+    own path a glob, which both a single file and a folder of part files match.
+    """
+    schema = table(spark, sf_dir, name).schema
+    return (spark.readStream.schema(schema).option("maxBytesPerTrigger", max_bytes)
+            .parquet(f"{sf_dir.rstrip('/')}/{name}.parque[t]"))
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,7 +3,7 @@
 Stateless and window operators reuse the batch functions (they are plain
 DataFrame code; a watermark upstream makes windows final). Where Spark
 has no built-in (count windows, the click cap) a keyed stateful
-processor runs per key; the top-n per window is a chained aggregation.
+processor runs per key.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.timefns import duration_micros, floor_to, from_micros, to_micros
+from ..operators.windows import sliding_count_expand
 from .stateful import ClickCap, CountTriggerEvictor, CountWindowAverage, TopNPerWindow
 
 
@@ -32,7 +33,8 @@ def count_window_avg_stream(df: DataFrame, keys: Sequence[str], seq: str, value:
     """Average of every ``size`` rows per key; ``state`` = list | value | map."""
     keys = list(keys)
     proc = CountWindowAverage(keys, seq=seq, value=value, size=size, state=state)
-    return (df.select(*keys, seq, value).groupBy(*keys)
+    # a row without a value belongs to no window
+    return (df.select(*keys, seq, value).where(F.col(value).isNotNull()).groupBy(*keys)
             .transformWithStateInPandas(proc, CountWindowAverage.output_schema(_ddl(df, keys)),
                                         "append", "None"))
 
@@ -43,7 +45,10 @@ def count_window_sliding_stream(df: DataFrame, keys: Sequence[str], seq: str,
     keys = list(keys)
     proc = CountTriggerEvictor(keys, seq=seq, value=value, every=every, size=size)
     cols = [*keys, seq] + ([value] if value else [])
-    return (df.select(*cols).groupBy(*keys)
+    rows = df.select(*cols)
+    if value:   # a row without a value belongs to no window
+        rows = rows.where(F.col(value).isNotNull())
+    return (rows.groupBy(*keys)
             .transformWithStateInPandas(proc, CountTriggerEvictor.output_schema(_ddl(df, keys)),
                                         "append", "None"))
 
@@ -99,47 +104,30 @@ def window_join_stream(left: DataFrame, right: DataFrame, key: str, ts: str, siz
                     F.col("_w.end").alias("window_end"), *lv, *rv)
 
 
-def hot_pages_stream(df: DataFrame, ts: str, url: str, size: str = "10 minutes",
-                     slide: str = "5 seconds", n: int = 3, buckets: int = 16) -> DataFrame:
-    """Top-n urls per sliding window as a chained aggregation (append mode).
-
-    Stage 1 counts per (url, window). Stage 2 keeps the n best
-    ``(count desc, url asc)`` per (window, url hash bucket); stage 3 keeps
-    the n best of those per window. A list holds one bucket's urls (about
-    urls / ``buckets``) or ``buckets * n`` finalists, so raise ``buckets``
-    with the url count; ``hot_pages_stream_timer`` keeps at most n entries
-    per window whatever the url count. Needs a watermark on ``ts``
-    upstream; a window is emitted once the watermark passes its end.
-    """
-    sz = f"{duration_micros(size)} microseconds"
-    sl = f"{duration_micros(slide)} microseconds"
-    counts = (df.groupBy(F.window(ts, sz, sl).alias("window"), F.col(url).alias("url"))
-              .agg(F.count(F.lit(1)).alias("n")))
-
-    def best(frame: DataFrame, group: list) -> DataFrame:
-        entry = F.struct((-F.col("n")).alias("neg_n"), F.col("url").alias("url"))
-        return (frame.groupBy(*group)
-                .agg(F.slice(F.sort_array(F.collect_list(entry)), 1, n).alias("top"))
-                .select("window", F.explode("top").alias("t"))
-                .select("window", F.col("t.url").alias("url"), (-F.col("t.neg_n")).alias("n")))
-
-    bucket = F.pmod(F.xxhash64("url"), F.lit(buckets)).alias("bucket")
-    pre = best(counts.select("window", "url", "n", bucket), ["window", "bucket"])
-    final = best(pre, ["window"])
-    return final.select("url", F.col("window.end").alias("window_end"), "n")
+def window_counts(df: DataFrame, ts: str, url: str, size: str, slide: str) -> DataFrame:
+    """``url, window_end, n``: views per url and sliding window, updated as rows come."""
+    return sliding_count_expand(df.select(ts, F.col(url).alias("url")), ts, size, slide, ["url"]) \
+        .select("url", "window_end", "n")
 
 
-def hot_pages_stream_timer(df: DataFrame, ts: str, url: str, size: str = "10 minutes",
-                           slide: str = "5 seconds", n: int = 3) -> DataFrame:
-    """Top-n urls per sliding window, the keyed-process form: window counts,
-    then a processor keyed by window end with map state and an event-time
-    timer at window end + 1 ms (the state holds at most n entries)."""
+def hot_pages_stream(df: DataFrame, ts: str, url: str, size: str = "10 minutes",
+                     slide: str = "5 seconds", n: int = 3, salts: int = 16) -> DataFrame:
+    """Candidates for the top-n urls per sliding window, the keyed-process form.
+
+    Window counts go to a processor keyed by (window end, salt of the url) with
+    map state and an event-time timer at window end + 1 ms; each key keeps at
+    most n entries whatever the url count. All salts of a window are released
+    by the same watermark: ``top_n_per_group`` over the (at most) ``n * salts``
+    rows of a window gives its top n. Needs a watermark on ``ts`` upstream.
+    """
     sz = f"{duration_micros(size)} microseconds"
     sl = f"{duration_micros(slide)} microseconds"
     counts = (df.groupBy(F.window(ts, sz, sl).alias("window"), F.col(url).alias("url"))
               .agg(F.count(F.lit(1)).alias("n")))
-    keyed = counts.select(F.unix_millis(F.col("window.end")).alias("window_end_ms"), "url", "n")
-    out = (keyed.groupBy("window_end_ms")
+    keyed = counts.select(F.unix_millis(F.col("window.end")).alias("window_end_ms"),
+                          F.pmod(F.xxhash64("url"), F.lit(salts)).cast("int").alias("salt"),
+                          "url", "n")
+    out = (keyed.groupBy("window_end_ms", "salt")
            .transformWithStateInPandas(TopNPerWindow(n), TopNPerWindow.output_schema(),
                                        "append", "EventTime"))
     return out.select("url", F.timestamp_millis("window_end_ms").alias("window_end"), "n")

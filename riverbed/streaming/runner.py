@@ -1,30 +1,34 @@
 """Run a streaming query over everything available, into files in the shared folder.
 
 * ``append``: Spark's parquet file sink (exactly-once through its metadata log).
-* ``complete``: ``foreachBatch`` writes the full result of batch N under
-  ``batch_id=N`` (overwrite, so a retried batch is idempotent); the result
-  is the latest batch.
-* ``update``: ``foreachBatch`` appends the changed rows of batch N under
-  ``batch_id=N``; the result is the newest row per key (an upsert log).
-
-All state and checkpoints live under ``spark.checkpoint.dir``, so a
-restarted query resumes where it stopped. Reading the results back is a
-distributed job; nothing is collected to the driver.
+* ``complete``: ``foreachBatch`` writes the full result of batch N; only the
+  newest two batches are kept.
+* ``update``: ``foreachBatch`` writes the changed rows of batch N; the result is
+  the newest row per key. Every ``COMPACT_EVERY`` batches the rows are folded
+  into one snapshot and the folded batches removed, so neither the log nor a
+  reader's work grows with the number of batches.
+
+A batch's folder is named by its id and overwritten, so a retried batch is
+written once. State, checkpoint and output live in one folder per run under
+``spark.checkpoint.dir``. A caller that names its run (``run="orders"``) gets
+the same folder every time: a restarted query goes on after its last committed
+batch. Without a name each call is a run of its own. Reading the results back
+is a distributed job; nothing is collected to the driver.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from ..session import shared_path
+from ..session import shared_path, stable_path
 
-DEFAULT_TIMEOUT_S = 1800
+COMPACT_EVERY = 16
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def use_rocksdb_state(spark) -> None:
+def use_rocksdb_state(spark: SparkSession) -> None:
     """Stateful processors with several state variables need the RocksDB
     state store; set it (for queries started from now on) if the session
     uses another provider."""
@@ -35,9 +39,68 @@ def use_rocksdb_state(spark) -> None:
                        "true")
 
 
-def _await(query, timeout_s: int) -> None:
-    finished = query.awaitTermination(timeout_s)
-    if not finished:
+def run_folder(spark: SparkSession, name: str, run: str | None) -> str:
+    return stable_path(spark, f"stream/{run}") if run else shared_path(spark, name)
+
+
+class Folder:
+    """Sub-folders ``batch=N`` and ``snapshot=N`` of one output."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
+        self._hadoop = spark._jvm.org.apache.hadoop.fs
+        self._fs = self._hadoop.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def ids(self, kind: str) -> list[int]:
+        """Finished sub-folders (a write in progress has no success mark yet)."""
+        root = self._hadoop.Path(self.path)
+        if not self._fs.exists(root):
+            return []
+        names = [(s.getPath().getName(), s.getPath()) for s in self._fs.listStatus(root)]
+        return sorted(int(n.split("=")[1]) for n, p in names if n.startswith(f"{kind}=")
+                      and self._fs.exists(self._hadoop.Path(p, "_SUCCESS")))
+
+    def drop(self, kind: str, number: int) -> None:
+        self._fs.delete(self._hadoop.Path(f"{self.path}/{kind}={number}"), True)
+
+    def write(self, df: DataFrame, kind: str, number: int) -> None:
+        df.write.mode("overwrite").parquet(f"{self.path}/{kind}={number}")
+
+    def read(self, schema: T.StructType, kind: str, number: int) -> DataFrame:
+        return self.spark.read.schema(schema).parquet(f"{self.path}/{kind}={number}") \
+            .withColumn("_batch", F.lit(number))
+
+    def log(self, schema: T.StructType) -> DataFrame | None:
+        """Newest snapshot and the batches after it."""
+        snaps = self.ids("snapshot")[-1:]
+        parts = [("snapshot", n) for n in snaps] + [
+            ("batch", n) for n in self.ids("batch") if not snaps or n > snaps[0]]
+        out = None
+        for kind, n in parts:
+            part = self.read(schema, kind, n)
+            out = part if out is None else out.unionByName(part)
+        return out
+
+
+def _newest(log: DataFrame, schema: T.StructType, keys: Sequence[str]) -> DataFrame:
+    values = [c for c in schema.names if c not in keys]
+    newest = F.max_by(F.struct(*values), F.col("_batch")).alias("_row")
+    return log.groupBy(*keys).agg(newest).select(*keys, *[F.col(f"_row.{c}") for c in values])
+
+
+def _compact(folder: Folder, schema: T.StructType, keys: Sequence[str], upto: int) -> None:
+    folder.write(_newest(folder.log(schema), schema, keys), "snapshot", upto)
+    for n in folder.ids("batch"):
+        if n <= upto:
+            folder.drop("batch", n)
+    for n in folder.ids("snapshot")[:-1]:
+        folder.drop("snapshot", n)
+
+
+def _await(query, timeout_s: int | None) -> None:
+    if timeout_s is None:
+        query.awaitTermination()
+    elif not query.awaitTermination(timeout_s):
         query.stop()
         raise TimeoutError(f"stream {query.name} did not finish in {timeout_s}s")
     if query.exception() is not None:
@@ -45,35 +108,68 @@ def _await(query, timeout_s: int) -> None:
 
 
 def run_available(df: DataFrame, name: str, output_mode: str = "append",
-                  keys: Sequence[str] | None = None, timeout_s: int = DEFAULT_TIMEOUT_S
-                  ) -> DataFrame:
-    """Process all available input (``availableNow``) and return the result as a batch frame."""
-    spark = df.sparkSession
+                  keys: Sequence[str] | None = None, run: str | None = None,
+                  timeout_s: int | None = None) -> DataFrame:
+    """Process all available input (``availableNow``) and return the result as a batch frame.
+
+    ``run`` names a run that later calls resume; ``timeout_s`` stops a query
+    that takes longer (default: none).
+    """
+    spark, schema = df.sparkSession, df.schema
+    if output_mode not in ("append", "complete", "update"):
+        raise ValueError(output_mode)
+    if output_mode == "update" and not keys:
+        raise ValueError("update mode needs the result keys")
     use_rocksdb_state(spark)
-    out = shared_path(spark, f"{name}-out")
-    ckpt = shared_path(spark, f"{name}-ckpt")
-    writer = df.writeStream.option("checkpointLocation", ckpt).trigger(availableNow=True)
-    schema = df.schema
-
+    base = run_folder(spark, name, run)
+    writer = df.writeStream.option("checkpointLocation", f"{base}/checkpoint") \
+        .trigger(availableNow=True)
     if output_mode == "append":
-        q = writer.format("parquet").option("path", out).outputMode("append").start()
-        _await(q, timeout_s)
-        return spark.read.schema(schema).parquet(out)
+        _await(writer.format("parquet").option("path", f"{base}/out").outputMode("append").start(),
+               timeout_s)
+        return spark.read.schema(schema).parquet(f"{base}/out")
 
-    def write_batch(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+    folder = Folder(spark, f"{base}/out")
 
-    if output_mode not in ("complete", "update"):
-        raise ValueError(output_mode)
-    q = writer.outputMode(output_mode).foreachBatch(write_batch).start()
-    _await(q, timeout_s)
-    with_batch = T.StructType(list(schema.fields) + [T.StructField("batch_id", T.LongType())])
-    log = spark.read.schema(with_batch).parquet(out)
+    def write_batch(batch: DataFrame, number: int) -> None:
+        folder.write(batch, "batch", number)
+        if output_mode == "complete":
+            for n in folder.ids("batch")[:-2]:
+                folder.drop("batch", n)
+        elif number % COMPACT_EVERY == COMPACT_EVERY - 1:
+            _compact(folder, schema, keys, number)
+
+    _await(writer.outputMode(output_mode).foreachBatch(write_batch).start(), timeout_s)
     if output_mode == "complete":
-        last = log.agg(F.max("batch_id").alias("_last"))
-        return log.join(last, log["batch_id"] == last["_last"]).select(*schema.names)
-    if not keys:
-        raise ValueError("update mode needs the result keys")
-    values = [c for c in schema.names if c not in keys]
-    newest = F.max_by(F.struct(*values), F.col("batch_id")).alias("_row")
-    return log.groupBy(*keys).agg(newest).select(*keys, *[F.col(f"_row.{c}") for c in values])
+        batches = folder.ids("batch")
+        return (folder.read(schema, "batch", batches[-1]) if batches
+                else spark.createDataFrame([], schema).withColumn("_batch", F.lit(0))) \
+            .select(*schema.names)
+    log = folder.log(schema)
+    return spark.createDataFrame([], schema) if log is None else _newest(log, schema, keys)
+
+
+def run_outputs(df: DataFrame, name: str, outputs: Mapping[str, Callable[[DataFrame], DataFrame]],
+                run: str | None = None, timeout_s: int | None = None) -> dict[str, DataFrame]:
+    """One run, several outputs: each micro-batch is computed once and every output's
+    function is applied to it. Returns a batch frame per output, all batches together."""
+    spark = df.sparkSession
+    use_rocksdb_state(spark)
+    base = run_folder(spark, name, run)
+    folders = {k: Folder(spark, f"{base}/out-{k}") for k in outputs}
+    empty = spark.createDataFrame([], df.schema)
+    schemas = {k: f(empty).schema for k, f in outputs.items()}
+
+    def write_batch(batch: DataFrame, number: int) -> None:
+        batch.persist()
+        try:
+            for k, f in outputs.items():
+                folders[k].write(f(batch), "batch", number)
+        finally:
+            batch.unpersist()
+
+    _await(df.writeStream.option("checkpointLocation", f"{base}/checkpoint")
+           .trigger(availableNow=True).foreachBatch(write_batch).start(), timeout_s)
+    return {k: spark.read.schema(schemas[k]).parquet(
+        *[f"{folders[k].path}/batch={n}" for n in folders[k].ids("batch")])
+        if folders[k].ids("batch") else spark.createDataFrame([], schemas[k]) for k in outputs}

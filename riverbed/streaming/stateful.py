@@ -2,9 +2,10 @@
 
 State per key is bounded: a few numbers and at most ``size`` pending
 values. Rows of one key inside one micro-batch arrive in no particular
-order, so each processor sorts them by the arrival sequence first; one
-key's rows of one micro-batch are the most a task holds (size batches
-with ``maxFilesPerTrigger`` / ``maxOffsetsPerTrigger``).
+order. The click cap and the top-n fold them chunk by chunk; the count
+windows need them all in order, so one key's rows of one micro-batch are
+the most a task holds (bound batches with ``maxBytesPerTrigger`` /
+``maxOffsetsPerTrigger``).
 
 Time values come in as epoch microseconds (computed by Spark upstream),
 so no time-zone logic runs in Python.
@@ -38,7 +39,9 @@ def _complete_windows(held_n: int, held_sum: int, vals: np.ndarray, size: int):
     pos = held_n + np.arange(len(vals))
     n_done = (held_n + len(vals)) // size
     groups = pos // size
-    totals = np.bincount(groups, weights=vals, minlength=n_done + 1)[:n_done].astype("int64")
+    totals = np.zeros(n_done, dtype="int64")
+    inside = groups < n_done
+    np.add.at(totals, groups[inside], vals[inside].astype("int64"))     # exact: no floats
     if n_done:
         totals[0] += held_sum
     rest_from = n_done * size - held_n if n_done else 0
@@ -179,12 +182,16 @@ class ClickCap(StatefulProcessor):
     emit one ``alert`` row (the first dropped one) per period.
 
     Input columns: ``seq`` (tie-break), ``ts_us`` and ``period_us`` (period
-    start, epoch micros) plus ``carry`` columns passed through. State:
-    the current period, the count that passed in it, whether the alert
-    went out. With time mode ``EventTime`` a timer at the period's end
-    clears the state once the watermark passes it, so idle keys cost nothing.
-    With ``processing_time=True`` (time mode ``ProcessingTime``) the period is
-    the wall-clock day of the micro-batch, as in the original; not replayable.
+    start, epoch micros) plus ``carry`` columns passed through. State: a map
+    period -> (rows passed, alert sent), so a row that comes late, but within
+    the watermark, is counted in its own period and leaves newer ones alone.
+    With time mode ``EventTime`` a timer at each period's end clears that
+    period once the watermark passes it, so idle keys cost nothing. With
+    ``processing_time=True`` (time mode ``ProcessingTime``) the period is the
+    wall-clock day of the micro-batch, as in the original; not replayable.
+
+    A key's micro-batch is folded chunk by chunk to the ``cap + 1`` earliest
+    rows of each period: more can neither pass nor raise an alert.
     """
 
     def __init__(self, key_names: Sequence[str], carry: Sequence[str], cap: int = 100,
@@ -196,54 +203,48 @@ class ClickCap(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.state = handle.getValueState("cap", "period long, passed long, alerted boolean")
+        self.periods = handle.getMapState("periods", "period long", "passed long, alerted boolean")
+
+    def _earliest(self, frames: list[pd.DataFrame]) -> pd.DataFrame:
+        df = frames[0] if len(frames) == 1 else pd.concat(frames, ignore_index=True)
+        order = np.lexsort((df[self.seq].to_numpy(), df["ts_us"].to_numpy(),
+                            df["period_us"].to_numpy()))
+        df = df.iloc[order].reset_index(drop=True)
+        return df[df.groupby("period_us").cumcount() <= self.cap].reset_index(drop=True)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        chunks = list(rows)
-        df = chunks[0] if len(chunks) == 1 else pd.concat(chunks, ignore_index=True)
-        ts_us = df["ts_us"].to_numpy(dtype="int64")
-        order = np.lexsort((df[self.seq].to_numpy(), ts_us))  # by ts, then seq
         if self.processing_time:
             # the original resets at the next midnight of the wall clock
             now_us = timerValues.getCurrentProcessingTimeInMs() * 1000
-            periods = np.full(len(df), now_us - now_us % self.period_us, dtype="int64")
-        else:
-            periods = df["period_us"].to_numpy(dtype="int64")[order]
-        cur = self.state.get()
-        # position of each row inside its period (periods ascend with ts)
-        _, first, inverse = np.unique(periods, return_index=True, return_inverse=True)
-        pos = np.arange(len(periods)) - first[inverse] + 1
-        alerted_before = np.zeros(len(periods), dtype=bool)
-        if cur is not None:
-            same = periods == cur[0]
-            pos = pos + np.where(same, cur[1], 0)
-            alerted_before = same & bool(cur[2])
-        is_pass = pos <= self.cap
-        is_alert = (pos == self.cap + 1) & ~alerted_before
-        # state after the batch: the latest period seen
-        last_p = int(periods[-1])
-        in_last = periods == last_p
-        passed = int(np.minimum(pos[in_last], self.cap).max())
-        alerted = bool((pos[in_last] > self.cap).any()) or bool(
-            cur is not None and cur[0] == last_p and cur[2])
-        if cur is None or cur[0] != last_p:
-            if cur is not None:
-                self.handle.deleteTimer((cur[0] + self.period_us) // 1000)
-            self.handle.registerTimer((last_p + self.period_us) // 1000)
-        self.state.update((last_p, passed, alerted))
-        keep = is_pass | is_alert
-        if keep.any():
-            rows_kept = order[keep]
-            out = {c: df[c].to_numpy()[rows_kept] for c in [*self.key_names, *self.carry]}
-            out["ts_us"] = ts_us[rows_kept]
-            out["period_us"] = periods[keep]
-            out["tag"] = np.where(is_pass[keep], "pass", "alert")
-            yield pd.DataFrame(out)
+            rows = (c.assign(period_us=now_us - now_us % self.period_us) for c in rows)
+        kept = None
+        for chunk in rows:
+            kept = self._earliest([chunk] if kept is None else [kept, chunk])
+        periods = kept["period_us"].to_numpy(dtype="int64")
+        tag = np.full(len(kept), "", dtype=object)
+        for period in np.unique(periods).tolist():
+            mine = np.flatnonzero(periods == period)
+            known = self.periods.containsKey((period,))
+            passed, alerted = self.periods.getValue((period,)) if known else (0, False)
+            room = self.cap - passed
+            tag[mine[:room]] = "pass"
+            over = len(mine) > room
+            if over and not alerted:
+                tag[mine[room]] = "alert"
+            self.periods.updateValue((period,), (min(self.cap, passed + len(mine)),
+                                                 bool(alerted or over)))
+            if not known:
+                self.handle.registerTimer((period + self.period_us) // 1000)
+        out = kept[tag != ""]
+        if len(out):
+            columns = [*self.key_names, *self.carry, "ts_us", "period_us"]
+            yield out[columns].assign(tag=tag[tag != ""])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        cur = self.state.get()
-        if cur is not None and (cur[0] + self.period_us) // 1000 <= expiredTimerInfo.getExpiryTimeInMs():
-            self.state.clear()
+        expired = expiredTimerInfo.getExpiryTimeInMs()
+        for period in [p[0] for p in self.periods.keys()]:
+            if (period + self.period_us) // 1000 <= expired:
+                self.periods.removeKey((period,))
         return iter([])
 
     def close(self) -> None:
@@ -251,13 +252,14 @@ class ClickCap(StatefulProcessor):
 
 
 class TopNPerWindow(StatefulProcessor):
-    """Top-n entries per window end, released by an event-time timer.
-
-    Keyed by the window end (epoch ms). Map state holds at most ``n``
-    ``url -> count`` entries, the best so far by ``(count desc, url asc)``;
-    each finished window count arrives once from the upstream window
-    aggregation. A timer at window end + 1 ms fires when the watermark
-    passes it; the entries go out in rank order and the state is cleared.
+    """Top-n entries per (window end, salt), released by an event-time timer.
+
+    Keyed by the window end (epoch ms) and a salt of the url. Map state holds at
+    most ``n`` ``url -> count`` entries, the best so far by ``(count desc, url
+    asc)``; each finished window count arrives once from the upstream window
+    aggregation and is folded in chunk by chunk. A timer at window end + 1 ms
+    fires when the watermark passes it; the entries go out and the state is
+    cleared.
     """
 
     def __init__(self, n: int = 3):
@@ -265,7 +267,7 @@ class TopNPerWindow(StatefulProcessor):
 
     @staticmethod
     def output_schema() -> str:
-        return "url string, window_end_ms long, n long, rank int"
+        return "url string, window_end_ms long, salt int, n long"
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -275,16 +277,16 @@ class TopNPerWindow(StatefulProcessor):
         return sorted(entries, key=lambda e: (-e[1], e[0]))[: self.n]
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        new = pd.concat(list(rows), ignore_index=True)
         held = [(k[0], v[0]) for k, v in self.best.iterator()]
-        top = self._ranked(held + list(zip(new["url"].tolist(), new["n"].astype("int64").tolist())))
-        keep = {u for u, _ in top}
-        for u, _ in held:
-            if u not in keep:
-                self.best.removeKey((u,))
-        held_urls = {u for u, _ in held}
+        top = held
+        for chunk in rows:
+            top = self._ranked(top + list(zip(chunk["url"].tolist(),
+                                              chunk["n"].astype("int64").tolist())))
+        keep, before = {u for u, _ in top}, {u for u, _ in held}
+        for u in before - keep:
+            self.best.removeKey((u,))
         for u, c in top:
-            if u not in held_urls:
+            if u not in before:
                 self.best.updateValue((u,), (int(c),))
         if not held:
             self.handle.registerTimer(int(key[0]) + 1)
@@ -296,8 +298,8 @@ class TopNPerWindow(StatefulProcessor):
         if top:
             yield pd.DataFrame({"url": [u for u, _ in top],
                                 "window_end_ms": [int(key[0])] * len(top),
-                                "n": [int(c) for _, c in top],
-                                "rank": list(range(1, len(top) + 1))})
+                                "salt": [int(key[1])] * len(top),
+                                "n": [int(c) for _, c in top]})
 
     def close(self) -> None:
         pass

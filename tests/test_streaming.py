@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from riverbed.operators import clicks, count_windows, hot_pages, windows
 from riverbed.operators.aggregates import word_count
+from riverbed.operators.topn import top_n_per_group
 from riverbed.sources.memory import stream_of, write_batches
 from riverbed.streaming import operators as so
-from riverbed.streaming.runner import run_available
+from riverbed.streaming.runner import run_available, run_outputs
 
 
 def same(a, b, cols=None):
@@ -72,6 +73,86 @@ def test_click_cap_stream_over_batches(spark):
     assert got.where("tag = 'alert'").count() == 2  # one per day
 
 
+def test_click_cap_late_row_counts_in_its_own_day(spark):
+    """A row of the day before, late but within the watermark, comes after midnight rows."""
+    at = lambda text: dt.datetime.fromisoformat("2024-01-" + text)
+    batches = [
+        [(0, 7, "ad", at("01 23:59:50")), (1, 7, "ad", at("01 23:59:51")),
+         (2, 7, "ad", at("01 23:59:52")), (3, 7, "ad", at("02 00:00:00")),
+         (4, 7, "ad", at("02 00:00:01"))],
+        [(5, 7, "ad", at("01 23:59:59"))],
+        [(6, 7, "ad", at("02 00:00:02"))]]
+    schema = "seq long, user_id long, ad_id string, ts timestamp_ntz"
+    root = write_batches(spark, batches, schema, name="cap-late")
+    src = so.event_time(stream_of(spark, root, schema), "ts", "10 seconds")
+    got = run_available(so.click_cap_stream(src, ["user_id", "ad_id"], "ts", "seq", cap=2),
+                        "cap-late")
+    assert {(r.seq, r.tag) for r in got.collect()} == {
+        (0, "pass"), (1, "pass"), (2, "alert"), (3, "pass"), (4, "pass"), (6, "alert")}
+    batch = clicks.click_cap(spark.createDataFrame(sum(batches, []), schema),
+                             ["user_id", "ad_id"], "ts", ["seq"], cap=2)
+    assert same(got, batch, ["seq", "user_id", "ad_id", "tag"])
+
+
+def test_window_totals_are_exact_integers():
+    import numpy as np
+    from riverbed.streaming.stateful import _complete_windows
+    totals, rest, start = _complete_windows(0, 0, np.array([2**53, 1, 0, 5]), 3)
+    assert totals.tolist() == [2**53 + 1] and (rest, start) == (1, 3)
+
+
+def test_streams_leave_out_rows_without_a_value(spark):
+    data = [(0, 1, 3), (1, 1, None), (2, 1, 5), (3, 1, 4), (4, 1, 6)]
+    schema = "seq long, k long, v long"
+    root = write_batches(spark, _chunks(data, 2), schema, name="nulls")
+    got = run_available(so.count_window_avg_stream(stream_of(spark, root, schema), ["k"], "seq", "v"),
+                        "nulls")
+    assert [(r.total, r.avg) for r in got.collect()] == [(12, 4.0)]
+
+
+def test_named_run_resumes_and_counts_each_row_once(spark):
+    """Stop between batches, start again under the same name: nothing twice, nothing lost."""
+    import uuid
+    name, schema = uuid.uuid4().hex, "value string"
+    root = write_batches(spark, [[("a,b",)], [("b",)]], schema, name="resume")
+
+    def run():
+        return {r.word: r.n for r in run_available(
+            word_count(stream_of(spark, root, schema), "value", ","), "resume", "update",
+            keys=["word"], run=name).collect()}
+    assert run() == {"a": 1, "b": 2}
+    assert run() == {"a": 1, "b": 2}
+    spark.createDataFrame([("b,c",)], schema).write.parquet(f"{root}/part-later")
+    assert run() == {"a": 1, "b": 3, "c": 1}
+
+
+def test_update_log_is_folded(spark, monkeypatch):
+    from riverbed.streaming import runner
+    monkeypatch.setattr(runner, "COMPACT_EVERY", 2)
+    import uuid
+    schema, name = "value string", uuid.uuid4().hex
+    root = write_batches(spark, [[("a",)], [("a,b",)], [("b",)], [("a",)], [("c",)]], schema,
+                         name="fold")
+    got = run_available(word_count(stream_of(spark, root, schema), "value", ","), "fold", "update",
+                        keys=["word"], run=name)
+    assert {r.word: r.n for r in got.collect()} == {"a": 3, "b": 2, "c": 1}
+    folder = runner.Folder(spark, f"{runner.run_folder(spark, 'fold', name)}/out")
+    assert folder.ids("snapshot") == [3] and folder.ids("batch") == [4]
+
+
+def test_one_run_gives_both_outputs(spark):
+    base = dt.datetime(2024, 1, 1, 8)
+    rows = [(i, 7, "ad", base + dt.timedelta(seconds=i)) for i in range(6)]
+    schema = "seq long, user_id long, ad_id string, ts timestamp_ntz"
+    root = write_batches(spark, _chunks(rows, 3), schema, name="both")
+    src = so.event_time(stream_of(spark, root, schema), "ts", "10 seconds")
+    tagged = so.click_cap_stream(src, ["user_id", "ad_id"], "ts", "seq", cap=3)
+    out = run_outputs(tagged, "both", {t: (lambda b, t=t: b.where(F.col("tag") == t).select("seq"))
+                                       for t in ("pass", "alert")})
+    assert sorted(r.seq for r in out["pass"].collect()) == [0, 1, 2]
+    assert [r.seq for r in out["alert"].collect()] == [3]
+
+
 def test_late_row_is_dropped(spark):
     t0 = dt.datetime(2024, 1, 1, 0, 0, 0)
     sec = lambda s: t0 + dt.timedelta(seconds=s)
@@ -86,24 +167,6 @@ def test_late_row_is_dropped(spark):
     assert got[dt.datetime(2024, 1, 1, 0, 0, 0)] == 1  # the late row did not count
 
 
-def test_hot_pages_stream_equals_batch(spark):
-    rnd = random.Random(9)
-    t0 = dt.datetime(2024, 1, 1)
-    rows = sorted((t0 + dt.timedelta(seconds=rnd.randint(0, 600)), rnd.choice("abcdef"))
-                  for _ in range(300))
-    schema = "ts timestamp_ntz, url string"
-    sentinel = [(t0 + dt.timedelta(days=1), "zz-end")]
-    root = write_batches(spark, _chunks(rows, 3) + [sentinel], schema, name="hot")
-    src = so.event_time(stream_of(spark, root, schema), "ts", "10 seconds")
-    got = run_available(so.hot_pages_stream(src, "ts", "url", "1 minute", "5 seconds", 3, 4),
-                        "hot")
-    got = got.where(F.col("url") != "zz-end").withColumn(
-        "window_end", F.col("window_end").cast("timestamp_ntz"))
-    want = hot_pages.hot_pages(spark.createDataFrame(rows, schema), "ts", "url", "1 minute",
-                               "5 seconds", 3)
-    assert same(got, want, ["url", "window_end", "n"])
-
-
 def test_count_window_average_state_kinds(spark):
     from fixtures import KEYED_VALUES
     rows = [(i, k, v) for i, (k, v) in enumerate(KEYED_VALUES)] + \
@@ -118,7 +181,7 @@ def test_count_window_average_state_kinds(spark):
         assert same(got, want), kind
 
 
-def test_hot_pages_timer_form_equals_batch(spark):
+def test_hot_pages_stream_equals_batch(spark):
     rnd = random.Random(4)
     t0 = dt.datetime(2024, 1, 1)
     rows = sorted((t0 + dt.timedelta(seconds=rnd.randint(0, 300)), rnd.choice("abcde"))
@@ -127,8 +190,9 @@ def test_hot_pages_timer_form_equals_batch(spark):
     sentinel = [(t0 + dt.timedelta(days=1), "zz-end")]
     root = write_batches(spark, _chunks(rows, 3) + [sentinel, sentinel], schema, name="hot2")
     src = so.event_time(stream_of(spark, root, schema), "ts", "10 seconds")
-    got = run_available(so.hot_pages_stream_timer(src, "ts", "url", "1 minute", "5 seconds", 3),
+    got = run_available(so.hot_pages_stream(src, "ts", "url", "1 minute", "5 seconds", 3, 2),
                         "hot2")
+    got = top_n_per_group(got, ["window_end"], [F.col("n").desc(), F.col("url").asc()], 3)
     got = got.where(F.col("url") != "zz-end").withColumn(
         "window_end", F.col("window_end").cast("timestamp_ntz"))
     want = hot_pages.hot_pages(spark.createDataFrame(rows, schema), "ts", "url", "1 minute",
