@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.text import split_trimmed, strip_trailing, text_lines
-from .prefix import running_totals
+from .prefix import SPAN, running_totals
 
 
 def words(df: DataFrame, text: str = "value", sep: str = ",", by_lines: bool = True,
@@ -42,34 +42,28 @@ def word_count(df: DataFrame, text: str = "value", sep: str = ",", by_lines: boo
 
 
 def running_word_count(df: DataFrame, text: str, doc: str, sep: str = ",",
-                       out: str = "n") -> DataFrame:
+                       out: str = "n", span: int = 1 << 12) -> DataFrame:
     """The per-word log of a running word count: every word of every line,
     in arrival order ``(doc, line_no, pos)``, with the count of that word so
-    far. Lines and positions are 0-based. Hot words are cut into blocks by
-    ``running_totals``, unless one aggregate proves every word small."""
+    far. Lines and positions are 0-based. Hot words are cut into blocks of
+    ``span`` consecutive doc ids by ``running_totals``."""
     lines = df.select(doc, F.posexplode(text_lines(F.col(text))).alias("line_no", "_l"))
     trimmed = lines.select(doc, F.col("line_no").cast("long").alias("line_no"), "_l",
                            strip_trailing(F.col("_l"), sep).alias("_t"))
     words = trimmed.select(doc, "line_no",
                            F.posexplode(split_trimmed("_l", "_t", sep)).alias("pos", "word"))
     words = words.withColumn("pos", F.col("pos").cast("long"))
-    return running_totals(words, ["word"], [doc, "line_no", "pos"], count_col=out)
-
-
-def keyed_sum(df: DataFrame, keys: Sequence[str], value: str | Column, out: str = "total"
-              ) -> DataFrame:
-    """``keyBy(k).sum(field)`` final values (field addressed by name or expression)."""
-    v = F.col(value) if isinstance(value, str) else value
-    return df.groupBy(*keys).agg(F.sum(v).alias(out))
+    return running_totals(words, ["word"], [doc, "line_no", "pos"], count_col=out, span=span)
 
 
 def running_count(df: DataFrame, keys: Sequence[str], order: Sequence[str],
-                  value: str | Column | None = None, out: str = "running") -> DataFrame:
+                  value: str | Column | None = None, out: str = "running",
+                  span: int = SPAN) -> DataFrame:
     """Every row plus its key's running count (or running sum of ``value``).
 
     ``order`` is the arrival sequence and must be unique within a key.
     """
     if value is None:
-        return running_totals(df, keys, order, count_col=out)
+        return running_totals(df, keys, order, count_col=out, span=span)
     v = F.col(value) if isinstance(value, str) else value
-    return running_totals(df, keys, order, count_col=None, sums={out: v})
+    return running_totals(df, keys, order, count_col=None, sums={out: v}, span=span)

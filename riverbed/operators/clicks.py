@@ -2,7 +2,7 @@
 drop the rest, and raise exactly one alert per key and period, on the
 first dropped click. The period resets at the next UTC midnight (a
 parameter). Batch form; the streaming form is
-``streaming.stateful.ClickCapProcessor``.
+``streaming.stateful.ClickCap``.
 
 Batch takes the period from event time: processing time cannot be
 replayed. One pass tags every kept row ``pass`` or ``alert`` so both
@@ -16,18 +16,12 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.timefns import duration_micros, floor_to, from_micros, to_micros
-from .prefix import running_totals
 from .topn import top_n_per_group
 
 # Fixed value: the alert text is this prefix, the cap, then this suffix.
 ALERT_PREFIX = "点击超过"
 ALERT_SUFFIX = " 次"
 
-# Above this rank Catalyst stops inserting a partial group limit
-# (spark.sql.optimizer.windowGroupLimitThreshold default).
-_GROUP_LIMIT_MAX = 1000
-
-
 def alert_message(cap: int) -> str:
     return f"{ALERT_PREFIX}{cap}{ALERT_SUFFIX}"
 
@@ -37,22 +31,15 @@ def click_cap(df: DataFrame, keys: Sequence[str], ts: str, order: Sequence[str],
     """Rows that passed or raised the alert, with ``tag`` and ``period_start``.
 
     Rank inside (keys, period) by ``ts`` then ``order``; rank <= cap passes,
-    rank == cap + 1 is the alert; all later rows are dropped. When
-    ``cap + 1`` is within Catalyst's group-limit threshold the ranking runs
-    as a partial-then-final top-(cap+1); otherwise as a block-distributed
-    running count (see prefix.py). Either way no key is gathered whole.
+    rank == cap + 1 is the alert; all later rows are dropped. The ranking is a
+    top-(cap + 1) per group, cut per task, per (group, salt) and per group, so
+    no key is gathered whole.
     """
     keys = list(keys)
     step = duration_micros(period)
-    with_period = df.withColumn("period_start",
-                                from_micros(floor_to(to_micros(ts), step)))
-    group = keys + ["period_start"]
-    sort = [ts, *order]
-    if cap + 1 <= _GROUP_LIMIT_MAX:
-        ranked = top_n_per_group(with_period, group, sort, cap + 1, rank_col="_rank")
-    else:
-        ranked = (running_totals(with_period, group, sort, count_col="_rank")
-                  .where(F.col("_rank") <= cap + 1))
+    with_period = df.withColumn("period_start", from_micros(floor_to(to_micros(ts), step)))
+    ranked = top_n_per_group(with_period, [*keys, "period_start"], [ts, *order], cap + 1,
+                             rank_col="_rank", salt_by=[ts, *order])
     return (ranked.withColumn("tag", F.when(F.col("_rank") <= cap, F.lit("pass"))
                               .otherwise(F.lit("alert")))
             .drop("_rank"))

@@ -8,8 +8,8 @@
   that trims to ``size``): at positions ``every, 2*every, ...`` emit the
   count and the sum of the rows ``rn-size+1 .. rn``.
 
-Both number the rows of a key with ``running_totals`` (distributed, hot
-keys split into blocks) instead of one window task per key.
+A row without a value belongs to no window (batch and stream alike). Rows
+are laid out in blocks as in ``prefix``: they move once, a hot key is cut.
 """
 
 from __future__ import annotations
@@ -18,20 +18,22 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from . import prefix
-from .prefix import running_totals
+from .prefix import SPAN, in_blocks, key_values, running_totals
 
 
-def _c(col: str | Column) -> Column:
-    return F.col(col) if isinstance(col, str) else col
+def _slim(df: DataFrame, keys: list[str], order: Sequence[str], value: str | Column | None
+          ) -> DataFrame:
+    v = F.lit(1).cast("long") if value is None else (
+        F.col(value) if isinstance(value, str) else value)
+    return df.select(*keys, *order, v.alias("_v")).where(F.col("_v").isNotNull())
 
 
 def count_window_tumbling(df: DataFrame, keys: Sequence[str], order: Sequence[str],
-                          value: str | Column, size: int = 3) -> DataFrame:
+                          value: str | Column, size: int = 3, span: int = SPAN) -> DataFrame:
     """``keys, window_no, n, total, avg`` for each complete window of ``size`` rows."""
     keys = list(keys)
-    numbered = running_totals(df.select(*keys, *order, _c(value).alias("_v")),
-                              keys, order, count_col="_rn")
+    numbered = running_totals(_slim(df, keys, order, value), keys, order, count_col="_rn",
+                              span=span)
     win = (F.floor((F.col("_rn") - 1) / size) + 1).cast("long")
     return (numbered.groupBy(*keys, win.alias("window_no"))
             .agg(F.count(F.lit(1)).alias("n"), F.sum("_v").alias("total"))
@@ -42,38 +44,47 @@ def count_window_tumbling(df: DataFrame, keys: Sequence[str], order: Sequence[st
 
 def count_window_sliding(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                          every: int = 2, size: int = 3,
-                         value: str | Column | None = None) -> DataFrame:
+                         value: str | Column | None = None, span: int = SPAN) -> DataFrame:
     """``keys, rn, n, total`` at every ``every``-th row of a key.
 
     ``n`` = rows in the evaluated window (``min(rn, size)``); ``total`` =
     sum of ``value`` over them (the row count when ``value`` is None, i.e.
-    the word-count case where every row carries 1). The sum of the last
-    ``size`` rows is ``cum(rn) - cum(rn - size)``; the second term comes
-    from an equi-join on ``(key, position)``, unique on both sides, so no
-    key is ever gathered in one task. When one aggregate proves every key
-    small (``prefix.MAX_ROWS_PER_TASK``), a single window with a
-    ``size``-row frame does it in one shuffle.
+    the word-count case where every row carries 1). A window that reaches
+    back over its block's start takes the rest from the last ``size - 1``
+    values of the blocks before, which travel with the block's offset.
     """
     keys = list(keys)
-    v = F.lit(1).cast("long") if value is None else _c(value)
-    slim = df.select(*keys, *order, v.alias("_v"))
-    if prefix.largest_group(slim, keys) <= prefix.MAX_ROWS_PER_TASK:
-        # every key provably fits one task: one window with a size-row frame
-        w = Window.partitionBy(*keys).orderBy(*order)
-        frame = w.rowsBetween(-(size - 1), Window.currentRow)
-        return (slim.select(*keys, F.row_number().over(w).cast("long").alias("rn"),
-                            F.count(F.lit(1)).over(frame).alias("n"),
-                            F.sum("_v").over(frame).alias("total"))
-                .where(F.col("rn") % every == 0))
-    numbered = running_totals(slim, keys, order, count_col="rn", sums={"_cum": F.col("_v")},
-                              plain_below=0)
-    fired = numbered.where(F.col("rn") % every == 0).select(*keys, "rn", "_cum")
-    earlier = numbered.select(*[F.col(k).alias(f"_pk{i}") for i, k in enumerate(keys)],
-                              (F.col("rn") + size).alias("_prn"),
-                              F.col("_cum").alias("_pcum"))
-    cond = [F.col(k).eqNullSafe(F.col(f"_pk{i}")) for i, k in enumerate(keys)]
-    cond.append(F.col("rn") == F.col("_prn"))
-    return (fired.join(earlier, cond, "left")
-            .select(*keys, "rn",
-                    F.least(F.col("rn"), F.lit(size)).cast("long").alias("n"),
-                    (F.col("_cum") - F.coalesce(F.col("_pcum"), F.lit(0))).alias("total")))
+    slim = _slim(df, keys, order, value)
+    b = in_blocks(slim, keys, order, span, only=[*order, "_v"])
+    upto = b.inside().rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = b.rows.withColumns({
+        "_l": F.count(F.lit(1)).over(upto),
+        "_own": F.sum("_v").over(b.inside().rowsBetween(-(size - 1), Window.currentRow))})
+
+    # per block: its row count and its last size - 1 values, oldest first
+    backwards = Window.partitionBy(*b.by).orderBy(*(F.col(c).desc() for c in order))
+    last = b.rows.withColumn("_back", F.row_number().over(backwards)) \
+        .groupBy(*b.by).agg(
+            F.count(F.lit(1)).alias("_c"),
+            F.sort_array(F.collect_list(F.when(
+                F.col("_back") < size, F.struct((-F.col("_back")).alias("i"), F.col("_v").alias("v"))
+            ))).alias("_last"))
+    # every block holds a row at least, so size - 1 blocks back are enough
+    near = b.across().rowsBetween(-(size - 1), -1) if size > 1 else b.across().rowsBetween(0, 0)
+    before = b.across().rowsBetween(Window.unboundedPreceding, -1)
+    tails = F.flatten(F.collect_list(F.transform("_last", lambda s: s["v"])).over(near))
+    offsets = last.select(*b.by, F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_o"),
+                          tails.alias("_tail"))
+    short = F.greatest(F.lit(0), F.least(F.lit(size).cast("long") - F.col("_l"),
+                                         F.size("_tail").cast("long"))).cast("int")
+    if size == 1:
+        short = F.lit(0)
+    reach = F.when(short > 0, F.aggregate(
+        F.slice("_tail", F.greatest(F.size("_tail") - short + 1, F.lit(1)), short),
+        F.lit(0).cast("long"), lambda a, x: a + x.cast("long"))).otherwise(F.lit(0).cast("long"))
+    rn = F.col("_l") + F.col("_o")
+    return (b.join(rows, offsets)
+            .select(*key_values(slim, keys), rn.alias("rn"),
+                    F.least(rn, F.lit(size)).cast("long").alias("n"),
+                    (F.col("_own") + reach).alias("total"))
+            .where(F.col("rn") % every == 0))

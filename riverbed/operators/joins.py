@@ -1,15 +1,13 @@
-"""Joins: inner, outer with a fill value, cartesian product, broadcast lookup.
+"""Joins: inner, outer with a fill value, lookup with a default.
 
 Outer joins mark the missing *row*, not a missing field: a matched row
 whose own value is NULL stays NULL; only columns of an absent side get
 the fill (strings get ``fill``, other types stay NULL).
 
-Skew: AQE splits skewed partitions of an inner join on both sides, but of
-an outer join only on the preserved side. With ``skew_safe=True`` an outer
-join is built as ``inner join  UNION ALL  preserved-side rows whose key
-never occurs on the other side``; the second part is an anti join against
-the *distinct* keys of the other side (partial aggregation first), so no
-part needs to hold a hot key in one task.
+Each join is one Spark join of two scans, so Catalyst and AQE choose the
+strategy from sizes in bytes known at run time (broadcast below the session's
+threshold, else sort-merge with split of skewed partitions: both sides of an
+inner join, the preserved side of a left or right join).
 """
 
 from __future__ import annotations
@@ -17,24 +15,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StringType
 
-from .broadcast import DEFAULT_MAX_BROADCAST_ROWS, broadcast_if_small, fits
-
 NULL_FILL = "null"  # fixed value: the text written for a missing side
 
 
-def _absent(df: DataFrame, cols: list[str], fill: str | None):
-    types = dict((f.name, f.dataType) for f in df.schema.fields)
-    out = []
-    for c in cols:
-        if fill is not None and isinstance(types[c], StringType):
-            out.append(F.lit(fill).alias(c))
-        else:
-            out.append(F.lit(None).cast(types[c]).alias(c))
-    return out
+def _filled(df: DataFrame, cols: list[str], present: str, fill: str | None):
+    types = {f.name: f.dataType for f in df.schema.fields}
+    return [F.when(F.col(present).isNull(), F.lit(fill)).otherwise(F.col(c)).alias(c)
+            if fill is not None and isinstance(types[c], StringType) else F.col(c) for c in cols]
 
 
 def equi_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner",
-              fill: str | None = NULL_FILL, skew_safe: bool = True) -> DataFrame:
+              fill: str | None = NULL_FILL) -> DataFrame:
     """Join on the column ``key`` present in both inputs.
 
     Output: ``key, <left columns>, <right columns>``. For ``right`` the key
@@ -42,72 +33,35 @@ def equi_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner",
     """
     how = {"left_outer": "left", "right_outer": "right", "outer": "full",
            "full_outer": "full"}.get(how, how)
+    if how not in ("inner", "left", "right", "full"):
+        raise ValueError(how)
     lcols = [c for c in left.columns if c != key]
     rcols = [c for c in right.columns if c != key]
     if set(lcols) & set(rcols):
         raise ValueError(f"column names clash: {set(lcols) & set(rcols)}")
     if how == "inner":
         return left.join(right, key, "inner").select(key, *lcols, *rcols)
-    if how not in ("left", "right", "full"):
-        raise ValueError(how)
-
-    if not skew_safe:
-        lm = left.withColumn("_l_on", F.lit(True))
-        rm = right.withColumn("_r_on", F.lit(True)).withColumnRenamed(key, "_rkey")
-        j = lm.join(rm, lm[key] == rm["_rkey"], how)
-        k = {"left": F.col(key), "right": F.col("_rkey"),
-             "full": F.coalesce(F.col(key), F.col("_rkey"))}[how]
-        lfill = dict(zip(lcols, _absent(left, lcols, fill)))
-        rfill = dict(zip(rcols, _absent(right, rcols, fill)))
-        return j.select(
-            k.alias(key),
-            *[F.when(F.col("_l_on").isNull(), lfill[c]).otherwise(F.col(c)).alias(c) for c in lcols],
-            *[F.when(F.col("_r_on").isNull(), rfill[c]).otherwise(F.col(c)).alias(c) for c in rcols])
-
-    parts = [left.join(right, key, "inner").select(key, *lcols, *rcols)]
-    if how in ("left", "full"):
-        other_keys = right.select(key).distinct()
-        parts.append(left.join(other_keys, key, "left_anti")
-                     .select(key, *lcols, *_absent(right, rcols, fill)))
-    if how in ("right", "full"):
-        other_keys = left.select(key).distinct()
-        parts.append(right.join(other_keys, key, "left_anti")
-                     .select(key, *_absent(left, lcols, fill), *rcols))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
-
-
-def cross_bounded(left: DataFrame, right: DataFrame, max_right_rows: int = 10_000) -> DataFrame:
-    """Cartesian product with a right side proven to hold at most ``max_right_rows``.
-
-    The output is ``|left| * |right|`` rows by definition; the bound keeps
-    it linear in the left input, and the right side is broadcast so the
-    left side is never shuffled or replicated.
-    """
-    if not fits(right, max_right_rows):
-        raise ValueError(f"cross product refused: right side exceeds {max_right_rows} rows")
-    return left.crossJoin(F.broadcast(right))
+    marked_left = left.withColumn("_l_on", F.lit(True))
+    marked_right = right.withColumn("_r_on", F.lit(True))
+    return marked_left.join(marked_right, key, how).select(
+        key, *_filled(left, lcols, "_l_on", fill), *_filled(right, rcols, "_r_on", fill))
 
 
-def broadcast_lookup(probe: DataFrame, dim: DataFrame, probe_key: str, dim_key: str,
-                     value: str, out: str | None = None, default=0, order: str | None = None,
-                     max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+def lookup(probe: DataFrame, dim: DataFrame, probe_key: str, dim_key: str, value: str,
+           out: str | None = None, default=0, order: str | None = None) -> DataFrame:
     """Add ``out`` = ``dim[value]`` looked up by key, ``default`` when the key is absent.
 
     A map built from the dimension keeps the *last* entry per key; with
     ``order`` that is the row with the largest ``order`` (``max_by``), so the
-    result does not depend on partition order. The reduced dimension is
-    broadcast only after its row count is checked; otherwise it is a
-    regular (shuffled) left join.
+    result does not depend on partition order. The reduced dimension is sent to
+    every task when its size in bytes, known once it is computed, is below the
+    broadcast threshold; otherwise both sides are shuffled.
     """
     out = out or value
     agg = F.max_by(value, order) if order else F.any_value(value)
     table = (dim.groupBy(F.col(dim_key).alias("_lk_key"))
              .agg(agg.alias("_lk_val"))
              .withColumn("_lk_hit", F.lit(True)))
-    table = broadcast_if_small(table, max_broadcast_rows)
     j = probe.join(table, probe[probe_key] == table["_lk_key"], "left")
     filled = F.when(F.col("_lk_hit").isNull(), F.lit(default)).otherwise(F.col("_lk_val"))
     cols = [c for c in probe.columns if c != out]

@@ -1,138 +1,139 @@
-"""Per-key running totals that survive hot keys.
+"""Per-key running totals in which rows move once and hot keys are cut.
 
 ``Window.partitionBy(key).orderBy(seq)`` sends every row of a key to one
-task. When one key holds a third of the data that task holds a third of
-the data. Here the rows are range-partitioned on ``(key, order)`` instead,
-so a hot key is cut into many blocks of similar size:
-
-1. ``repartitionByRange(n, key, order)``; the block id is the partition id.
-2. Running totals inside each ``(key, block)`` with an ordinary window.
-3. A small table of ``(key, block) -> count, sums, first order value``;
-   at most ``#keys + #blocks`` rows. A window over it (at most ``n`` rows
-   per key) gives each block the totals of the blocks before it and the
-   first order value of the block after it.
-4. Join the offsets back on ``(key, block)`` and add.
-
-The order must be unique within a key, or running values are undefined
-(exactly as for a ``ROWS`` frame).
-
-When one aggregate proves that no key holds more than ``plain_below`` rows
-(default 4M), a single task per key is bounded and the plain per-key window
-(one shuffle, no checkpoint) is used instead.
+task. Here a key's rows are cut into blocks by a pure function of the
+leading order column (``floor(order / span)``): no sampling, no second pass
+to find block edges, and a retried task cuts the same blocks.
+
+1. One exchange of the rows on ``(key, block)``.
+2. Running totals inside each block with an ordinary window.
+3. One row per ``(key, block)`` with its count, sums and first order value,
+   aggregated before any shuffle; a window over these rows gives each block
+   the totals of the blocks before it.
+4. The offsets are joined back on ``(key, block)``. Rows are already laid out
+   that way, so only the offsets move.
+
+Keys are compared through non-null stand-ins (text plus a null flag) made
+once and used by exchange, window and join alike; a null-safe join condition
+would hash on other expressions and shuffle the rows again.
+
+A task holds at most ``span`` rows of a key when the leading order column is
+a unique integer; choose ``span`` so that this fits an executor. The offset
+table has one row per key and block. The order must be unique within a key,
+or running values are undefined (as for a ``ROWS`` frame).
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import TimestampNTZType, TimestampType
 
-_BLK = "_rb_blk"
-MAX_ROWS_PER_TASK = 4_000_000
+from ..functions.timefns import to_micros
 
+#: order values per block: ids of about a million rows
+SPAN = 1 << 20
+_BLOCK = "_rb_block"
 
-def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
-    """Row count of the largest key (one small aggregate job)."""
-    top = df.groupBy(*keys).count().agg(F.max("count")).first()[0]
-    return int(top or 0)
 
+def _as_col(c: str | Column) -> Column:
+    return F.col(c) if isinstance(c, str) else c
 
-def _plain(df, keys, order, count_col, sums, next_col):
-    w = Window.partitionBy(*keys).orderBy(*order)
-    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    cols = [F.col(c) for c in df.columns]
-    if count_col:
-        cols.append(F.row_number().over(w).cast("long").alias(count_col))
-    cols += [F.sum(_as_col(v)).over(upto).alias(name) for name, v in sums.items()]
-    if next_col:
-        cols.append(F.lead(order[0]).over(w).alias(next_col))
-    return df.select(*cols)
 
+@dataclass
+class Blocks:
+    """Rows with their ``(key, block)``, before (``tagged``) and after (``rows``) the one
+    exchange; the key stand-ins and windows."""
 
-def _as_col(c: str | Column) -> Column:
-    return F.col(c) if isinstance(c, str) else c
+    tagged: DataFrame
+    rows: DataFrame
+    keys: list[str]
+    order: list[str]
+
+    @property
+    def by(self) -> list[str]:
+        return [*self.keys, _BLOCK]
+
+    def inside(self):
+        return Window.partitionBy(*self.by).orderBy(*self.order)
+
+    def across(self):
+        return Window.partitionBy(*self.keys).orderBy(_BLOCK)
+
+    def join(self, rows: DataFrame, per_block: DataFrame) -> DataFrame:
+        return rows.join(per_block, self.by)
+
+
+def in_blocks(df: DataFrame, keys: Sequence[str], order: Sequence[str], span: int = SPAN,
+              only: Sequence[str] | None = None) -> Blocks:
+    """Exchange the rows once on (key, ``floor(order[0] / span)``); times count in microseconds.
+
+    ``only``: the columns to carry (default: all). Branches that read the same
+    columns share the exchange.
+    """
+    lead = F.col(order[0])
+    if isinstance(df.schema[order[0]].dataType, (TimestampType, TimestampNTZType)):
+        lead = to_micros(order[0])
+    stand_ins = {}
+    for i, k in enumerate(keys):
+        stand_ins[f"_rb_k{i}"] = F.coalesce(F.col(k).cast("string"), F.lit(""))
+        stand_ins[f"_rb_n{i}"] = F.col(k).isNull()
+    block = F.floor(lead / F.lit(span)).cast("long")
+    laid = df.withColumns({**stand_ins, _BLOCK: F.coalesce(block, F.lit(-(1 << 62)))})
+    if only is not None:
+        laid = laid.select(*stand_ins, _BLOCK, *only)
+    return Blocks(laid, laid.repartition(*stand_ins, _BLOCK), list(stand_ins), list(order))
+
+
+def key_values(df: DataFrame, keys: Sequence[str]) -> list[Column]:
+    """The key columns of ``df`` read back from their stand-ins (text and null flag)."""
+    return [F.when(~F.col(f"_rb_n{i}"), F.col(f"_rb_k{i}").cast(df.schema[k].dataType)).alias(k)
+            for i, k in enumerate(keys)]
 
 
 def running_totals(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                    count_col: str | None = "rn",
                    sums: Mapping[str, str | Column] | None = None,
-                   next_col: str | None = None,
-                   blocks: int | None = None,
-                   plain_below: int | None = None) -> DataFrame:
+                   next_col: str | None = None, span: int = SPAN) -> DataFrame:
     """Add per-key running values in ``order`` (ascending, unique per key).
 
     ``count_col``: 1-based position of the row inside its key (row_number).
     ``sums``: ``{out_name: value}``; running sum up to and including the row.
     ``next_col``: value of the single order column on the next row of the
     same key (NULL on a key's last row), i.e. ``lead(order[0])``.
-    ``plain_below``: use the plain per-key window when the largest key has
-    at most this many rows (``None``: ``MAX_ROWS_PER_TASK``; 0: always
-    distributed).
+    ``span``: order values (microseconds for times) per block.
     """
-    sums = dict(sums or {})
     if next_col is not None and len(order) != 1:
         raise ValueError("next_col needs exactly one order column")
-    limit = MAX_ROWS_PER_TASK if plain_below is None else plain_below
-    if limit > 0 and largest_group(df, keys) <= limit:
-        return _plain(df, list(keys), list(order), count_col, sums, next_col)
-    spark = df.sparkSession
-    n = blocks or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    keys = list(keys)
-    order = list(order)
-
-    val_cols = {f"_rb_v{i}": _as_col(v) for i, v in enumerate(sums.values())}
-    base = df.select("*", *[c.alias(name) for name, c in val_cols.items()])
-    # Both branches below (block-local totals, per-block offsets) must see the
-    # same block ids. A range exchange samples with a seed tied to its RDD, so
-    # two copies of the exchange could cut blocks differently; a reliable
-    # checkpoint (shared folder) makes both branches read the same RDD and
-    # cuts the lineage, so a lost executor does not re-cut blocks either.
-    ranged = (base.repartitionByRange(n, *keys, *order)
-              .withColumn(_BLK, F.spark_partition_id())
-              .checkpoint(eager=False))
-
-    # (2) totals inside a block
-    w_local = (Window.partitionBy(*keys, _BLK).orderBy(*order)
-               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    # explicit partition count: AQE would coalesce this exchange by its input
-    # size and run the blocks in a few tasks; the window reuses this layout
-    local = ranged.repartition(n, *keys, _BLK)
+    sums = {f"_rb_v{i}": (name, _as_col(v)) for i, (name, v) in enumerate((sums or {}).items())}
+    b = in_blocks(df.withColumns({c: v for c, (_, v) in sums.items()}) if sums else df,
+                  keys, order, span)
+
+    upto = b.inside().rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = {f"{c}_l": F.sum(c).over(upto) for c in sums}
     if count_col:
-        local = local.withColumn("_rb_lc", F.count(F.lit(1)).over(w_local))
-    for name in val_cols:
-        local = local.withColumn(f"{name}_l", F.sum(name).over(w_local))
+        local["_rb_l"] = F.count(F.lit(1)).over(upto)
     if next_col:
-        w_lead = Window.partitionBy(*keys, _BLK).orderBy(*order)
-        local = local.withColumn("_rb_lead", F.lead(order[0]).over(w_lead))
+        local["_rb_lead"] = F.lead(order[0]).over(b.inside())
+    rows = b.rows.withColumns(local)
 
-    # (3) one row per (key, block)
-    aggs = [F.count(F.lit(1)).alias("_rb_bn")]
-    aggs += [F.sum(name).alias(f"{name}_b") for name in val_cols]
+    totals = [F.count(F.lit(1)).alias("_rb_c"), *(F.sum(c).alias(f"{c}_t") for c in sums)]
     if next_col:
-        aggs.append(F.min(order[0]).alias("_rb_first"))
-    per_block = ranged.groupBy(*keys, _BLK).agg(*aggs)
-    w_prev = (Window.partitionBy(*keys).orderBy(_BLK)
-              .rowsBetween(Window.unboundedPreceding, -1))
-    offs = per_block.select(
-        *[F.col(k).alias(f"_rb_k{i}") for i, k in enumerate(keys)],
-        F.col(_BLK).alias("_rb_blk2"),
-        F.coalesce(F.sum("_rb_bn").over(w_prev), F.lit(0)).alias("_rb_oc"),
-        *[F.coalesce(F.sum(f"{name}_b").over(w_prev), F.lit(0)).alias(f"{name}_o")
-          for name in val_cols],
-        *([F.lead("_rb_first").over(Window.partitionBy(*keys).orderBy(_BLK)).alias("_rb_nf")]
-          if next_col else []),
-    )
-
-    # (4) add the offsets back
-    cond = [F.col(k).eqNullSafe(F.col(f"_rb_k{i}")) for i, k in enumerate(keys)]
-    cond.append(F.col(_BLK) == F.col("_rb_blk2"))
-    joined = local.join(offs, cond, "inner")
+        totals.append(F.min(order[0]).alias("_rb_first"))
+    per_block = b.tagged.groupBy(*b.by).agg(*totals)
+    before = b.across().rowsBetween(Window.unboundedPreceding, -1)
+    offsets = per_block.select(
+        *b.by, F.coalesce(F.sum("_rb_c").over(before), F.lit(0)).alias("_rb_o"),
+        *(F.coalesce(F.sum(f"{c}_t").over(before), F.lit(0)).alias(f"{c}_o") for c in sums),
+        *([F.lead("_rb_first").over(b.across()).alias("_rb_next")] if next_col else []))
 
     out = [F.col(c) for c in df.columns]
     if count_col:
-        out.append((F.col("_rb_lc") + F.col("_rb_oc")).alias(count_col))
-    for (name, _), out_name in zip(val_cols.items(), sums.keys()):
-        out.append((F.col(f"{name}_l") + F.col(f"{name}_o")).alias(out_name))
+        out.append((F.col("_rb_l") + F.col("_rb_o")).alias(count_col))
+    out += [(F.coalesce(F.col(f"{c}_l"), F.lit(0)) + F.col(f"{c}_o")).alias(name)
+            for c, (name, _) in sums.items()]
     if next_col:
-        out.append(F.coalesce(F.col("_rb_lead"), F.col("_rb_nf")).alias(next_col))
-    return joined.select(*out)
+        out.append(F.coalesce("_rb_lead", "_rb_next").alias(next_col))
+    return b.join(rows, offsets).select(*out)

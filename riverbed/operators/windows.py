@@ -9,10 +9,9 @@ Two physical forms for sliding windows:
 * ``expand``: ``F.window(ts, size, slide)`` copies every row into each of
   its ``size / slide`` windows, then aggregates. Works on streams.
 * ``sweep`` (batch): a row adds +1 at the start of its first window and
-  -1 just after its last. Rows are first collapsed per (key, first start,
-  end of coverage), change points summed, a running sum per key gives the
-  value at every change point, and each constant run is expanded into
-  window rows. Work is linear in input rows plus output windows rather
+  -1 just after its last. Change points are summed, a running sum per key
+  gives the value at every change point, and each constant run is expanded
+  into window rows. Work is linear in input rows plus output windows rather
   than ``rows * size / slide``; a 1 h / 5 s window would otherwise copy
   each row 720 times. Only subtractive aggregates (count, sum) qualify.
 """
@@ -21,7 +20,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.timefns import duration_micros, floor_to, from_micros, to_micros
 from .prefix import running_totals
@@ -77,100 +76,100 @@ def sliding_count_expand(df: DataFrame, ts: str, size: str, slide: str,
     return window_agg(df, ts, size, aggs, keys, slide=slide)
 
 
-# A key has at most 2 * (time span / slide + 1) change points, whatever the
-# data volume. Up to this many, one task per key runs the running sum as a
-# plain window; beyond it the block-distributed running sum is used.
-MAX_POINTS_PER_TASK = 4_000_000
+# Change points are multiples of the slide; a block of the running sum spans this many
+# slides, so a task holds at most that many points of a key whatever the data volume.
+SLIDES_PER_BLOCK = 1 << 16
 
 
-def change_points_bound(df: DataFrame, ts: str, size_us: int, slide_us: int) -> int:
-    """Upper bound on the change points of any one key: one min/max row."""
-    lo, hi = df.agg(F.min(to_micros(ts)), F.max(to_micros(ts))).first()
-    if lo is None:
-        return 0
-    return 2 * ((hi - lo + size_us) // slide_us + 2)
+def change_runs(df: DataFrame, ts: str, size_us: int, slide_us: int, keys: list[str],
+                sums: Mapping[str, str | Column]) -> DataFrame:
+    """``keys, p, p_next, n, *sums``: per key the runs of window starts with equal counts.
 
-
-def sliding_count_sweep(df: DataFrame, ts: str, size: str, slide: str,
-                        keys: Sequence[str], sums: Mapping[str, str | Column] | None = None,
-                        span_of: DataFrame | None = None) -> DataFrame:
-    """Sliding window count (and sums) by change-point sweep; batch only.
-
-    Output equals ``sliding_count_expand`` row for row:
-    ``window_start, window_end, *keys, n, *sums`` (times in the input's
-    NTZ wall clock). ``span_of``: a frame whose ``ts`` range covers the
-    input's (default: the input), used to bound the change points per key.
+    Every row gives two change points, +1 at its first window start and -1 after
+    its last; they are summed per point (map-side first), and a running sum over
+    the points, cut into blocks of time, gives each run's value.
     """
-    size_us, slide_us = duration_micros(size), duration_micros(slide)
-    keys = list(keys)
-    sums = dict(sums or {})
     t = to_micros(ts)
     # windows [s, s+size) with s a multiple of slide and t - size < s <= t
     first = floor_to(t - F.lit(size_us), slide_us) + F.lit(slide_us)
     stop = floor_to(t, slide_us) + F.lit(slide_us)
-
-    # 1. collapse rows sharing (key, first start, stop): partial agg map-side
     vals = {f"_s{i}": _c(v) for i, v in enumerate(sums.values())}
-    grouped = (df.where(F.col(ts).isNotNull())
-               .select(*keys, first.alias("_a"), stop.alias("_b"),
-                         *[v.alias(k) for k, v in vals.items()])
-               .groupBy(*keys, "_a", "_b")
-               .agg(F.count(F.lit(1)).alias("_n"), *[F.sum(k).alias(k) for k in vals]))
-
-    # 2. two change points per group: +n at _a, -n at _b; sum per point
-    plus = F.struct(F.col("_a").alias("p"), F.col("_n").alias("d"),
-                    *[F.col(k).alias(k) for k in vals])
-    minus = F.struct(F.col("_b").alias("p"), (-F.col("_n")).alias("d"),
-                     *[(-F.col(k)).alias(k) for k in vals])
-    points = (grouped.select(*keys, F.explode(F.array(plus, minus)).alias("_e"))
+    plus = F.struct(first.alias("p"), F.lit(1).cast("long").alias("d"),
+                    *[v.alias(k) for k, v in vals.items()])
+    minus = F.struct(stop.alias("p"), F.lit(-1).cast("long").alias("d"),
+                     *[(-v).alias(k) for k, v in vals.items()])
+    points = (df.where(F.col(ts).isNotNull())
+              .select(*keys, F.explode(F.array(plus, minus)).alias("_e"))
               .select(*keys, "_e.*")
               .groupBy(*keys, "p")
               .agg(F.sum("d").alias("d"), *[F.sum(k).alias(k) for k in vals]))
+    running = {"n": F.col("d"), **dict(zip(sums, (F.col(k) for k in vals)))}
+    run = running_totals(points, keys, ["p"], count_col=None, sums=running, next_col="p_next",
+                         span=SLIDES_PER_BLOCK * slide_us)
+    return run.where(F.col("n") > 0).select(*keys, "p", "p_next", "n", *sums)
 
-    # 3. running value at every change point, and where the run ends.
-    # A key's points are bounded by the time span, not by the row count:
-    # when that bound is small a per-key window is safe and cheaper;
-    # otherwise the block-distributed running sum cuts a key into blocks.
-    running = {"n": F.col("d"), **{f"{k}_r": F.col(k) for k in vals}}
-    bound = change_points_bound(span_of if span_of is not None else df, ts, size_us, slide_us)
-    if bound <= MAX_POINTS_PER_TASK:
-        w = Window.partitionBy(*keys).orderBy("p")
-        upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        run = points.select(*keys, "p", *[F.sum(c).over(upto).alias(name)
-                                          for name, c in running.items()],
-                            F.lead("p").over(w).alias("p_next"))
-    else:
-        run = running_totals(points, keys, ["p"], count_col=None, sums=running,
-                             next_col="p_next", plain_below=0)
-
-    # 4. expand each non-empty run into its window starts. The runs are few
-    # next to the windows they expand to, so AQE would coalesce them into a
-    # handful of tasks (it sizes by input); an explicit hash repartition of
-    # the runs spreads the expansion over all shuffle partitions instead.
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    starts = F.sequence(F.col("p"), F.col("p_next") - F.lit(slide_us), F.lit(slide_us))
-    out = (run.where(F.col("n") > 0)
-           .repartition(parts, *keys, "p")
-           .select(*keys, F.explode(starts).alias("_s"), "n",
-                   *[F.col(f"{k}_r").alias(name) for k, name in zip(vals, sums)]))
+
+def cut_runs(runs: DataFrame, slide_us: int, slides: int) -> DataFrame:
+    """Cut every run at the edges of time buckets of ``slides`` slides; adds ``bucket``."""
+    width = F.lit(slides * slide_us)
+    first, last = F.floor(F.col("p") / width), F.floor((F.col("p_next") - 1) / width)
+    cut = runs.withColumn("bucket", F.explode(F.sequence(first, last)))
+    return cut.withColumns({"p": F.greatest(F.col("p"), F.col("bucket") * width),
+                            "p_next": F.least(F.col("p_next"), (F.col("bucket") + 1) * width)})
+
+
+def window_starts(slide_us: int) -> Column:
+    """The window starts of a run, one row each."""
+    return F.explode(F.sequence(F.col("p"), F.col("p_next") - F.lit(slide_us), F.lit(slide_us)))
+
+
+#: window starts that one piece of a run expands to at most
+SLIDES_PER_PIECE = 720
+
+
+def sliding_count_sweep(df: DataFrame, ts: str, size: str, slide: str,
+                        keys: Sequence[str], sums: Mapping[str, str | Column] | None = None
+                        ) -> DataFrame:
+    """Sliding window count (and sums) by change-point sweep; batch only.
+
+    Output equals ``sliding_count_expand`` row for row:
+    ``window_start, window_end, *keys, n, *sums`` (times in the input's
+    NTZ wall clock). Runs are few next to the windows they expand to, so they
+    are cut into pieces of bounded length and spread before they expand.
+    """
+    size_us, slide_us = duration_micros(size), duration_micros(slide)
+    keys, sums = list(keys), dict(sums or {})
+    runs = change_runs(df, ts, size_us, slide_us, keys, sums)
+    pieces = cut_runs(runs, slide_us, SLIDES_PER_PIECE)
+    out = (spread(pieces, "bucket", *keys)
+           .select(*keys, window_starts(slide_us).alias("_s"), "n", *sums))
     return out.select(from_micros(F.col("_s")).alias("window_start"),
                       from_micros(F.col("_s") + F.lit(size_us)).alias("window_end"),
                       *keys, "n", *sums.keys())
 
 
+def spread(df: DataFrame, *by: str) -> DataFrame:
+    """Hash the rows over all shuffle partitions. The explicit count keeps AQE from
+    merging partitions by their small input when each row expands to many."""
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(parts, *by)
+
+
 def sliding_count(df: DataFrame, ts: str, size: str, slide: str, keys: Sequence[str],
                   sums: Mapping[str, str | Column] | None = None,
-                  method: str = "auto", span_of: DataFrame | None = None) -> DataFrame:
+                  method: str = "auto") -> DataFrame:
     """Per-key sliding window count; ``method`` = ``auto`` | ``sweep`` | ``expand``.
 
-    ``auto`` picks the sweep for batch frames whose windows overlap at
-    least 4-fold, the built-in form otherwise (and always for streams).
+    ``auto`` depends on the parameters only, never on the data: the sweep costs
+    two change points per row, the built-in form ``size / slide`` copies, so the
+    sweep is taken for batch frames from 4-fold overlap on (streams cannot sweep).
+    Both give the same rows.
     """
     if method == "auto":
         dense = duration_micros(size) >= 4 * duration_micros(slide)
         method = "sweep" if dense and not df.isStreaming else "expand"
     if method == "sweep":
-        return sliding_count_sweep(df, ts, size, slide, keys, sums, span_of)
+        return sliding_count_sweep(df, ts, size, slide, keys, sums)
     if method == "expand":
         return sliding_count_expand(df, ts, size, slide, keys, sums)
     raise ValueError(method)

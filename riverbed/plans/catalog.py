@@ -8,17 +8,17 @@ are exact and comparable with the SQL oracle.
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..functions.parsing import parse_access_log
+from ..functions.parsing import (parse_access_log, parse_ad_click, parse_int, parse_key_value,
+                                 parse_order_line)
 from ..functions.timefns import next_midnight
 from ..operators import aggregates, clicks, count_windows, hot_pages as hp, joins, topn, windows
 from ..operators.metrics import write_text_counting
 from ..operators.orders import order_amount as _order_amount
 from ..operators.window_join import window_join as _window_join
 from ..session import stable_path
+from ..sinks.outputs import write_text
 from ..sources.tables import table
 
 
@@ -100,13 +100,13 @@ def order_amount(spark: SparkSession, d: str) -> DataFrame:
 
 def word_count(spark: SparkSession, d: str) -> DataFrame:
     """Words of every document line split on ',' (Java split rules), counted."""
-    docs = table(spark, d, "documents", spread_by="doc_id").select("text")
+    docs = table(spark, d, "documents").select("text")
     return aggregates.word_count(docs, "text", ",")
 
 
 def running_word_count(spark: SparkSession, d: str) -> DataFrame:
     """Every word of every document line with its running count, in arrival order."""
-    docs = table(spark, d, "documents", spread_by="doc_id").select("doc_id", "text")
+    docs = table(spark, d, "documents").select("doc_id", "text")
     return aggregates.running_word_count(docs, "text", "doc_id", ",")
 
 
@@ -132,26 +132,26 @@ def count_window_sliding(spark: SparkSession, d: str) -> DataFrame:
 # -- joins -----------------------------------------------------------------
 
 def _join_inputs(spark, d):
-    cust = (table(spark, d, "customer").where(F.col("c_mktsegment") == "BUILDING")
-            .select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name")))
-    orders = (table(spark, d, "orders").where(F.col("o_orderpriority") == "1-URGENT")
-              .select(F.col("o_custkey").alias("id"), F.col("o_orderkey").alias("order_key"),
-                      F.col("o_orderstatus").alias("status")))
-    return cust, orders
+    """Two whole tables with ids that the other side lacks, on both sides."""
+    marks = table(spark, d, "labels").select(
+        F.col("doc_id").alias("id"), F.col("quality").cast("string").alias("quality"), "toxic")
+    vectors = table(spark, d, "embeddings").select(
+        F.col("vec_id").alias("id"), F.col("label").cast("string").alias("cluster"))
+    return marks, vectors
 
 
 def join_inner(spark: SparkSession, d: str) -> DataFrame:
-    """BUILDING customers joined with their urgent orders."""
+    """Document labels joined with the vectors of the same id."""
     return joins.equi_join(*_join_inputs(spark, d), "id", "inner")
 
 
 def join_left(spark: SparkSession, d: str) -> DataFrame:
-    """Left outer: customers without urgent orders get status "null"."""
+    """Left outer: labels without a vector get cluster "null"."""
     return joins.equi_join(*_join_inputs(spark, d), "id", "left")
 
 
 def join_right(spark: SparkSession, d: str) -> DataFrame:
-    """Right outer: urgent orders of other customers get name "null"."""
+    """Right outer: vectors without labels get quality "null" (toxic stays NULL)."""
     return joins.equi_join(*_join_inputs(spark, d), "id", "right")
 
 
@@ -160,25 +160,19 @@ def join_full(spark: SparkSession, d: str) -> DataFrame:
     return joins.equi_join(*_join_inputs(spark, d), "id", "full")
 
 
-def join_cross(spark: SparkSession, d: str) -> DataFrame:
-    """Every customer paired with every region (region is size-checked, broadcast)."""
-    cust = table(spark, d, "customer").select("c_custkey", "c_name")
-    reg = table(spark, d, "region").select("r_regionkey", "r_name")
-    return joins.cross_bounded(cust, reg, max_right_rows=1000)
-
-
 def broadcast_lookup(spark: SparkSession, d: str) -> DataFrame:
-    """Each customer's nation looked up in a map nation -> number of suppliers
-    with a positive balance; nations missing from the map give 0."""
+    """Every customer looked up in a map user -> number of events; customers
+    missing from the map give 0."""
     cust = table(spark, d, "customer").select("c_custkey", "c_name", "c_nationkey")
-    sup = (table(spark, d, "supplier").where(F.col("s_acctbal") > 0)
-           .groupBy("s_nationkey").agg(F.count(F.lit(1)).alias("n_suppliers")))
-    return joins.broadcast_lookup(cust, sup, "c_nationkey", "s_nationkey", "n_suppliers",
-                                  default=0)
+    seen = table(spark, d, "events").groupBy("user_id").agg(F.count(F.lit(1)).alias("n_events"))
+    return joins.lookup(cust, seen, "c_custkey", "user_id", "n_events", default=0)
 
 
 def window_join(spark: SparkSession, d: str) -> DataFrame:
-    """Clicks joined with purchases of the same user in the same 1 h tumbling window."""
+    """Clicks joined with purchases of the same user in the same 1 h tumbling window.
+
+    The operator joins two streams; ``events`` is split into them by event type.
+    """
     ev = _events(spark, d)
     click = ev.where(F.col("event_type") == "click").select(
         F.col("user_id").alias("k"), "ts", F.col("event_id").alias("v1"))
@@ -240,20 +234,78 @@ def blacklist_alerts(spark: SparkSession, d: str) -> DataFrame:
                                cap=BLACKLIST_CAP, period="1 day")
 
 
+def ad_click_lines(ev: DataFrame) -> DataFrame:
+    """Stand-in input: the driver has no ad-click log, so each event is written as one
+    line ``user,ad,province,city,epoch seconds``. Formatting only; the query's work
+    starts at parsing. ``event_id`` (the arrival sequence) rides along."""
+    line = F.concat_ws(",", F.col("user_id").cast("string"),
+                       F.pmod("event_id", F.lit(3)).cast("string"), F.col("event_type"),
+                       F.concat(F.lit("city"), F.pmod("user_id", F.lit(5)).cast("string")),
+                       F.unix_seconds(F.col("ts").cast("timestamp")).cast("string"))
+    return ev.select("event_id", line.alias("value"))
+
+
+def _ad_clicks(spark, d):
+    return parse_ad_click(ad_click_lines(_events(spark, d)), extra=["event_id"])
+
+
 def ad_click_count(spark: SparkSession, d: str) -> DataFrame:
-    """The whole ad-click flow: cap clicks per (user, event_type) and UTC day,
-    then count the passing clicks per province (event_type) per 1 h window
-    sliding by 5 s."""
-    raw = _clicks(spark, d)
-    passed = clicks.click_pass(raw, ["user_id", "ad_id"], "ts", ["event_id"],
+    """The whole ad-click flow: parse click lines, cap clicks per (user, ad) and UTC
+    day, then count the passing clicks per province per 1 h window sliding by 5 s."""
+    passed = clicks.click_pass(_ad_clicks(spark, d), ["user_id", "ad_id"], "ts", ["event_id"],
                                cap=BLACKLIST_CAP, period="1 day")
-    per_province = passed.select("ts", F.col("ad_id").alias("province"))
-    # the raw clicks' time range covers the passed ones: bound from the scan
-    return (windows.sliding_count(per_province, "ts", "1 hour", "5 seconds", ["province"],
-                                  method="sweep", span_of=raw)
+    return (windows.sliding_count(passed.select("ts", "province"), "ts", "1 hour", "5 seconds",
+                                  ["province"], method="sweep")
             .select("window_end", "province", "n"))
 
 
+def ad_click_alerts(spark: SparkSession, d: str) -> DataFrame:
+    """The ad-click flow's side output: one alert per (user, ad) and UTC day over the cap."""
+    return clicks.click_alerts(_ad_clicks(spark, d), ["user_id", "ad_id"], "ts", ["event_id"],
+                               cap=BLACKLIST_CAP, period="1 day")
+
+
+# -- line parsers and the text sink ------------------------------------------
+
+def parsed_ints(spark: SparkSession, d: str) -> DataFrame:
+    """Events' cents as text lines, parsed as integers, counted per value."""
+    lines = _events(spark, d).select(cents("value").cast("string").alias("value"))
+    return parse_int(lines).groupBy("v").agg(F.count(F.lit(1)).alias("n"))
+
+
+def parsed_key_values(spark: SparkSession, d: str) -> DataFrame:
+    """Events as ``key,value`` lines with a surplus field, parsed, counted per pair."""
+    line = F.concat_ws(",", F.col("user_id").cast("string"), F.col("event_type"), F.lit("more"))
+    pairs = parse_key_value(_events(spark, d).select(line.alias("value")))
+    return pairs.groupBy("k", "v").agg(F.count(F.lit(1)).alias("n"))
+
+
+def parsed_ad_clicks(spark: SparkSession, d: str) -> DataFrame:
+    """Every ad-click line parsed into its five typed fields."""
+    return _ad_clicks(spark, d).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
+def parsed_orders(spark: SparkSession, d: str) -> DataFrame:
+    """Orders as tab-separated lines (no payment reference: ``null``), parsed again."""
+    o = _orders(spark, d)
+    ref = F.when(F.col("o_orderstatus") == "O", F.lit("null")) \
+        .otherwise(F.col("o_orderkey").cast("string"))
+    day = F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss")
+    line = F.concat_ws("\t", F.col("o_orderkey").cast("string"),
+                       cents("o_totalprice").cast("string"),
+                       F.length("o_orderpriority").cast("string"),
+                       F.col("o_custkey").cast("string"), F.col("o_orderpriority"), ref, day, day)
+    parsed = parse_order_line(o.select(line.alias("value")))
+    return parsed.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("create_time", "end_time")})
+
+
+def text_lines_written(spark: SparkSession, d: str) -> DataFrame:
+    """Labels joined with vectors (NULLs on both sides) written as text, read back as lines."""
+    path = stable_path(spark, f"joined-text-{spark.sparkContext.applicationId}")
+    write_text(joins.equi_join(*_join_inputs(spark, d), "id", "full"), path)
+    return spark.read.text(path)
+
+
 def next_midnight_q(spark: SparkSession, d: str) -> DataFrame:
     """For every event, the next UTC midnight after its time."""
     ev = _events(spark, d).select("event_id", "ts")
@@ -262,8 +314,9 @@ def next_midnight_q(spark: SparkSession, d: str) -> DataFrame:
 
 def observed_count(spark: SparkSession, d: str) -> DataFrame:
     """Write lineitem as text lines and report the row count observed during the write."""
-    li = table(spark, d, "lineitem", spread_by="l_orderkey")
-    n = write_text_counting(li, stable_path(spark, f"lineitem-text-{os.path.basename(d)}"))
+    li = table(spark, d, "lineitem")
+    path = stable_path(spark, f"lineitem-text-{spark.sparkContext.applicationId}")
+    n = write_text_counting(li, path)
     return spark.createDataFrame([(n,)], "n long")
 
 
@@ -285,7 +338,6 @@ QUERIES = {
     "join_left": join_left,
     "join_right": join_right,
     "join_full": join_full,
-    "join_cross": join_cross,
     "broadcast_lookup": broadcast_lookup,
     "window_join": window_join,
     "first_n": first_n,
@@ -295,6 +347,12 @@ QUERIES = {
     "blacklist_pass": blacklist_pass,
     "blacklist_alerts": blacklist_alerts,
     "ad_click_count": ad_click_count,
+    "ad_click_alerts": ad_click_alerts,
+    "parsed_ints": parsed_ints,
+    "parsed_key_values": parsed_key_values,
+    "parsed_ad_clicks": parsed_ad_clicks,
+    "parsed_orders": parsed_orders,
+    "text_lines_written": text_lines_written,
     "next_midnight": next_midnight_q,
     "observed_count": observed_count,
 }

@@ -9,8 +9,9 @@ after 1970, so it floors).
 
 from __future__ import annotations
 
-from ..operators.clicks import alert_message
-from .catalog import BLACKLIST_CAP
+#: the cap of the registered click queries and its alert text, stated on their own
+CAP = 2
+ALERT = "点击超过2 次"
 
 HOUR = 3_600_000_000
 DAY = 86_400_000_000
@@ -37,10 +38,27 @@ def _tumbling(aggs: str, size: int, source: str = "events", ts: str = "ts") -> s
 
 
 _JOIN_INPUTS = """
-    WITH c AS (SELECT c_custkey AS id, c_name AS name FROM customer
-               WHERE c_mktsegment = 'BUILDING'),
-         o AS (SELECT o_custkey AS id, o_orderkey AS order_key, o_orderstatus AS status
-               FROM orders WHERE o_orderpriority = '1-URGENT')"""
+    WITH l AS (SELECT doc_id AS id, CAST(quality AS VARCHAR) AS quality, toxic FROM labels),
+         e AS (SELECT vec_id AS id, CAST(label AS VARCHAR) AS cluster FROM embeddings)"""
+
+_FULL_JOIN = _JOIN_INPUTS + """,
+    f AS (SELECT coalesce(l.id, e.id) AS id,
+                 CASE WHEN l.id IS NULL THEN 'null' ELSE l.quality END AS quality, l.toxic,
+                 CASE WHEN e.id IS NULL THEN 'null' ELSE e.cluster END AS cluster
+          FROM l FULL JOIN e ON l.id = e.id)"""
+
+_AD_LINES = """
+    WITH lines AS (SELECT event_id, concat_ws(',', CAST(user_id AS VARCHAR),
+                          CAST(event_id % 3 AS VARCHAR), event_type,
+                          'city' || CAST(user_id % 5 AS VARCHAR),
+                          CAST(epoch_us(ts) // 1000000 AS VARCHAR)) AS line FROM events),
+    f AS (SELECT event_id, string_split(line, ',') AS p FROM lines),
+    a AS (SELECT event_id, CAST(p[1] AS BIGINT) AS user_id, CAST(p[2] AS BIGINT) AS ad_id,
+                 p[3] AS province, p[4] AS city,
+                 make_timestamp(CAST(p[5] AS BIGINT) * 1000000) AS ts FROM f),
+    r AS (SELECT *, make_timestamp((epoch_us(ts) // 86400000000) * 86400000000) AS period_start,
+                 row_number() OVER (PARTITION BY user_id, ad_id, epoch_us(ts) // 86400000000
+                                    ORDER BY ts, event_id) AS rk FROM a)"""
 
 _CLICK_RANKS = """
     WITH r AS (SELECT event_id, user_id, event_type AS ad_id, ts,
@@ -91,7 +109,7 @@ SQL: dict[str, str] = {
     "word_count": r"""
     WITH lines AS (
         SELECT unnest(CASE WHEN text = '' THEN []::VARCHAR[]
-                           ELSE string_split(regexp_replace(text, '\n\z', ''), chr(10)) END)
+                           ELSE string_split_regex(regexp_replace(text, '\r?\n\z', ''), '\r?\n') END)
                AS line
         FROM documents),
     w AS (
@@ -104,7 +122,7 @@ SQL: dict[str, str] = {
     "running_word_count": r"""
     WITH d AS (
         SELECT doc_id, CASE WHEN text = '' THEN []::VARCHAR[]
-                            ELSE string_split(regexp_replace(text, '\n\z', ''), chr(10)) END AS ls
+                            ELSE string_split_regex(regexp_replace(text, '\r?\n\z', ''), '\r?\n') END AS ls
         FROM documents),
     l AS (SELECT doc_id, unnest(ls) AS line, CAST(generate_subscripts(ls, 1) - 1 AS BIGINT) AS line_no
           FROM d),
@@ -146,34 +164,45 @@ SQL: dict[str, str] = {
     SELECT user_id, rn, n, total FROM r WHERE rn % 2 = 0""",
 
     "join_inner": _JOIN_INPUTS + """
-    SELECT c.id, c.name, o.order_key, o.status FROM c JOIN o ON c.id = o.id""",
+    SELECT l.id, quality, toxic, cluster FROM l JOIN e ON l.id = e.id""",
 
     "join_left": _JOIN_INPUTS + """
-    SELECT c.id, c.name, o.order_key,
-           CASE WHEN o.id IS NULL THEN 'null' ELSE o.status END AS status
-    FROM c LEFT JOIN o ON c.id = o.id""",
+    SELECT l.id, quality, toxic, CASE WHEN e.id IS NULL THEN 'null' ELSE cluster END AS cluster
+    FROM l LEFT JOIN e ON l.id = e.id""",
 
     "join_right": _JOIN_INPUTS + """
-    SELECT o.id, CASE WHEN c.id IS NULL THEN 'null' ELSE c.name END AS name,
-           o.order_key, o.status
-    FROM c RIGHT JOIN o ON c.id = o.id""",
+    SELECT e.id, CASE WHEN l.id IS NULL THEN 'null' ELSE quality END AS quality, toxic, cluster
+    FROM l RIGHT JOIN e ON l.id = e.id""",
 
-    "join_full": _JOIN_INPUTS + """
-    SELECT coalesce(c.id, o.id) AS id,
-           CASE WHEN c.id IS NULL THEN 'null' ELSE c.name END AS name,
-           o.order_key,
-           CASE WHEN o.id IS NULL THEN 'null' ELSE o.status END AS status
-    FROM c FULL JOIN o ON c.id = o.id""",
+    "join_full": _FULL_JOIN + " SELECT id, quality, toxic, cluster FROM f",
 
-    "join_cross": """
-    SELECT c_custkey, c_name, r_regionkey, r_name FROM customer CROSS JOIN region""",
+    "text_lines_written": _FULL_JOIN + """
+    SELECT concat_ws(',', coalesce(CAST(id AS VARCHAR), 'null'), coalesce(quality, 'null'),
+                     coalesce(CAST(toxic AS VARCHAR), 'null'), coalesce(cluster, 'null')) AS value
+    FROM f""",
 
     "broadcast_lookup": """
-    WITH s AS (SELECT s_nationkey, count(*) AS n_suppliers FROM supplier
-               WHERE s_acctbal > 0 GROUP BY s_nationkey)
+    WITH s AS (SELECT user_id, count(*) AS n_events FROM events GROUP BY user_id)
     SELECT c_custkey, c_name, c_nationkey,
-           CASE WHEN s.s_nationkey IS NULL THEN 0 ELSE s.n_suppliers END AS n_suppliers
-    FROM customer LEFT JOIN s ON customer.c_nationkey = s.s_nationkey""",
+           CASE WHEN s.user_id IS NULL THEN 0 ELSE s.n_events END AS n_events
+    FROM customer LEFT JOIN s ON customer.c_custkey = s.user_id""",
+
+    "parsed_ints": f"""
+    SELECT CAST({CENTS} AS INTEGER) AS v, count(*) AS n FROM events GROUP BY ALL""",
+
+    "parsed_key_values": """
+    SELECT CAST(user_id AS VARCHAR) AS k, event_type AS v, count(*) AS n FROM events GROUP BY ALL""",
+
+    "parsed_ad_clicks": _AD_LINES + """
+    SELECT event_id, user_id, ad_id, province, city, ts FROM a""",
+
+    "parsed_orders": """
+    SELECT o_orderkey AS order_id, CAST(round(o_totalprice * 100) AS BIGINT) AS amount,
+           CAST(length(o_orderpriority) AS INTEGER) AS category, o_custkey AS user_id,
+           o_orderpriority AS channel,
+           CASE WHEN o_orderstatus = 'O' THEN NULL ELSE o_orderkey END AS payment_ref,
+           CAST(o_orderdate AS TIMESTAMP) AS create_time, CAST(o_orderdate AS TIMESTAMP) AS end_time
+    FROM orders""",
 
     "window_join": f"""
     WITH cl AS (SELECT user_id AS k, (epoch_us(ts) // {HOUR}) * {HOUR} AS w, event_id AS v1
@@ -203,20 +232,29 @@ SQL: dict[str, str] = {
     ORDER BY o_custkey ASC, o_totalprice DESC, o_orderkey ASC LIMIT 3""",
 
     "blacklist_pass": _CLICK_RANKS + f"""
-    SELECT event_id, user_id, ad_id, ts FROM r WHERE rk <= {BLACKLIST_CAP}""",
+    SELECT event_id, user_id, ad_id, ts FROM r WHERE rk <= {CAP}""",
 
     "blacklist_alerts": _CLICK_RANKS + f"""
-    SELECT user_id, ad_id, period_start, '{alert_message(BLACKLIST_CAP)}' AS message
-    FROM r WHERE rk = {BLACKLIST_CAP + 1}""",
+    SELECT user_id, ad_id, period_start, '{ALERT}' AS message
+    FROM r WHERE rk = {CAP + 1}""",
 
-    "ad_click_count": _CLICK_RANKS + f""",
-    s AS (SELECT ad_id AS province,
+    "ad_click_count": _AD_LINES + f""",
+    s AS (SELECT province,
                  unnest(generate_series(((epoch_us(ts) - {HOUR}) // 5000000) * 5000000 + 5000000,
                                         (epoch_us(ts) // 5000000) * 5000000, 5000000)) AS s
-          FROM r WHERE rk <= {BLACKLIST_CAP})
+          FROM r WHERE rk <= {CAP})
     SELECT make_timestamp(s + {HOUR}) AS window_end, province, count(*) AS n
     FROM s GROUP BY ALL""",
 
+    "ad_click_alerts": _AD_LINES + f"""
+    SELECT user_id, ad_id, period_start, '{ALERT}' AS message FROM r WHERE rk = {CAP + 1}""",
+
+    "stream_hot_pages": "WITH" + _sliding_counts("event_type", "url", 600_000_000, 60_000_000) + """,
+    r AS (SELECT url, window_end, n,
+                 row_number() OVER (PARTITION BY window_end ORDER BY n DESC, url ASC) AS rk
+          FROM c)
+    SELECT url, window_end, n FROM r WHERE rk <= 3""",
+
     "next_midnight": f"""
     SELECT event_id, ts, make_timestamp((epoch_us(ts) // {DAY} + 1) * {DAY}) AS next_midnight
     FROM events""",

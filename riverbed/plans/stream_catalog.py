@@ -3,28 +3,21 @@ processed by Structured Streaming to the end of the available input, and
 read back from the sink. Results equal the batch twin, so each one is
 checked against the same SQL.
 
-Sizing on a cluster: ``maxFilesPerTrigger`` bounds a micro-batch; state
-lives in RocksDB under the shared checkpoint folder.
+A micro-batch holds a bounded number of bytes; state lives in RocksDB under
+the shared checkpoint folder.
 """
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..operators import aggregates, windows
+from ..functions.parsing import parse_ad_click
+from ..operators import aggregates, topn, windows
 from ..operators.clicks import alert_message
+from ..sources.tables import stream_table as _stream
 from ..streaming import operators as so
-from ..streaming.runner import run_available
-from .catalog import BLACKLIST_CAP, cents
-
-
-def _stream(spark: SparkSession, d: str, name: str) -> DataFrame:
-    # the stream source wants a folder; the filter keeps only this table's file(s)
-    schema = spark.read.parquet(os.path.join(d, f"{name}.parquet")).schema
-    return (spark.readStream.schema(schema).option("maxFilesPerTrigger", 1)
-            .option("pathGlobFilter", f"{name}.parquet").parquet(d))
+from ..streaming.runner import run_available, run_outputs
+from .catalog import BLACKLIST_CAP, ad_click_lines, cents
 
 
 def _ntz(c: str) -> F.Column:
@@ -32,9 +25,10 @@ def _ntz(c: str) -> F.Column:
 
 
 def stream_word_count(spark: SparkSession, d: str) -> DataFrame:
-    """Running word count over the documents stream (complete mode)."""
+    """Running word count over the documents stream (update mode: changed words only)."""
     docs = _stream(spark, d, "documents").select("text")
-    return run_available(aggregates.word_count(docs, "text", ","), "word-count", "complete")
+    return run_available(aggregates.word_count(docs, "text", ","), "word-count", "update",
+                         keys=["word"])
 
 
 def _events_et(spark, d):
@@ -49,6 +43,33 @@ def stream_tumbling_sum(spark: SparkSession, d: str) -> DataFrame:
     return out.select(_ntz("window_start"), _ntz("window_end"), "n", "total")
 
 
+def stream_tumbling_full(spark: SparkSession, d: str) -> DataFrame:
+    """Whole-window statistics per 1 h tumbling window, updated as events arrive."""
+    ev = _events_et(spark, d).select("ts", cents("value").alias("c"))
+    agg = windows.window_agg(ev, "ts", "1 hour", [
+        F.count(F.lit(1)).alias("n"), F.sum("c").alias("total"),
+        F.min("c").alias("min_c"), F.max("c").alias("max_c")])
+    out = run_available(agg, "tumbling-full", "update", keys=["window_start", "window_end"])
+    return out.select(_ntz("window_start"), _ntz("window_end"), "n", "total", "min_c", "max_c")
+
+
+def stream_tumbling_avg(spark: SparkSession, d: str) -> DataFrame:
+    """Average value cents per 1 h tumbling window, updated as events arrive."""
+    ev = _events_et(spark, d).select("ts", cents("value").alias("c"))
+    out = run_available(windows.tumbling_avg(ev, "ts", "1 hour", "c"), "tumbling-avg", "update",
+                        keys=["window_start", "window_end"])
+    return out.select(_ntz("window_start"), _ntz("window_end"), "n", "avg")
+
+
+def stream_hot_pages(spark: SparkSession, d: str) -> DataFrame:
+    """Top 3 urls (url = event_type) per 10 min window sliding by 1 min: view counts
+    updated by the stream, ranked when read, so open windows are in the result."""
+    counts = so.window_counts(_events_et(spark, d), "ts", "event_type", "10 minutes", "1 minute")
+    counts = run_available(counts, "hot-pages", "update", keys=["url", "window_end"])
+    best = topn.top_n_per_group(counts, ["window_end"], [F.col("n").desc(), F.col("url").asc()], 3)
+    return best.select("url", _ntz("window_end"), "n")
+
+
 def stream_sliding_count(spark: SparkSession, d: str) -> DataFrame:
     """Clicks per province per 1 h window sliding by 5 min (built-in windows, update mode)."""
     ev = _events_et(spark, d).select("ts", F.col("event_type").alias("province"))
@@ -95,7 +116,8 @@ def stream_blacklist_alerts(spark: SparkSession, d: str) -> DataFrame:
 
 
 def stream_window_join(spark: SparkSession, d: str) -> DataFrame:
-    """Stream-stream join of clicks and purchases per user in 1 h tumbling windows."""
+    """Stream-stream join of clicks and purchases (``events`` split into two streams by
+    type) per user in 1 h tumbling windows."""
     ev = _events_et(spark, d)
     click = ev.where(F.col("event_type") == "click").select(
         F.col("user_id").alias("k"), "ts", F.col("event_id").alias("v1"))
@@ -105,10 +127,50 @@ def stream_window_join(spark: SparkSession, d: str) -> DataFrame:
     return out.select("k", _ntz("window_start"), _ntz("window_end"), "v1", "v2")
 
 
+def _ad_clicks(spark, d):
+    """One run of the ad-click program with both outputs: parse click lines, cap them,
+    alerts beside the passing clicks counted per province and sliding window."""
+    lines = ad_click_lines(_stream(spark, d, "events"))
+    rows = parse_ad_click(lines, extra=["event_id"]).withWatermark("ts", "10 seconds")
+    tagged = so.click_cap_stream(rows, ["user_id", "ad_id"], "ts", "event_id",
+                                 carry=["province"], cap=BLACKLIST_CAP, period="1 day")
+
+    def counts(batch: DataFrame) -> DataFrame:
+        # a micro-batch's share of each window; shares are summed when read
+        passed = batch.where(F.col("tag") == "pass").select("ts", "province")
+        return windows.sliding_count(passed, "ts", "1 hour", "5 seconds", ["province"],
+                                     method="sweep").select("window_end", "province", "n")
+
+    def alerts(batch: DataFrame) -> DataFrame:
+        return batch.where(F.col("tag") == "alert").select(
+            "user_id", "ad_id", _ntz("period_start"),
+            F.lit(alert_message(BLACKLIST_CAP)).alias("message"))
+
+    return run_outputs(tagged, "ad-clicks", {"counts": counts, "alerts": alerts})
+
+
+def stream_ad_click_count(spark: SparkSession, d: str) -> DataFrame:
+    """The ad-click program as one stream: passing clicks per province per 1 h window
+    sliding by 5 s."""
+    shares = _ad_clicks(spark, d)["counts"]
+    return shares.groupBy("window_end", "province").agg(F.sum("n").alias("n")) \
+        .select(_ntz("window_end"), "province", "n")
+
+
+def stream_ad_click_alerts(spark: SparkSession, d: str) -> DataFrame:
+    """The side output of the same stream: one alert per (user, ad) and day over the cap."""
+    return _ad_clicks(spark, d)["alerts"]
+
+
 STREAM_QUERIES = {
     "stream_word_count": stream_word_count,
     "stream_tumbling_sum": stream_tumbling_sum,
+    "stream_tumbling_full": stream_tumbling_full,
+    "stream_tumbling_avg": stream_tumbling_avg,
     "stream_sliding_count": stream_sliding_count,
+    "stream_hot_pages": stream_hot_pages,
+    "stream_ad_click_count": stream_ad_click_count,
+    "stream_ad_click_alerts": stream_ad_click_alerts,
     "stream_count_window_avg": stream_count_window_avg,
     "stream_count_window_sliding": stream_count_window_sliding,
     "stream_blacklist_pass": stream_blacklist_pass,
@@ -120,7 +182,11 @@ STREAM_QUERIES = {
 SAME_AS = {
     "stream_word_count": "word_count",
     "stream_tumbling_sum": "tumbling_sum",
+    "stream_tumbling_full": "tumbling_full",
+    "stream_tumbling_avg": "tumbling_avg",
     "stream_sliding_count": "sliding_count_expand",
+    "stream_ad_click_count": "ad_click_count",
+    "stream_ad_click_alerts": "ad_click_alerts",
     "stream_count_window_avg": "count_window_avg",
     "stream_count_window_sliding": "count_window_sliding",
     "stream_blacklist_pass": "blacklist_pass",

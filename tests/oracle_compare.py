@@ -25,7 +25,9 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
     con.execute("SET TimeZone='UTC'")
     for t in TABLES:
-        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir}/{t}.parquet')")
+        path = f"{sf_dir}/{t}.parquet"
+        path += "/*.parquet" if os.path.isdir(path) else ""
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{path}')")
     return con
 
 
@@ -86,7 +88,7 @@ def compare(spark, sf_dir: str, names=None, verbose=True) -> dict:
 if __name__ == "__main__":
     from riverbed.session import build_session
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    spark = build_session("local[8]")
+    spark = build_session("local[8]", shuffle_partitions=8)
     out = compare(spark, sf, sys.argv[2:] or None)
     bad = [k for k, v in out.items() if v["status"] == "MISMATCH"]
     print("MISMATCHES:", bad)

@@ -7,7 +7,6 @@ import pytest
 
 from pyspark.sql import Window, functions as F
 
-from riverbed.operators import joins
 from riverbed.operators.count_windows import count_window_sliding, count_window_tumbling
 from riverbed.operators.prefix import running_totals
 from riverbed.operators.windows import sliding_count_expand, sliding_count_sweep
@@ -23,11 +22,11 @@ def _skewed(spark, n=3000, seed=7):
     return spark.createDataFrame(data, "seq long, k string, v long")
 
 
-@pytest.mark.parametrize("plain_below", [0, None])  # distributed, then bounded plain window
-def test_running_totals_equal_window(spark, plain_below):
+@pytest.mark.parametrize("span", [1, 500, 1 << 20])
+def test_running_totals_equal_window(spark, span):
     df = _skewed(spark)
     got = running_totals(df, ["k"], ["seq"], count_col="rn", sums={"cum": "v"}, next_col="nx",
-                         blocks=5, plain_below=plain_below)
+                         span=span)
     w = Window.partitionBy("k").orderBy("seq")
     want = df.select("*", F.row_number().over(w).alias("rn"),
                      F.sum("v").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("cum"),
@@ -37,10 +36,38 @@ def test_running_totals_equal_window(spark, plain_below):
     assert want.select(cols).exceptAll(got.select(cols)).count() == 0
 
 
-@pytest.mark.parametrize("max_rows", [0, 4_000_000])
-def test_count_windows_equal_window_frames(spark, monkeypatch, max_rows):
-    from riverbed.operators import prefix
-    monkeypatch.setattr(prefix, "MAX_ROWS_PER_TASK", max_rows)
+def _final_plan(spark, make):
+    """The plan that ran, with broadcasts off."""
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = make()
+        out.collect()
+        return out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_rows_move_once_and_a_hot_key_is_cut(spark):
+    df = _skewed(spark)
+    plan = _final_plan(spark, lambda: running_totals(df, ["k"], ["seq"], sums={"cum": "v"}, span=1000))
+    moves = [x for x in plan.splitlines() if "Exchange hashpartitioning" in x and "Reused" not in x]
+    # one exchange carries rows; the others carry a row per block (after a partial aggregate)
+    assert sum("REPARTITION_BY_COL" in x for x in moves) == 1, plan
+    assert plan.count("partial_count") == 1 and len(moves) <= 4, plan
+    hot = df.where("k = 'hot'").select((F.floor(F.col("seq") / 1000)).alias("b")).distinct().count()
+    assert hot > 10
+
+
+def test_sliding_count_windows_share_the_exchange(spark):
+    plan = _final_plan(spark, lambda: count_window_sliding(_skewed(spark), ["k"], ["seq"], 2, 3, "v",
+                                                           span=1000))
+    moved = [x for x in plan.splitlines() if "REPARTITION_BY_COL" in x and "Reused" not in x]
+    assert len(moved) == 1 and "ReusedExchange" in plan, plan
+
+
+@pytest.mark.parametrize("span", [3, 40, 1 << 20])
+def test_count_windows_equal_window_frames(spark, span):
     df = _skewed(spark)
     w = Window.partitionBy("k").orderBy("seq")
     ranked = df.withColumn("rn", F.row_number().over(w))
@@ -49,23 +76,23 @@ def test_count_windows_equal_window_frames(spark, monkeypatch, max_rows):
                       F.count(F.lit(1)).over(frame).alias("n"),
                       F.sum("v").over(frame).alias("total"))
             .where(F.col("rn") % 2 == 0))
-    got = count_window_sliding(df, ["k"], ["seq"], every=2, size=3, value="v")
+    got = count_window_sliding(df, ["k"], ["seq"], every=2, size=3, value="v", span=span)
     assert got.exceptAll(want.select(got.columns)).count() == 0
     assert want.select(got.columns).exceptAll(got).count() == 0
 
     want_t = (ranked.groupBy("k", (F.floor((F.col("rn") - 1) / 3) + 1).alias("window_no"))
               .agg(F.count(F.lit(1)).alias("n"), F.sum("v").alias("total"))
               .where("n = 3"))
-    got_t = count_window_tumbling(df, ["k"], ["seq"], "v", 3).drop("avg")
+    got_t = count_window_tumbling(df, ["k"], ["seq"], "v", 3, span=span).drop("avg")
     assert got_t.exceptAll(want_t.select(got_t.columns)).count() == 0
     assert want_t.select(got_t.columns).exceptAll(got_t).count() == 0
 
 
-@pytest.mark.parametrize("max_points", [None, 0])  # fast path, then forced distributed
-def test_sweep_equals_expand(spark, monkeypatch, max_points):
+@pytest.mark.parametrize("slides", [7, 1 << 16])
+def test_sweep_equals_expand(spark, monkeypatch, slides):
     from riverbed.operators import windows as wmod
-    if max_points is not None:
-        monkeypatch.setattr(wmod, "MAX_POINTS_PER_TASK", max_points)
+    monkeypatch.setattr(wmod, "SLIDES_PER_BLOCK", slides)
+    monkeypatch.setattr(wmod, "SLIDES_PER_PIECE", slides)
     rnd = random.Random(3)
     base = dt.datetime(2024, 1, 1)
     data = [(base + dt.timedelta(seconds=rnd.randint(0, 4000), microseconds=rnd.randint(0, 999)),
@@ -79,10 +106,18 @@ def test_sweep_equals_expand(spark, monkeypatch, max_points):
         assert b.exceptAll(a).count() == 0, (size, slide)
 
 
-def test_skew_safe_outer_joins_equal_plain(spark):
-    left = _skewed(spark, 500, 1).select(F.col("k").alias("key"), F.col("v").alias("lv"))
-    right = _skewed(spark, 300, 2).select(F.col("k").alias("key"), F.col("seq").alias("rv"))
-    for how in ("left", "right", "full"):
-        a = joins.equi_join(left, right, "key", how, skew_safe=True)
-        b = joins.equi_join(left, right, "key", how, skew_safe=False)
-        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, how
+def test_hot_pages_buckets_equal_plain_ranking(spark, monkeypatch):
+    from riverbed.operators import hot_pages as hp
+    rnd = random.Random(12)
+    base = dt.datetime(2024, 1, 1)
+    data = [(base + dt.timedelta(seconds=rnd.randint(0, 900)), f"u{min(rnd.randint(0, 30), 12)}")
+            for _ in range(500)]
+    df = spark.createDataFrame(data, "ts timestamp_ntz, url string")
+    counts = sliding_count_expand(df, "ts", "1 minute", "5 seconds", ["url"])
+    best = Window.partitionBy("window_end").orderBy(F.col("n").desc(), F.col("url").asc())
+    want = counts.withColumn("r", F.row_number().over(best)).where("r <= 3") \
+        .select("url", "window_end", "n")
+    for slides in (5, 720):
+        monkeypatch.setattr(hp, "SLIDES_PER_BUCKET", slides)
+        got = hp.hot_pages(df, "ts", "url", "1 minute", "5 seconds", 3)
+        assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
