@@ -88,7 +88,8 @@ def drop_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     found = written(refine(docs, doc_id, text), "exact-groups")
     ids = found.groupBy("doc_id").agg(F.count("*").alias("rows"), F.max("kept").alias("kept"))
     gone = ids.where("rows = 1 AND NOT kept").select(F.col("doc_id").alias("__exact_id"))
-    out = docs.join(gone, docs[doc_id].eqNullSafe(gone["__exact_id"]), "left_anti")
+    # the same plan at every size: rows shuffled by id, never a broadcast that stops fitting
+    out = docs.join(gone.hint("shuffle_hash"), docs[doc_id].eqNullSafe(gone["__exact_id"]), "left_anti")
     repeats = written(ids.where("rows > 1").select(F.col("doc_id").alias("__exact_id")), "exact-repeats")
     if repeats.isEmpty():
         return out

@@ -222,4 +222,5 @@ def drop_near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
     gone = found.groupBy("doc_id").agg(
         F.max(F.col("doc_id").eqNullSafe(F.col("component_id"))).alias("kept")) \
         .where("NOT kept").select(F.col("doc_id").alias("_id"))
-    return docs.join(gone, docs[doc_id].eqNullSafe(gone["_id"]), "left_anti")
+    # the same plan at every size: rows shuffled by id, never a broadcast that stops fitting
+    return docs.join(gone.hint("shuffle_hash"), docs[doc_id].eqNullSafe(gone["_id"]), "left_anti")
