@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .base import BYTE_KEY, chunks, mix, prefix_hash, range_hash, word_spans
+from .base import BYTE_KEY, chunks, mix, prefix_hash, range_hash, word_spans, written
 
 WINDOW = 8
 WORD_BUCKETS = 4096
@@ -231,8 +231,11 @@ SCHEMA = ("n_words long, word_chars long, n_symbols long, n_dup_lines long, n_re
 
 
 def _judge_table(docs: DataFrame, text: str, lang: str, limits: Limits) -> Judge:
-    # bounded by languages x (character classes + word buckets), whatever the corpus
-    return Judge(references(docs, text, lang).collect(), limits)
+    refs = written(references(docs, text, lang), "quality-references")
+    enough = refs.where("kind = 'word'").groupBy("lang").agg(F.sum("n").alias("words")) \
+        .where(F.col("words") >= limits.min_ref_words).select("lang")
+    # languages that have a reference x (character classes + word buckets), whatever the corpus
+    return Judge(refs.join(enough, "lang", "left_semi").collect(), limits)
 
 
 def _verdict(judge: Judge, buf, off) -> dict[str, np.ndarray]:
