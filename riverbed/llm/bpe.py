@@ -27,8 +27,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .base import local_path
-from .pieces import Memo
+from .base import chunks, local_path
+from .pieces import PieceCoder
 
 _U4 = np.dtype("<u4")
 
@@ -284,18 +284,14 @@ class Decoder:
         return "".join(parts) + self.finish()
 
 
-_coders: dict[str, Memo] = {}
+_coders: dict[str, PieceCoder] = {}
 _decoders: dict[str, Decoder] = {}
 
 
-def coder(vocabulary: str) -> Memo:
-    """One transducer and memo per worker process and vocabulary."""
+def coder(vocabulary: str) -> PieceCoder:
+    """One transducer per worker process and vocabulary."""
     if vocabulary not in _coders:
-        machine = Transducer(load_ranks(local_path(vocabulary)))
-
-        def encode(piece: str) -> bytes:
-            return np.array(machine.encode(piece.encode()), _U4).tobytes()
-        _coders[vocabulary] = Memo(encode, limit=600_000)
+        _coders[vocabulary] = PieceCoder(Transducer(load_ranks(local_path(vocabulary))).encode)
     return _coders[vocabulary]
 
 
@@ -315,14 +311,14 @@ def encode(docs: DataFrame, vocabulary: str = "byte_bpe_50k.tiktoken", doc_id: s
     kind = docs.schema[doc_id].dataType.simpleString()
 
     def run(batches):
-        memo = coder(vocabulary)
+        code = coder(vocabulary)
         for batch in batches:
-            bodies = batch.column(1)
-            for lo in range(0, len(bodies), 256):
-                ids = [memo.text(x) for x in bodies.slice(lo, 256).to_pylist()]
+            for lo, hi, buf, off in chunks(batch.column(1)):
+                ids, at = code.chunk(buf, off)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(lo, 256),
-                     pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())],
+                    [batch.column(0).slice(lo, hi - lo), pa.array(np.diff(at)),
+                     pa.array([ids[a:b].astype(_U4).tobytes() for a, b in zip(at[:-1], at[1:])],
+                              pa.binary())],
                     names=["doc_id", "n_tokens", "ids"])
 
     return docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")) \
@@ -354,14 +350,15 @@ def round_trip(docs: DataFrame, vocabulary: str = "byte_bpe_50k.tiktoken", doc_i
     extra = ", ids binary" if with_ids else ""
 
     def run(batches):
-        memo, machine = coder(vocabulary), decoder(vocabulary)
+        code, machine = coder(vocabulary), decoder(vocabulary)
         for batch in batches:
-            for lo in range(0, batch.num_rows, 128):
-                part = batch.slice(lo, 128)
-                ids = [memo.text(x) for x in part.column(1).to_pylist()]
-                back = [machine.text(np.frombuffer(x, _U4)).encode() for x in ids]
+            for lo, hi, buf, off in chunks(batch.column(1)):
+                all_ids, at = code.chunk(buf, off)
+                parts = [all_ids[a:b] for a, b in zip(at[:-1].tolist(), at[1:].tolist())]
+                ids = [x.astype(_U4).tobytes() for x in parts]
+                back = [machine.text(x).encode() for x in parts]
                 columns = {
-                    "doc_id": part.column(0), "n_tokens": pa.array([len(x) // 4 for x in ids], pa.int64()),
+                    "doc_id": batch.column(0).slice(lo, hi - lo), "n_tokens": pa.array(np.diff(at)),
                     "ids_sha256": pa.array([hashlib.sha256(x).hexdigest() for x in ids], pa.string()),
                     "decoded_sha256": pa.array([hashlib.sha256(x).hexdigest() for x in back], pa.string())}
                 if with_ids:

@@ -1,53 +1,149 @@
-"""Pre-tokenisation shared by the two byte-level BPE operators.
+"""Pre-tokenisation and piece coding shared by the two byte-level BPE operators.
 
-``split`` cuts a text into the matches of the vocabulary's pattern. The general
-form needs Unicode properties (``regex``); for texts whose characters all lie
-in the ranges of ``_PLAIN`` the same matches come from the quicker ``re`` with
-the properties written out for these ranges.
+Pieces, the matches of the vocabulary's pattern, are found for a whole chunk of
+documents at once: where a text has only the characters of ``_allowed`` (ASCII
+and Latin letters), piece starts follow from the classes of neighbouring bytes;
+any other text is cut by the pattern itself. Each distinct piece of a chunk is
+coded once, and codes are remembered under the piece's 64-bit hash.
 """
 
 from __future__ import annotations
 
-import re
-from itertools import islice
+from collections.abc import Callable
 
+import numpy as np
 import regex
 
+from .base import prefix_hash, range_hash
+
 #: fixed values: the pattern of the vocabulary files, white space as Unicode's property
 PATTERN = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+"
            r"|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+")
-_LETTER = "A-Za-zÀ-ÖØ-öø-ſ"
-_plain = re.compile(rf"[\t\n\r\x20-\x7e{_LETTER}]*").fullmatch
-_quick = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTER}]+| ?[0-9]+| ?[^\s0-9{_LETTER}]+"
-                    r"|\s+(?!\S)|\s+").findall
-_full = regex.compile(PATTERN).findall
+_find = regex.compile(PATTERN).findall
+
+_SPACE, _LETTER, _DIGIT, _OTHER = 0, 1, 2, 3
+_class = np.full(256, _OTHER, np.uint8)
+_class[[9, 10, 13, 32]] = _SPACE
+_class[48:58] = _DIGIT
+_class[65:91] = _class[97:123] = _LETTER
+_class[128:] = _LETTER                  # inside allowed texts: U+00C0 to U+017F
+_allowed = np.zeros(256, bool)
+_allowed[[9, 10, 13]] = _allowed[32:127] = _allowed[0x80:0xC0] = _allowed[0xC3:0xC6] = True
+#: contractions by their letters after the apostrophe
+_TWO, _THREE = b"stmd", (b"re", b"ve", b"ll")
 
 
-def split(text: str) -> list[str]:
-    return _quick(text) if _plain(text) else _full(text)
+def piece_starts(buf: np.ndarray, off: np.ndarray) -> np.ndarray:
+    """Ascending starts of all pieces of a chunk's documents."""
+    n = len(buf)
+    if n == 0:
+        return np.zeros(0, np.int64)
+    cls = _class[buf]
+    start = np.zeros(n + 1, bool)
+    start[1:n] = cls[1:] != cls[:-1]
+    edge = np.zeros(n + 1, bool)
+    edge[off] = True
+    start[edge] = True
+    # the last white space before anything else stands alone; a blank joins what follows
+    space = cls == _SPACE
+    after = np.flatnonzero(space[:-1] & ~space[1:] & ~edge[1:n]) + 1
+    start[after - 1] = True
+    start[after[buf[after - 1] == 32]] = False
+    # an apostrophe that begins a piece takes a contraction's letters with it
+    mark = np.flatnonzero(buf == 39)
+    if len(mark):
+        before = np.where(edge[mark], _LETTER, cls[mark - 1])
+        mark = mark[(before != _OTHER) & (edge[mark] | (buf[mark - 1] != 32))]
+        room = off[np.searchsorted(off, mark, "right")] - mark      # bytes to the document's end
+        padded = np.append(buf, np.zeros(3, np.uint8))
+        one, two = padded[mark + 1], padded[mark + 2]
+        short = mark[(room > 1) & np.isin(one, list(_TWO))]
+        long = np.zeros(len(mark), bool)
+        for a, b in _THREE:
+            long |= (one == a) & (two == b)
+        long = mark[(room > 2) & long]
+        for place, size in ((short, 2), (long, 3)):
+            start[place + 1] = False
+            start[place + size] = True
+    # texts with other characters: by the pattern
+    odd = ~_allowed[buf]
+    odd[:-1] |= (buf[:-1] == 0xC3) & ((buf[1:] == 0x97) | (buf[1:] == 0xB7))
+    if odd.any():
+        for d in np.unique(np.searchsorted(off, np.flatnonzero(odd), "right") - 1).tolist():
+            lo, hi = int(off[d]), int(off[d + 1])
+            sizes = [len(p.encode()) for p in _find(buf[lo:hi].tobytes().decode())]
+            start[lo:hi] = False
+            start[lo + np.cumsum([0, *sizes[:-1]])] = True
+    start[n] = False
+    return np.flatnonzero(start)
 
 
-class Memo(dict):
-    """Piece -> its ids as little-endian uint32 bytes; forgets the older half at ``limit``
-    entries.
+class PieceCoder:
+    """Codes chunks of documents; remembers the ids of every piece it has met.
 
-    Long pieces are not kept, so the memory is bounded by about 200 bytes an
-    entry; what is forgotten is encoded anew, with the same result.
+    About 30 bytes a remembered piece: its hash in a sorted array, and its ids in
+    one pool. At ``limit`` pieces all is forgotten; what is forgotten is coded
+    anew, with the same result.
     """
 
-    def __init__(self, encode, limit: int = 500_000, longest: int = 40):
-        super().__init__()
-        self.encode, self.limit, self.longest = encode, limit, longest
+    def __init__(self, encode: Callable[[bytes], list[int]], limit: int = 3_000_000):
+        self.encode, self.limit = encode, limit
+        self._reset()
+
+    def _reset(self) -> None:
+        self.keys = np.zeros(0, np.uint64)          # sorted hashes and their entries
+        self.entry = np.zeros(0, np.int64)
+        self.fresh: dict[int, int] = {}             # hashes not yet merged -> entry
+        self.pool = np.zeros(1 << 16, np.uint32)
+        self.begin = np.zeros(1 << 14, np.int64)
+        self.size = np.zeros(1 << 14, np.int64)
+        self.n = self.used = 0
 
-    def __missing__(self, piece: str) -> bytes:
+    def _add(self, piece: bytes) -> int:
         ids = self.encode(piece)
-        if len(piece) <= self.longest:
-            if len(self) >= self.limit:
-                # half of the entries go, oldest first: recent pieces are the likelier ones
-                for old in list(islice(self, self.limit // 2)):
-                    del self[old]
-            self[piece] = ids
-        return ids
-
-    def text(self, text: str | None) -> bytes:
-        return b"".join(map(self.__getitem__, split(text))) if text else b""
+        if self.n == len(self.begin):
+            self.begin = np.concatenate([self.begin, np.zeros_like(self.begin)])
+            self.size = np.concatenate([self.size, np.zeros_like(self.size)])
+        while self.used + len(ids) > len(self.pool):
+            self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
+        self.pool[self.used:self.used + len(ids)] = ids
+        self.begin[self.n], self.size[self.n] = self.used, len(ids)
+        self.used += len(ids)
+        self.n += 1
+        return self.n - 1
+
+    def _merge(self) -> None:
+        keys = np.fromiter(self.fresh, np.uint64, len(self.fresh))
+        entry = np.fromiter(self.fresh.values(), np.int64, len(self.fresh))
+        keys, entry = np.concatenate([self.keys, keys]), np.concatenate([self.entry, entry])
+        order = np.argsort(keys)
+        self.keys, self.entry, self.fresh = keys[order], entry[order], {}
+
+    def chunk(self, buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of a chunk's documents, and each document's offset among them."""
+        if self.n > self.limit:
+            self._reset()
+        start = piece_starts(buf, off)
+        end = np.append(start[1:], len(buf)) if len(start) else start
+        hashes = range_hash(prefix_hash(buf), start, end)
+        keys, first, which = np.unique(hashes, return_index=True, return_inverse=True)
+        entry = np.full(len(keys), -1, np.int64)
+        if len(self.keys):
+            at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+            known = self.keys[at] == keys
+            entry[known] = self.entry[at[known]]
+        raw, fresh = buf.tobytes(), self.fresh
+        todo = np.flatnonzero(entry < 0)
+        for i, key, a, b in zip(todo.tolist(), keys[todo].tolist(), start[first[todo]].tolist(),
+                                end[first[todo]].tolist()):
+            place = fresh.get(key)
+            if place is None:
+                place = fresh[key] = self._add(raw[a:b])
+            entry[i] = place
+        if len(fresh) > 1 << 16:
+            self._merge()
+        entry = entry[which.reshape(-1)]
+        size = self.size[entry]
+        upto = np.concatenate([[0], np.cumsum(size)])
+        ids = self.pool[np.repeat(self.begin[entry] - upto[:-1], size) + np.arange(upto[-1])]
+        return ids, upto[np.searchsorted(start, off)]

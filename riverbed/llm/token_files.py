@@ -34,8 +34,8 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from .base import local_path
-from .pieces import Memo
+from .base import chunks, local_path
+from .pieces import PieceCoder
 
 END_ID = 2
 SEGMENT = 1 << 20
@@ -88,29 +88,24 @@ def byte_alphabet() -> dict[int, int]:
     return {b: b for b in plain} | {b: 0x100 + i for i, b in enumerate(rest)}
 
 
-_memos: dict[str, Memo] = {}
+_coders: dict[str, PieceCoder] = {}
 
 
-def _memo(vocabulary: str) -> Memo:
-    """One tokenizer and memo per worker process and vocabulary."""
-    if vocabulary not in _memos:
+def coder(vocabulary: str) -> PieceCoder:
+    """One tokenizer per worker process and vocabulary.
+
+    Pieces go straight to the library's merge model, in its byte alphabet: what
+    the whole tokenizer does to a text once it is split (it has no normaliser),
+    special tokens' strings being ordinary text.
+    """
+    if vocabulary not in _coders:
         from tokenizers import Tokenizer
-        # pieces go straight to the library's merge model, in its byte alphabet: what the
-        # whole tokenizer does to a text once it is split (it has no normaliser), special
-        # tokens' strings being ordinary text
-        tok = Tokenizer.from_file(local_path(vocabulary))
-        merge, alphabet = tok.model.tokenize, byte_alphabet()
-        space = chr(alphabet[0x20])
-        code = [i.to_bytes(4, "little") for i in range(tok.get_vocab_size())]
-
-        def encode(piece: str) -> bytes:
-            if piece[0] == " " and piece.isascii() and piece[1:].isalpha():
-                spelt = space + piece[1:]           # the common case of the translation below
-            else:
-                spelt = piece.encode().decode("latin-1").translate(alphabet)
-            return b"".join([code[t.id] for t in merge(spelt)])
-        _memos[vocabulary] = Memo(encode, limit=700_000)
-    return _memos[vocabulary]
+        model, alphabet = Tokenizer.from_file(local_path(vocabulary)).model, byte_alphabet()
+
+        def encode(piece: bytes) -> list[int]:
+            return [t.id for t in model.tokenize(piece.decode("latin-1").translate(alphabet))]
+        _coders[vocabulary] = PieceCoder(encode)
+    return _coders[vocabulary]
 
 
 def _schema(kind: str) -> str:
@@ -122,31 +117,29 @@ def write(docs: DataFrame, path: str, vocabulary: str = "byte_bpe_50k.json", end
           doc_id: str = "doc_id", text: str = "text") -> None:
     """Tokenise all documents and write the file set."""
     kind = docs.schema[doc_id].dataType.simpleString()
-    end = np.array([end_id], _U4).tobytes()
     names = [x.split()[0] for x in _schema(kind).split(", ")]
 
     def run(batches):
-        memo, part, segment = _memo(vocabulary), TaskContext.get().partitionId(), 0
-        ids, docs_in, sizes, held = [], [], [], 0
+        code, part, segment = coder(vocabulary), TaskContext.get().partitionId(), 0
+        ids, docs_in, sizes, held, out_schema = [], [], [], 0, None
 
         def row():
-            stream = np.frombuffer(b"".join(ids), _U4)
-            cells = [part, segment, len(stream), docs_in, sizes, *pack(stream)]
+            stream = np.concatenate(ids)
+            cells = [part, segment, len(stream), docs_in, np.concatenate(sizes), *pack(stream)]
             return pa.RecordBatch.from_pylist([dict(zip(names, cells))], schema=out_schema)
 
-        out_schema = None
         for batch in batches:
             out_schema = out_schema or pa.schema([
                 ("part", pa.int32()), ("segment", pa.int32()), ("n_tokens", pa.int64()),
                 ("doc_ids", pa.list_(batch.schema.field(0).type)), ("lengths", pa.list_(pa.int32())),
                 ("ranked", pa.binary()), ("control", pa.binary()), ("data", pa.binary())])
-            for key, body in zip(batch.column(0), batch.column(1)):
-                key, body = key.as_py(), body.as_py()
-                code = memo.text(body) + end
-                ids.append(code)
-                docs_in.append(key)
-                sizes.append(len(code) // 4)
-                held += sizes[-1]
+            for lo, hi, buf, off in chunks(batch.column(1)):
+                got, at = code.chunk(buf, off)
+                # each document's ids, then the end id
+                ids.append(np.insert(got, at[1:], end_id).astype(_U4))
+                sizes.append((np.diff(at) + 1).astype(np.int32))
+                docs_in += batch.column(0).slice(lo, hi - lo).to_pylist()
+                held += len(ids[-1])
                 if held >= SEGMENT:
                     yield row()
                     segment += 1
