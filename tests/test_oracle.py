@@ -25,7 +25,8 @@ def test_every_query_has_sql():
     assert set(_names()) <= set(entry.oracle_sql()) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", _names())
+# stream queries: on folder tables below (the file layout is checked at every round's gate)
+@pytest.mark.parametrize("name", [n for n in _names() if not n.startswith("stream_")])
 def test_query_matches_sql(spark, name):
     res = compare(spark, SF, [name], verbose=False)[name]
     assert res["status"] == "ok", res
