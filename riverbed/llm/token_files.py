@@ -20,14 +20,18 @@ reaches) with one row per segment:
 ``control``     two bits per id, lowest first: bytes of its code minus one
 ``data``        the codes
 
-Defined results: a null or empty text has the end id only; rows that share a
+Defined results: the string of an added token of the vocabulary gives that token's
+id wherever it stands in a text; a null or empty text has the end id only; rows that share a
 doc_id follow each other in any order; null doc_ids come first; an empty table
 gives an empty file set.
 """
 
 from __future__ import annotations
 
+import json
+import re
 import zlib
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -88,15 +92,60 @@ def byte_alphabet() -> dict[int, int]:
     return {b: b for b in plain} | {b: 0x100 + i for i, b in enumerate(rest)}
 
 
-_coders: dict[str, PieceCoder] = {}
-
-
-def coder(vocabulary: str) -> PieceCoder:
+def added_tokens(vocabulary: str) -> dict[bytes, int]:
+    """Added tokens of a vocabulary file: the literal bytes of each, and its id."""
+    with open(local_path(vocabulary), encoding="utf-8") as f:
+        listed = [t for t in json.load(f)["added_tokens"] if t["content"]]
+    if any(t["lstrip"] or t["rstrip"] or t["single_word"] for t in listed) \
+            or len({t["normalized"] for t in listed}) > 1:
+        raise ValueError(f"{vocabulary}: only added tokens that match literally are supported")
+    return {t["content"].encode(): t["id"] for t in listed}
+
+
+class TextCoder(PieceCoder):
+    """Piece coder that first cuts every document at the added tokens' strings, as the
+    library does: leftmost match, the longest of several; what lies between is split
+    into pieces as if it were a document of its own."""
+
+    def __init__(self, encode: Callable[[bytes], list[int]], added: dict[bytes, int]):
+        super().__init__(encode)
+        self.added = added
+        longest = sorted(added, key=len, reverse=True)
+        self.find = re.compile(b"|".join(map(re.escape, longest))) if added else None
+
+    def chunk(self, buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        raw = buf.tobytes()
+        if self.find is None or not self.find.search(raw):
+            return super().chunk(buf, off)
+        # document by document: a match never spans two
+        found = [m for lo, hi in zip(off[:-1].tolist(), off[1:].tolist())
+                 for m in self.find.finditer(raw, lo, hi)]
+        first = np.array([m.start() for m in found], np.int64)
+        last = np.array([m.end() for m in found], np.int64)
+        here = np.array([self.added[m.group()] for m in found], np.uint32)
+        # the texts without the matches, cut where a match was
+        inside = np.zeros(len(buf) + 1, np.int64)
+        inside[first] += 1
+        np.subtract.at(inside, last, 1)
+        kept = np.cumsum(inside[:-1]) == 0
+        gone = np.concatenate([[0], np.cumsum(last - first)])
+        before = np.searchsorted(last, off, "right")        # matches before each document edge
+        cut, edge = first - gone[:-1], off - gone[before]
+        all_cuts = np.sort(np.concatenate([cut, edge]))
+        ids, at = super().chunk(buf[kept], all_cuts)
+        place = at[np.searchsorted(all_cuts, cut)]
+        return np.insert(ids, place, here), at[np.searchsorted(all_cuts, edge)] + before
+
+
+_coders: dict[str, TextCoder] = {}
+
+
+def coder(vocabulary: str) -> TextCoder:
     """One tokenizer per worker process and vocabulary.
 
-    Pieces go straight to the library's merge model, in its byte alphabet: what
-    the whole tokenizer does to a text once it is split (it has no normaliser),
-    special tokens' strings being ordinary text.
+    Texts are cut at the added tokens; pieces go straight to the library's merge
+    model, in its byte alphabet: what the whole tokenizer does to a text once it
+    is split (it has no normaliser).
     """
     if vocabulary not in _coders:
         from tokenizers import Tokenizer
@@ -104,7 +153,7 @@ def coder(vocabulary: str) -> PieceCoder:
 
         def encode(piece: bytes) -> list[int]:
             return [t.id for t in model.tokenize(piece.decode("latin-1").translate(alphabet))]
-        _coders[vocabulary] = PieceCoder(encode)
+        _coders[vocabulary] = TextCoder(encode, added_tokens(vocabulary))
     return _coders[vocabulary]
 
 

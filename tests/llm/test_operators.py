@@ -194,6 +194,24 @@ def test_token_files_round_trip(spark, docs):
     assert Counter((k, r["n_tokens"], r["ids_crc32"]) for k, r in zip(seen, got)) == want
 
 
+def test_token_files_match_added_tokens_inside_texts(spark):
+    from tokenizers import Tokenizer
+    tok, mark = Tokenizer.from_file(local_path("byte_bpe_50k.json")), "<|endoftext|>"
+    r = random.Random(4)
+    parts = [mark, mark, "a ", " b", "  ", "'s", "<|", "|>", "endoftext", "\n", "日本 ", "é", "", "<|endof"]
+    texts = ["a <|endoftext|> b", mark, mark + mark, "x<|endof", "text|>", "", mark + "é", "<" + mark + ">", None]
+    texts += ["".join(r.choice(parts) for _ in range(r.randint(0, 12))) for _ in range(200)]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(2)
+    path = shared_path(spark, "tokens-added")
+    token_files.write(rows, path)
+    start = 0
+    for t, row in zip(texts, sorted(token_files.read(spark, path).collect(), key=lambda x: x["doc_id"])):
+        ids = [*tok.encode(t or "", add_special_tokens=False).ids, 2]
+        assert (row["start"], row["n_tokens"], row["ids_crc32"]) == (
+            start, len(ids), zlib.crc32(struct.pack(f"<{len(ids)}I", *ids)))
+        start += len(ids)
+
+
 def test_pack_unpack_all_lengths():
     rng = np.random.default_rng(5)
     for n in (0, 1, 3, 4, 1000):
