@@ -4,16 +4,21 @@ Every document has two histograms: character classes, and common words (words
 hashed, lower-cased in ASCII, to ``WORD_BUCKETS`` counters; the most frequent
 buckets of a language are its common words, all others count as "other").
 A language's reference sums both histograms over all documents of that
-language which pass the base rules. A document is kept if, for some language,
-its Jensen-Shannon distances (square root of the base-2 divergence, 0 to 1)
-to that reference stay below the limits.
+language which pass the base rules. A document whose language has a reference
+is kept if, for some language, its Jensen-Shannon distances (square root of the
+base-2 divergence, 0 to 1) to that reference stay below the limits. A document
+whose language has none gets no divergence verdict: the base rules decide, and
+its distances are 0. A document without a language that is too far from every
+reference may be of a language that has none, so its words are not held against
+it: it is kept if its character histogram, all letters counted as one class,
+stays below the character limit for some reference.
 
 Minimum-length guards: short documents have noisy histograms, so the word
 histogram counts only from ``min_words`` words on and the character histogram
 from ``min_chars`` characters on; a reference needs ``min_ref_words`` words.
 
 Defined results: a null or empty text has no words and fails the base rules;
-a null language gives no reference but is judged like any other; repeated
+a null language gives no reference and is judged as said above; repeated
 rows are judged one by one; with no reference at all the base rules decide.
 """
 
@@ -65,6 +70,7 @@ def _class_table() -> np.ndarray:
 
 
 _CLASS = _class_table()
+_LETTER = np.isin(CLASSES, ("lower", "upper", "accented", "foreign"))
 _SYMBOL = np.isin(np.arange(256), list(SYMBOLS))
 _LEAD = (np.arange(256) & 0xC0) != 0x80
 _LOWER = np.arange(256)
@@ -151,6 +157,11 @@ def js_distance(p: np.ndarray, q: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum((a + b) / 2, 0))
 
 
+def _one_letter_class(chars: np.ndarray) -> np.ndarray:
+    """Character histograms with all letters in one class."""
+    return np.concatenate([chars[..., ~_LETTER], chars[..., _LETTER].sum(-1, keepdims=True)], -1)
+
+
 def references(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
     """Histogram counts per language over all documents that pass the base rules:
     rows ``(lang, kind, bin, n)``, at most ``len(CLASSES) + WORD_BUCKETS`` per language.
@@ -194,7 +205,7 @@ class Judge:
             chars, words = by_lang.setdefault(
                 r["lang"], (np.zeros(len(CLASSES)), np.zeros(WORD_BUCKETS)))
             (chars if r["kind"] == "char" else words)[r["bin"]] = r["n"]
-        self.refs = []
+        self.refs, self.names = [], set()
         for name in sorted(by_lang):
             chars, words = by_lang[name]
             if words.sum() < limits.min_ref_words:
@@ -204,14 +215,19 @@ class Judge:
             slot[top] = np.arange(len(top))
             common = np.append(words[top], words.sum() - words[top].sum())
             self.refs.append((chars, slot, common))
+            self.names.add(name)
 
-    def distances(self, got: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def distances(self, got: dict[str, np.ndarray], langs: list[str | None]
+                  ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Smallest guarded distances over the languages, and the verdict."""
         n, lim = len(got["n_words"]), self.limits
         best = np.full((3, n), np.inf)
         enough_chars = got["chars"].sum(1) >= lim.min_chars
         enough_words = got["n_words"] >= lim.min_words
         noise = 1 / np.sqrt(np.maximum(got["n_words"], 1))
+        no_lang = np.array([x is None for x in langs], bool)
+        no_reference = np.array([x is not None and x not in self.names for x in langs], bool)
+        merged, like_text = _one_letter_class(got["chars"]), np.zeros(n, bool)
         for chars, slot, common in self.refs:
             k = len(common)
             hist = np.bincount(got["doc"] * k + slot[got["bucket"]], minlength=n * k).reshape(n, k)
@@ -221,9 +237,13 @@ class Judge:
                                 dw / (lim.word_floor + lim.word_slack * noise))
             better = excess < best[0]
             best = np.where(better, [excess, dc, dw], best)
+            if no_lang.any():
+                d = np.where(enough_chars, js_distance(merged, _one_letter_class(chars)), 0.0)
+                like_text |= d <= lim.char_floor + lim.char_slack * noise
+        best[:, no_reference] = 0.0
         if not self.refs:
             best[:] = 0.0
-        return best[1], best[2], best[0] <= 1.0
+        return best[1], best[2], (best[0] <= 1.0) | (no_lang & like_text)
 
 
 SCHEMA = ("n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
@@ -238,9 +258,9 @@ def _judge_table(docs: DataFrame, text: str, lang: str, limits: Limits) -> Judge
     return Judge(refs.join(enough, "lang", "left_semi").collect(), limits)
 
 
-def _verdict(judge: Judge, buf, off) -> dict[str, np.ndarray]:
+def _verdict(judge: Judge, buf, off, langs: list[str | None]) -> dict[str, np.ndarray]:
     got = measures(buf, off)
-    got["char_distance"], got["word_distance"], fits = judge.distances(got)
+    got["char_distance"], got["word_distance"], fits = judge.distances(got, langs)
     got["kept"] = fits & ~got["base_failed"]
     return got
 
@@ -254,13 +274,15 @@ def assess(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: st
 
     def run(batches):
         for batch in batches:
+            langs = batch.column(2).to_pylist()
             for lo, hi, buf, off in chunks(batch.column(1)):
-                got = _verdict(judge, buf, off)
+                got = _verdict(judge, buf, off, langs[lo:hi])
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(lo, hi - lo), *(pa.array(got[x]) for x in names)],
                     names=["doc_id", *names])
 
-    return docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")) \
+    return docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"),
+                       F.col(lang).cast("string").alias("lang")) \
         .mapInArrow(run, f"doc_id {kind}, {SCHEMA}")
 
 
@@ -268,11 +290,15 @@ def keep_good(docs: DataFrame, text: str = "text", lang: str = "lang",
               limits: Limits = Limits()) -> DataFrame:
     """The documents that the rules keep, with all their columns, in one pass and no shuffle."""
     judge = _judge_table(docs, text, lang, limits)
-    at = docs.columns.index(text)
+    at, width = docs.columns.index(text), len(docs.columns)
 
     def run(batches):
         for batch in batches:
-            kept = [_verdict(judge, buf, off)["kept"] for _, _, buf, off in chunks(batch.column(at))]
+            langs = batch.column(width).to_pylist()
+            batch = batch.select(range(width))
+            kept = [_verdict(judge, buf, off, langs[lo:hi])["kept"]
+                    for lo, hi, buf, off in chunks(batch.column(at))]
             yield batch.filter(pa.array(np.concatenate(kept))) if kept else batch
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.select("*", F.col(lang).cast("string").alias("__quality_lang")) \
+        .mapInArrow(run, docs.schema)

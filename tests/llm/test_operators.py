@@ -139,6 +139,37 @@ def test_references_cover_all_good_documents(docs):
     assert {r["lang"]: r["n"] for r in refs.collect()} == dict(want)
 
 
+def _prose_corpus(seed):
+    """``(doc_id, text, lang)``: sixty English texts and one function that makes more."""
+    r = random.Random(seed)
+    stems = {"en": "the of and that with thing river water stone under light",
+             "pt": "não uma para com mais água pedra sobre luz então muito",
+             "el": "και το να του με που από για στο νερό πέτρα"}
+    def text(lang, n):  # noqa: E306
+        return " ".join(r.choice(stems[lang].split()) + r.choice(["", "a", "s"]) for _ in range(n))
+    return [(i, text("en", 150), "en") for i in range(60)], text, r
+
+
+def _noise(r, n):
+    return " ".join(r.choice("#*$%&|<>") * 2 + r.choice("#*$%&|<>0123456789") for _ in range(n))
+
+
+def test_quality_gives_no_divergence_verdict_without_a_reference(spark):
+    rows, text, r = _prose_corpus(5)
+    rows += [(100 + i, text("pt", 100), "pt") for i in range(10)]       # under min_ref_words
+    rows += [(200, text("el", 120), "el")]                              # a language of one text
+    rows += [(300, text("pt", 120), None), (301, text("el", 120), None), (302, text("en", 120), None)]
+    rows += [(400, _noise(r, 150), "en"), (401, _noise(r, 150), None), (402, "pt short", "pt")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(2)
+    got = {x["doc_id"]: x for x in quality.assess(docs).collect()}
+    assert {i for i, x in got.items() if not x["kept"]} == {400, 401, 402}
+    assert all(got[i]["char_distance"] == got[i]["word_distance"] == 0 for i in [*range(100, 110), 200])
+    assert got[300]["word_distance"] > 0.5
+    kept = quality.keep_good(docs)
+    assert kept.columns == docs.columns
+    assert {x["doc_id"] for x in kept.collect()} == {*got} - {400, 401, 402}
+
+
 # -- sharding ----------------------------------------------------------------------------
 
 @pytest.mark.parametrize("shards", [1, 7, 40])
