@@ -3,8 +3,9 @@
 Every document has two histograms: character classes, and common words (words
 hashed, lower-cased in ASCII, to ``WORD_BUCKETS`` counters; the most frequent
 buckets of a language are its common words, all others count as "other").
-A language's reference sums both histograms over all documents of that
-language which pass the base rules. A document whose language has a reference
+A language's reference sums both histograms over all distinct texts of that
+language which pass the base rules, so that a verdict does not depend on how
+often any text is copied. A document whose language has a reference
 is kept if, for some language, its Jensen-Shannon distances (square root of the
 base-2 divergence, 0 to 1) to that reference stay below the limits. A document
 whose language has none gets no divergence verdict: the base rules decide, and
@@ -34,6 +35,7 @@ from .base import BYTE_KEY, chunks, mix, prefix_hash, range_hash, word_spans, wr
 
 WINDOW = 8
 WORD_BUCKETS = 4096
+CELL = 1 << 13          # more than all bins of a language
 SYMBOLS = b"#*$%&|<>"
 #: character classes of single bytes; a multi-byte character counts once, by its first byte
 CLASSES = ("lower", "upper", "digit", "space", "newline", "stop", "quote", "bracket",
@@ -118,6 +120,7 @@ def measures(buf: np.ndarray, off: np.ndarray, base_only: bool = False) -> dict[
     line_start, line_end, line_doc = line_start[filled], line_end[filled], line_doc[filled]
     _, later = _repeated(range_hash(pre, line_start, line_end), line_doc)
     out["n_dup_lines"] = np.bincount(line_doc[later], minlength=n)
+    out["hash"] = range_hash(pre, off[:-1], off[1:])
 
     w = range_hash(pre, start, end)
     m = len(w) - WINDOW + 1
@@ -162,37 +165,52 @@ def _one_letter_class(chars: np.ndarray) -> np.ndarray:
     return np.concatenate([chars[..., ~_LETTER], chars[..., _LETTER].sum(-1, keepdims=True)], -1)
 
 
-def references(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
+def references(docs: DataFrame, text: str = "text", lang: str = "lang",
+               once: bool = False) -> DataFrame:
     """Histogram counts per language over all documents that pass the base rules:
     rows ``(lang, kind, bin, n)``, at most ``len(CLASSES) + WORD_BUCKETS`` per language.
 
-    Every task sums its own documents before the shuffle.
+    ``once`` counts the documents of a language that have the same text (by its
+    64-bit hash) once. For this the sparse histogram of every document, never its
+    text, is grouped by hash; every task drops its own copies before the shuffle.
     """
-    def fold(batches):
-        total: dict[str, tuple[np.ndarray, np.ndarray]] = {}
+    classes = len(CLASSES)
+
+    def sparse(batches):
         for batch in batches:
-            langs = np.array(batch.column(1).to_pylist(), dtype=object)
+            has_lang = np.asarray(batch.column(1).is_valid())
             for lo, hi, buf, off in chunks(batch.column(0)):
                 got = measures(buf, off)
-                good = ~got["base_failed"]
-                own = langs[lo:hi]
-                for name in {x for x, ok in zip(own, good) if ok and x is not None}:
-                    mine = good & (own == name)
-                    chars, words = total.setdefault(
-                        name, (np.zeros(len(CLASSES), np.int64), np.zeros(WORD_BUCKETS, np.int64)))
-                    chars += got["chars"][mine].sum(0)
-                    words += np.bincount(got["bucket"][mine[got["doc"]]], minlength=WORD_BUCKETS)
-        for name, parts in total.items():
-            for kind, counts in zip(("char", "word"), parts):
-                full = np.flatnonzero(counts)
+                good = ~got["base_failed"] & has_lang[lo:hi]
+                row, cls = np.nonzero(got["chars"] * good[:, None])
+                mine = good[got["doc"]]
+                key, n = np.unique(got["doc"][mine] * WORD_BUCKETS + got["bucket"][mine],
+                                   return_counts=True)
+                place = np.concatenate([row, key // WORD_BUCKETS])
+                # a bin and its count in one number: classes first, then word buckets
+                cell = np.concatenate([got["chars"][row, cls] * CELL + cls,
+                                       n * CELL + key % WORD_BUCKETS + classes])
+                order = np.argsort(place, kind="stable")
+                sizes = np.bincount(place, minlength=hi - lo)[good]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([name] * len(full)), pa.array([kind] * len(full)),
-                     pa.array(full.astype(np.int32)), pa.array(counts[full])],
-                    names=["lang", "kind", "bin", "n"])
+                    [batch.column(1).slice(lo, hi - lo).filter(pa.array(good)),
+                     pa.array(got["hash"][good].view(np.int64)),
+                     pa.ListArray.from_arrays(
+                         pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)),
+                         pa.array(cell[order].astype(np.int64)))],
+                    names=["lang", "hash", "cells"])
 
     parts = docs.select(F.col(text).alias("text"), F.col(lang).cast("string").alias("lang")) \
-        .mapInArrow(fold, "lang string, kind string, bin int, n long")
-    return parts.groupBy("lang", "kind", "bin").agg(F.sum("n").alias("n"))
+        .mapInArrow(sparse, "lang string, hash long, cells array<long>")
+    if once:
+        parts = parts.dropDuplicates(["lang", "hash"])
+    at = F.col("cell") % CELL
+    sums = parts.select("lang", F.explode("cells").alias("cell")) \
+        .groupBy("lang", at.cast("int").alias("at")) \
+        .agg(F.sum(F.shiftright("cell", CELL.bit_length() - 1)).alias("n"))
+    word = F.col("at") >= classes
+    return sums.select("lang", F.when(word, "word").otherwise("char").alias("kind"),
+                       F.when(word, F.col("at") - classes).otherwise(F.col("at")).alias("bin"), "n")
 
 
 class Judge:
@@ -251,7 +269,7 @@ SCHEMA = ("n_words long, word_chars long, n_symbols long, n_dup_lines long, n_re
 
 
 def _judge_table(docs: DataFrame, text: str, lang: str, limits: Limits) -> Judge:
-    refs = written(references(docs, text, lang), "quality-references")
+    refs = written(references(docs, text, lang, once=True), "quality-references")
     enough = refs.where("kind = 'word'").groupBy("lang").agg(F.sum("n").alias("words")) \
         .where(F.col("words") >= limits.min_ref_words).select("lang")
     # languages that have a reference x (character classes + word buckets), whatever the corpus

@@ -170,6 +170,27 @@ def test_quality_gives_no_divergence_verdict_without_a_reference(spark):
     assert {x["doc_id"] for x in kept.collect()} == {*got} - {400, 401, 402}
 
 
+def test_quality_verdicts_do_not_depend_on_copies(spark):
+    rows, _, r = _prose_corpus(6)
+    noise = _noise(r, 150)
+    rows += [(100 + i, _noise(r, 150), "en") for i in range(5)] + [(200, noise, "en")]
+    copies = [(300 + i, noise, "en") for i in range(200)]
+    schema = "doc_id long, text string, lang string"
+
+    def verdicts(x):
+        frame = spark.createDataFrame(x, schema).repartition(3)
+        refs = quality.references(frame, once=True).collect()
+        return as_bag(refs), {v["doc_id"]: v[1:] for v in quality.assess(frame).collect()}
+
+    refs, plain = verdicts(rows)
+    hot_refs, hot = verdicts(rows + copies)
+    assert hot_refs == refs
+    assert {i: v for i, v in hot.items() if i < 300} == plain
+    assert not any(hot[i] != plain[200] for i in range(300, 500))
+    at = quality.SCHEMA.replace(" boolean", "").replace(" long", "").split(", ").index("kept")
+    assert not any(hot[i][at] for i in [*range(100, 105), *range(300, 500)])
+
+
 # -- sharding ----------------------------------------------------------------------------
 
 @pytest.mark.parametrize("shards", [1, 7, 40])
