@@ -3,7 +3,9 @@ processed by Structured Streaming to the end of the available input, and
 read back from the sink. Results equal the batch twin, so each one is
 checked against the same SQL.
 
-A micro-batch holds a bounded number of bytes; state lives in RocksDB under
+Tables of events are replayed in event order, whatever the order of their files,
+so no row falls behind the watermark and the processors see the rows in the
+order of the batch twin. A micro-batch holds a bounded number of bytes; state lives in RocksDB under
 the shared checkpoint folder.
 """
 
@@ -32,7 +34,7 @@ def stream_word_count(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _events_et(spark, d):
-    return so.event_time(_stream(spark, d, "events"), "ts", "10 seconds")
+    return so.event_time(_stream(spark, d, "events", order=["ts", "event_id"]), "ts", "10 seconds")
 
 
 def stream_tumbling_sum(spark: SparkSession, d: str) -> DataFrame:
@@ -81,14 +83,14 @@ def stream_sliding_count(spark: SparkSession, d: str) -> DataFrame:
 
 def stream_count_window_avg(spark: SparkSession, d: str) -> DataFrame:
     """Average of every 3 events per user, by a keyed stateful processor."""
-    ev = _stream(spark, d, "events").select("user_id", "event_id", cents("value").alias("c"))
+    ev = _stream(spark, d, "events", order=["event_id"]).select("user_id", "event_id", cents("value").alias("c"))
     return run_available(so.count_window_avg_stream(ev, ["user_id"], "event_id", "c", 3),
                          "count-window-avg")
 
 
 def stream_count_window_sliding(spark: SparkSession, d: str) -> DataFrame:
     """Every 2 events per user, the last 3 events' count and cents (count trigger + evictor)."""
-    ev = _stream(spark, d, "events").select("user_id", "event_id", cents("value").alias("c"))
+    ev = _stream(spark, d, "events", order=["event_id"]).select("user_id", "event_id", cents("value").alias("c"))
     return run_available(
         so.count_window_sliding_stream(ev, ["user_id"], "event_id", "c", every=2, size=3),
         "count-window-sliding")
@@ -130,7 +132,9 @@ def stream_window_join(spark: SparkSession, d: str) -> DataFrame:
 def _ad_clicks(spark, d):
     """One run of the ad-click program with both outputs: parse click lines, cap them,
     alerts beside the passing clicks counted per province and sliding window."""
-    lines = ad_click_lines(_stream(spark, d, "events"))
+    # the lines hold whole seconds, so that is the order in which the cap takes them
+    in_order = [F.date_trunc("second", "ts"), "event_id"]
+    lines = ad_click_lines(_stream(spark, d, "events", order=in_order))
     rows = parse_ad_click(lines, extra=["event_id"]).withWatermark("ts", "10 seconds")
     tagged = so.click_cap_stream(rows, ["user_id", "ad_id"], "ts", "event_id",
                                  carry=["province"], cap=BLACKLIST_CAP, period="1 day")

@@ -6,7 +6,12 @@ so callers should ``select``/``where`` right after ``table(...)``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+import re
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+
+from ..session import shared_path
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels",
@@ -20,15 +25,60 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def stream_table(spark: SparkSession, sf_dir: str, name: str, max_bytes: int = 128 << 20) -> DataFrame:
+def stream_table(spark: SparkSession, sf_dir: str, name: str, max_bytes: int = 128 << 20,
+                 order: Sequence[str | Column] = ()) -> DataFrame:
     """Replay one driver table as a stream, file by file, ``max_bytes`` a micro-batch.
 
-    The stream source lists folders. The one-character class makes the table's
-    own path a glob, which both a single file and a folder of part files match.
+    ``order`` replays the rows in this order at every size, whatever the order in
+    which the table's files were written: no row of a micro-batch precedes a row of
+    an earlier one. Without it the files come by modification time.
     """
-    schema = table(spark, sf_dir, name).schema
-    return (spark.readStream.schema(schema).option("maxBytesPerTrigger", max_bytes)
-            .parquet(f"{sf_dir.rstrip('/')}/{name}.parque[t]"))
+    source = table(spark, sf_dir, name)
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    if order:
+        path = _ordered_copy(source, path, max_bytes, order)
+    else:
+        # the stream source lists folders; the one-character class makes the table's own
+        # path a glob, which both a single file and a folder of part files match
+        path = path[:-1] + "[t]"
+    return (spark.readStream.schema(source.schema).option("maxBytesPerTrigger", max_bytes)
+            .parquet(path))
+
+
+def _ordered_copy(source: DataFrame, path: str, max_bytes: int, order: Sequence[str | Column]) -> str:
+    """Write ``source`` in ranges of ``order``, one sorted file each, to the shared folder.
+
+    The stream source takes files by modification time, so the files get times a
+    second apart, in the order of their ranges.
+    """
+    spark = source.sparkSession
+    fs = spark._jvm.org.apache.hadoop.fs
+    conf = spark._jsc.hadoopConfiguration()
+    table_path = fs.Path(path)
+    size = table_path.getFileSystem(conf).getContentSummary(table_path).getLength()
+    ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // max_bytes))
+    out = shared_path(spark, "replay")
+    source.repartitionByRange(ranges, *order).sortWithinPartitions(*order).write.parquet(out)
+
+    folder = fs.Path(out)
+    store = folder.getFileSystem(conf)
+
+    def files():
+        found = [(s.getPath().getName(), s) for s in store.listStatus(folder)]
+        # part-<task>-<job>-c<file of the task>.<codec>.parquet
+        parts = [(re.match(r"part-(\d+)-.*-c(\d+)\.", n), s) for n, s in found]
+        return [s for _, s in sorted((((int(m[1]), int(m[2])), s) for m, s in parts if m), key=lambda x: x[0])]
+
+    written = files()
+    last = written[-1].getModificationTime() if written else 0
+    for i, s in enumerate(written):
+        time = last - 1000 * (len(written) - 1 - i)
+        store.setTimes(s.getPath(), time, time)
+    times = [s.getModificationTime() for s in files()]
+    if any(a >= b for a, b in zip(times, times[1:])) and sum(s.getLen() for s in written) > max_bytes:
+        raise RuntimeError(f"{out}: this store cannot set file times, so the table cannot be "
+                           "replayed in order; name a spark.checkpoint.dir on one that can")
+    return out
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
