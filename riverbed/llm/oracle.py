@@ -55,4 +55,26 @@ SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(source_size AS BIGINT) AS sour
 FROM e
 """
 
-SQL = {"op5_exact_dedup": OP5, "op8_mix": OP8}
+OP11 = r"""
+WITH p AS (
+  SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3)
+                       ELSE '' END AS rest
+  FROM pages),
+h AS (
+  SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                            'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+  FROM p),
+r AS (
+  SELECT * FROM (VALUES ('org', '/', 'allow'), ('example.org', '/es/', 'block'),
+                        ('example.org', '/en/1', 'block'), ('com', '/fr/', 'allow'),
+                        ('com', '/de/', 'block')) v(rule_host, rule_path, verdict))
+SELECT page_id, host, path, best.rule AS rule, coalesce(best.verdict, 'allow') AS verdict
+FROM (SELECT *, (SELECT arg_max({'rule': rule_host || rule_path, 'verdict': r.verdict},
+                                length(rule_host || rule_path))
+                 FROM r WHERE (host = rule_host OR ends_with(host, '.' || rule_host))
+                          AND starts_with(path, rule_path)) AS best
+      FROM h)
+"""
+
+SQL = {"op11_url_rules": OP11, "op5_exact_dedup": OP5, "op8_mix": OP8}

@@ -4,7 +4,9 @@ Pieces, the matches of the vocabulary's pattern, are found for a whole chunk of
 documents at once: where a text has only the characters of ``_allowed`` (ASCII
 and Latin letters), piece starts follow from the classes of neighbouring bytes;
 any other text is cut by the pattern itself. Each distinct piece of a chunk is
-coded once, and codes are remembered under the piece's 64-bit hash.
+coded once, and codes are remembered under the piece's 64-bit hash, together with the
+piece's bytes: every occurrence is compared with them, so two pieces with one hash
+never share their ids.
 """
 
 from __future__ import annotations
@@ -81,13 +83,14 @@ def piece_starts(buf: np.ndarray, off: np.ndarray) -> np.ndarray:
 class PieceCoder:
     """Codes chunks of documents; remembers the ids of every piece it has met.
 
-    About 30 bytes a remembered piece: its hash in a sorted array, and its ids in
-    one pool. At ``limit`` pieces all is forgotten; what is forgotten is coded
-    anew, with the same result.
+    About 50 bytes a remembered piece: its hash in a sorted array, its ids in one pool
+    and its bytes in another. At ``limit`` pieces or ``limit_bytes`` bytes of them all is
+    forgotten; what is forgotten is coded anew, with the same result.
     """
 
-    def __init__(self, encode: Callable[[bytes], list[int]], limit: int = 3_000_000):
-        self.encode, self.limit = encode, limit
+    def __init__(self, encode: Callable[[bytes], list[int]], limit: int = 3_000_000,
+                 limit_bytes: int = 64 << 20):
+        self.encode, self.limit, self.limit_bytes = encode, limit, limit_bytes
         self._reset()
 
     def _reset(self) -> None:
@@ -97,21 +100,49 @@ class PieceCoder:
         self.pool = np.zeros(1 << 16, np.uint32)
         self.begin = np.zeros(1 << 14, np.int64)
         self.size = np.zeros(1 << 14, np.int64)
-        self.n = self.used = 0
+        self.raw = np.zeros(1 << 17, np.uint8)      # the pieces' bytes, where each begins, its length
+        self.raw_begin = np.zeros(1 << 14, np.int64)
+        self.raw_size = np.zeros(1 << 14, np.int64)
+        self.same_hash: dict[bytes, int] = {}       # pieces whose hash another piece holds -> entry
+        self.n = self.used = self.raw_used = 0
 
     def _add(self, piece: bytes) -> int:
         ids = self.encode(piece)
         if self.n == len(self.begin):
-            self.begin = np.concatenate([self.begin, np.zeros_like(self.begin)])
-            self.size = np.concatenate([self.size, np.zeros_like(self.size)])
+            for name in ("begin", "size", "raw_begin", "raw_size"):
+                old = getattr(self, name)
+                setattr(self, name, np.concatenate([old, np.zeros_like(old)]))
         while self.used + len(ids) > len(self.pool):
             self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
+        while self.raw_used + len(piece) > len(self.raw):
+            self.raw = np.concatenate([self.raw, np.zeros_like(self.raw)])
         self.pool[self.used:self.used + len(ids)] = ids
+        self.raw[self.raw_used:self.raw_used + len(piece)] = np.frombuffer(piece, np.uint8)
         self.begin[self.n], self.size[self.n] = self.used, len(ids)
+        self.raw_begin[self.n], self.raw_size[self.n] = self.raw_used, len(piece)
         self.used += len(ids)
+        self.raw_used += len(piece)
         self.n += 1
         return self.n - 1
 
+    def _verified(self, buf: np.ndarray, start: np.ndarray, end: np.ndarray, entry: np.ndarray
+                  ) -> np.ndarray:
+        """``entry`` per piece, corrected where the remembered bytes are not the piece's."""
+        size = end - start
+        wrong = self.raw_size[entry] != size
+        # pieces cover the chunk: byte i of it against the remembered byte
+        there = np.repeat(self.raw_begin[entry] - start, size)
+        there += np.arange(len(buf))
+        np.minimum(there, len(self.raw) - 1, out=there)
+        off = np.flatnonzero(self.raw[there] != buf)
+        wrong[np.searchsorted(start, off, "right") - 1] = True
+        for i in np.flatnonzero(wrong).tolist():
+            piece = buf[start[i]:end[i]].tobytes()
+            if piece not in self.same_hash:
+                self.same_hash[piece] = self._add(piece)
+            entry[i] = self.same_hash[piece]
+        return entry
+
     def _merge(self) -> None:
         keys = np.fromiter(self.fresh, np.uint64, len(self.fresh))
         entry = np.fromiter(self.fresh.values(), np.int64, len(self.fresh))
@@ -121,7 +152,7 @@ class PieceCoder:
 
     def chunk(self, buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids of a chunk's documents, and each document's offset among them."""
-        if self.n > self.limit:
+        if self.n > self.limit or self.raw_used > self.limit_bytes:
             self._reset()
         start = piece_starts(buf, off)
         end = np.append(start[1:], len(buf)) if len(start) else start
@@ -142,7 +173,7 @@ class PieceCoder:
             entry[i] = place
         if len(fresh) > 1 << 16:
             self._merge()
-        entry = entry[which.reshape(-1)]
+        entry = self._verified(buf, start, end, entry[which.reshape(-1)])
         size = self.size[entry]
         upto = np.concatenate([[0], np.cumsum(size)])
         ids = self.pool[np.repeat(self.begin[entry] - upto[:-1], size) + np.arange(upto[-1])]

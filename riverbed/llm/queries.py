@@ -6,8 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import shared_path
-from . import (bpe, exact_dedup, langid, mixing, quality, repeats, sharding, simhash,
-               token_files, toxicity)
+from . import (alignment, bpe, exact_dedup, langid, mixing, quality, repeats, sharding, simhash,
+               token_files, toxicity, url_rules, whitening)
 from .base import crc_mod, prepare, read
 
 SHARDS = 40
@@ -80,9 +80,27 @@ def op10_toxicity(spark: SparkSession, d: str) -> DataFrame:
         (F.col("score") >= 0.3).cast("int").alias("predicted"), "n_hits")
 
 
+def op11_url_rules(spark: SparkSession, d: str) -> DataFrame:
+    """Verdict of every page's url by the longest allow or block rule; allowed without one."""
+    rules = url_rules.rules_table(spark, allow=["org/", "com/fr/"],
+                                  block=["example.org/es/", "example.org/en/1", "com/de/"])
+    return url_rules.judge(read(spark, d, "pages"), rules)
+
+
+def op12_whitening(spark: SparkSession, d: str) -> DataFrame:
+    """Every vector on the first 32 whitened components, fitted on all vectors."""
+    vectors = read(spark, d, "embeddings")
+    return whitening.transform(vectors, whitening.fit(vectors, components=32))
+
+
+def op13_alignment(spark: SparkSession, d: str) -> DataFrame:
+    """Every document's tokens by two tokenizers, aligned; links counted over the corpus."""
+    return alignment.aligned(read(spark, d, "documents"))
+
+
 _QUERIES = {f.__name__: f for f in (
     op1_quality, op2_shards, op3_token_files, op4_simhash, op5_exact_dedup, op6_langid,
-    op7_bpe, op8_mix, op9_repeats, op10_toxicity)}
+    op7_bpe, op8_mix, op9_repeats, op10_toxicity, op11_url_rules, op12_whitening, op13_alignment)}
 
 
 def queries() -> dict:
