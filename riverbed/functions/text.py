@@ -29,6 +29,8 @@ def java_split(col: str | Column, sep: str = ",") -> Column:
 
 def strip_trailing(col: str | Column, sep: str = ",") -> Column:
     """``col`` without its trailing run of ``sep`` (first half of ``java_split``)."""
+    if len(sep) == 1:
+        return F.rtrim(_c(col), F.lit(sep))     # looks at the end only
     return F.regexp_replace(_c(col), f"(?:{re.escape(sep)})+\\z", "")
 
 
@@ -45,9 +47,13 @@ def text_lines(col: str | Column) -> Column:
     """Lines of a text the way a line reader yields them.
 
     Split on ``\\n`` or ``\\r\\n``; a final line end closes the last line rather
-    than starting an empty one, and an empty text has no lines.
+    than starting an empty one, and an empty text has no lines. A text without
+    ``\\r\\n`` is split on the one character, which needs no pattern matching.
     """
     c = _c(col)
-    body = F.regexp_replace(c, "\r?\n\\z", "")
+    plain = F.split(c, "\n")
+    closed = F.when(c.endswith("\n"), F.slice(plain, F.lit(1), F.size(plain) - 1)).otherwise(plain)
+    mixed = F.split(F.regexp_replace(c, "\r?\n\\z", ""), "\r?\n")
     return (F.when(c == F.lit(""), F.array().cast("array<string>"))
-            .otherwise(F.split(body, "\r?\n")))
+            .when(c.contains("\r\n"), mixed)
+            .otherwise(closed))

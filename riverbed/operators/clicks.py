@@ -32,14 +32,14 @@ def click_cap(df: DataFrame, keys: Sequence[str], ts: str, order: Sequence[str],
 
     Rank inside (keys, period) by ``ts`` then ``order``; rank <= cap passes,
     rank == cap + 1 is the alert; all later rows are dropped. The ranking is a
-    top-(cap + 1) per group, cut per task, per (group, salt) and per group, so
-    no key is gathered whole.
+    top-(cap + 1) per group, cut in every task before the exchange, so no key is
+    gathered whole.
     """
     keys = list(keys)
     step = duration_micros(period)
     with_period = df.withColumn("period_start", from_micros(floor_to(to_micros(ts), step)))
     ranked = top_n_per_group(with_period, [*keys, "period_start"], [ts, *order], cap + 1,
-                             rank_col="_rank", salt_by=[ts, *order])
+                             rank_col="_rank")
     return (ranked.withColumn("tag", F.when(F.col("_rank") <= cap, F.lit("pass"))
                               .otherwise(F.lit("alert")))
             .drop("_rank"))

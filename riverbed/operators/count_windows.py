@@ -57,22 +57,17 @@ def count_window_sliding(df: DataFrame, keys: Sequence[str], order: Sequence[str
     slim = _slim(df, keys, order, value)
     b = in_blocks(slim, keys, order, span, only=[*order, "_v"])
     upto = b.inside().rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    rows = b.rows.withColumns({
-        "_l": F.count(F.lit(1)).over(upto),
-        "_own": F.sum("_v").over(b.inside().rowsBetween(-(size - 1), Window.currentRow))})
-
-    # per block: its row count and its last size - 1 values, oldest first
-    backwards = Window.partitionBy(*b.by).orderBy(*(F.col(c).desc() for c in order))
-    last = b.rows.withColumn("_back", F.row_number().over(backwards)) \
-        .groupBy(*b.by).agg(
-            F.count(F.lit(1)).alias("_c"),
-            F.sort_array(F.collect_list(F.when(
-                F.col("_back") < size, F.struct((-F.col("_back")).alias("i"), F.col("_v").alias("v"))
-            ))).alias("_last"))
+    # up to each row: its position in the block, its window, the block's last size - 1 values
+    to_here = lambda n: b.inside().rowsBetween(-n, Window.currentRow)
+    tail = F.collect_list("_v").over(to_here(size - 2)) if size > 1 else F.array().cast("array<long>")
+    rows = b.rows.withColumns({"_l": F.count(F.lit(1)).over(upto),
+                               "_own": F.sum("_v").over(to_here(size - 1)), "_upto": tail})
+    last = rows.groupBy(*b.by).agg(F.max("_l").alias("_c"), F.max_by("_upto", "_l").alias("_last"))
+    rows = rows.drop("_upto")
     # every block holds a row at least, so size - 1 blocks back are enough
     near = b.across().rowsBetween(-(size - 1), -1) if size > 1 else b.across().rowsBetween(0, 0)
     before = b.across().rowsBetween(Window.unboundedPreceding, -1)
-    tails = F.flatten(F.collect_list(F.transform("_last", lambda s: s["v"])).over(near))
+    tails = F.flatten(F.collect_list("_last").over(near))
     offsets = last.select(*b.by, F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_o"),
                           tails.alias("_tail"))
     short = F.greatest(F.lit(0), F.least(F.lit(size).cast("long") - F.col("_l"),

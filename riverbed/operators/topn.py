@@ -1,11 +1,11 @@
 """First-n, per-group first-n and sort-then-limit.
 
-A group is cut to its first n in three steps: per task (Catalyst puts a
-partial ``WindowGroupLimit`` before each shuffle, up to
-``spark.sql.optimizer.windowGroupLimitThreshold``), per (group, salt), and per
-group. The last task of a hot group therefore sees ``n * SALTS`` rows, not
-``n`` rows from every task of the cluster. Global ``orderBy().limit(n)`` plans
-as ``TakeOrderedAndProject``: a top-n per partition, then a merge.
+A group is cut to its first n in every task before the one exchange (Catalyst puts a
+partial ``WindowGroupLimit`` there, up to
+``spark.sql.optimizer.windowGroupLimitThreshold``), so the last task of a hot group
+sees at most ``n`` rows from every task, however large the group: 10 million rows of
+100,000 tasks for n = 100. Global ``orderBy().limit(n)`` plans as
+``TakeOrderedAndProject``: a top-n per partition, then a merge.
 """
 
 from __future__ import annotations
@@ -14,8 +14,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-SALTS = 16
-
 
 def first_n(df: DataFrame, n: int, order: Sequence[str | Column]) -> DataFrame:
     """First ``n`` rows in arrival order (``order`` = the arrival sequence)."""
@@ -23,19 +21,10 @@ def first_n(df: DataFrame, n: int, order: Sequence[str | Column]) -> DataFrame:
 
 
 def top_n_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
-                    n: int, rank_col: str | None = None, salt_by: Sequence[str] | None = None,
-                    salts: int = SALTS) -> DataFrame:
-    """At most ``n`` rows per group, the first ones in ``order`` (make it unique).
-
-    ``salt_by``: columns that tell a group's rows apart (default: all that are
-    not keys); their hash deals a group over ``salts`` parts before the last cut.
-    """
-    apart = list(salt_by or [c for c in df.columns if c not in keys]) or list(keys)
-    out = df.withColumn("_tn_salt", F.pmod(F.xxhash64(*apart), F.lit(salts)))
-    for group in ([*keys, "_tn_salt"], list(keys)):
-        w = Window.partitionBy(*group).orderBy(*order)
-        out = out.withColumn("_tn_rank", F.row_number().over(w)).where(F.col("_tn_rank") <= n)
-    out = out.drop("_tn_salt")
+                    n: int, rank_col: str | None = None) -> DataFrame:
+    """At most ``n`` rows per group, the first ones in ``order`` (make it unique)."""
+    w = Window.partitionBy(*keys).orderBy(*order)
+    out = df.withColumn("_tn_rank", F.row_number().over(w)).where(F.col("_tn_rank") <= n)
     return out.withColumnRenamed("_tn_rank", rank_col) if rank_col else out.drop("_tn_rank")
 
 

@@ -15,6 +15,7 @@ from ..functions.parsing import (parse_access_log, parse_ad_click, parse_int, pa
 from ..functions.timefns import next_midnight
 from ..operators import aggregates, clicks, count_windows, hot_pages as hp, joins, topn, windows
 from ..operators.metrics import write_text_counting
+from ..operators.window_fold import window_digest as _window_digest, window_median as _window_median
 from ..operators.orders import order_amount as _order_amount
 from ..operators.window_join import window_join as _window_join
 from ..session import stable_path
@@ -90,6 +91,19 @@ def tumbling_avg(spark: SparkSession, d: str) -> DataFrame:
     return windows.tumbling_avg(ev, "ts", "1 hour", "c")
 
 
+def window_median(spark: SparkSession, d: str) -> DataFrame:
+    """Median of value cents per 1 h tumbling window: a function over all rows of a window."""
+    ev = _events(spark, d).select("ts", cents("value").alias("c"))
+    return _window_median(ev, "ts", "1 hour", "c")
+
+
+def window_digest(spark: SparkSession, d: str) -> DataFrame:
+    """Per 1 h tumbling window, what depends on the order of its events: first and last
+    cents, the checksum of positions times cents, the longest rise."""
+    ev = _events(spark, d).select("ts", "event_id", cents("value").alias("c"))
+    return _window_digest(ev, "ts", "1 hour", ["event_id"], "c")
+
+
 def order_amount(spark: SparkSession, d: str) -> DataFrame:
     """Order count and total cents per day of order date."""
     o = table(spark, d, "orders").select("o_orderdate", cents("o_totalprice").alias("c"))
@@ -328,6 +342,8 @@ QUERIES = {
     "tumbling_sum": tumbling_sum,
     "tumbling_full": tumbling_full,
     "tumbling_avg": tumbling_avg,
+    "window_median": window_median,
+    "window_digest": window_digest,
     "order_amount": order_amount,
     "word_count": word_count,
     "running_count": running_count,

@@ -99,6 +99,21 @@ SQL: dict[str, str] = {
         f"count(*) AS n, CAST(sum({CENTS}) AS BIGINT) AS total, "
         f"min({CENTS}) AS min_c, max({CENTS}) AS max_c", HOUR),
 
+    "window_median": _tumbling(f"count(*) AS n, median({CENTS}) AS median", HOUR),
+
+    # a rise ends before every value that is below its predecessor
+    "window_digest": f"""WITH
+    e AS (SELECT (epoch_us(ts) // {HOUR}) * {HOUR} AS w, event_id, {CENTS} AS c FROM events),
+    r AS (SELECT *, row_number() OVER o AS rn, CASE WHEN c < lag(c) OVER o THEN 1 ELSE 0 END AS ends
+          FROM e WINDOW o AS (PARTITION BY w ORDER BY event_id)),
+    g AS (SELECT *, sum(ends) OVER (PARTITION BY w ORDER BY event_id) AS rise FROM r),
+    l AS (SELECT w, max(len) AS longest_rise
+          FROM (SELECT w, rise, count(*) AS len FROM g GROUP BY ALL) GROUP BY w)
+    SELECT make_timestamp(w) AS window_start, make_timestamp(w + {HOUR}) AS window_end,
+           count(*) AS n, arg_min(c, event_id) AS first_v, arg_max(c, event_id) AS last_v,
+           CAST(sum(rn * c) AS BIGINT) AS checksum, any_value(longest_rise) AS longest_rise
+    FROM r JOIN l USING (w) GROUP BY w""",
+
     "tumbling_avg": _tumbling(
         f"count(*) AS n, CAST(sum({CENTS}) AS DOUBLE) / count(*) AS avg", HOUR),
 
