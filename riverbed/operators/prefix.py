@@ -76,10 +76,7 @@ def in_blocks(df: DataFrame, keys: Sequence[str], order: Sequence[str], span: in
     lead = F.col(order[0])
     if isinstance(df.schema[order[0]].dataType, (TimestampType, TimestampNTZType)):
         lead = to_micros(order[0])
-    stand_ins = {}
-    for i, k in enumerate(keys):
-        stand_ins[f"_rb_k{i}"] = F.coalesce(F.col(k).cast("string"), F.lit(""))
-        stand_ins[f"_rb_n{i}"] = F.col(k).isNull()
+    stand_ins = key_stand_ins(keys)
     block = F.floor(lead / F.lit(span)).cast("long")
     laid = df.withColumns({**stand_ins, _BLOCK: F.coalesce(block, F.lit(-(1 << 62)))})
     if only is not None:
@@ -87,9 +84,18 @@ def in_blocks(df: DataFrame, keys: Sequence[str], order: Sequence[str], span: in
     return Blocks(laid, laid.repartition(*stand_ins, _BLOCK), list(stand_ins), list(order))
 
 
-def key_values(df: DataFrame, keys: Sequence[str]) -> list[Column]:
+def key_stand_ins(keys: Sequence[str], mark: str = "_rb_") -> dict[str, Column]:
+    """Non-null stand-ins of the key columns: text and a null flag each."""
+    out = {}
+    for i, k in enumerate(keys):
+        out[f"{mark}k{i}"] = F.coalesce(F.col(k).cast("string"), F.lit(""))
+        out[f"{mark}n{i}"] = F.col(k).isNull()
+    return out
+
+
+def key_values(df: DataFrame, keys: Sequence[str], mark: str = "_rb_") -> list[Column]:
     """The key columns of ``df`` read back from their stand-ins (text and null flag)."""
-    return [F.when(~F.col(f"_rb_n{i}"), F.col(f"_rb_k{i}").cast(df.schema[k].dataType)).alias(k)
+    return [F.when(~F.col(f"{mark}n{i}"), F.col(f"{mark}k{i}").cast(df.schema[k].dataType)).alias(k)
             for i, k in enumerate(keys)]
 
 

@@ -99,6 +99,15 @@ SQL: dict[str, str] = {
         f"count(*) AS n, CAST(sum({CENTS}) AS BIGINT) AS total, "
         f"min({CENTS}) AS min_c, max({CENTS}) AS max_c", HOUR),
 
+    "stream_observed_count": f"SELECT count(*) AS n, CAST(sum({CENTS}) AS BIGINT) AS total FROM events",
+
+    # late: behind the last time of all other events, less the delay of the watermark
+    "stream_late_rows": """WITH
+    w AS (SELECT max(ts) - INTERVAL 10 SECOND AS mark FROM events WHERE event_id % 50 <> 0),
+    e AS (SELECT event_id % 50 = 0 AND ts <= mark AS late FROM events, w)
+    SELECT count(*) AS n_in, count(*) FILTER (NOT late) AS n_kept, count(*) FILTER (late) AS n_late
+    FROM e""",
+
     "window_median": _tumbling(f"count(*) AS n, median({CENTS}) AS median", HOUR),
 
     # a rise ends before every value that is below its predecessor

@@ -11,14 +11,19 @@ the shared checkpoint folder.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.parsing import parse_ad_click
 from ..operators import aggregates, topn, windows
 from ..operators.clicks import alert_message
-from ..sources.tables import stream_table as _stream
+from ..functions.text import text_lines
+from ..session import shared_path
+from ..sources.line_log import append_lines, stream_line_log
+from ..sources.tables import bytes_of, replay, stream_table as _stream, table
 from ..streaming import operators as so
-from ..streaming.runner import run_available, run_outputs
+from ..streaming.runner import run_available, run_counting, run_outputs
 from .catalog import BLACKLIST_CAP, ad_click_lines, cents
 
 
@@ -72,6 +77,18 @@ def stream_hot_pages(spark: SparkSession, d: str) -> DataFrame:
     return best.select("url", _ntz("window_end"), "n")
 
 
+def stream_hot_pages_timer(spark: SparkSession, d: str) -> DataFrame:
+    """Top 3 urls per 10 min window sliding by 1 min, as a keyed process: every finished
+    window's counts are ranked in map state and given out by a timer at its end. A closing
+    row lets the last windows end too."""
+    ev = _stream(spark, d, "events", order=["ts", "event_id"], close=("ts", "1 DAY"))
+    ev = so.open_rows(so.event_time(ev, "ts", "10 seconds"), "ts")
+    best = run_available(so.hot_pages_stream(ev, "ts", "event_type", "10 minutes", "1 minute", 3, salts=1),
+                         "hot-pages-timer")
+    best = topn.top_n_per_group(best, ["window_end"], [F.col("n").desc(), F.col("url").asc()], 3)
+    return best.select("url", _ntz("window_end"), "n")
+
+
 def stream_sliding_count(spark: SparkSession, d: str) -> DataFrame:
     """Clicks per province per 1 h window sliding by 5 min (built-in windows, update mode)."""
     ev = _events_et(spark, d).select("ts", F.col("event_type").alias("province"))
@@ -118,17 +135,74 @@ def stream_blacklist_alerts(spark: SparkSession, d: str) -> DataFrame:
 
 
 def stream_window_join(spark: SparkSession, d: str) -> DataFrame:
-    """Stream-stream join of clicks and purchases (``events`` split into two streams by
-    type) per user in 1 h tumbling windows."""
-    ev = _events_et(spark, d)
-    click = ev.where(F.col("event_type") == "click").select(
-        F.col("user_id").alias("k"), "ts", F.col("event_id").alias("v1"))
-    buy = ev.where(F.col("event_type") == "purchase").select(
-        F.col("user_id").alias("k"), "ts", F.col("event_id").alias("v2"))
-    out = run_available(so.window_join_stream(click, buy, "k", "ts", "1 hour"), "window-join")
+    """Stream-stream join of two sources, each replayed with a watermark of its own: clicks
+    and purchases (of ``events``) per user in 1 h tumbling windows."""
+    ev = table(spark, d, "events")
+
+    def side(kind: str, value: str) -> DataFrame:
+        rows = ev.where(F.col("event_type") == kind).select("user_id", "ts", "event_id")
+        rows = replay(rows, ["ts", "event_id"], bytes_of(spark, d, "events") // 2)
+        rows = so.event_time(rows, "ts", "10 seconds")
+        return rows.select(F.col("user_id").alias("k"), "ts", F.col("event_id").alias(value))
+
+    out = run_available(so.window_join_stream(side("click", "v1"), side("purchase", "v2"), "k", "ts",
+                                              "1 hour"), "window-join")
     return out.select("k", _ntz("window_start"), _ntz("window_end"), "v1", "v2")
 
 
+def stream_log_word_count(spark: SparkSession, d: str) -> DataFrame:
+    """Word count over a replayable log of lines: the documents' lines are appended to a log
+    in partitions, which a Python data source reads by offsets."""
+    lines = table(spark, d, "documents").select(F.explode(text_lines("text")).alias("value"))
+    log = shared_path(spark, "line-log")
+    append_lines(lines, log)
+    words = aggregates.word_count(stream_line_log(spark, log), "value", ",", by_lines=False)
+    return run_available(words, "log-word-count", "update", keys=["word"])
+
+
+def _in_files(spark: SparkSession, d: str) -> DataFrame:
+    """``events`` in event order, several micro-batches at every size."""
+    return replay(table(spark, d, "events"), ["ts", "event_id"], bytes_of(spark, d, "events"), one_file=True)
+
+
+def stream_resumed_sum(spark: SparkSession, d: str) -> DataFrame:
+    """Count and cents per 1 h window by a run that is stopped after two micro-batches and
+    resumed under its name: every event counts once."""
+    ev = so.event_time(_in_files(spark, d), "ts", "10 seconds").select("ts", cents("value").alias("c"))
+    agg, run = windows.tumbling_sum(ev, "ts", "1 hour", "c"), f"resumed-{uuid.uuid4().hex}"
+    keys = ["window_start", "window_end"]
+    run_available(agg, "resumed-sum", "update", keys=keys, run=run, batches=2)
+    out = run_available(agg, "resumed-sum", "update", keys=keys, run=run)
+    return out.select(_ntz("window_start"), _ntz("window_end"), "n", "total")
+
+
+def stream_observed_count(spark: SparkSession, d: str) -> DataFrame:
+    """Events and cents observed while they stream into a sink: metrics of every
+    micro-batch, summed over a run that is stopped and resumed."""
+    seen = _in_files(spark, d).observe("seen", F.count(F.lit(1)).alias("n"), F.sum(cents("value")).alias("total"))
+    run = f"observed-{uuid.uuid4().hex}"
+    run_counting(seen.select("event_id"), "observed", run=run, batches=2)
+    _, totals = run_counting(seen.select("event_id"), "observed", run=run)
+    got = totals["observed"]
+    return spark.createDataFrame([(got.get("seen.n", 0), got.get("seen.total", 0))], "n long, total long")
+
+
+def stream_late_rows(spark: SparkSession, d: str) -> DataFrame:
+    """What an event-time operator drops: every 50th event arrives after all others, and
+    those of them that are behind the watermark (the last time but 10 s) are dropped.
+
+    ``n_in`` and ``n_late`` are the engine's own counts, ``n_kept`` the rows that came out."""
+    ev = table(spark, d, "events").select("event_id", "ts")
+    late = F.col("event_id") % 50 == 0
+    rows = replay(ev.where(~late), ["ts", "event_id"], bytes_of(spark, d, "events"), then=ev.where(late),
+                  one_file=True)
+    rows = so.event_time(rows, "ts", "10 seconds").dropDuplicates(["event_id", "ts"])
+    kept, totals = run_counting(rows, "late-rows")
+    return kept.agg(F.count(F.lit(1)).alias("n_kept")).select(
+        F.lit(totals["rows"]).cast("long").alias("n_in"), "n_kept",
+        F.lit(totals["late"]).cast("long").alias("n_late"))
+
+
 def _ad_clicks(spark, d):
     """One run of the ad-click program with both outputs: parse click lines, cap them,
     alerts beside the passing clicks counted per province and sliding window."""
@@ -173,6 +247,7 @@ STREAM_QUERIES = {
     "stream_tumbling_avg": stream_tumbling_avg,
     "stream_sliding_count": stream_sliding_count,
     "stream_hot_pages": stream_hot_pages,
+    "stream_hot_pages_timer": stream_hot_pages_timer,
     "stream_ad_click_count": stream_ad_click_count,
     "stream_ad_click_alerts": stream_ad_click_alerts,
     "stream_count_window_avg": stream_count_window_avg,
@@ -180,10 +255,17 @@ STREAM_QUERIES = {
     "stream_blacklist_pass": stream_blacklist_pass,
     "stream_blacklist_alerts": stream_blacklist_alerts,
     "stream_window_join": stream_window_join,
+    "stream_log_word_count": stream_log_word_count,
+    "stream_resumed_sum": stream_resumed_sum,
+    "stream_observed_count": stream_observed_count,
+    "stream_late_rows": stream_late_rows,
 }
 
 # the batch query whose SQL each stream query must equal
 SAME_AS = {
+    "stream_log_word_count": "word_count",
+    "stream_resumed_sum": "tumbling_sum",
+    "stream_hot_pages_timer": "stream_hot_pages",
     "stream_word_count": "word_count",
     "stream_tumbling_sum": "tumbling_sum",
     "stream_tumbling_full": "tumbling_full",

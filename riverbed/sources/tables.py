@@ -26,42 +26,53 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def stream_table(spark: SparkSession, sf_dir: str, name: str, max_bytes: int = 128 << 20,
-                 order: Sequence[str | Column] = ()) -> DataFrame:
+                 order: Sequence[str | Column] = (), close: tuple[str, str] | None = None) -> DataFrame:
     """Replay one driver table as a stream, file by file, ``max_bytes`` a micro-batch.
 
     ``order`` replays the rows in this order at every size, whatever the order in
     which the table's files were written: no row of a micro-batch precedes a row of
     an earlier one. Without it the files come by modification time.
+    ``close``: see :func:`replay`.
     """
     source = table(spark, sf_dir, name)
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
     if order:
-        path = _ordered_copy(source, path, max_bytes, order)
-    else:
-        # the stream source lists folders; the one-character class makes the table's own
-        # path a glob, which both a single file and a folder of part files match
-        path = path[:-1] + "[t]"
+        return replay(source, order, bytes_of(spark, sf_dir, name), max_bytes, close)
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    # the stream source lists folders; the one-character class makes the table's own
+    # path a glob, which both a single file and a folder of part files match
     return (spark.readStream.schema(source.schema).option("maxBytesPerTrigger", max_bytes)
-            .parquet(path))
+            .parquet(path[:-1] + "[t]"))
+
 
+def bytes_of(spark: SparkSession, sf_dir: str, name: str) -> int:
+    """Stored bytes of a driver table."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(at).getLength()
 
-def _ordered_copy(source: DataFrame, path: str, max_bytes: int, order: Sequence[str | Column]) -> str:
-    """Write ``source`` in ranges of ``order``, one sorted file each, to the shared folder.
 
-    The stream source takes files by modification time, so the files get times a
-    second apart, in the order of their ranges.
+def replay(source: DataFrame, order: Sequence[str | Column], size: int,
+           max_bytes: int = 128 << 20, close: tuple[str, str] | None = None,
+           then: DataFrame | None = None, one_file: bool = False) -> DataFrame:
+    """A stream of the rows of ``source`` in ``order``; ``size``: its bytes, about.
+
+    The rows are first written to the shared folder in ranges of ``order``, one sorted file
+    each: one sort and one write of the whole input. The stream source takes files by
+    modification time, so the files get times a second apart in the order of their ranges
+    (one call a file, so ranges hold ``max_bytes``, the most a micro-batch reads).
+    ``one_file`` makes every file a micro-batch. ``then``: rows that arrive after all others.
+
+    ``close = (time column, duration)`` ends the stream with one more row, ``duration``
+    after the last time, all other columns null and ``_closing`` true: the watermark
+    passes the end of every window that real rows are in, so the last windows close and
+    their timers fire. ``streaming.operators.open_rows`` drops it again.
     """
     spark = source.sparkSession
     fs = spark._jvm.org.apache.hadoop.fs
-    conf = spark._jsc.hadoopConfiguration()
-    table_path = fs.Path(path)
-    size = table_path.getFileSystem(conf).getContentSummary(table_path).getLength()
+    if close:
+        source = source.withColumn("_closing", F.lit(False))
     ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // max_bytes))
-    out = shared_path(spark, "replay")
-    source.repartitionByRange(ranges, *order).sortWithinPartitions(*order).write.parquet(out)
-
-    folder = fs.Path(out)
-    store = folder.getFileSystem(conf)
+    folder = fs.Path(shared_path(spark, "replay"))
+    store = folder.getFileSystem(spark._jsc.hadoopConfiguration())
 
     def files():
         found = [(s.getPath().getName(), s) for s in store.listStatus(folder)]
@@ -69,16 +80,37 @@ def _ordered_copy(source: DataFrame, path: str, max_bytes: int, order: Sequence[
         parts = [(re.match(r"part-(\d+)-.*-c(\d+)\.", n), s) for n, s in found]
         return [s for _, s in sorted((((int(m[1]), int(m[2])), s) for m, s in parts if m), key=lambda x: x[0])]
 
-    written = files()
-    last = written[-1].getModificationTime() if written else 0
-    for i, s in enumerate(written):
-        time = last - 1000 * (len(written) - 1 - i)
-        store.setTimes(s.getPath(), time, time)
-    times = [s.getModificationTime() for s in files()]
-    if any(a >= b for a, b in zip(times, times[1:])) and sum(s.getLen() for s in written) > max_bytes:
-        raise RuntimeError(f"{out}: this store cannot set file times, so the table cannot be "
+    def ordered(df):
+        return df.repartitionByRange(ranges, *order).sortWithinPartitions(*order)
+
+    parts = [ordered(source)] + ([ordered(then)] if then is not None else [])
+    if close:
+        ts, after = close
+        ends = source.agg(F.max(ts).alias("last")).where(F.col("last").isNotNull())
+        parts.append(ends.select(*(
+            (F.col("last") + F.expr(f"INTERVAL {after}")).cast(f.dataType).alias(f.name) if f.name == ts
+            else F.lit(True if f.name == "_closing" else None).cast(f.dataType).alias(f.name)
+            for f in source.schema.fields)).coalesce(1))
+    done, clock = [], None
+    for part in parts:
+        part.write.mode("append").parquet(folder.toString())
+        before = {s.getPath().getName() for s in done}
+        new = [s for s in files() if s.getPath().getName() not in before]
+        if clock is None and new:
+            clock = new[-1].getModificationTime() - 1000 * len(new)
+        for s in new:
+            clock += 1000
+            store.setTimes(s.getPath(), clock, clock)
+        done += new
+    times = {s.getPath().getName(): s.getModificationTime() for s in files()}
+    times = [times[s.getPath().getName()] for s in done]
+    several = one_file or sum(s.getLen() for s in done) > max_bytes
+    if several and any(a >= b for a, b in zip(times, times[1:])):
+        raise RuntimeError(f"{folder}: this store cannot set file times, so the table cannot be "
                            "replayed in order; name a spark.checkpoint.dir on one that can")
-    return out
+    reader = spark.readStream.schema(source.schema)
+    reader = reader.option("maxFilesPerTrigger", 1) if one_file else reader.option("maxBytesPerTrigger", max_bytes)
+    return reader.parquet(folder.toString())
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,13 +10,20 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.timefns import duration_micros, floor_to, from_micros, to_micros
+from ..operators.prefix import key_stand_ins, key_values
 from ..operators.windows import sliding_count_expand
 from .stateful import ClickCap, CountTriggerEvictor, CountWindowAverage, TopNPerWindow
 
 
+#: key stand-ins as pandas columns: rows reach a processor as named tuples, whose fields
+#: cannot begin with an underscore
+MARK = "rb_"
+
+
 def _ddl(df: DataFrame, cols: Sequence[str]) -> str:
     types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
     return ", ".join(f"{c} {types[c]}" for c in cols)
@@ -28,61 +35,101 @@ def event_time(df: DataFrame, ts: str, delay: str = "10 seconds") -> DataFrame:
     return df.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, delay)
 
 
+def open_rows(df: DataFrame, ts: str) -> DataFrame:
+    """``df`` without the closing row of ``sources.tables.replay``; apply after ``event_time``.
+
+    The closing row has to move the watermark before it goes, but Catalyst pushes a filter
+    through a watermark and down to the scan unless it names the time column; so this one
+    compares the time with a date before all others."""
+    return df.where(~F.col("_closing") | (F.col(ts) < F.expr("timestamp'0001-01-02'"))).drop("_closing")
+
+
+def value_blocks(df: DataFrame, keys: Sequence[str], seq: str, value: str | None, span: int,
+                 tasks: int) -> DataFrame:
+    """A micro-batch's values per key (as its stand-ins) and ``block`` of ``span`` sequence
+    numbers, in order: ``vals``.
+
+    Blocks, not keys, are dealt over ``tasks`` groups, so the rows of a hot key are sorted
+    in many tasks, and what moves on per key is one array per block. A row without a value
+    belongs to no window."""
+    stand_ins = key_stand_ins(keys, MARK)
+    v = F.lit(1).cast("long") if value is None else F.col(value).cast("long")
+    block = F.floor(F.col(seq) / F.lit(span)).cast("long")
+    by = [*stand_ins, "block"]
+    rows = df.select(*(c.alias(k) for k, c in stand_ins.items()), F.col(seq).alias("_seq"), v.alias("_v"),
+                     block.alias("block")).where(F.col("_v").isNotNull()) \
+        .withColumn("_task", F.pmod(F.xxhash64(*by), F.lit(tasks)))
+
+    def sort(table: pa.Table) -> pa.Table:
+        table = table.sort_by([(c, "ascending") for c in (*by, "_seq")])
+        return table.group_by(by, use_threads=False).aggregate([("_v", "list")]) \
+            .rename_columns([*by, "vals"]).select([*by, "vals"])
+
+    return rows.groupBy("_task").applyInArrow(sort, f"{_ddl(rows, by)}, vals array<long>")
+
+
+def _by_key(df: DataFrame, keys: list[str], blocks: DataFrame, proc) -> DataFrame:
+    """Run a count-window processor per key. It is keyed by the stand-ins: integer keys with
+    a null among them would reach Python as floats, and NaN equals no key."""
+    out = blocks.groupBy(*proc.key_names).transformWithStateInPandas(
+        proc, proc.output_schema(_ddl(blocks, proc.key_names)), "append", "None")
+    return out.select(*key_values(df, keys, MARK), *[c for c in out.columns if c not in proc.key_names])
+
+
 def count_window_avg_stream(df: DataFrame, keys: Sequence[str], seq: str, value: str,
-                            size: int = 3, state: str = "list") -> DataFrame:
+                            size: int = 3, state: str = "list", span: int = 1 << 16,
+                            tasks: int = 64) -> DataFrame:
     """Average of every ``size`` rows per key; ``state`` = list | value | map."""
-    keys = list(keys)
-    proc = CountWindowAverage(keys, seq=seq, value=value, size=size, state=state)
-    # a row without a value belongs to no window
-    return (df.select(*keys, seq, value).where(F.col(value).isNotNull()).groupBy(*keys)
-            .transformWithStateInPandas(proc, CountWindowAverage.output_schema(_ddl(df, keys)),
-                                        "append", "None"))
+    proc = CountWindowAverage(list(key_stand_ins(keys, MARK)), size=size, state=state)
+    return _by_key(df, list(keys), value_blocks(df, keys, seq, value, span, tasks), proc)
 
 
 def count_window_sliding_stream(df: DataFrame, keys: Sequence[str], seq: str,
-                                value: str | None = None, every: int = 2, size: int = 3
-                                ) -> DataFrame:
-    keys = list(keys)
-    proc = CountTriggerEvictor(keys, seq=seq, value=value, every=every, size=size)
-    cols = [*keys, seq] + ([value] if value else [])
-    rows = df.select(*cols)
-    if value:   # a row without a value belongs to no window
-        rows = rows.where(F.col(value).isNotNull())
-    return (rows.groupBy(*keys)
-            .transformWithStateInPandas(proc, CountTriggerEvictor.output_schema(_ddl(df, keys)),
-                                        "append", "None"))
+                                value: str | None = None, every: int = 2, size: int = 3,
+                                span: int = 1 << 16, tasks: int = 64) -> DataFrame:
+    """Every ``every`` rows per key, the last ``size`` of them."""
+    proc = CountTriggerEvictor(list(key_stand_ins(keys, MARK)), every=every, size=size)
+    return _by_key(df, list(keys), value_blocks(df, keys, seq, value, span, tasks), proc)
 
 
 def click_cap_stream(df: DataFrame, keys: Sequence[str], ts: str, seq: str,
                      carry: Sequence[str] = (), cap: int = 100, period: str = "1 day",
-                     processing_time: bool = False) -> DataFrame:
+                     processing_time: bool = False, clock_ms: int = 0, buckets: int = 128
+                     ) -> DataFrame:
     """Tagged rows (``pass`` / ``alert``) with ``ts`` and ``period_start``.
 
     By default the period comes from event time (replayable) and the stored
     state is cleared by an event-time timer at the period's end; this needs
     a watermark on ``ts`` upstream. With ``processing_time=True`` the period
     is the wall-clock period of the micro-batch and a processing-time timer
-    resets it, as in the original program (not replayable).
+    resets it, as in the original program (not replayable); ``clock_ms`` sets its clock
+    that much ahead of the engine's.
+
+    Keys are dealt into ``buckets``; choose as many as make a bucket's open keys and its
+    rows of one micro-batch fit a task (a run keeps its number of buckets).
     """
     keys = list(keys)
     step = duration_micros(period)
     carry = [c for c in [seq, *carry] if c not in keys]
-    prepared = df.select(*keys, *carry, ts,
+    stand_ins = key_stand_ins(keys, MARK)             # exact in pandas, nulls included
+    prepared = df.select(*(c.alias(k) for k, c in stand_ins.items()), *carry, ts,
                          to_micros(ts).alias("ts_us"),
-                         floor_to(to_micros(ts), step).alias("period_us"))
+                         floor_to(to_micros(ts), step).alias("period_us"),
+                         F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int").alias("_bucket"))
     # the event-time column must be an output column: ts is passed through
-    schema = f"{_ddl(df, [*keys, *carry])}, {ts} timestamp, ts_us long, period_us long, tag string"
+    schema = (f"{_ddl(prepared, list(stand_ins))}, {_ddl(df, carry)}, {ts} timestamp, ts_us long, "
+              "period_us long, tag string")
     if not df.isStreaming:
         raise ValueError("click_cap_stream expects a streaming frame; use operators.clicks")
-    proc = ClickCap(keys, [*carry, ts], cap=cap, period_us=step, seq=seq,
-                    processing_time=processing_time)
-    grouped = prepared.groupBy(*keys)
+    proc = ClickCap(list(stand_ins), [*carry, ts], cap=cap, period_us=step, seq=seq,
+                    processing_time=processing_time, clock_ms=clock_ms)
+    grouped = prepared.groupBy("_bucket")
     if processing_time:
         out = grouped.transformWithStateInPandas(proc, schema, "append", "ProcessingTime")
     else:
         out = grouped.transformWithStateInPandas(proc, schema, "append", "EventTime",
                                                  eventTimeColumnName=ts)
-    return out.select(*keys, *carry, ts,
+    return out.select(*key_values(df, keys, MARK), *carry, ts,
                       from_micros(F.col("period_us"), ntz=False).alias("period_start"), "tag")
 
 
@@ -111,12 +158,13 @@ def window_counts(df: DataFrame, ts: str, url: str, size: str, slide: str) -> Da
 
 
 def hot_pages_stream(df: DataFrame, ts: str, url: str, size: str = "10 minutes",
-                     slide: str = "5 seconds", n: int = 3, salts: int = 16) -> DataFrame:
+                     slide: str = "5 seconds", n: int = 3, salts: int = 16,
+                     windows: int = 720) -> DataFrame:
     """Candidates for the top-n urls per sliding window, the keyed-process form.
 
-    Window counts go to a processor keyed by (window end, salt of the url) with
-    map state and an event-time timer at window end + 1 ms; each key keeps at
-    most n entries whatever the url count. All salts of a window are released
+    Window counts go to a processor keyed by (``windows`` neighbouring window ends, salt of
+    the url) with an event-time timer at window end + 1 ms; each window keeps at
+    most n entries per salt whatever the url count. All salts of a window are released
     by the same watermark: ``top_n_per_group`` over the (at most) ``n * salts``
     rows of a window gives its top n. Needs a watermark on ``ts`` upstream.
     """
@@ -124,10 +172,11 @@ def hot_pages_stream(df: DataFrame, ts: str, url: str, size: str = "10 minutes",
     sl = f"{duration_micros(slide)} microseconds"
     counts = (df.groupBy(F.window(ts, sz, sl).alias("window"), F.col(url).alias("url"))
               .agg(F.count(F.lit(1)).alias("n")))
-    keyed = counts.select(F.unix_millis(F.col("window.end")).alias("window_end_ms"),
+    end = F.unix_millis(F.col("window.end"))
+    keyed = counts.select(F.floor(end / F.lit(duration_micros(slide) * windows // 1000)).alias("run"),
                           F.pmod(F.xxhash64("url"), F.lit(salts)).cast("int").alias("salt"),
-                          "url", "n")
-    out = (keyed.groupBy("window_end_ms", "salt")
+                          end.alias("window_end_ms"), "url", "n")
+    out = (keyed.groupBy("run", "salt")
            .transformWithStateInPandas(TopNPerWindow(n), TopNPerWindow.output_schema(),
                                        "append", "EventTime"))
     return out.select("url", F.timestamp_millis("window_end_ms").alias("window_end"), "n")

@@ -1,11 +1,10 @@
 """Keyed stateful stream processors (``transformWithStateInPandas``).
 
-State per key is bounded: a few numbers and at most ``size`` pending
-values. Rows of one key inside one micro-batch arrive in no particular
-order. The click cap and the top-n fold them chunk by chunk; the count
-windows need them all in order, so one key's rows of one micro-batch are
-the most a task holds (bound batches with ``maxBytesPerTrigger`` /
-``maxOffsetsPerTrigger``).
+State is bounded: a few numbers and at most ``size`` pending values per key (count
+windows), the open periods (click cap), ``n`` entries per window (top-n). Rows of one
+key inside one micro-batch arrive in no particular order. The click cap and the top-n
+fold them chunk by chunk; the count windows get them as sorted blocks
+(``operators.value_blocks``), one after the other.
 
 Time values come in as epoch microseconds (computed by Spark upstream),
 so no time-zone logic runs in Python.
@@ -17,15 +16,32 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 
-def _batch(rows: Iterator[pd.DataFrame], sort: Sequence[str]) -> pd.DataFrame:
-    """One key's rows of this micro-batch, sorted by ``sort`` (first = primary)."""
-    chunks = list(rows)
-    df = chunks[0] if len(chunks) == 1 else pd.concat(chunks, ignore_index=True)
-    order = np.lexsort(tuple(df[c].to_numpy() for c in reversed(list(sort))))
-    return df.iloc[order].reset_index(drop=True)
+def _in_order(rows: Iterator[pd.DataFrame]) -> Iterator[np.ndarray]:
+    """The values of one key's blocks of this micro-batch, block by block."""
+    blocks = [(b, v) for chunk in rows for b, v in zip(chunk["block"].tolist(), chunk["vals"])]
+    for _, vals in sorted(blocks, key=lambda x: x[0]):
+        yield np.asarray(vals, dtype="int64")
+
+
+def _read_table(state) -> pd.DataFrame | None:
+    """The table a value state of one binary column holds."""
+    stored = state.get()
+    return pa.ipc.open_stream(bytes(stored[0])).read_pandas() if stored is not None else None
+
+
+def _write_table(state, table: pd.DataFrame) -> None:
+    if not len(table):
+        state.clear()
+        return
+    arrow = pa.Table.from_pandas(table, preserve_index=False)
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, arrow.schema) as out:
+        out.write_table(arrow)
+    state.update((sink.getvalue().to_pybytes(),))
 
 
 def _key_frame(key_names: Sequence[str], key: tuple, n: int) -> dict:
@@ -55,15 +71,14 @@ class CountWindowAverage(StatefulProcessor):
     original variants: ``list`` (pending values in list state), ``value``
     (a running ``(count, sum)`` in one value state) or ``map`` (pending
     values in map state keyed by arrival sequence). A value state counts the
-    windows emitted. Output mode: append.
+    windows emitted. Input: sorted blocks of a key's values (``block, vals``). Output
+    mode: append.
     """
 
-    def __init__(self, key_names: Sequence[str], seq: str = "seq", value: str = "v",
-                 size: int = 3, state: str = "list"):
+    def __init__(self, key_names: Sequence[str], size: int = 3, state: str = "list"):
         if state not in ("list", "value", "map"):
             raise ValueError(state)
-        self.key_names, self.seq, self.value, self.size = list(key_names), seq, value, size
-        self.kind = state
+        self.key_names, self.size, self.kind = list(key_names), size, state
 
     @staticmethod
     def output_schema(key_ddl: str) -> str:
@@ -71,59 +86,57 @@ class CountWindowAverage(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         if self.kind == "list":
-            self.pending = handle.getListState("pending", "seq long, v long")
+            self.pending = handle.getListState("pending", "v long")
         elif self.kind == "map":
             self.pending = handle.getMapState("pending", "seq long", "v long")
         else:
             self.pending = handle.getValueState("pending", "n long, s long")
         self.windows = handle.getValueState("windows", "n long")
 
-    def _held(self) -> list[tuple[int, int]]:
+    def _held(self) -> list[int]:
+        """Pending values in arrival order."""
         if self.kind == "list":
-            return list(self.pending.get())
-        if self.kind == "map":
-            return sorted((k[0], v[0]) for k, v in self.pending.iterator())
-        return []
+            return [v[0] for v in self.pending.get()]
+        return [v for _, v in sorted((k[0], v[0]) for k, v in self.pending.iterator())]
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        new = _batch(rows, [self.seq])
-        seqs = new[self.seq].astype("int64").to_numpy()
-        vals = new[self.value].astype("int64").to_numpy()
+        stored = self.windows.get()
+        done = before = stored[0] if stored is not None else 0
         if self.kind == "value":
             stored = self.pending.get()
-            held_n, held_sum = (stored[0], stored[1]) if stored is not None else (0, 0)
-            held = []
+            held, (n, total) = [], stored if stored is not None else (0, 0)
         else:
             held = self._held()
-            held_n, held_sum = len(held), sum(v for _, v in held)
-        totals, rest_n, rest_from = _complete_windows(held_n, held_sum, vals, self.size)
-        # keep the unfinished window
+            n, total = len(held), sum(held)
+        kept = len(held)                        # stored values that are still pending
+        for vals in _in_order(rows):
+            totals, n, start = _complete_windows(n, total, vals, self.size)
+            rest = vals[start:]
+            if len(totals):
+                held, total, kept = [], 0, 0
+            held, total = held + rest.tolist(), total + int(rest.sum())
+            k = len(totals)
+            if k:
+                out = _key_frame(self.key_names, key, k)
+                out.update(window_no=np.arange(done + 1, done + k + 1, dtype="int64"),
+                           n=np.full(k, self.size, dtype="int64"), total=totals,
+                           avg=totals.astype("float64") / self.size)
+                done += k
+                yield pd.DataFrame(out)
         if self.kind == "value":
-            carry = held_sum if len(totals) == 0 else 0
-            self.pending.update((rest_n, carry + int(vals[rest_from:].sum())))
-        else:
-            rest = ([] if len(totals) else held) + list(
-                zip(seqs[rest_from:].tolist(), vals[rest_from:].tolist()))
-            if self.kind == "list":
-                if rest:
-                    self.pending.put(rest)
-                elif held:
-                    self.pending.clear()
+            self.pending.update((n, total))
+        elif self.kind == "list":
+            if held:
+                self.pending.put([(v,) for v in held])
             else:
-                if len(totals) and held:
-                    self.pending.clear()
-                for s_, v_ in rest[len(held) if not len(totals) else 0:]:
-                    self.pending.updateValue((s_,), (v_,))
-        stored = self.windows.get()
-        n_before = stored[0] if stored is not None else 0
-        k = len(totals)
-        if k:
-            self.windows.update((n_before + k,))
-            out = _key_frame(self.key_names, key, k)
-            out.update(window_no=np.arange(n_before + 1, n_before + k + 1, dtype="int64"),
-                       n=np.full(k, self.size, dtype="int64"), total=totals,
-                       avg=totals.astype("float64") / self.size)
-            yield pd.DataFrame(out)
+                self.pending.clear()
+        else:
+            if not kept:
+                self.pending.clear()
+            for i, v in enumerate(held[kept:], kept):
+                self.pending.updateValue((i,), (v,))
+        if done > before:
+            self.windows.update((done,))
 
     def close(self) -> None:
         pass
@@ -135,12 +148,11 @@ class CountTriggerEvictor(StatefulProcessor):
     A count trigger that fires without purging plus an evictor that keeps
     the newest ``size`` rows: at positions every, 2*every, ... emit
     ``(key, rn, n, total)``. State: rows seen, and the newest ``size`` values.
+    Input: sorted blocks of a key's values (``block, vals``).
     """
 
-    def __init__(self, key_names: Sequence[str], seq: str = "seq", value: str | None = None,
-                 every: int = 2, size: int = 3):
-        self.key_names, self.seq, self.value = list(key_names), seq, value
-        self.every, self.size = every, size
+    def __init__(self, key_names: Sequence[str], every: int = 2, size: int = 3):
+        self.key_names, self.every, self.size = list(key_names), every, size
 
     @staticmethod
     def output_schema(key_ddl: str) -> str:
@@ -151,27 +163,24 @@ class CountTriggerEvictor(StatefulProcessor):
         self.tail = handle.getListState("tail", "v long")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        new = _batch(rows, [self.seq])
-        m = len(new)
         stored = self.seen.get()
         seen = stored[0] if stored is not None else 0
-        tail = [t[0] for t in self.tail.get()] if stored is not None else []
-        fresh = (np.ones(m, dtype="int64") if self.value is None
-                 else new[self.value].astype("int64").to_numpy())
-        vals = np.concatenate([np.array(tail, dtype="int64"), fresh])
-        cum = np.concatenate([[0], np.cumsum(vals)])
-        ends = np.arange(len(tail) + 1, len(vals) + 1)          # end offsets of new rows
-        starts = np.maximum(ends - self.size, 0)
-        rn = np.arange(seen + 1, seen + m + 1, dtype="int64")
-        fire = rn % self.every == 0
-        self.seen.update((seen + m,))
-        self.tail.put([(int(v),) for v in vals[-self.size:]])
-        if fire.any():
-            k = int(fire.sum())
-            out = _key_frame(self.key_names, key, k)
-            out.update(rn=rn[fire], n=np.minimum(rn[fire], self.size).astype("int64"),
-                       total=(cum[ends] - cum[starts])[fire].astype("int64"))
-            yield pd.DataFrame(out)
+        tail = np.array([t[0] for t in self.tail.get()] if stored is not None else [], dtype="int64")
+        for fresh in _in_order(rows):
+            vals = np.concatenate([tail, fresh])
+            cum = np.concatenate([[0], np.cumsum(vals)])
+            ends = np.arange(len(tail) + 1, len(vals) + 1)      # end offsets of new rows
+            starts = np.maximum(ends - self.size, 0)
+            rn = np.arange(seen + 1, seen + len(fresh) + 1, dtype="int64")
+            fire = rn % self.every == 0
+            seen, tail = seen + len(fresh), vals[-self.size:]
+            if fire.any():
+                out = _key_frame(self.key_names, key, int(fire.sum()))
+                out.update(rn=rn[fire], n=np.minimum(rn[fire], self.size).astype("int64"),
+                           total=(cum[ends] - cum[starts])[fire].astype("int64"))
+                yield pd.DataFrame(out)
+        self.seen.update((seen,))
+        self.tail.put([(int(v),) for v in tail])
 
     def close(self) -> None:
         pass
@@ -181,70 +190,92 @@ class ClickCap(StatefulProcessor):
     """Per key: pass the first ``cap`` rows of each period, drop the rest,
     emit one ``alert`` row (the first dropped one) per period.
 
-    Input columns: ``seq`` (tie-break), ``ts_us`` and ``period_us`` (period
-    start, epoch micros) plus ``carry`` columns passed through. State: a map
-    period -> (rows passed, alert sent), so a row that comes late, but within
-    the watermark, is counted in its own period and leaves newer ones alone.
-    With time mode ``EventTime`` a timer at each period's end clears that
-    period once the watermark passes it, so idle keys cost nothing. With
-    ``processing_time=True`` (time mode ``ProcessingTime``) the period is the
-    wall-clock day of the micro-batch, as in the original; not replayable.
-
-    A key's micro-batch is folded chunk by chunk to the ``cap + 1`` earliest
-    rows of each period: more can neither pass nor raise an alert.
+    Runs per *bucket* of keys (a hash of the key), so that one call, one state read and
+    one write serve all of a bucket's keys, whose rows are counted together as columns.
+    Input columns: ``seq`` (tie-break), ``ts_us`` and ``period_us`` (period start, epoch
+    micros), the keys and ``carry`` columns passed through. State: one value, the table of
+    (key, open period, rows passed, alert sent), so a row that comes late, but within the
+    watermark, is counted in its own period and leaves newer ones alone; a micro-batch
+    rewrites the tables of the buckets it touches. A timer at each period's end clears
+    that period, so idle keys cost nothing.
+
+    With ``processing_time=True`` (time mode ``ProcessingTime``) the period is the
+    wall-clock day of the micro-batch, as in the original; not replayable. The clock
+    shows ``clock_ms`` more than the engine's, so a test can put midnight where it likes.
+
+    A bucket's micro-batch is folded chunk by chunk to the ``cap + 1`` earliest
+    rows of each key and period: more can neither pass nor raise an alert.
     """
 
     def __init__(self, key_names: Sequence[str], carry: Sequence[str], cap: int = 100,
                  period_us: int = 86_400_000_000, seq: str = "seq",
-                 processing_time: bool = False):
+                 processing_time: bool = False, clock_ms: int = 0):
         self.key_names, self.carry = list(key_names), list(carry)
         self.cap, self.period_us, self.seq = cap, period_us, seq
-        self.processing_time = processing_time
+        self.processing_time, self.clock_ms = processing_time, clock_ms if processing_time else 0
+        self.group = [*self.key_names, "period_us"]
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.periods = handle.getMapState("periods", "period long", "passed long, alerted boolean")
+        self.entries = handle.getValueState("entries", "table binary")
 
     def _earliest(self, frames: list[pd.DataFrame]) -> pd.DataFrame:
         df = frames[0] if len(frames) == 1 else pd.concat(frames, ignore_index=True)
-        order = np.lexsort((df[self.seq].to_numpy(), df["ts_us"].to_numpy(),
-                            df["period_us"].to_numpy()))
-        df = df.iloc[order].reset_index(drop=True)
-        return df[df.groupby("period_us").cumcount() <= self.cap].reset_index(drop=True)
+        order = np.lexsort((df[self.seq].to_numpy(), df["ts_us"].to_numpy()))
+        df = df.iloc[order]
+        return df[df.groupby(self.group, dropna=False, sort=False).cumcount() <= self.cap]
+
+    def _timer(self, period: int) -> int:
+        """Engine time at which ``period`` is over."""
+        return (period + self.period_us) // 1000 - self.clock_ms
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         if self.processing_time:
             # the original resets at the next midnight of the wall clock
-            now_us = timerValues.getCurrentProcessingTimeInMs() * 1000
+            now_us = (timerValues.getCurrentProcessingTimeInMs() + self.clock_ms) * 1000
             rows = (c.assign(period_us=now_us - now_us % self.period_us) for c in rows)
         kept = None
         for chunk in rows:
             kept = self._earliest([chunk] if kept is None else [kept, chunk])
-        periods = kept["period_us"].to_numpy(dtype="int64")
-        tag = np.full(len(kept), "", dtype=object)
-        for period in np.unique(periods).tolist():
-            mine = np.flatnonzero(periods == period)
-            known = self.periods.containsKey((period,))
-            passed, alerted = self.periods.getValue((period,)) if known else (0, False)
-            room = self.cap - passed
-            tag[mine[:room]] = "pass"
-            over = len(mine) > room
-            if over and not alerted:
-                tag[mine[room]] = "alert"
-            self.periods.updateValue((period,), (min(self.cap, passed + len(mine)),
-                                                 bool(alerted or over)))
-            if not known:
-                self.handle.registerTimer((period + self.period_us) // 1000)
+        state = _read_table(self.entries)
+        if state is None:
+            kept = kept.assign(passed=0, alerted=False)
+        else:
+            kept = kept.merge(state, on=self.group, how="left")
+            kept["passed"] = kept["passed"].fillna(0).astype("int64")
+            kept["alerted"] = kept["alerted"].astype("boolean").fillna(False).astype(bool)
+        groups = kept.groupby(self.group, dropna=False, sort=False)
+        place = kept["passed"] + groups.cumcount()
+        tag = np.where(place < self.cap, "pass",
+                       np.where((place == self.cap) & ~kept["alerted"], "alert", ""))
+
+        # every group's entry after this micro-batch replaces the one before it
+        now = groups.agg(passed=("passed", "first"), alerted=("alerted", "first"), n=("passed", "size")) \
+            .reset_index()
+        total = now["passed"] + now.pop("n")
+        now["alerted"], now["passed"] = now["alerted"] | (total > self.cap), np.minimum(total, self.cap)
+        if state is not None:
+            now = pd.concat([now, state], ignore_index=True).drop_duplicates(self.group, keep="first")
+        _write_table(self.entries, now)
+        first = int(now["period_us"].min())
+        if state is None or first < state["period_us"].min():
+            self.handle.registerTimer(self._timer(first))
         out = kept[tag != ""]
         if len(out):
             columns = [*self.key_names, *self.carry, "ts_us", "period_us"]
             yield out[columns].assign(tag=tag[tag != ""])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        expired = expiredTimerInfo.getExpiryTimeInMs()
-        for period in [p[0] for p in self.periods.keys()]:
-            if (period + self.period_us) // 1000 <= expired:
-                self.periods.removeKey((period,))
+        state = _read_table(self.entries)
+        if state is not None:
+            now = (timerValues.getCurrentProcessingTimeInMs() if self.processing_time
+                   else timerValues.getCurrentWatermarkInMs())
+            now = max(now, expiredTimerInfo.getExpiryTimeInMs())
+            left = state[(state["period_us"] + self.period_us) // 1000 - self.clock_ms > now]
+            if len(left) < len(state):
+                _write_table(self.entries, left)
+            if len(left):
+                self.handle.registerTimer(self._timer(int(left["period_us"].min())))
         return iter([])
 
     def close(self) -> None:
@@ -252,14 +283,14 @@ class ClickCap(StatefulProcessor):
 
 
 class TopNPerWindow(StatefulProcessor):
-    """Top-n entries per (window end, salt), released by an event-time timer.
-
-    Keyed by the window end (epoch ms) and a salt of the url. Map state holds at
-    most ``n`` ``url -> count`` entries, the best so far by ``(count desc, url
-    asc)``; each finished window count arrives once from the upstream window
-    aggregation and is folded in chunk by chunk. A timer at window end + 1 ms
-    fires when the watermark passes it; the entries go out and the state is
-    cleared.
+    """Top-n entries per window end, released by an event-time timer at window end + 1 ms.
+
+    Runs per (run of neighbouring window ends, salt of the url), so that one call serves many
+    windows. State: one table with at most ``n`` entries ``(window_end_ms, url, n)`` per
+    open window, the best so far by ``(n desc, url asc)``; each finished window count
+    arrives once from the upstream aggregation and is folded in chunk by chunk. One timer
+    stands at the earliest open window's end; when it fires, every window that the
+    watermark has passed goes out and the timer moves on.
     """
 
     def __init__(self, n: int = 3):
@@ -267,39 +298,39 @@ class TopNPerWindow(StatefulProcessor):
 
     @staticmethod
     def output_schema() -> str:
-        return "url string, window_end_ms long, salt int, n long"
+        return "url string, window_end_ms long, n long"
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.best = handle.getMapState("best", "url string", "n long")
+        self.best = handle.getValueState("best", "table binary")
 
-    def _ranked(self, entries):
-        return sorted(entries, key=lambda e: (-e[1], e[0]))[: self.n]
+    def _ranked(self, table: pd.DataFrame) -> pd.DataFrame:
+        table = table.sort_values(["window_end_ms", "n", "url"], ascending=[True, False, True])
+        return table[table.groupby("window_end_ms").cumcount() < self.n]
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        held = [(k[0], v[0]) for k, v in self.best.iterator()]
+        held = _read_table(self.best)
         top = held
         for chunk in rows:
-            top = self._ranked(top + list(zip(chunk["url"].tolist(),
-                                              chunk["n"].astype("int64").tolist())))
-        keep, before = {u for u, _ in top}, {u for u, _ in held}
-        for u in before - keep:
-            self.best.removeKey((u,))
-        for u, c in top:
-            if u not in before:
-                self.best.updateValue((u,), (int(c),))
-        if not held:
-            self.handle.registerTimer(int(key[0]) + 1)
+            chunk = chunk[["window_end_ms", "url", "n"]]
+            top = self._ranked(chunk if top is None else pd.concat([top, chunk], ignore_index=True))
+        _write_table(self.best, top)
+        first = int(top["window_end_ms"].min())
+        if held is None or first < held["window_end_ms"].min():
+            self.handle.registerTimer(first + 1)
         return iter([])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        top = self._ranked([(k[0], v[0]) for k, v in self.best.iterator()])
-        self.best.clear()
-        if top:
-            yield pd.DataFrame({"url": [u for u, _ in top],
-                                "window_end_ms": [int(key[0])] * len(top),
-                                "salt": [int(key[1])] * len(top),
-                                "n": [int(c) for _, c in top]})
+        held = _read_table(self.best)
+        if held is not None:
+            now = max(timerValues.getCurrentWatermarkInMs(), expiredTimerInfo.getExpiryTimeInMs())
+            due = held["window_end_ms"] + 1 <= now
+            left = held[~due]
+            _write_table(self.best, left)
+            if len(left):
+                self.handle.registerTimer(int(left["window_end_ms"].min()) + 1)
+            if due.any():
+                yield held[due][["url", "window_end_ms", "n"]]
 
     def close(self) -> None:
         pass

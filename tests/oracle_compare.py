@@ -76,8 +76,9 @@ def compare(spark, sf_dir: str, names=None, verbose=True) -> dict:
                "duck_rows": len(drows), "sec": round(t1 - t0, 2)}
         if not ok:
             res["spark_cols"], res["duck_cols"] = sc, dc
-            extra = [r for r in sb if r not in set(db)][:3]
-            missing = [r for r in db if r not in set(sb)][:3]
+            in_spark, in_duck = set(sb), set(db)
+            extra = [r for r in sb if r not in in_duck][:3]
+            missing = [r for r in db if r not in in_spark][:3]
             res["spark_only"], res["duck_only"] = extra, missing
         results[name] = res
         if verbose:
