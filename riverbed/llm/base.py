@@ -8,6 +8,7 @@ memory follows the longest document, never the partition.
 from __future__ import annotations
 
 import gc
+import hashlib
 import os
 from collections.abc import Iterator
 
@@ -143,6 +144,34 @@ def range_hash(pre: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarra
                + (end - start).astype(np.uint64) * _U(_BASE))
 
 
+def verified_hash(buf: np.ndarray, start: np.ndarray, end: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """``keys`` (hashes of the ranges) changed so that equal keys mean equal bytes.
+
+    Every range is compared with the first one of its key; those that differ (hashes that
+    collide) get keys of their own, by their bytes."""
+    if not len(keys):
+        return keys
+    _, first, which = np.unique(keys, return_index=True, return_inverse=True)
+    twin = first[which.reshape(-1)]
+    size = end - start
+    wrong = size[twin] != size
+    same = np.flatnonzero(~wrong & (twin != np.arange(len(keys))))
+    step = max(1, len(same) // max(1, int(size[same].sum()) >> 22)) if len(same) else 1
+    for lo in range(0, len(same), step):            # some 4 MB of indices at a time
+        part = same[lo:lo + step]
+        n = size[part]
+        at = np.repeat(start[part] - np.cumsum(n) + n, n) + np.arange(int(n.sum()))
+        gap = np.repeat(start[twin[part]] - start[part], n)
+        off = np.flatnonzero(buf[at] != buf[at + gap])
+        wrong[part[np.searchsorted(np.cumsum(n), off, "right")]] = True
+    if wrong.any():
+        keys, own = keys.copy(), {}
+        for i in np.flatnonzero(wrong).tolist():
+            raw = buf[start[i]:end[i]].tobytes()
+            keys[i] = own.setdefault(raw, _U(int.from_bytes(hashlib.blake2b(raw, digest_size=8).digest())))
+    return keys
+
+
 _SPACES = np.zeros(256, bool)
 _SPACES[[0x20, 9, 10, 11, 12, 13]] = True
 

@@ -9,9 +9,10 @@ with the distances seen in training, and a text that lies further out than
 ``reject_quantile`` of the language's training rows is marked rejected.
 
 The classifier (idf and centroids) is fitted on a bounded sample: at most
-``per_lang`` rows of each language, those with the smallest hash of doc_id.
-Only the sample's vectors reach the driver (``per_lang * DIMS`` floats per
-language). Prediction reads every whole text, in one pass without a shuffle.
+``per_lang`` documents of each language, those with the smallest hash of doc_id, and
+fewer of each if there are so many languages that ``most_rows`` would be passed. However
+often rows repeat, a doc_id counts once per language. Only the sample's vectors reach
+the driver (``most_rows * DIMS`` floats). Prediction reads every whole text, in one pass without a shuffle.
 
 Defined results: null texts and texts without a letter are ``und`` with score
 0 and count as rejected; rows without a language teach nothing; with no
@@ -27,7 +28,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .base import chunks
+from .base import chunks, written
 
 DIMS = 4096
 SALTS = 32
@@ -37,6 +38,7 @@ UND = "und"
 @dataclass(frozen=True)
 class Fit:
     per_lang: int = 600
+    most_rows: int = 4800       # of all languages together: bounds the driver's table
     centroids: int = 4
     rounds: int = 12
     reject_quantile: float = 0.999
@@ -126,18 +128,24 @@ class Model:
 
 def train(docs: DataFrame, may_learn: Column, doc_id: str = "doc_id", text: str = "text",
           lang: str = "lang", fit: Fit = Fit()) -> Model:
-    """Fit on at most ``fit.per_lang`` rows per language for which ``may_learn`` holds."""
-    ids = docs.where(may_learn & F.col(lang).isNotNull() & F.col(text).isNotNull()) \
-        .select(F.col(doc_id).alias("_id"), F.col(lang).cast("string").alias("lang"))
-    # cut per task, then per (language, salt), then per language: the last step sees at
-    # most SALTS * per_lang rows of a language however many tasks there were
-    ids = ids.withColumn("_h", F.xxhash64("_id")).withColumn("_s", F.pmod("_h", F.lit(SALTS)))
+    """Fit on at most ``fit.per_lang`` documents per language, ``fit.most_rows`` in all, of the
+    rows for which ``may_learn`` holds; a doc_id counts once per language, by one of its texts."""
+    learn = docs.where(may_learn & F.col(lang).isNotNull() & F.col(text).isNotNull()) \
+        .select(F.col(doc_id).alias("_id"), F.col(lang).cast("string").alias("lang"),
+                F.col(text).alias("text"))
+    # repeated rows meet before the shuffle; then cut per task and (language, salt), then
+    # per language: the last step sees at most SALTS * per_lang rows of a language
+    ids = learn.groupBy("_id", "lang").agg(F.count(F.lit(1)).alias("_rows")).drop("_rows") \
+        .withColumn("_h", F.xxhash64("_id")).withColumn("_s", F.pmod("_h", F.lit(SALTS)))
     for keys in (["lang", "_s"], ["lang"]):
         order = Window.partitionBy(*keys).orderBy("_h", "_id")
         ids = ids.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= fit.per_lang)
-    ids = ids.select("_id", "lang")
-    rows = docs.select(F.col(doc_id).alias("_d"), F.col(text).alias("text")) \
-        .join(F.broadcast(ids), F.col("_d") == F.col("_id")).select("lang", "text")
+    ids = written(ids.select("_id", "lang", "_n"), "langid-sample")
+    each = max(1, fit.most_rows // max(1, ids.select("lang").distinct().count()))
+    ids = ids.where(F.col("_n") <= each).select(F.col("_id").alias("_i"), F.col("lang").alias("_l"))
+    # the smallest text of a doc_id's rows, taken per task first
+    rows = learn.join(F.broadcast(ids), (F.col("_id").eqNullSafe(F.col("_i"))) & (F.col("lang") == F.col("_l"))) \
+        .groupBy("_id", "lang").agg(F.min("text").alias("text")).select("lang", "text")
 
     def run(batches):
         for batch in batches:

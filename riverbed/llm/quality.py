@@ -25,13 +25,15 @@ rows are judged one by one; with no reference at all the base rules decide.
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .base import BYTE_KEY, chunks, mix, prefix_hash, range_hash, word_spans, written
+from .base import (BYTE_KEY, chunks, mix, prefix_hash, range_hash, verified_hash, word_spans,
+                   written)
 
 WINDOW = 8
 WORD_BUCKETS = 4096
@@ -118,11 +120,11 @@ def measures(buf: np.ndarray, off: np.ndarray, base_only: bool = False) -> dict[
     line_doc = np.searchsorted(off, line_start, "right") - 1
     filled = np.searchsorted(start, line_end) > np.searchsorted(start, line_start)
     line_start, line_end, line_doc = line_start[filled], line_end[filled], line_doc[filled]
-    _, later = _repeated(range_hash(pre, line_start, line_end), line_doc)
+    lines = verified_hash(buf, line_start, line_end, range_hash(pre, line_start, line_end))
+    _, later = _repeated(lines, line_doc)
     out["n_dup_lines"] = np.bincount(line_doc[later], minlength=n)
-    out["hash"] = range_hash(pre, off[:-1], off[1:])
 
-    w = range_hash(pre, start, end)
+    w = verified_hash(buf, start, end, range_hash(pre, start, end))
     m = len(w) - WINDOW + 1
     covered = np.zeros(len(w), bool)
     if m > 0:
@@ -171,7 +173,7 @@ def references(docs: DataFrame, text: str = "text", lang: str = "lang",
     rows ``(lang, kind, bin, n)``, at most ``len(CLASSES) + WORD_BUCKETS`` per language.
 
     ``once`` counts the documents of a language that have the same text (by its
-    64-bit hash) once. For this the sparse histogram of every document, never its
+    128-bit digest) once. For this the sparse histogram of every document, never its
     text, is grouped by hash; every task drops its own copies before the shuffle.
     """
     classes = len(CLASSES)
@@ -192,16 +194,19 @@ def references(docs: DataFrame, text: str = "text", lang: str = "lang",
                                        n * CELL + key % WORD_BUCKETS + classes])
                 order = np.argsort(place, kind="stable")
                 sizes = np.bincount(place, minlength=hi - lo)[good]
+                raw = memoryview(buf)
+                digest = [hashlib.blake2b(raw[a:b], digest_size=16).digest()
+                          for a, b, ok in zip(off[:-1].tolist(), off[1:].tolist(), good.tolist()) if ok]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(1).slice(lo, hi - lo).filter(pa.array(good)),
-                     pa.array(got["hash"][good].view(np.int64)),
+                     pa.array(digest, pa.binary()),
                      pa.ListArray.from_arrays(
                          pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)),
                          pa.array(cell[order].astype(np.int64)))],
                     names=["lang", "hash", "cells"])
 
     parts = docs.select(F.col(text).alias("text"), F.col(lang).cast("string").alias("lang")) \
-        .mapInArrow(sparse, "lang string, hash long, cells array<long>")
+        .mapInArrow(sparse, "lang string, hash binary, cells array<long>")
     if once:
         parts = parts.dropDuplicates(["lang", "hash"])
     at = F.col("cell") % CELL

@@ -208,14 +208,16 @@ class Scorer:
 
 def _sample(docs: DataFrame, labels: DataFrame, may_learn: Column, fit: Fit, doc_id: str,
             text: str, label: str) -> DataFrame:
-    """``text, toxic`` of the training sample: at most ``toxic_rows + clean_rows`` documents."""
+    """``text, toxic`` of the training sample: at most ``toxic_rows + clean_rows`` documents,
+    each by one of its rows (the smallest text, taken per task first)."""
     marks = labels.where(may_learn & F.col(label).isNotNull()) \
         .groupBy(F.col(doc_id).alias("_id")).agg(F.max(label).cast("int").alias("toxic"))
     order = [F.xxhash64("_id"), F.col("_id")]
     chosen = marks.where("toxic = 1").orderBy(*order).limit(fit.toxic_rows).unionByName(
         marks.where("toxic = 0").orderBy(*order).limit(fit.clean_rows))
     return docs.select(F.col(doc_id).alias("_d"), F.col(text).alias("text")) \
-        .join(F.broadcast(chosen), F.col("_d") == F.col("_id")).select("text", "toxic")
+        .join(F.broadcast(chosen), F.col("_d") == F.col("_id")) \
+        .groupBy("_id").agg(F.min("text").alias("text"), F.first("toxic").alias("toxic")).select("text", "toxic")
 
 
 def train(docs: DataFrame, labels: DataFrame, may_learn: Column, doc_id: str = "doc_id",
