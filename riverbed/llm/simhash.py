@@ -4,12 +4,18 @@ A fingerprint has 64 bits, eight bytes at eight positions. Two fingerprints
 that differ in at most ``max_bits`` bits differ in at most that many bytes, so
 they share at least ``8 - max_bits`` positional bytes. The index posts every
 distinct fingerprint under the positional bytes it would have to share with a
-partner: with a guaranteed minimum of five of eight, any six positions hold at
-least three of them, so it posts under each three of the first six (a posting
+partner: with a guaranteed minimum of five of eight, any seven positions hold at
+least four of them, so it posts under each four of the first seven (a posting
 list is one choice of positions with its byte values). For two members of a
 list all eight positional bytes are tallied; pairs that reach the minimum are
 verified by their bit distance.
 
+``posted`` (positional bytes a list fixes) trades postings for list length and
+never changes a link. Of N evenly spread fingerprints, three give 20 postings
+each and N / 2^24 members a list; four give 35 and N / 2^32; five give 56 and
+N / 2^40. At 4 x 10^10 documents (100 TB) that is some 10^15, 7 x 10^12 and
+4 x 10^10 compared pairs, while the shuffled postings grow from 20 to 35 and 56.
+
 Equal fingerprints are folded first, so copies cost one posting. A list longer
 than ``BLOCK`` is cut into blocks by hash, and every two blocks meet in a task
 of their own: no list is capped and none is gathered whole. Within a task a
@@ -35,6 +41,8 @@ from .base import written
 from .graph import components
 
 SEED = 42
+#: positional bytes that a posting list fixes
+POSTED = 4
 BLOCK = 2048
 _PART = 1 << 16
 
@@ -79,12 +87,14 @@ def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 class Index:
     """Which positions are posted for a bit limit, and the tests on candidate pairs."""
 
-    def __init__(self, max_bits: int):
+    def __init__(self, max_bits: int, posted: int = POSTED):
         self.max_bits, self.least = max_bits, 8 - max_bits
         if not 0 < self.least <= 8:
             raise ValueError("max_bits must be 0 to 7")
+        if not 0 < posted <= 7:
+            raise ValueError("posted must be 1 to 7")     # list number and bytes share one long
         # any `span` positions hold at least `chosen` shared ones
-        self.chosen = min(3, self.least)
+        self.chosen = min(posted, self.least)
         self.span = 8 - self.least + self.chosen
         self.posts = list(combinations(range(self.span), self.chosen))
         rank = {c: i for i, c in enumerate(self.posts)}
@@ -155,16 +165,16 @@ class Index:
         return np.concatenate([none, *left]), np.concatenate([none, *right])
 
 
-def links(prints: DataFrame, max_bits: int = 3) -> DataFrame:
+def links(prints: DataFrame, max_bits: int = 3, posted: int = POSTED) -> DataFrame:
     """``a, b``: links between distinct fingerprints (column ``fp``) that span every
-    group linked by ``max_bits`` or fewer differing bits."""
-    index = Index(max_bits)
+    group linked by ``max_bits`` or fewer differing bits, whatever ``posted`` is."""
+    index = Index(max_bits, posted)
     width = 8 * index.chosen
-    posted = prints.select("fp", F.explode(index.lists()).alias("list"))
-    long_lists = posted.groupBy("list").count().where(F.col("count") > BLOCK) \
+    postings = prints.select("fp", F.explode(index.lists()).alias("list"))
+    long_lists = postings.groupBy("list").count().where(F.col("count") > BLOCK) \
         .select("list", F.ceil(F.col("count") / BLOCK).cast("int").alias("blocks"))
     mine = F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int")
-    met = posted.join(long_lists, "list", "left") \
+    met = postings.join(long_lists, "list", "left") \
         .withColumn("blocks", F.coalesce("blocks", F.lit(1))).withColumn("mine", mine) \
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))) \
         .select("list", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"),
@@ -198,11 +208,11 @@ def links(prints: DataFrame, max_bits: int = 3) -> DataFrame:
 
 
 def groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 3,
-           max_bits: int = 3) -> DataFrame:
+           max_bits: int = 3, posted: int = POSTED) -> DataFrame:
     """``doc_id, fp, component_id`` per document; the id is the smallest doc_id reachable."""
     prints = written(fingerprints(docs, doc_id, text, shingle), "simhash-prints")
     nodes = written(prints.groupBy("fp").agg(F.min("doc_id").alias("rep")), "simhash-nodes")
-    labels = components(links(nodes, max_bits))
+    labels = components(links(nodes, max_bits, posted))
     owned = nodes.join(labels, nodes["fp"] == labels["node"], "left") \
         .select("fp", "rep", F.coalesce("label", "fp").alias("label"))
     owned = written(owned, "simhash-owned")
