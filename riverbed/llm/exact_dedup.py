@@ -4,12 +4,16 @@ Texts are equal when identical after replacing each run of white space by one
 space. Documents are grouped by length of the normalised text; only groups of
 two or more are split by a hash of a prefix; only groups that survive this are
 split by the SHA-256 of the full normalised text. Full content is read again
-only for survivors: the surviving (length, prefix hash) groups are folded to a
-table of at most ``SLOTS`` slot numbers, which is broadcast (its size bound is
-``SLOTS`` rows whatever the corpus) and consulted before the hash is taken. A
-slot shared with a group that did not survive costs one needless hash, never a
-wrong result. Text never crosses a shuffle; the rows that do are a few numbers
-and a hash per document, and counts are pre-aggregated per task.
+only for survivors: the surviving (length, prefix hash) groups set one bit each
+in a bitmap of ``BITS`` bits a group, and the hash is taken where a row's bit is
+set. The bitmap is broadcast in rows of 4 KB and has at most ``MAX_BITS`` bits
+(32 MB) whatever the corpus. A bit shared with a group that did not survive
+costs one needless hash, never a wrong result: of the rows without a partner at
+most one in ``BITS`` up to ``MAX_BITS / BITS`` surviving groups (16 million),
+more beyond. Texts are normalised twice, once for the groups and once for the
+hashes, and ``refine`` moves none of them: what crosses its shuffles are a few
+numbers and a hash per document, and counts are pre-aggregated per task.
+(``drop_copies`` then moves the documents once, by id.)
 
 Defined results: a null text equals the empty text; the row with the smallest
 doc_id of a group stays (a null id sorts last); of rows that repeat that
@@ -23,20 +27,35 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from .base import SPACE, written
 
 PREFIX = 128
-SLOTS = 1 << 18
+#: bits per surviving group, and the least and most bits of the broadcast bitmap
+BITS, MIN_BITS, MAX_BITS = 16, 1 << 18, 1 << 28
 
 
 def normalised(text: str = "text") -> Column:
     return F.regexp_replace(F.coalesce(F.col(text), F.lit("")), SPACE + "+", " ")
 
 
-def _slot(*keys: str) -> Column:
-    return F.pmod(F.xxhash64(*keys), F.lit(SLOTS)).cast("int")
+def _bit(bits: int) -> Column:
+    """A group's bit, numbered from 1."""
+    return F.pmod(F.xxhash64("len", "head"), F.lit(bits)) + 1
 
 
-def _survivors(groups: DataFrame, *keys: str) -> DataFrame:
-    """Slots of groups with two rows or more: at most ``SLOTS`` numbers."""
-    return groups.where("count > 1").select(_slot(*keys).alias("slot")).distinct()
+def _bitmap_bits(groups: int) -> int:
+    """A power of two of at least ``BITS`` bits a group, within the bounds."""
+    return min(MAX_BITS, max(MIN_BITS, 1 << max(0, groups * BITS - 1).bit_length()))
+
+
+def _bitmap(groups: DataFrame, bits: int) -> DataFrame:
+    """``bucket, bitmap``: the bits of the groups, at most ``bits`` / 8 bytes in all."""
+    return groups.select(_bit(bits).alias("bit")).groupBy(F.bitmap_bucket_number("bit").alias("bucket")) \
+        .agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bitmap"))
+
+
+def _is_set(bitmap: str, bit: Column) -> Column:
+    """Whether a bucket's bitmap (null: no bits) holds a bit."""
+    place = F.bitmap_bit_position(bit)
+    byte = F.conv(F.hex(F.substring(F.col(bitmap), (F.shiftright(place, 3) + 1).cast("int"), F.lit(1))), 16, 10)
+    return F.coalesce(F.getbit(byte.cast("int"), place.bitwiseAND(F.lit(7)).cast("int")) == 1, F.lit(False))
 
 
 def refine(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
@@ -48,20 +67,19 @@ def refine(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     extra = ["text_sha256"] if digest else []
     norm = docs.select(F.col(doc_id).alias("doc_id"), normalised(text).alias("norm")) \
         .select("doc_id", F.length("norm").alias("len"), "norm")
+    head = F.xxhash64(F.substring("norm", 1, prefix)).alias("head")
     # stage 1: length groups; stage 2: prefix hashes inside them
-    heads = norm.select("len", F.xxhash64(F.substring("norm", 1, prefix)).alias("head"))
-    by_head = heads.groupBy("len", "head").count()
-    by_len = by_head.groupBy("len").agg(F.sum("count").alias("count"))
-    long_slots = _survivors(by_len, "len").withColumnRenamed("slot", "len_slot")
-    again = by_head.withColumn("len_slot", _slot("len")) \
-        .join(F.broadcast(long_slots), "len_slot", "left_semi")
-    slots = _survivors(again, "len", "head").withColumn("alive", F.lit(True))
+    by_head = written(norm.select("len", head).groupBy("len", "head").count(), "exact-heads")
+    by_len = by_head.groupBy("len").agg(F.sum("count").alias("rows")).where("rows > 1").select("len")
+    alive = written(by_head.where("count > 1").join(by_len, "len", "left_semi").select("len", "head"),
+                    "exact-alive")
+    bits = _bitmap_bits(alive.count())
     # stage 3: the full hash, only where a group survived
-    keyed = norm.withColumn("head", F.xxhash64(F.substring("norm", 1, prefix))) \
-        .withColumn("slot", _slot("len", "head")) \
-        .join(F.broadcast(slots), "slot", "left") \
+    keyed = norm.select("doc_id", "len", head, "norm") \
+        .withColumn("bucket", F.bitmap_bucket_number(_bit(bits))) \
+        .join(F.broadcast(_bitmap(alive, bits)), "bucket", "left") \
         .select("doc_id", "len", "head", F.monotonically_increasing_id().alias("row"),
-                F.when(F.col("alive"), F.unhex(F.sha2(F.col("norm"), 256))).alias("full"),
+                F.when(_is_set("bitmap", _bit(bits)), F.unhex(F.sha2(F.col("norm"), 256))).alias("full"),
                 *(F.sha2(F.col("norm"), 256).alias(x) for x in extra))
     keyed = written(keyed, "exact-keys")
     alone = keyed.where("full IS NULL").select(

@@ -313,9 +313,9 @@ def test_simhash_components(docs):
     assert {r["doc_id"] for r in kept.collect()} == {i for i, _, c in want if i == c}
 
 
-@pytest.mark.parametrize("short,block", [(48, 2048), (2, 4)])
-def test_links_span_the_same_groups_as_all_pairs(spark, monkeypatch, short, block):
-    """Random clusters, with posting lists short, long, and cut into blocks."""
+@pytest.mark.parametrize("short,block,posted", [(48, 2048, 4), (2, 4, 4), (48, 2048, 3), (2, 4, 5), (2, 4, 1)])
+def test_links_span_the_same_groups_as_all_pairs(spark, monkeypatch, short, block, posted):
+    """Random clusters, with posting lists short, long, and cut into blocks, of any width."""
     rng = np.random.default_rng(short)
     base = rng.integers(0, 2**63, 40, dtype=np.uint64)
     fps = {int(b) for b in base}
@@ -329,7 +329,7 @@ def test_links_span_the_same_groups_as_all_pairs(spark, monkeypatch, short, bloc
     monkeypatch.setattr(simhash, "BLOCK", block)
     monkeypatch.setattr(simhash.Index.links, "__defaults__", (short,))
     frame = spark.createDataFrame([(int(np.uint64(x).view(np.int64)),) for x in fps], "fp long")
-    found = {tuple(sorted((r["a"] % 2**64, r["b"] % 2**64))) for r in simhash.links(frame).collect()}
+    found = {tuple(sorted((r["a"] % 2**64, r["b"] % 2**64))) for r in simhash.links(frame, 3, posted).collect()}
     assert all((a ^ b).bit_count() <= 3 for a, b in found)
     want = _classes(len(fps), lambda i, j: (fps[i] ^ fps[j]).bit_count() <= 3)
     got = _classes(len(fps), lambda i, j: (fps[j], fps[i]) in found)
@@ -355,6 +355,32 @@ def test_exact_groups(docs):
     assert all(r["doc_id"] == r["keep_id"] for r in got if r["kept"])
 
 
+def test_exact_bitmap_hashes_every_survivor_and_few_others(spark):
+    groups = spark.range(3000).selectExpr("cast(id % 7 as int) AS len", "id * 31 AS head")
+    bits = exact_dedup._bitmap_bits(3000)
+    assert bits == exact_dedup.MIN_BITS and exact_dedup._bitmap_bits(0) == bits
+    assert exact_dedup._bitmap_bits(1 << 20) == 1 << 24 and exact_dedup._bitmap_bits(1 << 40) == exact_dedup.MAX_BITS
+    bits = 1 << 16
+    rows = spark.range(60000).selectExpr("cast(id % 7 as int) AS len", "id * 31 AS head", "id") \
+        .withColumn("bucket", F.bitmap_bucket_number(exact_dedup._bit(bits))) \
+        .join(exact_dedup._bitmap(groups, bits), "bucket", "left") \
+        .select("id", exact_dedup._is_set("bitmap", exact_dedup._bit(bits)).alias("on")).collect()
+    on = {r["id"] for r in rows if r["on"]}
+    assert len(rows) == 60000 and set(range(3000)) <= on
+    # 3,000 of 65,536 bits: some 4.5 % of the others share one
+    assert 0.03 < (len(on) - 3000) / 57000 < 0.06
+
+
+def test_exact_hot_text_among_texts_of_its_length(spark):
+    """A third of all rows is one text; as many have its length, and its prefix, but are alone."""
+    head = "w" * exact_dedup.PREFIX
+    rows = [(i, head + "same-" + "x" * 5) for i in range(400)] \
+        + [(i, head + f"{i:010d}") for i in range(400, 800)] + [(i, f"{i:0138d}") for i in range(800, 1200)]
+    got = exact_dedup.refine(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(r["doc_id"], r["keep_id"], r["group_size"], r["kept"]) for r in got} == \
+        {(i, 0 if i < 400 else i, 400 if i < 400 else 1, i == 0 or i >= 400) for i in range(1200)}
+
+
 def test_exact_filter_keeps_one_row_of_each_text(docs):
     kept = exact_dedup.drop_copies(docs)
     assert kept.columns == docs.columns
