@@ -56,30 +56,29 @@ def count_window_sliding(df: DataFrame, keys: Sequence[str], order: Sequence[str
     keys = list(keys)
     slim = _slim(df, keys, order, value)
     b = in_blocks(slim, keys, order, span, only=[*order, "_v"])
-    upto = b.inside().rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    # up to each row: its position in the block, its window, the block's last size - 1 values
-    to_here = lambda n: b.inside().rowsBetween(-n, Window.currentRow)
-    tail = F.collect_list("_v").over(to_here(size - 2)) if size > 1 else F.array().cast("array<long>")
-    rows = b.rows.withColumns({"_l": F.count(F.lit(1)).over(upto),
-                               "_own": F.sum("_v").over(to_here(size - 1)), "_upto": tail})
-    last = rows.groupBy(*b.by).agg(F.max("_l").alias("_c"), F.max_by("_upto", "_l").alias("_last"))
-    rows = rows.drop("_upto")
+    inside = b.inside()
+    rows = b.rows.withColumns({
+        "_l": F.count(F.lit(1)).over(inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)),
+        "_own": F.sum("_v").over(inside.rowsBetween(-(size - 1), Window.currentRow)),
+        "_more": F.lead(F.lit(True), max(1, size - 1)).over(inside)})
+    # the last size - 1 rows of a block: its count, and the values that later windows reach
+    last = rows.where("_more IS NULL").groupBy(*b.by).agg(
+        F.max("_l").alias("_c"), F.sort_array(F.collect_list(F.struct("_l", "_v"))).alias("_last"))
     # every block holds a row at least, so size - 1 blocks back are enough
     near = b.across().rowsBetween(-(size - 1), -1) if size > 1 else b.across().rowsBetween(0, 0)
     before = b.across().rowsBetween(Window.unboundedPreceding, -1)
-    tails = F.flatten(F.collect_list("_last").over(near))
+    tail = F.flatten(F.collect_list(F.transform("_last", lambda x: x["_v"])).over(near))
+    kind = rows.schema["_own"].dataType
+    # per block, once: the sum of the k values before it (as many as there are), k = 0 .. size - 1
+    reach = F.transform(F.sequence(F.lit(0), F.lit(size - 1)), lambda k: F.aggregate(
+        F.slice("_tail", F.greatest(F.size("_tail") - k + 1, F.lit(1)), k),
+        F.lit(0).cast(kind), lambda a, x: (a + x).cast(kind)))
     offsets = last.select(*b.by, F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_o"),
-                          tails.alias("_tail"))
-    short = F.greatest(F.lit(0), F.least(F.lit(size).cast("long") - F.col("_l"),
-                                         F.size("_tail").cast("long"))).cast("int")
-    if size == 1:
-        short = F.lit(0)
-    reach = F.when(short > 0, F.aggregate(
-        F.slice("_tail", F.greatest(F.size("_tail") - short + 1, F.lit(1)), short),
-        F.lit(0).cast("long"), lambda a, x: a + x.cast("long"))).otherwise(F.lit(0).cast("long"))
+                          tail.alias("_tail")).select(*b.by, "_o", reach.alias("_reach"))
+    short = F.greatest(F.lit(0), F.lit(size) - F.col("_l")).cast("int")
     rn = F.col("_l") + F.col("_o")
     return (b.join(rows, offsets)
             .select(*key_values(slim, keys), rn.alias("rn"),
                     F.least(rn, F.lit(size)).cast("long").alias("n"),
-                    (F.col("_own") + reach).alias("total"))
+                    (F.col("_own") + F.get("_reach", short)).alias("total"))
             .where(F.col("rn") % every == 0))

@@ -88,6 +88,19 @@ def test_count_windows_equal_window_frames(spark, span):
     assert want_t.select(got_t.columns).exceptAll(got_t).count() == 0
 
 
+@pytest.mark.parametrize("kind", ["double", "decimal(12,3)", "int"])
+@pytest.mark.parametrize("size", [1, 2, 5])
+def test_sliding_count_windows_keep_fractions_over_block_edges(spark, kind, size):
+    df = _skewed(spark).withColumn("v", ((F.col("v") * 4 + 1) / 8).cast(kind))
+    w = Window.partitionBy("k").orderBy("seq")
+    want = df.select("k", F.row_number().over(w).alias("rn"),
+                     F.sum("v").over(w.rowsBetween(1 - size, 0)).alias("total")).where("rn % 2 = 0")
+    got = count_window_sliding(df, ["k"], ["seq"], every=2, size=size, value="v", span=3)
+    assert got.schema["total"].dataType.typeName() == want.schema["total"].dataType.typeName()
+    as_rows = lambda x: sorted((str(r["k"]), r["rn"], float(r["total"])) for r in x.collect())
+    assert as_rows(got) == as_rows(want)
+
+
 @pytest.mark.parametrize("slides", [7, 1 << 16])
 def test_sweep_equals_expand(spark, monkeypatch, slides):
     from riverbed.operators import windows as wmod
