@@ -5,8 +5,10 @@ built over phrases. Winnowing picks anchors: in each window of ``WINDOW``
 positions the least hash of ``GRAM`` bytes (leftmost of equals). A phrase runs
 from an anchor to the end of the next anchor's gram, and its hash is a symbol.
 Anchors depend only on nearby bytes: two occurrences of one string of
-``length`` bytes have the same anchor for their first window and the same
-``DEPTH`` phrases from it on.
+``length`` bytes have the same anchor for their first window, and every phrase
+that begins less than :func:`reach` bytes after it is the same in both. The
+number of these phrases (two at least) is the anchor's depth: the common prefix,
+in phrases, that its suffix must share with another one.
 
 1. Each shard (a bounded run of documents) sorts the phrase suffixes of its own
    documents once and keeps their Burrows-Wheeler transform.
@@ -16,12 +18,15 @@ Anchors depend only on nearby bytes: two occurrences of one string of
    blocks of round h + 1; only blocks that hold two suffixes or more, over all
    shards, are refined further. A shard reports a block once with its size, so
    a hot block costs one row per shard. Suffixes are never sorted again.
-3. The blocks left after ``DEPTH`` rounds are the repeated intervals: common
-   prefixes of ``DEPTH`` phrases. Their anchors are the candidates.
-4. An exact check by bytes follows: all starts that share an anchor are settled
-   together if the whole range they span occurs elsewhere; if only the bytes
-   common to all of them do, each start's ``length`` bytes are compared. Both
-   are counts of 64-bit range hashes, aggregated per task before the shuffle.
+3. A suffix is settled in the round of its own depth (``ROUNDS`` at most; less
+   depth only adds candidates): its block there is a repeated interval with that
+   common prefix, or it has no partner. A suffix that no anchor before it needs
+   any longer leaves the rounds. The anchors of repeated intervals are the candidates.
+4. An exact check of the bytes around the common prefix follows: all starts that
+   share an anchor are settled together if the whole range they span occurs
+   elsewhere; if only the bytes common to all of them do, each start's ``length``
+   bytes are compared. Both are counts of 64-bit range hashes, aggregated per
+   task before the shuffle.
 
 Documents are cut apart before anything else, so matches never cross them.
 
@@ -43,7 +48,9 @@ from pyspark.sql import DataFrame, functions as F
 from .base import CHUNK, chunks, finished, mix, prefix_hash, range_hash, written
 
 LENGTH = 400
-GRAM, WINDOW, DEPTH = 16, 128, 2
+GRAM, WINDOW = 16, 128
+#: rounds of refinement; an anchor has two to three phrases to share on average
+ROUNDS = 5
 #: bytes of a symbol; a chance clash of two phrases only adds a candidate
 SYMBOL = 5
 #: symbols per shard at most (a longer document is a shard of its own)
@@ -52,11 +59,29 @@ _U = np.uint64
 _M1, _M2, _M3 = _U(0x9E3779B97F4A7C15), _U(0xC2B2AE3D27D4EB4F), _U(0x165667B19E3779F9)
 
 
+def reach(length: int) -> int:
+    """Phrases that begin less than this after an anchor lie in all strings of its starts:
+    the last window of such a string begins no earlier."""
+    return length - 2 * WINDOW - GRAM + 2
+
+
 def check_length(length: int) -> None:
-    if (DEPTH + 1) * WINDOW > length - GRAM + 1:
+    if reach(length) <= WINDOW:      # anchors are at most a window apart: two phrases at least
         raise ValueError("length is too short for the windows")
 
 
+def depths(place: np.ndarray, doc: np.ndarray, starts: np.ndarray,
+           length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Per anchor of a chunk (positions in the chunk): its depth, 0 without starts, and the
+    last round in which its suffix is needed, by itself or by an anchor before it."""
+    n = np.arange(len(place))
+    end = np.searchsorted(place, place + reach(length))
+    last = np.searchsorted(doc, doc, "right") - 1       # a document's last anchor begins no phrase
+    depth = np.where(starts, np.minimum(np.minimum(end, last) - n, ROUNDS), 0)
+    need = np.maximum.accumulate(np.where(starts, depth + n, 0)) - n
+    return depth.astype(np.uint8), np.maximum(need, 0).astype(np.uint8)
+
+
 def anchors(buf: np.ndarray, off: np.ndarray, length: int = LENGTH):
     """``position, document, first start, last start`` of every anchor of a chunk.
 
@@ -110,9 +135,9 @@ def _unpack(raw: bytes) -> np.ndarray:
 
 
 def _build(sym: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted suffixes (to ``DEPTH`` symbols; end marks are 0) and their transform."""
+    """Sorted suffixes (to ``ROUNDS`` symbols; end marks are 0) and their transform."""
     levels = [sym]
-    for _ in range(DEPTH - 1):
+    for _ in range(ROUNDS - 1):
         nxt = np.append(levels[-1][1:], _U(0))
         nxt[levels[-1] == 0] = 0
         levels.append(nxt)
@@ -121,7 +146,7 @@ def _build(sym: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return order.astype(np.int32), before
 
 
-_SHARDS = ("shard long, bwt binary, pos binary, place binary, doc_first binary, "
+_SHARDS = ("shard long, bwt binary, pos binary, deep binary, place binary, doc_first binary, "
            "doc_ids array<{kind}>, text_hash binary")
 
 
@@ -134,26 +159,27 @@ def shard_transforms(docs: DataFrame, doc_id: str, text: str, length: int) -> Da
         ids, hashes, id_type = [], [], None
 
         def row():
-            sym, place, doc = (np.concatenate(x) for x in zip(*held))
+            sym, place, doc, deep = (np.concatenate(x) for x in zip(*held))
             pos, bwt = _build(sym)
             return pa.RecordBatch.from_arrays(
                 [pa.array([part << 24 | number], pa.int64()),
                  *(pa.array([x], pa.binary()) for x in (
-                     _pack(bwt), pos.tobytes(), place.astype(np.int32).tobytes(),
+                     _pack(bwt), pos.tobytes(), deep.tobytes(), place.astype(np.int32).tobytes(),
                      np.flatnonzero(np.r_[True, doc[1:] != doc[:-1]]).astype(np.int32).tobytes())),
                  pa.array([ids], pa.list_(id_type)),
                  pa.array([np.array(hashes, np.int64).tobytes()], pa.binary())],
-                names=["shard", "bwt", "pos", "place", "doc_first", "doc_ids", "text_hash"])
+                names=["shard", "bwt", "pos", "deep", "place", "doc_first", "doc_ids", "text_hash"])
 
         for batch in batches:
             id_type = batch.schema.field(0).type
             for lo, hi, buf, off in chunks(batch.column(1)):
-                place, doc, _, _ = anchors(buf, off, length)
+                place, doc, low, high = anchors(buf, off, length)
                 if not len(place):
                     continue
                 sym = symbols(prefix_hash(buf), place, doc)
+                depth, need = depths(place, doc, high >= low, length)
                 used, doc_no = np.unique(doc, return_inverse=True)
-                held.append((sym, place - off[doc], doc_no + docs_in))
+                held.append((sym, place - off[doc], doc_no + docs_in, depth | need << 4))
                 some = pa.array(used + lo)
                 ids += batch.column(0).take(some).to_pylist()
                 hashes += batch.column(2).take(some).to_pylist()
@@ -228,7 +254,7 @@ def _in(keys: np.ndarray, alive: np.ndarray) -> np.ndarray:
 
 
 def _alive(row: dict) -> np.ndarray:
-    return np.array(row["blocks"], np.int64).view(np.uint64)
+    return np.array(row["blocks"] or [], np.int64).view(np.uint64)
 
 
 def _extend(symbol: np.ndarray, block: np.ndarray) -> np.ndarray:
@@ -236,31 +262,65 @@ def _extend(symbol: np.ndarray, block: np.ndarray) -> np.ndarray:
     return mix(block * _M2 + symbol)
 
 
-_STATE = "shard long, block binary, back binary, origin binary"
-
+#: a shard's suffixes in a round: block, anchor number, the symbols that lead back from it
+#: and the depths of the anchors these lead to (one row per further round), and the anchors
+#: that are settled as candidates
+_STATE = "shard long, block binary, origin binary, back binary, deep binary, found binary"
 
-def _first_round(rows):
-    """Blocks by first symbol -> blocks by two: one step back through the transform.
 
-    An entry keeps its remaining backward symbols (``back``, one row of them per
-    further round) and the symbol number its chain begins at (``origin``).
-    """
-    for row in rows:
-        bwt, pos = _unpack(row["bwt"]), np.frombuffer(row["pos"], np.int32).astype(np.int64)
-        alive = np.flatnonzero(_in(np.sort(bwt), _alive(row)))   # ranks; sorted symbols lead the suffixes
-        first = np.sort(bwt)[alive]
-        rank = np.empty(len(pos), np.int64)
-        rank[pos] = np.arange(len(pos))
-        back, at = [], pos[alive]
-        ok = np.ones(len(alive), bool)
-        for _ in range(DEPTH - 1):
-            step = np.where(ok, bwt[rank[at]], _U(0))
-            ok &= step != 0
-            back.append(step)
-            at = np.where(ok, at - 1, at)
-        block = _extend(back[0], first)
-        later = [b[ok] for b in back[1:]]
-        yield (row["shard"], block[ok], np.concatenate([np.zeros(0, np.uint64), *later]), at[ok])
+def _state_batch(shard, block, origin, back, deep, found) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array([shard], pa.int64()), *(pa.array([x], pa.binary()) for x in (
+            block.tobytes(), origin.astype(np.int32).tobytes(), _pack(back.reshape(-1)),
+            deep.tobytes(), found.astype(np.int32).tobytes()))],
+        names=["shard", "block", "origin", "back", "deep", "found"])
+
+
+def _begin(row: dict) -> pa.RecordBatch:
+    """Blocks by first symbol -> suffixes of round 2: one step back through the transform."""
+    bwt, pos = _unpack(row["bwt"]), np.frombuffer(row["pos"], np.int32).astype(np.int64)
+    deep = np.frombuffer(row["deep"], np.uint8)
+    first = np.sort(bwt)                           # sorted symbols lead the suffixes
+    alive = np.flatnonzero(_in(first, _alive(row)))
+    rank = np.empty(len(pos), np.int64)
+    rank[pos] = np.arange(len(pos))
+    back = np.zeros((ROUNDS - 1, len(alive)), np.uint64)
+    deeps = np.zeros((ROUNDS, len(alive)), np.uint8)
+    at, ok = pos[alive], np.ones(len(alive), bool)
+    deeps[0] = deep[at]
+    for i in range(ROUNDS - 1):                    # not over a document's start
+        back[i] = np.where(ok, bwt[rank[at]], _U(0))
+        ok &= back[i] != 0
+        at = np.where(ok, at - 1, at)
+        deeps[i + 1] = np.where(ok, deep[at], 0)
+    return _step(row["shard"], first[alive], pos[alive], back, deeps, np.zeros(0, np.int32), 1)
+
+
+def _step(shard: int, block, origin, back, deep, found, h: int) -> pa.RecordBatch:
+    """Suffixes of round h, all in repeated blocks -> those of round h + 1; anchors of depth h
+    are settled."""
+    found = np.r_[found, origin[deep[0] & 15 == h]]
+    go = np.flatnonzero((back[0] != 0) & (deep[1] >> 4 > h)) if len(back) else np.zeros(0, int)
+    return _state_batch(shard, _extend(back[0][go], block[go]) if len(back) else block[go],
+                        origin[go] - 1, back[1:][:, go], deep[1:][:, go], found)
+
+
+def _refine(row: dict, h: int) -> pa.RecordBatch:
+    block, origin = _u8(row["block"]), np.frombuffer(row["origin"], np.int32)
+    back = _unpack(row["back"]).reshape(ROUNDS - h, len(block))
+    deep = np.frombuffer(row["deep"], np.uint8).reshape(ROUNDS - h + 1, len(block))
+    keep = np.flatnonzero(_in(block, _alive(row)))
+    return _step(row["shard"], block[keep], origin[keep], back[:, keep], deep[:, keep],
+                 np.frombuffer(row["found"], np.int32), h)
+
+
+def _each(fn):
+    """``fn`` on every row of the batches, one row at a time."""
+    def run(batches):
+        for batch in batches:
+            for i in range(batch.num_rows):
+                yield fn(batch.slice(i, 1).to_pylist()[0])
+    return run
 
 
 def candidates(docs: DataFrame, doc_id: str, text: str, length: int) -> DataFrame:
@@ -268,60 +328,30 @@ def candidates(docs: DataFrame, doc_id: str, text: str, length: int) -> DataFram
     shards = shard_transforms(docs, doc_id, text, length)
     kind = shards.schema["doc_ids"].dataType.elementType.simpleString()
 
-    def first_reports(batches):
-        for batch in batches:
-            for shard, bwt in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                keys = _unpack(bwt)
-                yield _report(shard, keys[keys != 0])
-
-    def reports(batches):
-        for batch in batches:
-            for shard, block in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                yield _report(shard, _u8(block))
-
-    def state_batch(shard, block, back, origin):
-        return pa.RecordBatch.from_arrays(
-            [pa.array([shard], pa.int64()), *(pa.array([x.tobytes()], pa.binary()) for x in (
-                block, back, origin.astype(np.int32)))],
-            names=["shard", "block", "back", "origin"])
-
-    def begin(batches):
-        for batch in batches:
-            for i in range(batch.num_rows):
-                for out in _first_round(batch.slice(i, 1).to_pylist()):
-                    yield state_batch(*out)
-
-    def refine(batches):
-        for batch in batches:
-            for i in range(batch.num_rows):
-                row = batch.slice(i, 1).to_pylist()[0]
-                block, origin = _u8(row["block"]), np.frombuffer(row["origin"], np.int32)
-                back = _u8(row["back"]).reshape(-1, len(block)) if len(block) else None
-                if back is None:
-                    continue
-                keep = np.flatnonzero(_in(block, _alive(row)))
-                yield state_batch(row["shard"], _extend(back[0][keep], block[keep]),
-                                  back[1:][:, keep].reshape(-1), origin[keep])
+    def first_report(row):
+        keys = _unpack(row["bwt"])
+        return _report(row["shard"], keys[keys != 0])
 
     report = "block long, shard long, n byte"
-    alive = _repeated_blocks(shards.select("shard", "bwt").mapInArrow(first_reports, report))
-    state = written(shards.select("shard", "bwt", "pos").join(alive, "shard")
-                    .mapInArrow(begin, _STATE), "bwt-round")
+    alive = _repeated_blocks(shards.select("shard", "bwt").mapInArrow(_each(first_report), report))
+    state = written(shards.select("shard", "bwt", "pos", "deep").join(alive, "shard")
+                    .mapInArrow(_each(_begin), _STATE), "bwt-round")
     steps = [shards, state]
-    for _ in range(DEPTH - 2):
-        alive = _repeated_blocks(state.select("shard", "block").mapInArrow(reports, report))
-        state = written(state.join(alive, "shard").mapInArrow(refine, _STATE), "bwt-round")
+    for h in range(2, ROUNDS + 1):
+        alive = _repeated_blocks(state.select("shard", "block").mapInArrow(
+            _each(lambda row: _report(row["shard"], _u8(row["block"]))), report))
+        # a shard without a repeated block keeps what it has found
+        state = written(state.join(alive, "shard", "left").mapInArrow(
+            _each(lambda row, h=h: _refine(row, h)), _STATE), "bwt-round")
         steps.append(state)
-    alive = _repeated_blocks(state.select("shard", "block").mapInArrow(reports, report))
 
     def places(batches):
         for batch in batches:
             for i in range(batch.num_rows):
                 row = batch.slice(i, 1).to_pylist()[0]
-                found = np.frombuffer(row["origin"], np.int32)[_in(_u8(row["block"]), _alive(row))]
+                found = np.sort(np.frombuffer(row["found"], np.int32))
                 if not len(found):
                     continue
-                found = np.unique(found)
                 doc = np.searchsorted(np.frombuffer(row["doc_first"], np.int32), found, "right") - 1
                 place = np.frombuffer(row["place"], np.int32)[found]
                 cut = np.flatnonzero(np.r_[True, doc[1:] != doc[:-1], True])
@@ -335,7 +365,7 @@ def candidates(docs: DataFrame, doc_id: str, text: str, length: int) -> DataFram
                     names=["doc_id", "text_hash", "places"])
 
     ends = shards.select("shard", "place", "doc_first", "doc_ids", "text_hash")
-    out = state.select("shard", "block", "origin").join(alive, "shard").join(ends, "shard") \
+    out = state.select("shard", "found").join(ends, "shard") \
         .mapInArrow(places, f"doc_id {kind}, text_hash long, places binary")
     # rows that repeat a doc_id and a text have the same anchors
     found = written(out.groupBy("doc_id", "text_hash").agg(F.max("places").alias("places")),

@@ -557,6 +557,40 @@ def test_repeats_with_edits_and_many_shards(spark, monkeypatch):
     assert _spans(repeats.repeats(frame).collect()) == Counter(_removed(texts, 400))
 
 
+def test_repeats_merge_finds_the_common_prefixes(spark, monkeypatch):
+    """Candidates of the merged transforms = anchors whose suffix shares its first ``depth``
+    phrases with another suffix, by comparing all of them; depths of 2 to ``ROUNDS``."""
+    r = random.Random(11)
+    word = lambda: "".join(r.choice("abcdefgh") for _ in range(r.randint(2, 7)))
+    page = [word() for _ in range(700)]
+    texts = [" ".join(page), "xy" * 500]
+    for _ in range(25):
+        a = r.randrange(500)
+        texts.append(" ".join([word() for _ in range(r.randrange(40))]
+                              + page[a:a + r.randint(20, 200)] + [word() for _ in range(80)]))
+    suffixes, mine = Counter(), []
+    for i, t in enumerate(texts):
+        buf = np.frombuffer(t.encode(), np.uint8)
+        off = np.array([0, len(buf)])
+        place, doc, low, high = repeats.anchors(buf, off)
+        sym = repeats.symbols(repeats.prefix_hash(buf), place, doc).tolist()
+        for k in range(len(place)):
+            for h in range(1, repeats.ROUNDS + 1):
+                if 0 not in sym[k:k + h] and k + h <= len(sym):
+                    suffixes[tuple(sym[k:k + h])] += 1
+            if high[k] >= low[k]:
+                # phrases that begin before the reach, by the definition
+                h = sum(p < place[k] + repeats.reach(400) for p in place[k:-1])
+                mine.append((i, int(place[k]), tuple(sym[k:k + min(h, repeats.ROUNDS)])))
+    want = {(i, at) for i, at, head in mine if suffixes[head] > 1}
+    assert {len(head) for _, _, head in mine} == set(range(2, repeats.ROUNDS + 1))
+    monkeypatch.setattr(repeats, "SHARD", 40)
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = {(row["doc_id"], int(at)) for row in repeats.candidates(frame, "doc_id", "text", 400).collect()
+           for at in np.frombuffer(row["places"], np.int32)}
+    assert got == want and len(want) < len(mine)
+
+
 # -- toxicity ----------------------------------------------------------------------------
 
 def test_toxicity_learns_terms_and_misspellings(spark):
