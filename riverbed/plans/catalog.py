@@ -8,12 +8,16 @@ are exact and comparable with the SQL oracle.
 
 from __future__ import annotations
 
+import re
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.parsing import (parse_access_log, parse_ad_click, parse_int, parse_key_value,
                                  parse_order_line)
 from ..functions.timefns import next_midnight
 from ..operators import aggregates, clicks, count_windows, hot_pages as hp, joins, topn, windows
+from ..operators.maps import map_with_setup
 from ..operators.metrics import write_text_counting
 from ..operators.window_fold import window_digest as _window_digest, window_median as _window_median
 from ..operators.orders import order_amount as _order_amount
@@ -313,6 +317,26 @@ def parsed_orders(spark: SparkSession, d: str) -> DataFrame:
     return parsed.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("create_time", "end_time")})
 
 
+#: patterns of ``mapped_patterns``, by the column that counts their matches
+PATTERNS = {"n_numbers": "[0-9]+", "n_names": "[A-Z][a-z]+", "n_commas": "[a-z] ?, ?[a-z]"}
+
+
+def mapped_patterns(spark: SparkSession, d: str) -> DataFrame:
+    """Matches of several patterns in every document, by a map whose setup compiles them once
+    in each task; a null text has none."""
+    def setup():
+        return {name: re.compile(p) for name, p in PATTERNS.items()}
+
+    def count(compiled, batch):
+        text = batch["text"].fillna("")
+        return pd.DataFrame({"doc_id": batch["doc_id"], **{
+            name: text.map(lambda t, p=p: sum(1 for _ in p.finditer(t))).astype("int64")
+            for name, p in compiled.items()}})
+
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    return map_with_setup(docs, setup, count, "doc_id long, " + ", ".join(f"{n} long" for n in PATTERNS))
+
+
 def text_lines_written(spark: SparkSession, d: str) -> DataFrame:
     """Labels joined with vectors (NULLs on both sides) written as text, read back as lines."""
     path = stable_path(spark, f"joined-text-{spark.sparkContext.applicationId}")
@@ -368,6 +392,7 @@ QUERIES = {
     "parsed_key_values": parsed_key_values,
     "parsed_ad_clicks": parsed_ad_clicks,
     "parsed_orders": parsed_orders,
+    "mapped_patterns": mapped_patterns,
     "text_lines_written": text_lines_written,
     "next_midnight": next_midnight_q,
     "observed_count": observed_count,

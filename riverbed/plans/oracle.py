@@ -211,6 +211,12 @@ SQL: dict[str, str] = {
            CASE WHEN s.user_id IS NULL THEN 0 ELSE s.n_events END AS n_events
     FROM customer LEFT JOIN s ON customer.c_custkey = s.user_id""",
 
+    "mapped_patterns": r"""
+    SELECT doc_id, CAST(len(regexp_extract_all(coalesce(text, ''), '[0-9]+')) AS BIGINT) AS n_numbers,
+           CAST(len(regexp_extract_all(coalesce(text, ''), '[A-Z][a-z]+')) AS BIGINT) AS n_names,
+           CAST(len(regexp_extract_all(coalesce(text, ''), '[a-z] ?, ?[a-z]')) AS BIGINT) AS n_commas
+    FROM documents""",
+
     "parsed_ints": f"""
     SELECT CAST({CENTS} AS INTEGER) AS v, count(*) AS n FROM events GROUP BY ALL""",
 

@@ -21,12 +21,17 @@ from ..operators.clicks import alert_message
 from ..functions.text import text_lines
 from ..session import shared_path
 from ..sources.line_log import append_lines, stream_line_log
+from ..sources.text import stream_text
 from ..sources.tables import bytes_of, replay, stream_table as _stream, table
 from ..streaming import operators as so
 from ..streaming.runner import run_available, run_counting, run_outputs
 from .catalog import BLACKLIST_CAP, ad_click_lines, cents
 
 
+#: lines of a text file, and bytes of files in a micro-batch
+TEXT_LINES, TEXT_BYTES = 1_000_000, 1 << 28
+
+
 def _ntz(c: str) -> F.Column:
     return F.col(c).cast("timestamp_ntz").alias(c)
 
@@ -160,6 +165,20 @@ def stream_log_word_count(spark: SparkSession, d: str) -> DataFrame:
     return run_available(words, "log-word-count", "update", keys=["word"])
 
 
+def stream_text_word_count(spark: SparkSession, d: str) -> DataFrame:
+    """Word count over a folder of text files: the documents' lines are written as text and
+    streamed file by file, by a run that is stopped after its first micro-batch and resumed."""
+    lines = table(spark, d, "documents").select(F.explode(text_lines("text")).alias("value"))
+    folder = shared_path(spark, "text-lines")
+    lines.write.option("maxRecordsPerFile", TEXT_LINES).text(folder)
+    words = aggregates.word_count(
+        stream_text(spark, folder, bytes_per_trigger=TEXT_BYTES, line_sep="\n"),
+        "value", ",", by_lines=False)
+    run = f"text-{uuid.uuid4().hex}"
+    run_available(words, "text-word-count", "update", keys=["word"], run=run, batches=1)
+    return run_available(words, "text-word-count", "update", keys=["word"], run=run)
+
+
 def _in_files(spark: SparkSession, d: str) -> DataFrame:
     """``events`` in event order, several micro-batches at every size."""
     return replay(table(spark, d, "events"), ["ts", "event_id"], bytes_of(spark, d, "events"), one_file=True)
@@ -256,6 +275,7 @@ STREAM_QUERIES = {
     "stream_blacklist_alerts": stream_blacklist_alerts,
     "stream_window_join": stream_window_join,
     "stream_log_word_count": stream_log_word_count,
+    "stream_text_word_count": stream_text_word_count,
     "stream_resumed_sum": stream_resumed_sum,
     "stream_observed_count": stream_observed_count,
     "stream_late_rows": stream_late_rows,
@@ -264,6 +284,7 @@ STREAM_QUERIES = {
 # the batch query whose SQL each stream query must equal
 SAME_AS = {
     "stream_log_word_count": "word_count",
+    "stream_text_word_count": "word_count",
     "stream_resumed_sum": "tumbling_sum",
     "stream_hot_pages_timer": "stream_hot_pages",
     "stream_word_count": "word_count",

@@ -65,3 +65,38 @@ def test_a_cluster_must_name_its_shared_folder():
     conf = SimpleNamespace(get=lambda key, default=None: default)
     with pytest.raises(RuntimeError):
         ensure_checkpoint_dir(SimpleNamespace(sparkContext=sc, conf=conf))
+
+
+def test_text_stream_takes_each_line_once_over_a_restart(spark):
+    from riverbed.session import shared_path
+    from riverbed.sources.text import stream_text
+    from riverbed.streaming.runner import run_counting
+    path = shared_path(spark, "text-stream")
+    lines = [f"line {i}" for i in range(40)] + ["", "a\rb"]
+    rows(spark, [(x,) for x in lines], "value string").coalesce(1) \
+        .write.option("maxRecordsPerFile", 10).text(path)
+    source = stream_text(spark, path, bytes_per_trigger=100, line_sep="\n")
+    run = "text-" + path.rsplit("/", 1)[-1]
+    part, _ = run_counting(source, "text-lines", run=run, batches=2)
+    assert 0 < part.count() < len(lines)
+    out, _ = run_counting(source, "text-lines", run=run)
+    assert sorted(r.value for r in out.collect()) == sorted(lines)
+    with pytest.raises(ValueError):
+        stream_text(spark, path, files_per_trigger=1, bytes_per_trigger=1)
+
+
+def test_text_word_count_in_many_small_files(spark, monkeypatch):
+    from oracle_compare import compare
+    from riverbed.plans import stream_catalog
+    monkeypatch.setattr(stream_catalog, "TEXT_LINES", 100)
+    monkeypatch.setattr(stream_catalog, "TEXT_BYTES", 100_000)
+    got = compare(spark, "/root/testdata/sf0.001", ["stream_text_word_count"], verbose=False)
+    assert got["stream_text_word_count"]["status"] == "ok", got
+
+
+def test_mapped_patterns_of_null_and_empty_texts(spark, tmp_path):
+    from riverbed.plans.catalog import mapped_patterns
+    rows(spark, [(1, None), (2, ""), (3, "Ab, cd 12 Éa"), (3, "Ab, cd 12 Éa")],
+         "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    assert sorted(map(tuple, mapped_patterns(spark, str(tmp_path)).collect())) == [
+        (1, 0, 0, 0), (2, 0, 0, 0), (3, 1, 1, 1), (3, 1, 1, 1)]
