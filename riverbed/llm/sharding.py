@@ -28,6 +28,8 @@ ROUNDS = 6
 #: Feistel images per job before rows still outside are looked for
 STEPS = 4
 OVERHEAD = 16
+#: copies of one row that one task numbers at a time
+STRIDE = 1 << 16
 
 
 def feistel(x: Column, side: int, key: int) -> Column:
@@ -45,20 +47,33 @@ def feistel(x: Column, side: int, key: int) -> Column:
 
 
 def numbered(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id, size, text_crc32, row``: global row numbers without gaps."""
+    """``doc_id, size, text_crc32, row``: global row numbers without gaps.
+
+    Rows equal in all three columns are one row with a count until they are numbered, so
+    that no bucket grows with the copies of a row; the copies are dealt out in two steps.
+    """
     body = F.coalesce(F.col(text), F.lit("")).cast("binary")
     rows = docs.select(F.col(doc_id).alias("doc_id"),
                        (F.octet_length(body) + OVERHEAD).cast("long").alias("size"),
                        F.crc32(body).alias("text_crc32")) \
+        .groupBy("doc_id", "size", "text_crc32").agg(F.count("*").alias("copies")) \
         .withColumn("bucket", F.pmod(F.xxhash64("doc_id", "text_crc32"), F.lit(BUCKETS)).cast("int"))
     rows = written(rows, "shard-rows")
-    counts = rows.groupBy("bucket").count()      # BUCKETS rows at most
+    counts = rows.groupBy("bucket").agg(F.sum("copies").alias("count"))      # BUCKETS rows at most
     offsets = counts.select("bucket", (F.sum("count").over(Window.orderBy("bucket"))
                                        - F.col("count")).alias("offset"))
-    within = Window.partitionBy("bucket").orderBy("doc_id", "text_crc32", "size")
-    return rows.withColumn("rank", F.row_number().over(within) - 1) \
-        .join(F.broadcast(offsets), "bucket") \
-        .select("doc_id", "size", "text_crc32", (F.col("offset") + F.col("rank")).alias("row"))
+    within = Window.partitionBy("bucket").orderBy("doc_id", "text_crc32", "size") \
+        .rowsBetween(Window.unboundedPreceding, -1)
+    first = F.col("offset") + F.coalesce(F.sum("copies").over(within), F.lit(0))
+    placed = rows.join(F.broadcast(offsets), "bucket") \
+        .select("doc_id", "size", "text_crc32", "copies", first.alias("first"))
+    one = placed.where("copies = 1").select("doc_id", "size", "text_crc32", F.col("first").alias("row"))
+    many = placed.where("copies > 1").withColumn(
+        "at", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1, F.lit(STRIDE).cast("long")))) \
+        .repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "first", "at")
+    last = F.least(F.col("copies"), F.col("at") + STRIDE) - 1
+    dealt = F.explode(F.sequence(F.col("first") + F.col("at"), F.col("first") + last))
+    return one.unionByName(many.select("doc_id", "size", "text_crc32", dealt.alias("row")))
 
 
 def assign(docs: DataFrame, shards: int, key: int = 7, doc_id: str = "doc_id",
