@@ -1,6 +1,7 @@
 """Token files: frequency-ranked ids in byte-aligned variable-length coding.
 
-Documents are put in ascending doc_id order by one range shuffle, tokenised,
+Documents are put in ascending doc_id order by one range shuffle (rows that share a
+doc_id may lie in several ranges, by a hash of their text and their place), tokenised,
 and written in segments of about ``SEGMENT`` ids. A segment is self-contained:
 its ids are ranked by their frequency in it (ties by id), and the ranks are
 coded in one to four little-endian bytes each. The byte counts stand apart, in
@@ -197,7 +198,9 @@ def write(docs: DataFrame, path: str, vocabulary: str = "byte_bpe_50k.json", end
             yield row()
 
     docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")) \
-        .repartitionByRange("doc_id").sortWithinPartitions("doc_id") \
+        .withColumn("hash", F.xxhash64("text")) \
+        .repartitionByRange("doc_id", "hash", F.monotonically_increasing_id()) \
+        .sortWithinPartitions("doc_id", "hash").drop("hash") \
         .mapInArrow(run, _schema(kind)).write.parquet(path)
 
 

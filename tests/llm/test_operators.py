@@ -214,6 +214,36 @@ def test_feistel_is_a_permutation(spark, side):
     assert sorted(r["y"] for r in image.collect()) == list(range(side * side))
 
 
+def test_copies_of_one_row_are_numbered_in_strides(spark, monkeypatch):
+    """A third of all rows equal, ids null or repeated; gapless and the same on every run."""
+    monkeypatch.setattr(sharding, "STRIDE", 7)
+    rows = [(5, "same")] * 100 + [(None, "none")] * 60 + [(None, None)] * 2 + [(i, f"t{i % 9}") for i in range(140)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    a = sharding.assign(frame.repartition(4), 40).collect()
+    want = Counter((d, len((t or "").encode()) + 16, zlib.crc32((t or "").encode())) for d, t in rows)
+    assert Counter((r["doc_id"], r["size"], r["text_crc32"]) for r in a) == want
+    assert sorted(r["row"] for r in a) == list(range(len(rows)))
+    assert sorted((r["shard"], r["slot"]) for r in a) == sorted((i % 40, i // 40) for i in range(len(rows)))
+    assert Counter(map(tuple, a)) == Counter(map(tuple, sharding.assign(frame, 40).collect()))
+
+
+def test_rows_of_one_id_fill_several_parts(spark):
+    path = shared_path(spark, "hot-id-tokens")
+    rows = [(None, f"text {i % 5}") for i in range(300)] + [(7, "same")] * 300 + [(i, "x") for i in range(300)]
+    small = "spark.sql.adaptive.coalescePartitions.enabled"     # these ranges are tiny
+    spark.conf.set(small, "false")
+    try:
+        token_files.write(spark.createDataFrame(rows, "doc_id long, text string").repartition(6), path)
+    finally:
+        spark.conf.unset(small)
+    assert spark.read.parquet(path).where("array_contains(doc_ids, 7)").select("part").distinct().count() > 1
+    got = sorted(token_files.read(spark, path).collect(), key=lambda r: r["start"])
+    assert Counter(r["doc_id"] for r in got) == Counter(d for d, _ in rows)
+    ids = [-1 if r["doc_id"] is None else r["doc_id"] for r in got]
+    assert ids == sorted(ids)
+    assert [r["start"] for r in got] == np.cumsum([0] + [r["n_tokens"] for r in got])[:-1].tolist()
+
+
 def test_write_shards(spark, docs):
     path = shared_path(spark, "shards")
     sharding.write_shards(docs.select("doc_id", "text"), path, 4)
