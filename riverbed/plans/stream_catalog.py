@@ -30,6 +30,8 @@ from .catalog import BLACKLIST_CAP, ad_click_lines, cents
 
 #: lines of a text file, and bytes of files in a micro-batch
 TEXT_LINES, TEXT_BYTES = 1_000_000, 1 << 28
+#: micro-batches, about, of a small table that must come in several; a large one has more, by its bytes
+BATCHES = 4
 
 
 def _ntz(c: str) -> F.Column:
@@ -181,7 +183,7 @@ def stream_text_word_count(spark: SparkSession, d: str) -> DataFrame:
 
 def _in_files(spark: SparkSession, d: str) -> DataFrame:
     """``events`` in event order, several micro-batches at every size."""
-    return replay(table(spark, d, "events"), ["ts", "event_id"], bytes_of(spark, d, "events"), one_file=True)
+    return replay(table(spark, d, "events"), ["ts", "event_id"], bytes_of(spark, d, "events"), batches=BATCHES)
 
 
 def stream_resumed_sum(spark: SparkSession, d: str) -> DataFrame:
@@ -214,7 +216,7 @@ def stream_late_rows(spark: SparkSession, d: str) -> DataFrame:
     ev = table(spark, d, "events").select("event_id", "ts")
     late = F.col("event_id") % 50 == 0
     rows = replay(ev.where(~late), ["ts", "event_id"], bytes_of(spark, d, "events"), then=ev.where(late),
-                  one_file=True)
+                  batches=BATCHES)
     rows = so.event_time(rows, "ts", "10 seconds").dropDuplicates(["event_id", "ts"])
     kept, totals = run_counting(rows, "late-rows")
     return kept.agg(F.count(F.lit(1)).alias("n_kept")).select(

@@ -17,6 +17,9 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "events", "documents", "embeddings", "pages", "benchmark", "labels",
           "conversations")
 
+#: files of a micro-batch when a replay asks for a number of micro-batches, about
+BATCH_FILES = 8
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Read one driver table: a parquet file or a folder of part files."""
@@ -52,27 +55,37 @@ def bytes_of(spark: SparkSession, sf_dir: str, name: str) -> int:
 
 def replay(source: DataFrame, order: Sequence[str | Column], size: int,
            max_bytes: int = 128 << 20, close: tuple[str, str] | None = None,
-           then: DataFrame | None = None, one_file: bool = False) -> DataFrame:
+           then: DataFrame | None = None, batches: int = 0) -> DataFrame:
     """A stream of the rows of ``source`` in ``order``; ``size``: its bytes, about.
 
     The rows are first written to the shared folder in ranges of ``order``, one sorted file
     each: one sort and one write of the whole input. The stream source takes files by
     modification time, so the files get times a second apart in the order of their ranges
     (one call a file, so ranges hold ``max_bytes``, the most a micro-batch reads).
-    ``one_file`` makes every file a micro-batch. ``then``: rows that arrive after all others.
+
+    ``batches`` asks for about so many micro-batches even of a small table: a micro-batch takes
+    a fixed number of files. How many there are follows from this and from the bytes, never
+    from the number of shuffle partitions. ``then`` (with ``batches``): rows that arrive after
+    all others. A micro-batch without rows comes before them, because the engine judges late
+    rows by the watermark with which the micro-batch before began.
 
     ``close = (time column, duration)`` ends the stream with one more row, ``duration``
     after the last time, all other columns null and ``_closing`` true: the watermark
     passes the end of every window that real rows are in, so the last windows close and
     their timers fire. ``streaming.operators.open_rows`` drops it again.
     """
+    if then is not None and not batches:
+        raise ValueError("rows that arrive after all others need micro-batches of their own")
     spark = source.sparkSession
     fs = spark._jvm.org.apache.hadoop.fs
     if close:
         source = source.withColumn("_closing", F.lit(False))
     ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // max_bytes))
+    if batches:
+        ranges = max(min(ranges, BATCH_FILES * batches), -(-BATCH_FILES * size // max_bytes))
     folder = fs.Path(shared_path(spark, "replay"))
-    store = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    conf = spark._jsc.hadoopConfiguration()
+    store = folder.getFileSystem(conf)
 
     def files():
         found = [(s.getPath().getName(), s) for s in store.listStatus(folder)]
@@ -83,6 +96,16 @@ def replay(source: DataFrame, order: Sequence[str | Column], size: int,
     def ordered(df):
         return df.repartitionByRange(ranges, *order).sortWithinPartitions(*order)
 
+    def blanks(n):
+        """``n`` files without rows."""
+        made = fs.Path(shared_path(spark, "replay-blank"))
+        source.limit(0).coalesce(1).write.parquet(made.toString())
+        blank = next(s.getPath() for s in store.listStatus(made) if s.getPath().getName().startswith("part-"))
+        paths = [fs.Path(folder, f"blank-{i:05d}.parquet") for i in range(n)]
+        for p in paths:
+            fs.FileUtil.copy(store, blank, store, p, False, conf)
+        return paths
+
     parts = [ordered(source)] + ([ordered(then)] if then is not None else [])
     if close:
         ts, after = close
@@ -91,25 +114,32 @@ def replay(source: DataFrame, order: Sequence[str | Column], size: int,
             (F.col("last") + F.expr(f"INTERVAL {after}")).cast(f.dataType).alias(f.name) if f.name == ts
             else F.lit(True if f.name == "_closing" else None).cast(f.dataType).alias(f.name)
             for f in source.schema.fields)).coalesce(1))
-    done, clock = [], None
-    for part in parts:
+    done, clock, stored, per_batch = [], None, 0, 1
+    for i, part in enumerate(parts):
         part.write.mode("append").parquet(folder.toString())
-        before = {s.getPath().getName() for s in done}
+        before = {p.getName() for p in done}
         new = [s for s in files() if s.getPath().getName() not in before]
         if clock is None and new:
             clock = new[-1].getModificationTime() - 1000 * len(new)
-        for s in new:
+        stored += sum(s.getLen() for s in new)
+        if batches and i == 0:
+            per_batch = max(1, -(-len(new) // max(batches, -(-stored // max_bytes))))
+        new = [s.getPath() for s in new]
+        if then is not None and i == 0:
+            # fill the last micro-batch, and one more
+            new += blanks(-len(new) % per_batch + per_batch)
+        for p in new:
             clock += 1000
-            store.setTimes(s.getPath(), clock, clock)
+            store.setTimes(p, clock, clock)
         done += new
-    times = {s.getPath().getName(): s.getModificationTime() for s in files()}
-    times = [times[s.getPath().getName()] for s in done]
-    several = one_file or sum(s.getLen() for s in done) > max_bytes
+    times = {s.getPath().getName(): s.getModificationTime() for s in store.listStatus(folder)}
+    times = [times[p.getName()] for p in done]
+    several = batches or stored > max_bytes
     if several and any(a >= b for a, b in zip(times, times[1:])):
         raise RuntimeError(f"{folder}: this store cannot set file times, so the table cannot be "
                            "replayed in order; name a spark.checkpoint.dir on one that can")
     reader = spark.readStream.schema(source.schema)
-    reader = reader.option("maxFilesPerTrigger", 1) if one_file else reader.option("maxBytesPerTrigger", max_bytes)
+    reader = reader.option("maxFilesPerTrigger", per_batch) if batches else reader.option("maxBytesPerTrigger", max_bytes)
     return reader.parquet(folder.toString())
 
 

@@ -5,11 +5,13 @@ import datetime as dt
 import random
 import time
 import uuid
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import functions as F
 
 from riverbed.operators import count_windows
+from riverbed.plans import stream_catalog
 from riverbed.session import shared_path
 from riverbed.sources.line_log import Segments, append_lines, stream_line_log
 from riverbed.sources.memory import stream_of, write_batches
@@ -188,3 +190,43 @@ def test_blocks_come_in_order():
     chunks = [pd.DataFrame({"block": [3, 1], "vals": [[7, 8], [1]]}), pd.DataFrame({"block": [2], "vals": [[4]]})]
     assert [v.tolist() for v in stateful._in_order(iter(chunks))] == [[1], [4], [7, 8]]
     assert pa.__version__
+
+
+def _events_table(spark, rows):
+    """An ``events`` table of ``(event_id, ts)`` rows; user, type and value follow the id."""
+    d = shared_path(spark, "own-events")
+    rows = [(i, ts, i % 7, "click", float(i), "") for i, ts in rows]
+    spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, "
+                          "props string").coalesce(1).write.parquet(f"{d}/events.parquet")
+    return d
+
+
+@contextmanager
+def _shuffle_partitions(spark, n):
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, n)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def test_late_rows_come_in_few_micro_batches_and_meet_the_last_watermark(spark, monkeypatch):
+    """The late row is ahead of all but the last of the others, so only the watermark of their
+    last micro-batch shows that it is late."""
+    t0, seen = dt.datetime(2024, 1, 1), []
+
+    def counting(*args, **kwargs):
+        kept, totals = runner.run_counting(*args, **kwargs)
+        seen.append(totals)
+        return kept, totals
+    monkeypatch.setattr(stream_catalog, "run_counting", counting)
+    main = [(51 + i + i // 49, t0 + dt.timedelta(minutes=i)) for i in range(147)]
+    assert not any(i % 50 == 0 for i, _ in main)
+    late = (50, t0 + dt.timedelta(minutes=145, seconds=30))
+    d = _events_table(spark, [*main, late])
+    with _shuffle_partitions(spark, 24):
+        got = stream_catalog.stream_late_rows(spark, d).collect()
+    assert [tuple(r) for r in got] == [(148, 147, 1)]
+    assert 4 <= seen[0]["batch"] + 1 <= 8
