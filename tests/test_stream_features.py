@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from riverbed.operators import count_windows
-from riverbed.plans import stream_catalog
+from riverbed.plans import catalog, stream_catalog
 from riverbed.session import shared_path
 from riverbed.sources.line_log import Segments, append_lines, stream_line_log
 from riverbed.sources.memory import stream_of, write_batches
@@ -230,3 +230,16 @@ def test_late_rows_come_in_few_micro_batches_and_meet_the_last_watermark(spark,
         got = stream_catalog.stream_late_rows(spark, d).collect()
     assert [tuple(r) for r in got] == [(148, 147, 1)]
     assert 4 <= seen[0]["batch"] + 1 <= 8
+
+
+def test_micro_batches_of_a_small_table_do_not_follow_the_shuffle_partitions(spark):
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [(i, t0 + dt.timedelta(minutes=i)) for i in range(200)]
+    d = _events_table(spark, rows)
+    for partitions in (3, 24):
+        with _shuffle_partitions(spark, partitions):
+            out, totals = runner.run_counting(stream_catalog._in_files(spark, d), "few")
+            assert 3 <= totals["batch"] + 1 <= 5, partitions
+            assert sorted(r.event_id for r in out.select("event_id").collect()) == [i for i, _ in rows]
+    with _shuffle_partitions(spark, 5):
+        assert same(stream_catalog.stream_resumed_sum(spark, d), catalog.tumbling_sum(spark, d))
