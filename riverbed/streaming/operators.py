@@ -3,7 +3,7 @@
 Stateless and window operators reuse the batch functions (they are plain
 DataFrame code; a watermark upstream makes windows final). Where Spark
 has no built-in (count windows, the click cap) a keyed stateful
-processor runs per key.
+processor runs per bucket of keys.
 """
 
 from __future__ import annotations
@@ -68,28 +68,35 @@ def value_blocks(df: DataFrame, keys: Sequence[str], seq: str, value: str | None
     return rows.groupBy("_task").applyInArrow(sort, f"{_ddl(rows, by)}, vals array<long>")
 
 
-def _by_key(df: DataFrame, keys: list[str], blocks: DataFrame, proc) -> DataFrame:
-    """Run a count-window processor per key. It is keyed by the stand-ins: integer keys with
-    a null among them would reach Python as floats, and NaN equals no key."""
-    out = blocks.groupBy(*proc.key_names).transformWithStateInPandas(
+def _by_key(df: DataFrame, keys: list[str], blocks: DataFrame, proc, buckets: int) -> DataFrame:
+    """Run a count-window processor per bucket of keys. Keys are the stand-ins: integer keys
+    with a null among them would reach Python as floats, and NaN equals no key."""
+    bucket = F.pmod(F.xxhash64(*proc.key_names), F.lit(buckets)).cast("int").alias("_bucket")
+    out = blocks.select(*blocks.columns, bucket).groupBy("_bucket").transformWithStateInPandas(
         proc, proc.output_schema(_ddl(blocks, proc.key_names)), "append", "None")
     return out.select(*key_values(df, keys, MARK), *[c for c in out.columns if c not in proc.key_names])
 
 
 def count_window_avg_stream(df: DataFrame, keys: Sequence[str], seq: str, value: str,
                             size: int = 3, state: str = "list", span: int = 1 << 16,
-                            tasks: int = 64) -> DataFrame:
-    """Average of every ``size`` rows per key; ``state`` = list | value | map."""
+                            tasks: int = 64, buckets: int = 128) -> DataFrame:
+    """Average of every ``size`` rows per key; ``state`` = list | value | map.
+
+    Keys are dealt into ``buckets``; choose as many as make a bucket's keys and its values of
+    one micro-batch fit a task (a run keeps its number of buckets).
+    """
     proc = CountWindowAverage(list(key_stand_ins(keys, MARK)), size=size, state=state)
-    return _by_key(df, list(keys), value_blocks(df, keys, seq, value, span, tasks), proc)
+    return _by_key(df, list(keys), value_blocks(df, keys, seq, value, span, tasks), proc, buckets)
 
 
 def count_window_sliding_stream(df: DataFrame, keys: Sequence[str], seq: str,
                                 value: str | None = None, every: int = 2, size: int = 3,
-                                span: int = 1 << 16, tasks: int = 64) -> DataFrame:
-    """Every ``every`` rows per key, the last ``size`` of them."""
+                                span: int = 1 << 16, tasks: int = 64,
+                                buckets: int = 128) -> DataFrame:
+    """Every ``every`` rows per key, the last ``size`` of them. ``buckets``: as for
+    :func:`count_window_avg_stream`."""
     proc = CountTriggerEvictor(list(key_stand_ins(keys, MARK)), every=every, size=size)
-    return _by_key(df, list(keys), value_blocks(df, keys, seq, value, span, tasks), proc)
+    return _by_key(df, list(keys), value_blocks(df, keys, seq, value, span, tasks), proc, buckets)
 
 
 def click_cap_stream(df: DataFrame, keys: Sequence[str], ts: str, seq: str,

@@ -1,9 +1,10 @@
 """Keyed stateful stream processors (``transformWithStateInPandas``).
 
 State is bounded: a few numbers and at most ``size`` pending values per key (count
-windows), the open periods (click cap), ``n`` entries per window (top-n). Rows of one
-key inside one micro-batch arrive in no particular order. The click cap and the top-n
-fold them chunk by chunk; the count windows get them as sorted blocks
+windows), the open periods (click cap), ``n`` entries per window (top-n). A call serves a
+bucket of keys or windows: state reads and writes cost a round trip each, whatever they
+carry. Rows of one key inside one micro-batch arrive in no particular order. The click cap
+and the top-n fold them chunk by chunk; the count windows get them as sorted blocks
 (``operators.value_blocks``), one after the other.
 
 Time values come in as epoch microseconds (computed by Spark upstream),
@@ -12,7 +13,7 @@ so no time-zone logic runs in Python.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Mapping, Sequence
 
 import numpy as np
 import pandas as pd
@@ -20,7 +21,11 @@ import pyarrow as pa
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 
-def _in_order(rows: Iterator[pd.DataFrame]) -> Iterator[np.ndarray]:
+#: values folded at a time, and rows of a frame given out, about
+RUN = 1 << 16
+
+
+def _in_order(rows: Iterable[Mapping]) -> Iterator[np.ndarray]:
     """The values of one key's blocks of this micro-batch, block by block."""
     blocks = [(b, v) for chunk in rows for b, v in zip(chunk["block"].tolist(), chunk["vals"])]
     for _, vals in sorted(blocks, key=lambda x: x[0]):
@@ -44,8 +49,75 @@ def _write_table(state, table: pd.DataFrame) -> None:
     state.update((sink.getvalue().to_pybytes(),))
 
 
-def _key_frame(key_names: Sequence[str], key: tuple, n: int) -> dict:
-    return {name: [key[i]] * n for i, name in enumerate(key_names)}
+def _runs(blocks: Iterable[np.ndarray]) -> Iterator[np.ndarray]:
+    """Small blocks that follow each other in one array."""
+    held, n = [], 0
+    for vals in blocks:
+        held.append(vals)
+        n += len(vals)
+        if n >= RUN:
+            yield np.concatenate(held)
+            held, n = [], 0
+    if held:
+        yield np.concatenate(held)
+
+
+class Bucket:
+    """The keys of one bucket: those in the state and those of this micro-batch's blocks.
+
+    A key's place among ``keys`` is its place in every column of numbers. Places never
+    change; new keys come last."""
+
+    def __init__(self, key_names: Sequence[str], stored: pd.DataFrame | None, rows: Iterator[pd.DataFrame]):
+        names = list(key_names)
+        blocks = pd.concat(list(rows), ignore_index=True)
+        known = blocks[names].iloc[:0] if stored is None else stored[names]
+        every = pd.concat([known, blocks[names]], ignore_index=True) if len(known) else blocks[names]
+        place = every.groupby(names, sort=False, dropna=False).ngroup().to_numpy()
+        self.keys = every[~pd.Series(place).duplicated().to_numpy()].reset_index(drop=True)
+        self._place = place[len(known):]
+        self._order = np.argsort(self._place, kind="stable")
+        self._block, self._vals = blocks["block"].to_numpy(), blocks["vals"].to_numpy()
+
+    def column(self, stored: np.ndarray | None) -> np.ndarray:
+        """A stored column with a zero for every new key."""
+        out = np.zeros(len(self.keys), dtype="int64")
+        if stored is not None:
+            out[:len(stored)] = stored
+        return out
+
+    def matrix(self, stored: Iterable[bytes], width: int) -> np.ndarray:
+        """Stored columns side by side, a row per key."""
+        out = np.zeros((len(self.keys), width), dtype="int64")
+        for i, col in enumerate(stored):
+            col = np.frombuffer(col, dtype="int64")
+            out[:len(col), i] = col
+        return out
+
+    def __iter__(self) -> Iterator[tuple[int, Iterator[np.ndarray]]]:
+        """Each key of the micro-batch: its place and its values in order."""
+        place = self._place[self._order]
+        edges = np.flatnonzero(np.diff(place, prepend=-1, append=-1))
+        for lo, hi in zip(edges[:-1].tolist(), edges[1:].tolist()):
+            at = self._order[lo:hi]
+            yield int(place[lo]), _runs(_in_order([{"block": self._block[at], "vals": self._vals[at]}]))
+
+    def frames(self, parts: Iterable[tuple[int, dict[str, np.ndarray]]]) -> Iterator[pd.DataFrame]:
+        """Rows given out, ``(place, columns)`` a key, in frames of about ``RUN`` rows."""
+        held, n = [], 0
+
+        def frame():
+            sizes = [len(next(iter(cols.values()))) for _, cols in held]
+            keys = self.keys.take(np.repeat([place for place, _ in held], sizes)).reset_index(drop=True)
+            return keys.assign(**{c: np.concatenate([cols[c] for _, cols in held]) for c in held[0][1]})
+        for place, cols in parts:
+            held.append((place, cols))
+            n += len(next(iter(cols.values())))
+            if n >= RUN:
+                yield frame()
+                held, n = [], 0
+        if held:
+            yield frame()
 
 
 def _complete_windows(held_n: int, held_sum: int, vals: np.ndarray, size: int):
@@ -67,12 +139,12 @@ def _complete_windows(held_n: int, held_sum: int, vals: np.ndarray, size: int):
 class CountWindowAverage(StatefulProcessor):
     """Every ``size`` rows of a key -> one ``(key, window_no, n, total, avg)``.
 
-    ``state`` picks how the unfinished window is held, as in the three
-    original variants: ``list`` (pending values in list state), ``value``
-    (a running ``(count, sum)`` in one value state) or ``map`` (pending
-    values in map state keyed by arrival sequence). A value state counts the
-    windows emitted. Input: sorted blocks of a key's values (``block, vals``). Output
-    mode: append.
+    Runs per *bucket* of keys. ``state`` picks how the unfinished windows are held, as in the
+    three original variants: ``list`` (pending values in list state), ``value``
+    (running sums in one value state) or ``map`` (pending values in map state keyed by
+    arrival sequence). An element holds this value of all keys of the bucket, as a column. A
+    value state counts the windows emitted and the rows pending of each key. Input: sorted
+    blocks of the keys' values (keys, ``block, vals``). Output mode: append.
     """
 
     def __init__(self, key_names: Sequence[str], size: int = 3, state: str = "list"):
@@ -86,57 +158,66 @@ class CountWindowAverage(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         if self.kind == "list":
-            self.pending = handle.getListState("pending", "v long")
+            self.pending = handle.getListState("pending", "col binary")
         elif self.kind == "map":
-            self.pending = handle.getMapState("pending", "seq long", "v long")
+            self.pending = handle.getMapState("pending", "seq long", "col binary")
         else:
-            self.pending = handle.getValueState("pending", "n long, s long")
-        self.windows = handle.getValueState("windows", "n long")
+            self.pending = handle.getValueState("pending", "col binary")
+        self.windows = handle.getValueState("windows", "table binary")
 
-    def _held(self) -> list[int]:
-        """Pending values in arrival order."""
+    def _held(self) -> list[bytes]:
+        """Columns of pending values in arrival order, or the column of their sums."""
         if self.kind == "list":
-            return [v[0] for v in self.pending.get()]
-        return [v for _, v in sorted((k[0], v[0]) for k, v in self.pending.iterator())]
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        stored = self.windows.get()
-        done = before = stored[0] if stored is not None else 0
-        if self.kind == "value":
-            stored = self.pending.get()
-            held, (n, total) = [], stored if stored is not None else (0, 0)
-        else:
-            held = self._held()
-            n, total = len(held), sum(held)
-        kept = len(held)                        # stored values that are still pending
-        for vals in _in_order(rows):
-            totals, n, start = _complete_windows(n, total, vals, self.size)
-            rest = vals[start:]
-            if len(totals):
-                held, total, kept = [], 0, 0
-            held, total = held + rest.tolist(), total + int(rest.sum())
-            k = len(totals)
-            if k:
-                out = _key_frame(self.key_names, key, k)
-                out.update(window_no=np.arange(done + 1, done + k + 1, dtype="int64"),
-                           n=np.full(k, self.size, dtype="int64"), total=totals,
-                           avg=totals.astype("float64") / self.size)
-                done += k
-                yield pd.DataFrame(out)
-        if self.kind == "value":
-            self.pending.update((n, total))
+            return [bytes(c[0]) for c in self.pending.get()]
+        if self.kind == "map":
+            return [c for _, c in sorted((k[0], bytes(c[0])) for k, c in self.pending.iterator())]
+        stored = self.pending.get()
+        return [bytes(stored[0])] if stored is not None else []
+
+    def _hold(self, cols: list[bytes]) -> None:
+        if not cols:
+            self.pending.clear()
         elif self.kind == "list":
-            if held:
-                self.pending.put([(v,) for v in held])
-            else:
-                self.pending.clear()
+            self.pending.put([(c,) for c in cols])
+        elif self.kind == "value":
+            self.pending.update((cols[0],))
         else:
-            if not kept:
-                self.pending.clear()
-            for i, v in enumerate(held[kept:], kept):
-                self.pending.updateValue((i,), (v,))
-        if done > before:
-            self.windows.update((done,))
+            self.pending.clear()
+            for i, c in enumerate(cols):
+                self.pending.updateValue((i,), (c,))
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        stored = _read_table(self.windows)
+        bucket = Bucket(self.key_names, stored, rows)
+        done, pending = (bucket.column(None if stored is None else stored[c].to_numpy())
+                         for c in ("windows", "pending"))
+        width = 1 if self.kind == "value" else self.size - 1
+        held = bucket.matrix(self._held(), width)
+
+        def parts():
+            for at, runs in bucket:
+                n = int(pending[at])
+                for vals in runs:
+                    # what the state holds of the unfinished window: its sum, or its values
+                    mine = held[at] if self.kind == "value" else held[at, :n]
+                    totals, left, start = _complete_windows(n, int(mine.sum()), vals, self.size)
+                    k, rest = len(totals), vals[start:]
+                    if self.kind == "value":
+                        held[at] = rest.sum() + (0 if k else mine)
+                    else:
+                        held[at, left - len(rest):left] = rest
+                    n = left
+                    if k:
+                        yield at, {"window_no": np.arange(done[at] + 1, done[at] + k + 1, dtype="int64"),
+                                   "n": np.full(k, self.size, dtype="int64"), "total": totals,
+                                   "avg": totals.astype("float64") / self.size}
+                        done[at] += k
+                pending[at] = n
+        yield from bucket.frames(parts())
+        # a window of one row leaves nothing pending
+        used = width if self.kind == "value" else int(pending.max())
+        self._hold([held[:, i].tobytes() for i in range(used)])
+        _write_table(self.windows, bucket.keys.assign(windows=done, pending=pending))
 
     def close(self) -> None:
         pass
@@ -147,8 +228,9 @@ class CountTriggerEvictor(StatefulProcessor):
 
     A count trigger that fires without purging plus an evictor that keeps
     the newest ``size`` rows: at positions every, 2*every, ... emit
-    ``(key, rn, n, total)``. State: rows seen, and the newest ``size`` values.
-    Input: sorted blocks of a key's values (``block, vals``).
+    ``(key, rn, n, total)``. Runs per *bucket* of keys. State: rows seen of each key, and the
+    newest ``size`` values, oldest first; an element holds one value of all keys of the
+    bucket, as a column. Input: sorted blocks of the keys' values (keys, ``block, vals``).
     """
 
     def __init__(self, key_names: Sequence[str], every: int = 2, size: int = 3):
@@ -159,28 +241,35 @@ class CountTriggerEvictor(StatefulProcessor):
         return f"{key_ddl}, rn long, n long, total long"
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.seen = handle.getValueState("seen", "n long")
-        self.tail = handle.getListState("tail", "v long")
+        self.seen = handle.getValueState("seen", "table binary")
+        self.tail = handle.getListState("tail", "col binary")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        stored = self.seen.get()
-        seen = stored[0] if stored is not None else 0
-        tail = np.array([t[0] for t in self.tail.get()] if stored is not None else [], dtype="int64")
-        for fresh in _in_order(rows):
-            vals = np.concatenate([tail, fresh])
-            cum = np.concatenate([[0], np.cumsum(vals)])
-            ends = np.arange(len(tail) + 1, len(vals) + 1)      # end offsets of new rows
-            starts = np.maximum(ends - self.size, 0)
-            rn = np.arange(seen + 1, seen + len(fresh) + 1, dtype="int64")
-            fire = rn % self.every == 0
-            seen, tail = seen + len(fresh), vals[-self.size:]
-            if fire.any():
-                out = _key_frame(self.key_names, key, int(fire.sum()))
-                out.update(rn=rn[fire], n=np.minimum(rn[fire], self.size).astype("int64"),
-                           total=(cum[ends] - cum[starts])[fire].astype("int64"))
-                yield pd.DataFrame(out)
-        self.seen.update((seen,))
-        self.tail.put([(int(v),) for v in tail])
+        stored = _read_table(self.seen)
+        bucket = Bucket(self.key_names, stored, rows)
+        counts = bucket.column(None if stored is None else stored["seen"].to_numpy())
+        tails = bucket.matrix([] if stored is None else [bytes(c[0]) for c in self.tail.get()], self.size)
+
+        def parts():
+            for at, runs in bucket:
+                seen = int(counts[at])
+                tail = tails[at, :min(seen, self.size)].copy()
+                for fresh in runs:
+                    vals = np.concatenate([tail, fresh])
+                    cum = np.concatenate([[0], np.cumsum(vals)])
+                    rn = np.arange(seen + 1, seen + len(fresh) + 1, dtype="int64")
+                    ends = np.arange(len(tail) + 1, len(vals) + 1)      # end offsets of new rows
+                    fire = rn % self.every == 0
+                    rn, ends = rn[fire], ends[fire]
+                    starts = np.maximum(ends - self.size, 0)
+                    seen, tail = seen + len(fresh), vals[-self.size:]
+                    if len(rn):
+                        yield at, {"rn": rn, "n": np.minimum(rn, self.size), "total": cum[ends] - cum[starts]}
+                counts[at] = seen
+                tails[at, :len(tail)] = tail
+        yield from bucket.frames(parts())
+        self.tail.put([(tails[:, i].tobytes(),) for i in range(self.size)])
+        _write_table(self.seen, bucket.keys.assign(seen=counts))
 
     def close(self) -> None:
         pass

@@ -8,6 +8,7 @@ import uuid
 from contextlib import contextmanager
 
 import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
 from riverbed.operators import count_windows
@@ -243,3 +244,92 @@ def test_micro_batches_of_a_small_table_do_not_follow_the_shuffle_partitions(spa
             assert sorted(r.event_id for r in out.select("event_id").collect()) == [i for i, _ in rows]
     with _shuffle_partitions(spark, 5):
         assert same(stream_catalog.stream_resumed_sum(spark, d), catalog.tumbling_sum(spark, d))
+
+
+class _State:
+    """Value, list and map state of one key in memory; counts the calls."""
+
+    calls = 0
+
+    def __init__(self):
+        self.held = None
+
+    def _call(self):
+        _State.calls += 1
+
+    def get(self):
+        self._call()
+        return self.held
+
+    def put(self, rows):
+        self._call()
+        self.held = list(rows)
+
+    update = put
+
+    def clear(self):
+        self._call()
+        self.held = None
+
+    def updateValue(self, k, v):
+        self._call()
+        self.held = {**(self.held or {}), k: v}
+
+    def iterator(self):
+        self._call()
+        return iter((self.held or {}).items())
+
+
+class _ListState(_State):
+    def get(self):
+        return super().get() or []
+
+
+class _Handle:
+    def getValueState(self, *_):
+        return _State()
+
+    def getListState(self, *_):
+        return _ListState()
+
+    getMapState = getValueState
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 5])
+def test_a_call_serves_all_keys_of_a_bucket(monkeypatch, size):
+    """State calls follow the calls of a processor, not the keys; windows of every key go on
+    over micro-batches in which it is absent, and over runs of blocks."""
+    import pandas as pd
+    monkeypatch.setattr(stateful, "RUN", 4)
+    r = random.Random(size)
+    names = ["rb_k0", "rb_n0"]
+    history, batches = {}, []
+    for b in range(6):
+        blocks = []
+        for k in r.sample(range(40), 25) if b else range(30):
+            for j in range(r.randint(1, 3)):
+                vals = [r.randint(-2**60, 2**60) for _ in range(r.randint(1, 4))]
+                history.setdefault(k, []).extend(vals)
+                blocks.append((str(k) if k else "", k == 0, 10 * b + j, vals))
+        r.shuffle(blocks)
+        batches.append([pd.DataFrame(blocks[i::2], columns=[*names, "block", "vals"]) for i in range(2)])
+    key = lambda k: (str(k) if k else "", k == 0)
+
+    def run(proc):
+        proc.init(_Handle())
+        _State.calls = 0
+        out = [f for b in batches for f in proc.handleInputRows((0,), iter(b), None)]
+        assert _State.calls <= len(batches) * (size + 5)
+        return pd.concat(out)
+    # totals may pass 64 bits: they wrap in both
+    wrap = lambda x: (x + 2**63) % 2**64 - 2**63
+    for kind in ("list", "value", "map"):
+        got = run(stateful.CountWindowAverage(names, size, kind))
+        want = [(*key(k), i // size + 1, size, wrap(sum(v[i:i + size])))
+                for k, v in history.items() for i in range(0, len(v) - size + 1, size)]
+        cols = [*names, "window_no", "n", "total"]
+        assert sorted(got[cols].itertuples(index=False, name=None)) == sorted(want), kind
+    got = run(stateful.CountTriggerEvictor(names, 2, size))
+    want = [(*key(k), i, min(i, size), wrap(sum(v[max(0, i - size):i])))
+            for k, v in history.items() for i in range(2, len(v) + 1, 2)]
+    assert sorted(got[[*names, "rn", "n", "total"]].itertuples(index=False, name=None)) == sorted(want)
