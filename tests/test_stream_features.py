@@ -227,7 +227,7 @@ def test_late_rows_come_in_few_micro_batches_and_meet_the_last_watermark(spark,
     assert not any(i % 50 == 0 for i, _ in main)
     late = (50, t0 + dt.timedelta(minutes=145, seconds=30))
     d = _events_table(spark, [*main, late])
-    with _shuffle_partitions(spark, 24):
+    with _shuffle_partitions(spark, 12):
         got = stream_catalog.stream_late_rows(spark, d).collect()
     assert [tuple(r) for r in got] == [(148, 147, 1)]
     assert 4 <= seen[0]["batch"] + 1 <= 8
@@ -237,7 +237,7 @@ def test_micro_batches_of_a_small_table_do_not_follow_the_shuffle_partitions(spa
     t0 = dt.datetime(2024, 1, 1)
     rows = [(i, t0 + dt.timedelta(minutes=i)) for i in range(200)]
     d = _events_table(spark, rows)
-    for partitions in (3, 24):
+    for partitions in (3, 12):
         with _shuffle_partitions(spark, partitions):
             out, totals = runner.run_counting(stream_catalog._in_files(spark, d), "few")
             assert 3 <= totals["batch"] + 1 <= 5, partitions
