@@ -32,6 +32,8 @@ from .catalog import BLACKLIST_CAP, ad_click_lines, cents
 TEXT_LINES, TEXT_BYTES = 1_000_000, 1 << 28
 #: micro-batches, about, of a small table that must come in several; a large one has more, by its bytes
 BATCHES = 4
+#: state stores of such a run at least: shares of a micro-batch, which holds 128 MB at most
+STORES = 8
 
 
 def _ntz(c: str) -> F.Column:
@@ -186,14 +188,20 @@ def _in_files(spark: SparkSession, d: str) -> DataFrame:
     return replay(table(spark, d, "events"), ["ts", "event_id"], bytes_of(spark, d, "events"), batches=BATCHES)
 
 
+def _stores(spark: SparkSession) -> int:
+    """State stores of a run in several micro-batches: they follow the cores and the bytes of a
+    micro-batch, which are bounded, not the shuffle partitions meant for the whole table."""
+    return max(STORES, spark.sparkContext.defaultParallelism)
+
+
 def stream_resumed_sum(spark: SparkSession, d: str) -> DataFrame:
     """Count and cents per 1 h window by a run that is stopped after two micro-batches and
     resumed under its name: every event counts once."""
     ev = so.event_time(_in_files(spark, d), "ts", "10 seconds").select("ts", cents("value").alias("c"))
     agg, run = windows.tumbling_sum(ev, "ts", "1 hour", "c"), f"resumed-{uuid.uuid4().hex}"
-    keys = ["window_start", "window_end"]
-    run_available(agg, "resumed-sum", "update", keys=keys, run=run, batches=2)
-    out = run_available(agg, "resumed-sum", "update", keys=keys, run=run)
+    keys, stores = ["window_start", "window_end"], _stores(spark)
+    run_available(agg, "resumed-sum", "update", keys=keys, run=run, batches=2, stores=stores)
+    out = run_available(agg, "resumed-sum", "update", keys=keys, run=run, stores=stores)
     return out.select(_ntz("window_start"), _ntz("window_end"), "n", "total")
 
 
@@ -218,7 +226,7 @@ def stream_late_rows(spark: SparkSession, d: str) -> DataFrame:
     rows = replay(ev.where(~late), ["ts", "event_id"], bytes_of(spark, d, "events"), then=ev.where(late),
                   batches=BATCHES)
     rows = so.event_time(rows, "ts", "10 seconds").dropDuplicates(["event_id", "ts"])
-    kept, totals = run_counting(rows, "late-rows")
+    kept, totals = run_counting(rows, "late-rows", stores=_stores(spark))
     return kept.agg(F.count(F.lit(1)).alias("n_kept")).select(
         F.lit(totals["rows"]).cast("long").alias("n_in"), "n_kept",
         F.lit(totals["late"]).cast("long").alias("n_late"))

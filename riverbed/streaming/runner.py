@@ -223,14 +223,30 @@ class RunTotals(StreamingQueryListener):
         pass
 
 
+def _start(writer, spark: SparkSession, stores: int | None):
+    """Start a query whose stateful operators have at most ``stores`` partitions.
+
+    Their number is that of the shuffle partitions when a checkpoint is new; the query takes
+    a copy of the session's settings as it starts, so the session's own stays as it was."""
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    if not stores or stores >= int(before):
+        return writer.start()
+    spark.conf.set(key, stores)
+    try:
+        return writer.start()
+    finally:
+        spark.conf.set(key, before)
+
+
 def run_counting(df: DataFrame, name: str, run: str | None = None, batches: int | None = None,
-                 timeout_s: int | None = None) -> tuple[DataFrame, dict]:
+                 timeout_s: int | None = None, stores: int | None = None) -> tuple[DataFrame, dict]:
     """``run_available`` in append mode, and the run's totals (:class:`RunTotals`)."""
     spark, query = df.sparkSession, f"{name}-{uuid.uuid4().hex[:8]}"
     totals = RunTotals(spark, run_folder(spark, name, run) if run else shared_path(spark, name), query)
     spark.streams.addListener(totals)
     try:
-        out = run_available(df, name, run=run, timeout_s=timeout_s, batches=batches, query=query)
+        out = run_available(df, name, run=run, timeout_s=timeout_s, batches=batches, query=query, stores=stores)
         spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(60_000)
     finally:
         spark.streams.removeListener(totals)
@@ -240,13 +256,15 @@ def run_counting(df: DataFrame, name: str, run: str | None = None, batches: int
 def run_available(df: DataFrame, name: str, output_mode: str = "append",
                   keys: Sequence[str] | None = None, run: str | None = None,
                   timeout_s: int | None = None, batches: int | None = None,
-                  query: str | None = None) -> DataFrame:
+                  query: str | None = None, stores: int | None = None) -> DataFrame:
     """Process all available input (``availableNow``) and return the result as a batch frame.
 
     ``run`` names a run that later calls resume; ``timeout_s`` stops a query
     that takes longer (default: none). ``batches`` stops the run once so many
     micro-batches are committed (one more may have begun; a later call of the same run
-    does it again, and what it wrote counts once). ``query`` names the query.
+    does it again, and what it wrote counts once). ``query`` names the query. ``stores``: at
+    most so many state stores an operator (default: the shuffle partitions); each is opened
+    and committed in every micro-batch, rows or not. A resumed run keeps its number.
     """
     spark, schema = df.sparkSession, df.schema
     if output_mode not in ("append", "complete", "update"):
@@ -260,7 +278,7 @@ def run_available(df: DataFrame, name: str, output_mode: str = "append",
     if query:
         writer = writer.queryName(query)
     if output_mode == "append":
-        _await(writer.format("parquet").option("path", f"{base}/out").outputMode("append").start(),
+        _await(_start(writer.format("parquet").option("path", f"{base}/out").outputMode("append"), spark, stores),
                timeout_s, batches)
         return spark.read.schema(schema).parquet(f"{base}/out")
 
@@ -274,7 +292,7 @@ def run_available(df: DataFrame, name: str, output_mode: str = "append",
         elif number % COMPACT_EVERY == COMPACT_EVERY - 1:
             _compact(folder, schema, keys, number)
 
-    _await(writer.outputMode(output_mode).foreachBatch(write_batch).start(), timeout_s, batches)
+    _await(_start(writer.outputMode(output_mode).foreachBatch(write_batch), spark, stores), timeout_s, batches)
     if output_mode == "complete":
         batches = folder.ids("batch")
         return (folder.read(schema, "batch", batches[-1]) if batches

@@ -10,6 +10,7 @@ from contextlib import contextmanager
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQueryListener
 
 from riverbed.operators import count_windows
 from riverbed.plans import catalog, stream_catalog
@@ -246,6 +247,45 @@ def test_micro_batches_of_a_small_table_do_not_follow_the_shuffle_partitions(spa
         assert same(stream_catalog.stream_resumed_sum(spark, d), catalog.tumbling_sum(spark, d))
 
 
+class _Stores(StreamingQueryListener):
+    """The numbers of state stores of an operator, seen over micro-batches."""
+
+    def __init__(self):
+        self.seen, self.batches = set(), 0
+
+    def onQueryProgress(self, event):
+        self.batches += 1
+        self.seen |= {o.numShufflePartitions for o in event.progress.stateOperators}
+
+    def onQueryStarted(self, event):
+        pass
+
+    onQueryIdle = onQueryTerminated = onQueryStarted
+
+
+@pytest.mark.parametrize("name", ["stream_resumed_sum", "stream_late_rows"])
+def test_state_stores_of_several_micro_batches_do_not_follow_the_shuffle_partitions(spark, name):
+    t0 = dt.datetime(2024, 1, 1)
+    d = _events_table(spark, [(i, t0 + dt.timedelta(minutes=i)) for i in range(200)])
+    query, want = stream_catalog.STREAM_QUERIES[name], {}
+    most = max(stream_catalog.STORES, spark.sparkContext.defaultParallelism)
+    for partitions in (3, 3 * most):
+        stores = _Stores()
+        spark.streams.addListener(stores)
+        try:
+            with _shuffle_partitions(spark, partitions):
+                want[partitions] = sorted(tuple(r) for r in query(spark, d).collect())
+                # the session's own number is as it was
+                assert spark.conf.get("spark.sql.shuffle.partitions") == str(partitions)
+            spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(60_000)
+        finally:
+            spark.streams.removeListener(stores)
+        assert stores.batches >= 2 and stores.seen == {min(partitions, most)}
+    assert want[3] == want[3 * most]
+    if name == "stream_resumed_sum":
+        assert same(query(spark, d), catalog.tumbling_sum(spark, d))
+
+
 class _State:
     """Value, list and map state of one key in memory; counts the calls."""
 
