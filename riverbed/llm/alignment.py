@@ -18,6 +18,10 @@ in the block's list of distinct pairs. Only that list is joined with the corpus
 the answers return to their block. The highest count of every B id is one row per entry of
 B's vocabulary, which bounds its broadcast.
 
+*Memory* follows a block, not the input: a worker forgets the pieces of A at ``PIECES``
+(they are coded anew, with the same ids), and a block is a row group of its own, so that
+its writers and readers, who hold a row group as a whole, hold one block each.
+
 Defined results: a null or empty text, and one whose A or B tokens do not spell a space
 and the text (B spells U+2581 as a space), has no tokens: zeros and an empty digest.
 Repeated rows are aligned and counted each time; null ids are kept; an empty
@@ -43,6 +47,10 @@ from .token_files import byte_alphabet
 
 LANE = 512
 BLOCK = 4 << 20
+#: bytes aligned at once: what a worker holds besides its block follows them
+PART = 512 << 10
+#: pieces a worker remembers, and bytes of them: it keeps them through all stages
+PIECES, PIECE_BYTES = 500_000, 16 << 20
 #: a pair of ids as one number: A's id times this, plus B's
 WIDTH = 1 << 24
 
@@ -99,7 +107,7 @@ class ByteLevel:
 
         def encode(piece: bytes) -> list[int]:
             return [t.id for t in model.tokenize(piece.decode("latin-1").translate(alphabet))]
-        self.coder = PieceCoder(encode)
+        self.coder = PieceCoder(encode, PIECES, PIECE_BYTES)
 
     def encode(self, buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all documents of a chunk, and each document's offset among them."""
@@ -320,13 +328,14 @@ def blocks(docs: DataFrame, vocabulary: str, model: str, doc_id: str = "doc_id",
 
         for batch in batches:
             column = pc.fill_null(batch.column(1), "")
-            for lo, hi, buf, off in chunks(column):
+            for lo, hi, buf, off in chunks(column, PART):
                 got.append(align(column.slice(lo, hi - lo), buf, off, a, b))
                 ids.append(batch.column(0).slice(lo, hi - lo))
                 held += len(buf) + hi - lo
                 if held >= BLOCK:
                     yield row()
                     number, ids, got, held = number + 1, [], [], 0
+                    pa.default_memory_pool().release_unused()
         if got:
             yield row()
 
@@ -339,7 +348,8 @@ def aligned(docs: DataFrame, vocabulary: str = "byte_bpe_50k.json",
             ) -> DataFrame:
     """``doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256`` per document."""
     kind = docs.schema[doc_id].dataType.simpleString()
-    table = written(blocks(docs, vocabulary, model, doc_id, text), "alignment")
+    table = written(blocks(docs, vocabulary, model, doc_id, text), "alignment",
+                    {"parquet.block.row.count.limit": 1})
     pairs = table.select("block", F.posexplode(F.arrays_zip("pairs", "links")).alias("pos", "p")) \
         .select("block", "pos", F.col("p.pairs").alias("pair"), F.col("p.links").alias("links"))
     counts = written(pairs.groupBy("pair").agg(F.sum("links").alias("count")), "alignment-counts")

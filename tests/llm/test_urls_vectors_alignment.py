@@ -3,10 +3,12 @@ ties, repeated rows, empty tables, clashing extra columns, several partitions.""
 
 import hashlib
 import math
+import os
 import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
@@ -254,6 +256,50 @@ def test_alignment(spark, monkeypatch):
                            "groups_sha256"]
 
 
+def test_alignment_writes_a_row_group_per_block(spark, monkeypatch):
+    """Writers and readers of the blocks hold a row group as a whole."""
+    import pyarrow.parquet as pq
+    prepare(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2")     # blocks end with a batch
+    monkeypatch.setattr(alignment, "BLOCK", 3_000)
+    tables, written = [], alignment.written
+    monkeypatch.setattr(alignment, "written", lambda *a: tables.append(written(*a)) or tables[-1])
+    docs = spark.createDataFrame([(i, f"word {i} " * 200) for i in range(40)], "doc_id long, text string")
+    assert alignment.aligned(docs.coalesce(1)).count() == 40
+    files = [f for f in os.scandir(tables[0]._riverbed_path.removeprefix("file:")) if f.name.endswith(".parquet")]
+    found = [pq.ParquetFile(f.path).metadata for f in files]
+    groups = [m.row_group(k).num_rows for m in found for k in range(m.num_row_groups)]
+    prepare(spark)
+    assert len(groups) > 10 and set(groups) == {1}
+
+
+def test_what_a_worker_remembers_does_not_grow(monkeypatch):
+    """Ever new pieces, many and long ones: the same ids and links as without forgetting."""
+    letters = str.maketrans("0123456789", "abcdefghij")
+    texts = [" ".join(str(i * 300 + k).translate(letters) for k in range(300)) + " "
+             + str(i).translate(letters) * 400 for i in range(60)]
+    model = alignment.PieceModel("piece_bpe_32k.model")
+
+    def run(coder):
+        out, most = [], 0
+        for t in texts:
+            raw = np.frombuffer(t.encode(), np.uint8)
+            got = alignment.align(pa.array([t]), raw, np.array([0, len(raw)]), coder, model)
+            out.append((got.digest, got.n_links.tolist(), got.pair.tolist(), got.times.tolist()))
+            most = max(most, coder.coder.n)
+        return out, most
+    want, grown = run(alignment.ByteLevel("byte_bpe_50k.json"))
+    assert grown > 15_000
+    monkeypatch.setattr(alignment, "PIECES", 2_000, raising=False)
+    few = alignment.ByteLevel("byte_bpe_50k.json")
+    got, most = run(few)
+    assert got == want and most < 3_000 and few.coder.limit == 2_000
+    monkeypatch.setattr(alignment, "PIECES", 1 << 30, raising=False)
+    monkeypatch.setattr(alignment, "PIECE_BYTES", 10_000, raising=False)
+    got, most = run(alignment.ByteLevel("byte_bpe_50k.json"))
+    assert got == want and most < 5_000
+
+
 def test_lanes_meet_without_losing_or_doubling_links():
     r = np.random.default_rng(1)
     for lane in (1, 2, 7, 64):
